@@ -115,13 +115,13 @@ def _profile_sql() -> str:
     return with_visits("\nUNION ALL\n".join(visit_rows + person_rows), person=True)
 
 
-ORACLE: dict[str, str] = {
-    "clean_visits": with_visits("SELECT * FROM clean"),
-    "fill_missing": with_visits(
-        """SELECT 'provider_id' AS column_name, count(*) FILTER (WHERE provider_id = -1) AS filled_rows FROM clean
+_FILL = """SELECT 'provider_id' AS column_name, count(*) FILTER (WHERE provider_id = -1) AS filled_rows FROM clean
 UNION ALL SELECT 'care_site_id', count(*) FILTER (WHERE care_site_id = -1) FROM clean
 UNION ALL SELECT 'visit_source_value', count(*) FILTER (WHERE visit_source_value = 'UNKNOWN') FROM clean"""
-    ),
+
+ORACLE: dict[str, str] = {
+    "clean_visits": with_visits("SELECT * FROM clean"),
+    "fill_missing": with_visits(_FILL),
     "valid_visits": with_visits("SELECT * FROM valid", missing_end=True),
     "valid_visit_count": with_visits("SELECT count(*) AS valid_visits FROM valid", missing_end=True),
     "person_dim": with_visits("SELECT * FROM person", person=True),
@@ -193,4 +193,21 @@ WHERE a.visit_count IS DISTINCT FROM b.visit_count""",
   visit_concept_id NULLS FIRST, person_id NULLS FIRST, provider_id NULLS FIRST, care_site_id NULLS FIRST,
   visit_source_value NULLS FIRST, visit_start_datetime NULLS FIRST, visit_end_datetime NULLS FIRST LIMIT 5"""
     ),
+    "csv_ingest": with_visits("SELECT * FROM clean"),
+    "na_tokens": with_visits(_FILL + "\nUNION ALL SELECT 'clean_rows', count(*) FROM clean"),
+    "detect_encoding": with_visits(
+        """SELECT 'person_utf8' AS file_set, 'UTF-8' AS encoding, count(*) AS person_rows FROM person
+UNION ALL SELECT 'person_utf16', 'UTF-16', count(*) FROM person""",
+        person=True,
+    ),
+    "input_manifest": """SELECT * FROM (VALUES
+  ('visit_occurrence_0.csv', true, true),
+  ('visit_occurrence_1.csv', false, NULL::BOOLEAN),
+  ('person.csv', true, true)) AS t(file_name, present, has_bytes)
+WHERE EXISTS (SELECT 1 FROM lineitem) AND EXISTS (SELECT 1 FROM customer)""",
+    "parquet_round_trip": with_visits("SELECT * FROM clean"),
+    "shuffle_invariance": with_visits(
+        """SELECT s AS shuffle_partitions, (SELECT count(*) FROM valid) AS valid_visits, true AS same_answer
+FROM (VALUES (1), (8), (16)) AS t(s)"""
+    ),
 }

@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from vistra import fixtures
 from vistra.operators import aggregate, charts, clean, quality, window
 from vistra.operators.join import visits_person_left
+from vistra.plans import visits as job
+from vistra.schema import NA_TOKENS
+from vistra.session import scratch_path
+from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv, write_csv
+from vistra.sources.encoding import detect_encodings
+from vistra.sources.manifest import input_manifest
+from vistra.sources.metrics import metrics_record, read_metrics, write_metrics
+from vistra.sources.parquet import read_parquet, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +168,130 @@ def q_sample_rows(spark, sf_dir):
     )
 
 
+# --- file boundary -------------------------------------------------------------
+
+VISIT_FILE_NAMES = ["visit_occurrence_0.csv", "visit_occurrence_1.csv"]
+PERSON_FILE_NAME = "person.csv"
+
+
+def _write_visit_files(raw: DataFrame, root: str) -> list[VisitFile]:
+    """Split raw rows by id parity into a headed and a headerless CSV input."""
+    even = F.coalesce(F.col("visit_occurrence_id").try_cast("bigint") % 2 == 0, F.lit(False))
+    first, second = (f"{root}/{n}" for n in VISIT_FILE_NAMES)
+    write_csv(raw.filter(even), first, header=True)
+    write_csv(raw.filter(~even), second, header=False)
+    return [VisitFile(first, True), VisitFile(second, False)]
+
+
+def q_csv_ingest(spark, sf_dir):
+    files = _write_visit_files(fixtures.visits_raw(spark, sf_dir), scratch_path(spark, "csv_ingest"))
+    return clean.clean_visits(read_visits_csv(spark, files))
+
+
+# Columns that receive a missing-value string where the fixture has NULL.
+NA_TOKEN_COLUMNS = ["person_id", "provider_id", "care_site_id", "visit_source_value"]
+
+
+def with_na_tokens(raw: DataFrame) -> DataFrame:
+    """Write one of the reader's missing-value strings in place of each NULL.
+
+    The string is chosen by a rule on the row (concept id + column index), so
+    every string occurs.
+    """
+    tokens = F.array(*[F.lit(t) for t in NA_TOKENS])
+    key = F.coalesce(F.col("visit_concept_id").try_cast("bigint"), F.lit(0))
+    replaced = {
+        c: F.coalesce(F.col(c), F.element_at(tokens, (F.pmod(key + i, F.lit(len(NA_TOKENS))) + 1).cast("int")))
+        for i, c in enumerate(NA_TOKEN_COLUMNS)
+    }
+    return raw.withColumns(replaced)
+
+
+def q_na_tokens(spark, sf_dir):
+    raw = with_na_tokens(fixtures.visits_raw(spark, sf_dir))
+    files = _write_visit_files(raw, scratch_path(spark, "na_tokens"))
+    cleaned = clean.clean_visits(read_visits_csv(spark, files))
+    rows = aggregate.visit_count(cleaned, "filled_rows").select(
+        F.lit("clean_rows").alias("column_name"), "filled_rows"
+    )
+    return clean.fill_report(cleaned).unionByName(rows)
+
+
+ENCODED_SETS = [("person_utf8", "UTF-8"), ("person_utf16", "UTF-16")]
+
+
+def q_detect_encoding(spark, sf_dir):
+    raw = fixtures.person_raw(spark, sf_dir)
+    root = scratch_path(spark, "encodings")
+    parts = []
+    for name, encoding in ENCODED_SETS:
+        write_csv(raw, f"{root}/{name}", header=True, encoding=encoding)
+    for name, _ in ENCODED_SETS:
+        found = detect_encodings(spark, [f"{root}/{name}"])
+        person = clean.person_dim(read_person_csv(spark, f"{root}/{name}", found))
+        parts.append(
+            person.agg(F.count(F.lit(1)).alias("person_rows")).select(
+                F.lit(name).alias("file_set"),
+                F.lit(",".join(sorted(set(found.values())))).alias("encoding"),
+                "person_rows",
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+def q_input_manifest(spark, sf_dir):
+    root = scratch_path(spark, "manifest")
+    # The second visit file is deliberately not written: it must show as missing.
+    write_csv(fixtures.visits_raw(spark, sf_dir), f"{root}/{VISIT_FILE_NAMES[0]}", header=True)
+    write_csv(fixtures.person_raw(spark, sf_dir), f"{root}/{PERSON_FILE_NAME}", header=True)
+    manifest = input_manifest(spark, root, [*VISIT_FILE_NAMES, PERSON_FILE_NAME])
+    return manifest.select(
+        "file_name", "present", (F.col("size_bytes") > 0).alias("has_bytes")
+    )
+
+
+def q_parquet_round_trip(spark, sf_dir):
+    path = scratch_path(spark, "visits_parquet")
+    write_parquet(clean_of(spark, sf_dir), path)
+    return read_parquet(spark, path)
+
+
+SHUFFLE_SETTINGS = [1, 8, 16]
+
+
+def q_shuffle_invariance(spark, sf_dir):
+    runs = job.run_with_shuffle_settings(
+        spark, lambda: aggregate.yearly_visits(valid_of(spark, sf_dir)), SHUFFLE_SETTINGS
+    )
+    return job.invariance_table(spark, runs, aggregate.visit_count(valid_of(spark, sf_dir)))
+
+
+def q_run_metrics(spark, sf_dir):
+    root = scratch_path(spark, "run")
+    files = _write_visit_files(fixtures.visits_raw(spark, sf_dir), f"{root}/raw")
+    write_csv(fixtures.person_raw(spark, sf_dir), f"{root}/raw/{PERSON_FILE_NAME}", header=True)
+    ingest_seconds = job.ingest(spark, files, f"{root}/visits")
+    configs = []
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    try:
+        for n in (8, 16):
+            spark.conf.set(key, str(n))
+            result = job.analyse(spark, f"{root}/visits", f"{root}/raw/{PERSON_FILE_NAME}", f"{root}/results-{n}")
+            configs.append(
+                {
+                    "shuffle_partitions": n,
+                    "pipeline_seconds": result.seconds,
+                    "comparison_seconds": result.comparison_seconds,
+                }
+            )
+    finally:
+        spark.conf.set(key, previous)
+    record = metrics_record(job.yearly_from_parquet(spark, f"{root}/visits"), ingest_seconds, configs)
+    write_metrics(record, f"{root}/metrics")
+    return read_metrics(spark, f"{root}/metrics")
+
+
 QUERIES: dict[str, Query] = {
     "clean_visits": q_clean_visits,
     "fill_missing": q_fill_missing,
@@ -180,4 +312,11 @@ QUERIES: dict[str, Query] = {
     "reconcile_yearly": q_reconcile_yearly,
     "table_profile": q_table_profile,
     "sample_rows": q_sample_rows,
+    "csv_ingest": q_csv_ingest,
+    "na_tokens": q_na_tokens,
+    "detect_encoding": q_detect_encoding,
+    "input_manifest": q_input_manifest,
+    "parquet_round_trip": q_parquet_round_trip,
+    "shuffle_invariance": q_shuffle_invariance,
+    "run_metrics": q_run_metrics,
 }

@@ -1,0 +1 @@
+"""File sources and sinks: CSV visits/person, encodings, manifest, Parquet, metrics."""
