@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistra.functions.dates import timestamp_to_text
+from vistra.plans.partitioning import ensure_parallelism
 from vistra.schema import PERSON_COLUMNS, VISIT_COLUMNS
 
 TABLES = (
@@ -36,9 +37,11 @@ def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> D
     missing care site (suppkey % 7 = 0), missing source value (N/O lines).
     ``missing_end`` also blanks the end time of line number 7.
     """
-    li = load_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_returnflag", "l_linestatus", "l_shipdate",
+    li = ensure_parallelism(
+        load_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        )
     )
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey)

@@ -1,0 +1,21 @@
+"""Parallelism guard for inputs that arrive in too few splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` when its scan yields fewer.
+
+    A Parquet file written as one row group, or a UTF-16 CSV (read whole),
+    arrives as one split; the per-row parsing after it would then run in one
+    task. Large inputs already have many splits and are returned unchanged,
+    so no shuffle is added at scale. Looking at the partition count plans the
+    scan (file listing) but runs no job.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

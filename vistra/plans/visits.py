@@ -43,32 +43,31 @@ def ingest(spark: SparkSession, files: Sequence[VisitFile], out_dir: str) -> flo
 def analyse(
     spark: SparkSession, visits_dir: str, person_path: str, results_dir: str
 ) -> AnalysisResult:
+    """Monthly, gender, top months and yearly results from the clean table.
+
+    Two passes over the large table: the monthly aggregate (written, then
+    every month/year result reads that small table) and the per-person
+    visit counts behind the gender summary. The valid-visit total and the
+    yearly counts are roll-ups of the monthly table, so they cost no scan.
+    """
     t0 = time.perf_counter()
     valid = clean.valid_visits(read_parquet(spark, visits_dir))
 
-    # Monthly aggregate: the only full pass needed for month/year reports.
     write_parquet(aggregate.monthly_visits(valid), f"{results_dir}/monthly")
     monthly = read_parquet(spark, f"{results_dir}/monthly")
 
-    valid_count = monthly.agg(F.sum("visit_count").cast("bigint")).first()[0] or 0
-
     person = clean.person_dim(read_person_csv(spark, person_path))
-    gender = aggregate.visits_by_gender(valid, person)
-    write_parquet(gender, f"{results_dir}/visits_by_gender")
+    write_parquet(aggregate.visits_by_gender(valid, person), f"{results_dir}/visits_by_gender")
 
-    top = window.top_months(monthly)
-    write_parquet(top, f"{results_dir}/top_months")
+    write_parquet(window.top_months(monthly), f"{results_dir}/top_months")
 
     c0 = time.perf_counter()
-    yearly_rows = aggregate.yearly_visits(valid).collect()
+    yearly_rows = charts.visits_per_year(monthly).collect()
     comparison_seconds = time.perf_counter() - c0
     yearly = {int(r["visit_year"]): int(r["visit_count"]) for r in yearly_rows}
 
-    for name, table in chart_tables(monthly).items():
-        write_parquet(table, f"{results_dir}/{name}")
-
     return AnalysisResult(
-        valid_visits=int(valid_count),
+        valid_visits=sum(yearly.values()),
         yearly=yearly,
         gender=read_parquet(spark, f"{results_dir}/visits_by_gender"),
         top_months=read_parquet(spark, f"{results_dir}/top_months"),
@@ -78,6 +77,16 @@ def analyse(
     )
 
 
+def write_charts(spark: SparkSession, results_dir: str) -> list[str]:
+    """Chart tables from the written monthly table; returns their paths."""
+    monthly = read_parquet(spark, f"{results_dir}/monthly")
+    paths = []
+    for name, table in chart_tables(monthly).items():
+        write_parquet(table, f"{results_dir}/{name}")
+        paths.append(f"{results_dir}/{name}")
+    return paths
+
+
 def chart_tables(monthly: DataFrame) -> dict[str, DataFrame]:
     return {
         "chart_visits_per_year": charts.visits_per_year(monthly),
