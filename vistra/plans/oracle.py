@@ -211,3 +211,12 @@ WHERE EXISTS (SELECT 1 FROM lineitem) AND EXISTS (SELECT 1 FROM customer)""",
 FROM (VALUES (1), (8), (16)) AS t(s)"""
     ),
 }
+
+def _search() -> dict[str, str]:
+    from vistra.plans.queries import SEARCH_GENERATIONS, SEARCH_POP, SWEEP_CONFIGS
+    from vistra.plans.search_oracle import search_oracle
+
+    return search_oracle(SEARCH_POP, SEARCH_GENERATIONS, SWEEP_CONFIGS)
+
+
+ORACLE.update(_search())

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from vistra import fixtures
 from vistra.operators import aggregate, charts, clean, quality, window
 from vistra.operators.join import visits_person_left
+from vistra.operators import candidates as C
+from vistra.plans import search
 from vistra.plans import visits as job
 from vistra.schema import NA_TOKENS
 from vistra.session import scratch_path
@@ -292,6 +294,71 @@ def q_run_metrics(spark, sf_dir):
     return read_metrics(spark, f"{root}/metrics")
 
 
+# --- evolutionary search over candidate tables -------------------------------
+
+# One independent search per supplier row; a run's work is pop_size rows.
+SEARCH_POP = 20
+SEARCH_GENERATIONS = 2
+SWEEP_CONFIGS = [
+    {"config_id": 1, "pop_size": 10, "mutation_rate": 0.15, "sigma": 0.3},
+    {"config_id": 2, "pop_size": 20, "mutation_rate": 0.15, "sigma": 0.3},
+    {"config_id": 3, "pop_size": 20, "mutation_rate": 0.3, "sigma": 0.6},
+]
+
+
+def search_runs(spark, sf_dir, pop_size: int = SEARCH_POP):
+    return C.runs_table(fixtures.load_table(spark, sf_dir, "supplier"), "s_suppkey", pop_size)
+
+
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    return _round(df, *cols, digits=6)
+
+
+def _scored0(spark, sf_dir):
+    return C.score(C.init_population(search_runs(spark, sf_dir)))
+
+
+def q_cand_init(spark, sf_dir):
+    pop = C.init_population(search_runs(spark, sf_dir))
+    return _r6(pop.select("run_id", "generation", "slot", "x", "y"), "x", "y")
+
+
+def q_cand_score(spark, sf_dir):
+    return _r6(_scored0(spark, sf_dir).select("run_id", "generation", "slot", "x", "y", "fitness"), "x", "y", "fitness")
+
+
+def q_cand_tournament(spark, sf_dir):
+    parents = C.tournament(_scored0(spark, sf_dir))
+    cols = ["p1_x", "p1_y", "p2_x", "p2_y"]
+    return _r6(parents.select("run_id", "generation", "child_slot", *cols), *cols)
+
+
+def q_cand_crossover(spark, sf_dir):
+    kids = C.crossover(C.tournament(_scored0(spark, sf_dir)))
+    return _r6(kids.select("run_id", "generation", "child_slot", "x", "y"), "x", "y")
+
+
+def q_cand_mutate(spark, sf_dir):
+    kids = C.mutate(C.crossover(C.tournament(_scored0(spark, sf_dir))))
+    return _r6(kids.select("run_id", "generation", "child_slot", "x", "y"), "x", "y")
+
+
+def q_cand_next_generation(spark, sf_dir):
+    pop = C.next_generation(_scored0(spark, sf_dir))
+    return _r6(pop.select("run_id", "generation", "slot", "x", "y"), "x", "y")
+
+
+def q_cand_history(spark, sf_dir):
+    result = search.evolve(search_runs(spark, sf_dir), SEARCH_GENERATIONS)
+    return _r6(result.history, "best_fitness")
+
+
+def q_cand_sweep(spark, sf_dir):
+    runs = C.runs_for_configs(fixtures.load_table(spark, sf_dir, "supplier"), "s_suppkey", SWEEP_CONFIGS)
+    result = search.evolve(runs, SEARCH_GENERATIONS)
+    return _r6(search.sweep_summary(result.best), "best_fitness", "mean_best_fitness")
+
+
 QUERIES: dict[str, Query] = {
     "clean_visits": q_clean_visits,
     "fill_missing": q_fill_missing,
@@ -319,4 +386,12 @@ QUERIES: dict[str, Query] = {
     "parquet_round_trip": q_parquet_round_trip,
     "shuffle_invariance": q_shuffle_invariance,
     "run_metrics": q_run_metrics,
+    "cand_init": q_cand_init,
+    "cand_score": q_cand_score,
+    "cand_tournament": q_cand_tournament,
+    "cand_crossover": q_cand_crossover,
+    "cand_mutate": q_cand_mutate,
+    "cand_next_generation": q_cand_next_generation,
+    "cand_history": q_cand_history,
+    "cand_sweep": q_cand_sweep,
 }
