@@ -75,13 +75,27 @@ def _draw(tag: str, slot_col: str = "slot") -> F.Column:
     return uniform(F.col("seed"), F.col("run_id"), F.col("generation"), F.col(slot_col), tag)
 
 
+# Slots are generated in blocks: one row per block is shuffled round-robin,
+# then each block expands to its slots, so a run with a huge population is
+# generated by many tasks instead of one.
+SLOT_BLOCK = 4096
+
+
 def init_population(runs: DataFrame, bounds: tuple[float, float] = BOUNDS) -> DataFrame:
     """Generation 0: ``pop_size`` candidates per run, uniform in bounds."""
     lo, hi = bounds
-    slots = runs.select(
+    blocks = runs.select(
+        *runs.columns,
+        F.explode(
+            F.sequence(F.lit(0), F.floor((F.col("pop_size") - 1) / SLOT_BLOCK).cast("int"))
+        ).alias("__block"),
+    ).repartition("run_id", "__block")
+    start = F.col("__block") * SLOT_BLOCK
+    end = F.least(start + SLOT_BLOCK, F.col("pop_size")) - 1
+    slots = blocks.select(
         *runs.columns,
         F.lit(0).alias("generation"),
-        F.explode(F.sequence(F.lit(0), F.col("pop_size") - 1)).alias("slot"),
+        F.explode(F.sequence(start, end)).alias("slot"),
     )
     return slots.select(
         "run_id", "generation", "slot",

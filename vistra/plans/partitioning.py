@@ -16,6 +16,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

@@ -1,0 +1,11 @@
+"""Incremental form of the visit ingest.
+
+The reference has no streaming operators (its input is fixed files, rebuilt
+on every run). The one thing Structured Streaming adds here is running the
+*same* ingest — CSV → clean → Parquet — only over files that arrived since
+the last run, with the progress kept in a checkpoint on shared storage.
+"""
+
+from vistra.streaming.ingest import ingest_new_files
+
+__all__ = ["ingest_new_files"]
