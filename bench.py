@@ -11,6 +11,11 @@ repeated and reported as the median with the order of stages alternated:
 - charts        the three chart tables from the monthly table
 - yearly_count  Parquet → valid → visits per year (the comparison query)
 - q_*           registered queries straight from the driver tables
+- xK_*          yearly count and analysis on K stacked copies of the clean
+                table (ids offset per copy; BENCH_SCALE=K, default 72, which
+                at sf0.1 gives ~42.3 M visits, the size of the reference's
+                recorded run). BENCH_SCALE=0 skips it. BENCH_SCALE_INGEST=1
+                also times CSV ingest at that size (writes ~3.3 GB of CSV).
 """
 
 from __future__ import annotations
@@ -32,6 +37,19 @@ from vistra.session import build_session, scratch_path  # noqa: E402
 from vistra.sources.csv import write_csv  # noqa: E402
 
 
+def _stack(df, copies: int, id_col: str, text: bool = False):
+    """``copies`` copies of ``df`` with ids offset by 10^9 per copy (explode,
+    no join); used only to measure throughput at the reference's size."""
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("__copy")
+    ids = F.col(id_col).try_cast("bigint") if text else F.col(id_col)
+    shifted = ids + F.col("__copy").cast("bigint") * F.lit(10**9)
+    return (
+        df.select("*", copy)
+        .withColumn(id_col, shifted.cast("string") if text else shifted)
+        .drop("__copy")
+    )
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -86,6 +104,29 @@ def main() -> None:
             stages[name]()
             times[name].append(time.perf_counter() - t0)
     med = {k: round(statistics.median(v), 3) for k, v in times.items()}
+
+    scale = int(os.environ.get("BENCH_SCALE", "72"))
+    scaled_rows = None
+    if scale > 1:
+        scaled_dir = f"{root}/visits-x{scale}"
+        stacked = _stack(spark.read.parquet(visits_dir), scale, "visit_occurrence_id")
+        stacked.write.mode("overwrite").parquet(scaled_dir)
+        scaled_rows = spark.read.parquet(scaled_dir).count()
+        big: dict[str, list[float]] = {f"x{scale}_yearly_count": [], f"x{scale}_analysis": []}
+        for _ in range(2):
+            t0 = time.perf_counter()
+            job.yearly_from_parquet(spark, scaled_dir).collect()
+            big[f"x{scale}_yearly_count"].append(time.perf_counter() - t0)
+            t0 = time.perf_counter()
+            job.analyse(spark, scaled_dir, person_path, f"{root}/results-x{scale}")
+            big[f"x{scale}_analysis"].append(time.perf_counter() - t0)
+        if os.environ.get("BENCH_SCALE_INGEST") == "1":
+            raw = _stack(fixtures.visits_raw(spark, sf_dir), scale, "visit_occurrence_id", text=True)
+            big_files = Q._write_visit_files(raw, f"{root}/raw-x{scale}")
+            t0 = time.perf_counter()
+            job.ingest(spark, big_files, f"{root}/visits-x{scale}-ingested")
+            big[f"x{scale}_ingest"] = [time.perf_counter() - t0]
+        med.update({k: round(statistics.median(v), 3) for k, v in big.items()})
     headline = med["ingest"] + med["analysis"]
     print(
         json.dumps(
@@ -98,6 +139,9 @@ def main() -> None:
                 "visits": n_visits,
                 "yearly_visits_per_sec": round(n_visits / med["yearly_count"]) if med["yearly_count"] else None,
                 "ingest_visits_per_sec": round(n_visits / med["ingest"]) if med["ingest"] else None,
+                "scaled_visits": scaled_rows,
+                "scaled_yearly_visits_per_sec": round(scaled_rows / med[f"x{scale}_yearly_count"])
+                if scaled_rows else None,
                 "repeats": repeats,
                 "cpus": cpus,
             }
