@@ -7,7 +7,7 @@ import pytest
 from vistra.operators import clean
 from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv, write_csv
 from vistra.sources.encoding import UTF8, UTF16, detect_encodings, encoding_of_prefix
-from vistra.sources.manifest import MissingInputError, input_manifest, require_inputs
+from vistra.sources.manifest import MissingInputError, input_manifest, manifest_total, require_inputs
 from vistra.sources.metrics import metrics_record, read_metrics, write_metrics
 from vistra.sources.parquet import read_parquet, write_parquet
 
@@ -64,6 +64,9 @@ def test_manifest_and_missing_input(spark, tmp_dir):
     rows = {r.file_name: r for r in m.collect()}
     assert rows["person.csv"].present and rows["person.csv"].size_bytes > 0
     assert not rows["visit_occurrence_0.csv"].present and rows["visit_occurrence_0.csv"].n_files == 0
+    total = manifest_total(m).first()
+    assert (total.present, total.missing) == (1, 1)
+    assert total.total_bytes == rows["person.csv"].size_bytes
     with pytest.raises(MissingInputError):
         require_inputs(m)
     require_inputs(input_manifest(spark, tmp_dir, ["person.csv"]))
@@ -81,7 +84,7 @@ def test_metrics_json_round_trip(spark, tmp_dir):
                                             "comparison_seconds": 0.5}])
     write_metrics(rec, f"{tmp_dir}/m")
     back = read_metrics(spark, f"{tmp_dir}/m").first()
-    assert back.ingest_seconds == 1.235
+    assert back.ingest.pipeline_seconds == 1.235
     assert back.comparison_results == {"2000": 7, "2001": 5}
     assert back.spark_configurations[0].shuffle_partitions == 8
     assert back.shuffle_configurations == [8]

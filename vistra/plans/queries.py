@@ -7,6 +7,7 @@ fresh folder under the shared checkpoint directory first.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -289,7 +290,14 @@ def q_run_metrics(spark, sf_dir):
             )
     finally:
         spark.conf.set(key, previous)
-    record = metrics_record(job.yearly_from_parquet(spark, f"{root}/visits"), ingest_seconds, configs)
+    t0 = time.perf_counter()
+    aggregate.yearly_rows(read_parquet(spark, f"{root}/visits")).collect()
+    comparison_seconds = time.perf_counter() - t0
+    charts_written = job.write_charts(spark, f"{root}/results-8")
+    record = metrics_record(
+        job.yearly_from_parquet(spark, f"{root}/visits"), ingest_seconds, configs,
+        ingest_comparison_seconds=comparison_seconds, visualizations=charts_written,
+    )
     write_metrics(record, f"{root}/metrics")
     return read_metrics(spark, f"{root}/metrics")
 

@@ -50,6 +50,15 @@ def _escape(text: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in text)
 
 
+def manifest_total(manifest: DataFrame) -> DataFrame:
+    """One row: inputs present / missing, total bytes and GB (2 digits)."""
+    return manifest.agg(
+        F.count_if(F.col("present")).alias("present"),
+        F.count_if(~F.col("present")).alias("missing"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint").alias("total_bytes"),
+    ).withColumn("total_gb", F.round(F.col("total_bytes") / BYTES_PER_GB, 2))
+
+
 def require_inputs(manifest: DataFrame) -> None:
     """Fail (like the reference) when any expected input is missing."""
     missing = [r["file_name"] for r in manifest.filter(~F.col("present")).select("file_name").collect()]
