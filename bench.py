@@ -37,6 +37,14 @@ from vistra.session import build_session, scratch_path  # noqa: E402
 from vistra.sources.csv import write_csv  # noqa: E402
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def _stack(df, copies: int, id_col: str, text: bool = False):
     """``copies`` copies of ``df`` with ids offset by 10^9 per copy (explode,
     no join); used only to measure throughput at the reference's size."""
@@ -135,7 +143,7 @@ def main() -> None:
                 "value": round(headline, 3),
                 "unit": "sec",
                 "queries": med,
-                "sf": os.path.basename(sf_dir).replace("sf", ""),
+                "sf": _sf_value(sf_dir),
                 "visits": n_visits,
                 "yearly_visits_per_sec": round(n_visits / med["yearly_count"]) if med["yearly_count"] else None,
                 "ingest_visits_per_sec": round(n_visits / med["ingest"]) if med["ingest"] else None,

@@ -92,3 +92,21 @@ def test_metrics_json_round_trip(spark, tmp_dir):
 
 def test_range_source_smoke(spark):
     assert spark.range(5).count() == 5
+
+
+def test_mixed_encodings_are_read_per_group(spark, tmp_dir):
+    from vistra.sources.encoding import read_groups
+
+    d = _local(tmp_dir)
+    os.makedirs(f"{d}/mix", exist_ok=True)
+    head = "person_id,gender_source_value,race_source_value\r\n"
+    with open(f"{d}/mix/a.csv", "wb") as f:
+        f.write((head + "1,F,a\r\n").encode("utf-16"))
+    with open(f"{d}/mix/b.csv", "wb") as f:
+        f.write((head + "2,M,b\r\n").encode("utf-8"))
+    groups = read_groups(spark, [f"{d}/mix"])
+    assert [e for e, _ in groups] == sorted([UTF8, UTF16])
+    rows = sorted(clean.person_dim(read_person_csv(spark, f"{d}/mix", groups=groups)).collect())
+    assert [(r.person_id, r.gender_source_value) for r in rows] == [(1, "F"), (2, "M")]
+    same = read_groups(spark, [f"{d}/mix/b.csv"])
+    assert same == [(UTF8, [f"{d}/mix/b.csv"])]

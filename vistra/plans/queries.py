@@ -22,7 +22,7 @@ from vistra.plans import visits as job
 from vistra.schema import NA_TOKENS
 from vistra.session import scratch_path
 from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv, write_csv
-from vistra.sources.encoding import detect_encodings
+from vistra.sources.encoding import read_groups
 from vistra.sources.manifest import input_manifest
 from vistra.sources.metrics import metrics_record, read_metrics, write_metrics
 from vistra.sources.parquet import read_parquet, write_parquet
@@ -230,12 +230,12 @@ def q_detect_encoding(spark, sf_dir):
     for name, encoding in ENCODED_SETS:
         write_csv(raw, f"{root}/{name}", header=True, encoding=encoding)
     for name, _ in ENCODED_SETS:
-        found = detect_encodings(spark, [f"{root}/{name}"])
-        person = clean.person_dim(read_person_csv(spark, f"{root}/{name}", found))
+        groups = read_groups(spark, [f"{root}/{name}"])
+        person = clean.person_dim(read_person_csv(spark, f"{root}/{name}", groups=groups))
         parts.append(
             person.agg(F.count(F.lit(1)).alias("person_rows")).select(
                 F.lit(name).alias("file_set"),
-                F.lit(",".join(sorted(set(found.values())))).alias("encoding"),
+                F.lit(",".join(sorted(enc for enc, _ in groups))).alias("encoding"),
                 "person_rows",
             )
         )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vistra.operators.clean import normalize_na_tokens
 from vistra.schema import PERSON_COLUMNS, RAW_VISIT_SCHEMA, VISIT_COLUMNS
-from vistra.sources.encoding import detect_encodings, reader_options
+from vistra.sources.encoding import read_groups, reader_options
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile]) -> DataFram
     """
     parts = []
     for f in files:
-        for enc, paths in sorted(_group_by_encoding(detect_encodings(spark, [f.path])).items()):
+        for enc, paths in read_groups(spark, [f.path]):
             parts.append(_read_visit_group(spark, paths, f.header, enc))
     if not parts:
         raise FileNotFoundError(f"no visit files under {[f.path for f in files]}")
@@ -58,17 +58,23 @@ def _group_by_encoding(found: dict[str, str]) -> dict[str, list[str]]:
 
 
 def read_person_csv(
-    spark: SparkSession, path: str, encodings: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    encodings: dict[str, str] | None = None,
+    groups: list[tuple[str, list[str]]] | None = None,
 ) -> DataFrame:
     """Read person CSV(s) with header as text, keep the three used columns.
 
     Names come from the header (the file may hold more columns); no type
     inference. Missing-value strings stay text, as Spark's reader keeps them.
     """
-    found = encodings if encodings is not None else detect_encodings(spark, [path])
-    by_encoding = _group_by_encoding(found)
+    if groups is None:
+        if encodings is not None:
+            groups = sorted(_group_by_encoding(encodings).items())
+        else:
+            groups = read_groups(spark, [path])
     parts = []
-    for enc, paths in sorted(by_encoding.items()):
+    for enc, paths in groups:
         reader = spark.read.option("header", True)
         for key, value in reader_options(enc).items():
             reader = reader.option(key, value)

@@ -79,9 +79,24 @@ def encoding_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def detect_encodings(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """path → encoding for each input file.
+    """path → encoding for each input file (one short row per file)."""
+    return {r["path"]: r["encoding"] for r in encoding_table(spark, paths).collect()}
+
 
-    Collects one short row per *file* (a file manifest, not data) because the
-    reader options must be chosen on the driver.
+def read_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """How to read ``paths``: a list of (encoding, paths to read with it).
+
+    The common case — every file in one encoding — brings back one summary
+    row per encoding and reads the original paths as given. Only when
+    encodings are mixed are the file paths of each encoding collected (one
+    short row per file, never file contents).
     """
-    return {r["path"]: r["encoding"] for r in encoding_table(spark, paths).collect()}
+    table = encoding_table(spark, paths)
+    summary = table.groupBy("encoding").agg(F.count(F.lit(1)).alias("files")).collect()
+    if len(summary) <= 1:
+        encoding = summary[0]["encoding"] if summary else UTF8
+        return [(encoding, list(paths))]
+    groups: dict[str, list[str]] = {}
+    for r in table.select("encoding", "path").collect():
+        groups.setdefault(r["encoding"], []).append(r["path"])
+    return sorted(groups.items())
