@@ -38,3 +38,21 @@ def test_batch_job_end_to_end(spark, tmp_dir):
     assert parquet_yearly == res.yearly  # the two engines' comparison, reconciled
     paths = job.write_charts(spark, f"{tmp_dir}/res")
     assert len(paths) == 3
+
+
+def test_run_all_strict_reconciliation(spark, tmp_dir):
+    import pytest
+
+    from vistra.operators.quality import ReconciliationError
+
+    raw = Q.fixtures.visits_raw(spark, SF001, missing_end=True)
+    files = Q._write_visit_files(raw, f"{tmp_dir}/raw")
+    write_csv(Q.fixtures.person_raw(spark, SF001), f"{tmp_dir}/raw/person.csv", header=True)
+    with pytest.raises(ReconciliationError):
+        job.run_all(spark, files, f"{tmp_dir}/raw/person.csv", f"{tmp_dir}/strict", shuffle_settings=(8,))
+    rec = job.run_all(spark, files, f"{tmp_dir}/raw/person.csv", f"{tmp_dir}/lenient",
+                      shuffle_settings=(8,), strict=False).first()
+    assert sum(rec.comparison_results.values()) == 4979
+    assert len(rec.visualizations) == 3
+    with pytest.raises(FileNotFoundError):
+        job.run_all(spark, files, f"{tmp_dir}/raw/nope.csv", f"{tmp_dir}/x", shuffle_settings=(8,))

@@ -19,9 +19,14 @@ from pyspark.sql import functions as F
 from vistra.functions.draws import objective, standard_normal, uniform, uniform_between
 from vistra.functions.numbers import clip_between
 
+# --- fixed values: the search's settings, as in the reference ---------------
 BOUNDS = (-5.0, 5.0)
 TOURNAMENT_K = 3
 BLX_ALPHA = 0.5
+DEFAULT_MUTATION_RATE = 0.15
+DEFAULT_SIGMA = 0.3
+# --- end of fixed values -------------------------------------------------------
+
 PARAM_COLUMNS = ["config_id", "seed", "pop_size", "mutation_rate", "sigma"]
 KEY = ["run_id", "generation", "slot"]
 
@@ -31,8 +36,8 @@ def runs_table(
     key_column: str,
     pop_size: int,
     seed: int = 42,
-    mutation_rate: float = 0.15,
-    sigma: float = 0.3,
+    mutation_rate: float = DEFAULT_MUTATION_RATE,
+    sigma: float = DEFAULT_SIGMA,
     config_id: int = 0,
 ) -> DataFrame:
     """One search per row of ``keys`` (its ``key_column`` becomes ``run_id``)."""
@@ -58,8 +63,8 @@ def runs_for_configs(keys: DataFrame, key_column: str, configs: list[dict]) -> D
                 F.lit(int(c["config_id"])).cast("int").alias("config_id"),
                 F.lit(int(c.get("seed", 42))).cast("bigint").alias("seed"),
                 F.lit(int(c["pop_size"])).cast("int").alias("pop_size"),
-                F.lit(float(c.get("mutation_rate", 0.15))).alias("mutation_rate"),
-                F.lit(float(c.get("sigma", 0.3))).alias("sigma"),
+                F.lit(float(c.get("mutation_rate", DEFAULT_MUTATION_RATE))).alias("mutation_rate"),
+                F.lit(float(c.get("sigma", DEFAULT_SIGMA))).alias("sigma"),
             )
             for i, c in enumerate(configs)
         ]

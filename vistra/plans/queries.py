@@ -7,7 +7,6 @@ fresh folder under the shared checkpoint directory first.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ from vistra.session import scratch_path
 from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv, write_csv
 from vistra.sources.encoding import read_groups
 from vistra.sources.manifest import input_manifest
-from vistra.sources.metrics import metrics_record, read_metrics, write_metrics
+from vistra.sources.metrics import read_metrics
 from vistra.sources.parquet import read_parquet, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,34 +271,11 @@ def q_shuffle_invariance(spark, sf_dir):
 def q_run_metrics(spark, sf_dir):
     root = scratch_path(spark, "run")
     files = _write_visit_files(fixtures.visits_raw(spark, sf_dir), f"{root}/raw")
-    write_csv(fixtures.person_raw(spark, sf_dir), f"{root}/raw/{PERSON_FILE_NAME}", header=True)
-    ingest_seconds = job.ingest(spark, files, f"{root}/visits")
-    configs = []
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    try:
-        for n in (8, 16):
-            spark.conf.set(key, str(n))
-            result = job.analyse(spark, f"{root}/visits", f"{root}/raw/{PERSON_FILE_NAME}", f"{root}/results-{n}")
-            configs.append(
-                {
-                    "shuffle_partitions": n,
-                    "pipeline_seconds": result.seconds,
-                    "comparison_seconds": result.comparison_seconds,
-                }
-            )
-    finally:
-        spark.conf.set(key, previous)
-    t0 = time.perf_counter()
-    aggregate.yearly_rows(read_parquet(spark, f"{root}/visits")).collect()
-    comparison_seconds = time.perf_counter() - t0
-    charts_written = job.write_charts(spark, f"{root}/results-8")
-    record = metrics_record(
-        job.yearly_from_parquet(spark, f"{root}/visits"), ingest_seconds, configs,
-        ingest_comparison_seconds=comparison_seconds, visualizations=charts_written,
-    )
-    write_metrics(record, f"{root}/metrics")
-    return read_metrics(spark, f"{root}/metrics")
+    person_path = f"{root}/raw/{PERSON_FILE_NAME}"
+    write_csv(fixtures.person_raw(spark, sf_dir), person_path, header=True)
+    # the fixture has no missing end times, so both yearly counts agree
+    job.run_all(spark, files, person_path, f"{root}/out", shuffle_settings=(8, 16), strict=True)
+    return read_metrics(spark, f"{root}/out/metrics")
 
 
 # --- evolutionary search over candidate tables -------------------------------

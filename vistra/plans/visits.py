@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vistra.operators import aggregate, charts, clean, quality, window
 from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv
+from vistra.sources.metrics import metrics_record, write_metrics
 from vistra.sources.parquet import read_parquet, write_parquet
 
 
@@ -152,3 +153,81 @@ def invariance_table(spark: SparkSession, runs: Sequence[SettingRun], value: Dat
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` (file, folder or glob) holds at least one data file."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return bool(listing.select("path").limit(1).collect())
+    except AnalysisException:
+        return False
+
+
+def run_all(
+    spark: SparkSession,
+    files: Sequence[VisitFile],
+    person_path: str,
+    out_root: str,
+    shuffle_settings: Sequence[int] = (8, 16),
+    strict: bool = True,
+) -> DataFrame:
+    """The whole job: ingest, engine-1 count, analysis per shuffle setting
+    with reconciliation, chart tables, metrics record (written as JSON).
+
+    Inputs are checked first (a missing input raises); with ``strict`` a
+    yearly count that differs from the ingest-side count raises, as the
+    reference does. Returns the one-row metrics DataFrame.
+    """
+    missing = [p for p in [f.path for f in files] + [person_path] if not _has_files(spark, p)]
+    if missing:
+        raise FileNotFoundError(f"missing inputs: {', '.join(missing)}")
+
+    visits_dir = f"{out_root}/visits"
+    ingest_seconds = ingest(spark, files, visits_dir)
+
+    c0 = time.perf_counter()
+    engine1 = aggregate.yearly_rows(read_parquet(spark, visits_dir))
+    engine1_rows = engine1.collect()
+    ingest_comparison_seconds = time.perf_counter() - c0
+    engine1 = spark.createDataFrame(engine1_rows, engine1.schema)  # one row per year
+
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    configs = []
+    try:
+        for n in shuffle_settings:
+            spark.conf.set(key, str(int(n)))
+            result = analyse(spark, visits_dir, person_path, f"{out_root}/results-{int(n)}")
+            diff = quality.reconcile(
+                engine1,
+                spark.createDataFrame(sorted(result.yearly.items()), engine1.schema),
+                ["visit_year"], "visit_count", "all_rows", "valid_visits",
+            )
+            if strict:
+                quality.assert_reconciled(diff)
+            configs.append(
+                {
+                    "shuffle_partitions": int(n),
+                    "pipeline_seconds": result.seconds,
+                    "comparison_seconds": result.comparison_seconds,
+                }
+            )
+    finally:
+        spark.conf.set(key, previous)
+
+    last = f"{out_root}/results-{int(shuffle_settings[-1])}"
+    charts_written = write_charts(spark, last)
+    record = metrics_record(
+        read_parquet(spark, f"{last}/monthly").groupBy("visit_year").agg(
+            F.sum("visit_count").cast("bigint").alias("visit_count")
+        ),
+        ingest_seconds,
+        configs,
+        ingest_comparison_seconds=ingest_comparison_seconds,
+        visualizations=charts_written,
+    )
+    write_metrics(record, f"{out_root}/metrics")
+    return record
