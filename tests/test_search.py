@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
+from vistra.functions.draws import uniform
 from vistra.operators import candidates as C
 from vistra.plans import search
 
@@ -44,11 +45,30 @@ def test_elite_lowest_slot_on_tie(spark):
 
 
 def test_tournament_earliest_draw_wins_tie(spark):
-    # all candidates equally fit: the winner must be the first drawn slot
+    # all candidates equally fit, x = slot: each parent must be its first draw
     runs = small_runs(spark, pop=8)
-    scored = C.init_population(runs).withColumn("fitness", F.lit(1.0))
+    scored = C.init_population(runs).withColumn("x", F.col("slot").cast("double")).withColumn(
+        "fitness", F.lit(1.0))
     parents = C.tournament(scored, k=3)
     assert parents.count() == 6 * 7
+    key = [F.col("seed"), F.col("run_id"), F.col("generation"), F.col("child_slot")]
+    expect = parents.select(
+        "p1_x", "p2_x",
+        F.floor(uniform(*key, "tour_1", 0) * F.col("pop_size")).alias("e1"),
+        F.floor(uniform(*key, "tour_2", 0) * F.col("pop_size")).alias("e2"),
+    ).collect()
+    assert all(r.p1_x == r.e1 and r.p2_x == r.e2 for r in expect)
+
+
+def test_tournament_picks_fittest_draw(spark):
+    runs = small_runs(spark, pop=8)
+    scored = C.init_population(runs).withColumn("x", F.col("slot").cast("double")).withColumn(
+        "fitness", F.col("slot").cast("double"))
+    parents = C.tournament(scored, k=3)
+    key = [F.col("seed"), F.col("run_id"), F.col("generation"), F.col("child_slot")]
+    best1 = F.greatest(*[F.floor(uniform(*key, "tour_1", j) * F.col("pop_size")) for j in range(3)])
+    rows = parents.select("p1_x", best1.alias("e")).collect()
+    assert all(r.p1_x == r.e for r in rows)
 
 
 def test_sweep_from_table(spark):

@@ -2,8 +2,11 @@
 
 A draw is a hash of its coordinates (seed, run, generation, slot, tag), so it
 does not depend on partitioning or on execution order, a lost task recomputes
-the same values, and the same number can be produced in SQL:
-``conv(substr(md5('seed|run|generation|slot|tag'), 1, 8), 16, 10) / 2^32``.
+the same values, and the same number can be produced in SQL. One md5 gives
+four 32-bit draws (``chunk`` 0..3):
+``conv(substr(md5('seed|run|generation|slot|tag'), 1 + 8·chunk, 8), 16, 10) / 2^32``.
+Draws that share a key share one md5 evaluation (Catalyst eliminates the
+common subexpression).
 """
 
 from __future__ import annotations
@@ -24,11 +27,22 @@ def _text(c: Column | str | int) -> Column:
     return F.lit(str(c))
 
 
-def uniform(seed, run, generation, slot, tag: str | Column) -> Column:
-    """U[0, 1) from the first 32 bits of an md5 over the draw's coordinates."""
+def uniform(seed, run, generation, slot, tag: str | Column, chunk: int = 0) -> Column:
+    """U[0, 1) from 32 bits (``chunk`` 0..3) of an md5 over the coordinates."""
+    return uniform_from_hash(draw_hash(seed, run, generation, slot, tag), chunk)
+
+
+def draw_hash(seed, run, generation, slot, tag: str | Column) -> Column:
+    """The md5 hex string behind up to four draws of one key."""
     tag_col = tag if isinstance(tag, Column) else F.lit(tag)
-    key = F.concat_ws("|", _text(seed), _text(run), _text(generation), _text(slot), tag_col)
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(TWO_POW_32)
+    return F.md5(F.concat_ws("|", _text(seed), _text(run), _text(generation), _text(slot), tag_col))
+
+
+def uniform_from_hash(hex_md5: Column, chunk: int) -> Column:
+    """Draw ``chunk`` (0..3) of an md5 hex string, as ``uniform`` computes it."""
+    if not 0 <= chunk <= 3:
+        raise ValueError("an md5 holds four 32-bit draws")
+    return F.conv(F.substring(hex_md5, 1 + 8 * chunk, 8), 16, 10).cast("double") / F.lit(TWO_POW_32)
 
 
 def uniform_between(low: Column | float, high: Column | float, u: Column) -> Column:

@@ -16,7 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistra.functions.draws import objective, standard_normal, uniform, uniform_between
+from vistra.functions.draws import (
+    draw_hash,
+    objective,
+    standard_normal,
+    uniform,
+    uniform_between,
+    uniform_from_hash,
+)
 from vistra.functions.numbers import clip_between
 
 # --- fixed values: the search's settings, as in the reference ---------------
@@ -76,13 +83,16 @@ def runs_for_configs(keys: DataFrame, key_column: str, configs: list[dict]) -> D
     )
 
 
-def _draw(tag: str, slot_col: str = "slot") -> F.Column:
-    return uniform(F.col("seed"), F.col("run_id"), F.col("generation"), F.col(slot_col), tag)
+def _draw(tag: str, chunk: int, slot_col: str = "slot") -> F.Column:
+    return uniform(F.col("seed"), F.col("run_id"), F.col("generation"), F.col(slot_col), tag, chunk)
 
 
-# Slots are generated in blocks: one row per block is shuffled round-robin,
-# then each block expands to its slots, so a run with a huge population is
-# generated by many tasks instead of one.
+# Slots are generated in blocks: one row per block is shuffled round-robin
+# over the cluster's cores, then each block expands to its slots, so a run
+# with a huge population is generated by many tasks instead of one. The
+# partition count is explicit because the block rows are few bytes: a
+# size-based (AQE) choice would put them all in one task, and all later
+# per-candidate work (hash draws, tournaments) would follow that layout.
 SLOT_BLOCK = 4096
 
 
@@ -94,7 +104,7 @@ def init_population(runs: DataFrame, bounds: tuple[float, float] = BOUNDS) -> Da
         F.explode(
             F.sequence(F.lit(0), F.floor((F.col("pop_size") - 1) / SLOT_BLOCK).cast("int"))
         ).alias("__block"),
-    ).repartition("run_id", "__block")
+    ).repartition(runs.sparkSession.sparkContext.defaultParallelism)
     start = F.col("__block") * SLOT_BLOCK
     end = F.least(start + SLOT_BLOCK, F.col("pop_size")) - 1
     slots = blocks.select(
@@ -104,8 +114,8 @@ def init_population(runs: DataFrame, bounds: tuple[float, float] = BOUNDS) -> Da
     )
     return slots.select(
         "run_id", "generation", "slot",
-        uniform_between(lo, hi, _draw("init_x")).alias("x"),
-        uniform_between(lo, hi, _draw("init_y")).alias("y"),
+        uniform_between(lo, hi, _draw("init", 0)).alias("x"),
+        uniform_between(lo, hi, _draw("init", 1)).alias("y"),
         *PARAM_COLUMNS,
     )
 
@@ -117,36 +127,65 @@ def score(population: DataFrame) -> DataFrame:
 
 def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
     """Two parents per child slot 1..pop_size-1, each the fittest of ``k``
-    slots drawn with replacement.
-
-    Draws are exploded per child (2·k rows), equi-joined to the population on
-    (run, generation, slot) and reduced with ``max_by`` in one grouped
-    aggregate; the ordering key (fitness, −draw) makes the earliest draw win
-    ties. Output: ``(run_id, generation, child_slot, p1_x, p1_y, p2_x, p2_y)``
-    plus the run parameters.
+    slots drawn with replacement (earliest draw wins a tie).
+
+    Each child row gets its 2·k drawn slots (two md5s), is exploded to one row
+    per draw, equi-joined to the population on (run, generation, slot), and
+    folded back to one row per child by a hash aggregate whose buffers are
+    the drawn candidates' values; the winner is then picked by a column
+    expression. Output: ``(run_id, generation, child_slot, p1_x, p1_y, p2_x,
+    p2_y)`` plus the run parameters.
     """
+    if not 1 <= k <= 4:
+        raise ValueError("k must be between 1 and 4")
+    key = [F.col("seed"), F.col("run_id"), F.col("generation"), F.col("child_slot")]
     children = scored.filter(F.col("slot") >= 1).select(
         "run_id", "generation", F.col("slot").alias("child_slot"), *PARAM_COLUMNS
+    ).select(
+        "*", *[draw_hash(*key, f"tour_{p}").alias(f"__h{p}") for p in (1, 2)]  # one md5 per parent
     )
     picks = F.array(
-        *[F.struct(F.lit(p).alias("parent"), F.lit(j).alias("draw")) for p in (1, 2) for j in range(k)]
+        *[
+            F.struct(
+                F.lit(p).alias("parent"),
+                F.lit(j).alias("draw"),
+                F.floor(uniform_from_hash(F.col(f"__h{p}"), j) * F.col("pop_size")).cast("int").alias("slot"),
+            )
+            for p in (1, 2)
+            for j in range(k)
+        ]
     )
-    draws = children.select("*", F.explode(picks).alias("d")).select(
-        "run_id", "generation", "child_slot", *PARAM_COLUMNS,
-        F.col("d.parent").alias("parent"), F.col("d.draw").alias("draw"),
+    draws = children.select(
+        "run_id", "generation", "child_slot", *PARAM_COLUMNS, F.inline(picks)
     )
-    tag = F.concat(F.lit("tour_"), F.col("parent").cast("string"), F.lit("_"), F.col("draw").cast("string"))
-    u = uniform(F.col("seed"), F.col("run_id"), F.col("generation"), F.col("child_slot"), tag)
-    draws = draws.withColumn("slot", F.floor(u * F.col("pop_size")).cast("int"))
     pool = scored.select("run_id", "generation", "slot", "x", "y", "fitness")
     joined = draws.join(pool, ["run_id", "generation", "slot"])
-    order = F.struct(F.col("fitness"), -F.col("draw"))
 
-    def pick(p: int, gene: str) -> F.Column:
-        return F.max_by(F.col(gene), F.when(F.col("parent") == p, order)).alias(f"p{p}_{gene}")
+    def value(p: int, j: int, c: str) -> F.Column:
+        hit = (F.col("parent") == p) & (F.col("draw") == j)
+        return F.max(F.when(hit, F.col(c))).alias(f"{c}_{p}_{j}")
+
+    folded = joined.groupBy("run_id", "generation", "child_slot").agg(
+        *[F.max(c).alias(c) for c in PARAM_COLUMNS],  # constant within a run
+        *[value(p, j, c) for p in (1, 2) for j in range(k) for c in ("x", "y", "fitness")],
+    )
 
-    return joined.groupBy("run_id", "generation", "child_slot", *PARAM_COLUMNS).agg(
-        pick(1, "x"), pick(1, "y"), pick(2, "x"), pick(2, "y")
+    def winner(p: int, gene: str) -> F.Column:
+        # first maximum wins: draw j is chosen if it beats every earlier draw
+        # strictly and is at least as fit as every later one
+        expr = F.col(f"{gene}_{p}_{k - 1}")
+        for j in reversed(range(k - 1)):
+            f_j = F.col(f"fitness_{p}_{j}")
+            best = F.lit(True)
+            for i in range(j + 1, k):
+                best = best & (f_j >= F.col(f"fitness_{p}_{i}"))
+            expr = F.when(best, F.col(f"{gene}_{p}_{j}")).otherwise(expr)
+        return expr.alias(f"p{p}_{gene}")
+
+    return folded.select(
+        "run_id", "generation", "child_slot",
+        winner(1, "x"), winner(1, "y"), winner(2, "x"), winner(2, "y"),
+        *PARAM_COLUMNS,
     )
 
 
@@ -158,7 +197,7 @@ def crossover(parents: DataFrame, alpha: float = BLX_ALPHA) -> DataFrame:
         spread = F.lit(float(alpha)) * F.abs(a - b)
         lo = F.least(a, b) - spread
         hi = F.greatest(a, b) + spread
-        return uniform_between(lo, hi, _draw(f"blx_{g}", "child_slot")).alias(g)
+        return uniform_between(lo, hi, _draw("blx", 0 if g == "x" else 1, "child_slot")).alias(g)
 
     return parents.select("run_id", "generation", "child_slot", gene("x"), gene("y"), *PARAM_COLUMNS)
 
@@ -169,8 +208,10 @@ def mutate(children: DataFrame, bounds: tuple[float, float] = BOUNDS) -> DataFra
     lo, hi = bounds
 
     def gene(g: str) -> F.Column:
-        hit = _draw(f"mut_{g}", "child_slot") < F.col("mutation_rate")
-        noise = F.col("sigma") * standard_normal(_draw(f"n1_{g}", "child_slot"), _draw(f"n2_{g}", "child_slot"))
+        hit = _draw(f"mut_{g}", 0, "child_slot") < F.col("mutation_rate")
+        noise = F.col("sigma") * standard_normal(
+            _draw(f"mut_{g}", 1, "child_slot"), _draw(f"mut_{g}", 2, "child_slot")
+        )
         moved = F.when(hit, F.col(g) + noise).otherwise(F.col(g))
         return clip_between(moved, lo, hi).alias(g)
 

@@ -10,12 +10,12 @@ TWO_PI = repr(2.0 * math.pi)
 LO, HI = -5.0, 5.0
 
 
-def _u(tag_sql: str, slot: str = "slot") -> str:
+def _u(tag_sql: str, slot: str = "slot", chunk: str = "0") -> str:
     key = (
         "concat_ws('|', seed::VARCHAR, run_id::VARCHAR, generation::VARCHAR, "
         f"{slot}::VARCHAR, {tag_sql})"
     )
-    return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT / 4294967296.0)"
+    return f"(('0x' || substr(md5({key}), 1 + 8 * ({chunk}), 8))::BIGINT / 4294967296.0)"
 
 
 def _d(v: float) -> str:
@@ -47,8 +47,8 @@ def _between(lo: str, hi: str, u: str) -> str:
 
 INIT = f"""pop0 AS (
   SELECT run_id, generation, slot,
-         {_between(_d(LO), _d(HI), _u("'init_x'"))} AS x,
-         {_between(_d(LO), _d(HI), _u("'init_y'"))} AS y, {PARAMS}
+         {_between(_d(LO), _d(HI), _u("'init'", chunk="0"))} AS x,
+         {_between(_d(LO), _d(HI), _u("'init'", chunk="1"))} AS y, {PARAMS}
   FROM (SELECT run_id, 0 AS generation, unnest(range(pop_size))::INTEGER AS slot, {PARAMS} FROM runs))"""
 
 
@@ -62,27 +62,27 @@ def _fitness(x: str = "x", y: str = "y") -> str:
 def step_sql(g: int) -> str:
     """CTEs scored{g}, parents{g}, cross{g}, mut{g}, pop{g+1}."""
     picks = "(VALUES (1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)) AS d(parent, draw)"
-    tour_tag = "'tour_' || parent::VARCHAR || '_' || draw::VARCHAR"
+    tour_tag = "'tour_' || parent::VARCHAR"
 
     def blx(gene: str) -> str:
         a, b = f"p1_{gene}", f"p2_{gene}"
         spread = f"(0.5::DOUBLE * abs({a} - {b}))"
         lo = f"(least({a}, {b}) - {spread})"
         hi = f"(greatest({a}, {b}) + {spread})"
-        return _between(lo, hi, _u(f"'blx_{gene}'", "child_slot"))
+        return _between(lo, hi, _u("'blx'", "child_slot", "0" if gene == "x" else "1"))
 
     def mut(gene: str) -> str:
         noise = (
-            f"(sigma * (sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {_u(f"'n1_{gene}'", 'child_slot')})) "
-            f"* cos({TWO_PI}::DOUBLE * {_u(f"'n2_{gene}'", 'child_slot')})))"
+            f"(sigma * (sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {_u(f"'mut_{gene}'", 'child_slot', '1')})) "
+            f"* cos({TWO_PI}::DOUBLE * {_u(f"'mut_{gene}'", 'child_slot', '2')})))"
         )
-        moved = f"(CASE WHEN {_u(f"'mut_{gene}'", 'child_slot')} < mutation_rate THEN {gene} + {noise} ELSE {gene} END)"
+        moved = f"(CASE WHEN {_u(f"'mut_{gene}'", 'child_slot', '0')} < mutation_rate THEN {gene} + {noise} ELSE {gene} END)"
         return f"least(greatest({moved}, {_d(LO)}), {_d(HI)})"
 
     return f"""scored{g} AS (SELECT *, {_fitness()} AS fitness FROM pop{g}),
 drawn{g} AS (
   SELECT run_id, generation, child_slot, {PARAMS}, parent, draw,
-         floor({_u(tour_tag, 'child_slot')} * pop_size)::INTEGER AS slot
+         floor({_u(tour_tag, 'child_slot', 'draw')} * pop_size)::INTEGER AS slot
   FROM (SELECT run_id, generation, slot AS child_slot, {PARAMS} FROM scored{g} WHERE slot >= 1) c, {picks}),
 ranked{g} AS (
   SELECT d.*, s.x, s.y, s.fitness,
