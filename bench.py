@@ -11,6 +11,8 @@ repeated and reported as the median with the order of stages alternated:
 - charts        the three chart tables from the monthly table
 - yearly_count  Parquet → valid → visits per year (the comparison query)
 - q_*           registered queries straight from the driver tables
+- search_*      evolutionary search, one run per supplier row, population 300,
+                BENCH_SEARCH_GENERATIONS (3) generations, once
 - xK_*          yearly count and analysis on K stacked copies of the clean
                 table (ids offset per copy; BENCH_SCALE=K, default 72, which
                 at sf0.1 gives ~42.3 M visits, the size of the reference's
@@ -31,7 +33,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from vistra import fixtures  # noqa: E402
+from vistra.operators import candidates as C  # noqa: E402
 from vistra.plans import queries as Q  # noqa: E402
+from vistra.plans import search  # noqa: E402
 from vistra.plans import visits as job  # noqa: E402
 from vistra.session import build_session, scratch_path  # noqa: E402
 from vistra.sources.csv import write_csv  # noqa: E402
@@ -113,6 +117,17 @@ def main() -> None:
             times[name].append(time.perf_counter() - t0)
     med = {k: round(statistics.median(v), 3) for k, v in times.items()}
 
+    # Search: one run per supplier row, population 300 (the reference's size).
+    search_gens = int(os.environ.get("BENCH_SEARCH_GENERATIONS", "3"))
+    search_rate = None
+    if search_gens > 0:
+        runs = C.runs_table(fixtures.load_table(spark, sf_dir, "supplier"), "s_suppkey", 300)
+        n_runs = runs.count()
+        t0 = time.perf_counter()
+        search.evolve(runs, search_gens).best.collect()
+        med[f"search_{search_gens}_generations"] = round(time.perf_counter() - t0, 3)
+        search_rate = round(n_runs * 300 * (search_gens + 1) / med[f"search_{search_gens}_generations"])
+
     scale = int(os.environ.get("BENCH_SCALE", "72"))
     scaled_rows = None
     if scale > 1:
@@ -150,6 +165,7 @@ def main() -> None:
                 "scaled_visits": scaled_rows,
                 "scaled_yearly_visits_per_sec": round(scaled_rows / med[f"x{scale}_yearly_count"])
                 if scaled_rows else None,
+                "search_candidates_per_sec": search_rate,
                 "repeats": repeats,
                 "cpus": cpus,
             }
