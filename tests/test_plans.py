@@ -42,10 +42,24 @@ def test_rank_filter_is_a_group_limit(plans):
     assert "WindowGroupLimit" in plans["top_months"]
 
 
-def test_gender_aggregates_before_the_join(plans):
+def test_gender_plan_follows_dimension_size(spark, plans):
+    # small person dimension (proven by the probe): broadcast, visits never shuffled by person
     text = plans["visits_by_gender"]
-    # partial aggregation on person_id sits below the join with person
-    assert "Keys [1]: [person_id" in text
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "Keys [1]: [person_id" not in text
+    # no broadcast allowed: counts per person are taken below the join
+    valid, person = Q.valid_of(spark, SF001), Q.person_of(spark, SF001)
+    eager = plan_text(aggregate.visits_by_gender(valid, person, max_bytes=0))
+    assert "Keys [1]: [person_id" in eager
+
+
+def test_dimension_probe_bounds(spark):
+    from vistra.operators.join import dimension_fits
+
+    person = Q.person_of(spark, SF001)
+    assert dimension_fits(person, 10 * 1024 * 1024)
+    assert not dimension_fits(person, 1000)
+    assert not dimension_fits(person, 0)
 
 
 def test_parquet_scan_prunes_and_pushes(spark, tmp_dir):

@@ -21,7 +21,7 @@ def test_hot_person(spark):
     person = Q.person_of(spark, SF001)
     joined = visits_person_left(skewed, person)
     assert joined.count() == n
-    eager = aggregate.visits_by_gender(skewed, person, eager=True).collect()
-    direct = aggregate.visits_by_gender(skewed, person, eager=False).collect()
+    eager = aggregate.visits_by_gender(skewed, person, strategy="eager").collect()
+    direct = aggregate.visits_by_gender(skewed, person, strategy="direct").collect()
     assert eager == direct
     assert sum(r.visit_count for r in eager) == n
