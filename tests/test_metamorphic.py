@@ -56,3 +56,18 @@ def test_run_all_strict_reconciliation(spark, tmp_dir):
     assert len(rec.visualizations) == 3
     with pytest.raises(FileNotFoundError):
         job.run_all(spark, files, f"{tmp_dir}/raw/nope.csv", f"{tmp_dir}/x", shuffle_settings=(8,))
+
+
+def test_year_partitioned_ingest_prunes(spark, tmp_dir):
+    from tests.test_plans import plan_text
+    from pyspark.sql import functions as F
+
+    files = Q._write_visit_files(Q.fixtures.visits_raw(spark, SF001), f"{tmp_dir}/raw")
+    job.ingest(spark, files, f"{tmp_dir}/flat")
+    job.ingest(spark, files, f"{tmp_dir}/by_year", files_per_year=2)
+    flat = spark.read.parquet(f"{tmp_dir}/flat")
+    by_year = spark.read.parquet(f"{tmp_dir}/by_year").select(*flat.columns)
+    assert quality.checksum(flat).first() == quality.checksum(by_year).first()
+    text = plan_text(by_year.filter(F.col("visit_year") == 1996))
+    assert "PartitionFilters: [isnotnull(visit_year" in text
+    assert by_year.filter(F.col("visit_year") == 1996).count() == 900
