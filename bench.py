@@ -66,11 +66,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG")  # an existing folder: write Spark's event log there
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(
         f"local[{cpus}]",
         app_name="vistra-bench",
         shuffle_partitions=2 * cpus,
-        extra_conf={"spark.driver.memory": "16g"},
+        extra_conf=extra,
     )
 
     root = scratch_path(spark, "bench")
