@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vistra.operators.clean import normalize_na_tokens
 from vistra.schema import PERSON_COLUMNS, RAW_VISIT_SCHEMA, VISIT_COLUMNS
-from vistra.sources.encoding import read_groups, reader_options
+from vistra.sources.encoding import read_groups, read_groups_many, reader_options
 
 
 @dataclass(frozen=True)
@@ -39,8 +39,8 @@ def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile]) -> DataFram
     NULL, as the reference's reader treats them.
     """
     parts = []
-    for f in files:
-        for enc, paths in read_groups(spark, [f.path]):
+    for f, groups in zip(files, read_groups_many(spark, [f.path for f in files])):
+        for enc, paths in groups:
             parts.append(_read_visit_group(spark, paths, f.header, enc))
     if not parts:
         raise FileNotFoundError(f"no visit files under {[f.path for f in files]}")

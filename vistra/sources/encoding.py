@@ -83,20 +83,73 @@ def detect_encodings(spark: SparkSession, paths: Sequence[str]) -> dict[str, str
     return {r["path"]: r["encoding"] for r in encoding_table(spark, paths).collect()}
 
 
-def read_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
-    """How to read ``paths``: a list of (encoding, paths to read with it).
+def _distinct_encodings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per batch: the distinct (root, encoding) pairs — at most a few rows."""
+    for pdf in batches:
+        enc = [encoding_of_prefix(_open_prefix(p)) for p in pdf["path"]]
+        yield pd.DataFrame({"root": pdf["root"], "encoding": enc}).drop_duplicates()
+
+
+def _rooted_listing(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+    parts = [
+        list_files(spark, [r]).filter(F.col("length") > 0).select(F.lit(i).alias("root"), "path")
+        for i, r in enumerate(roots)
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
 
-    The common case — every file in one encoding — brings back one summary
-    row per encoding and reads the original paths as given. Only when
-    encodings are mixed are the file paths of each encoding collected (one
-    short row per file, never file contents).
+def read_groups_many(spark: SparkSession, roots: Sequence[str]) -> list[list[tuple[str, list[str]]]]:
+    """For each root (file, folder or glob): (encoding, paths to read with it).
+
+    One job for all roots. Each task returns only the distinct (root,
+    encoding) pairs it saw, so the driver receives a few rows however many
+    files there are, and a root in one encoding is read as given. Only for a
+    root whose files mix encodings are that root's file paths collected (one
+    short row per file, never contents).
     """
-    table = encoding_table(spark, paths)
-    summary = table.groupBy("encoding").agg(F.count(F.lit(1)).alias("files")).collect()
-    if len(summary) <= 1:
-        encoding = summary[0]["encoding"] if summary else UTF8
-        return [(encoding, list(paths))]
-    groups: dict[str, list[str]] = {}
-    for r in table.select("encoding", "path").collect():
-        groups.setdefault(r["encoding"], []).append(r["path"])
-    return sorted(groups.items())
+    listing = _rooted_listing(spark, roots)
+    seen = listing.mapInPandas(_distinct_encodings, "root int, encoding string").collect()
+    found: dict[int, set[str]] = {}
+    for r in seen:
+        found.setdefault(r["root"], set()).add(r["encoding"])
+    mixed = sorted(i for i, encs in found.items() if len(encs) > 1)
+    per_file: dict[int, dict[str, list[str]]] = {}
+    if mixed:
+        rows = (
+            listing.filter(F.col("root").isin(mixed))
+            .mapInPandas(_detect_rooted, "root int, path string, encoding string")
+            .collect()
+        )
+        for r in rows:
+            per_file.setdefault(r["root"], {}).setdefault(r["encoding"], []).append(r["path"])
+    out = []
+    for i, root in enumerate(roots):
+        if i in per_file:
+            out.append(sorted(per_file[i].items()))
+        else:
+            encs = found.get(i, {UTF8})
+            out.append([(next(iter(encs)), [root])])
+    return out
+
+
+def _detect_rooted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame(
+            {
+                "root": pdf["root"],
+                "path": pdf["path"],
+                "encoding": [encoding_of_prefix(_open_prefix(p)) for p in pdf["path"]],
+            }
+        )
+
+
+def read_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """How to read ``paths`` together: a list of (encoding, paths to read with it)."""
+    merged: dict[str, list[str]] = {}
+    for groups in read_groups_many(spark, list(paths)):
+        for enc, ps in groups:
+            merged.setdefault(enc, []).extend(ps)
+    return sorted(merged.items())
