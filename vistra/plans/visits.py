@@ -3,8 +3,8 @@
 Stage 1 (ingest): CSV files → clean → snappy Parquet. One plan, one action.
 Stage 2 (analyse): Parquet → valid visits → monthly aggregate written once;
 everything per month/year/chart is then read from that small table, so the
-large table is scanned twice in total (monthly aggregate, per-person counts
-for the gender summary) instead of once per report.
+large table is scanned twice in total (the monthly aggregate, and the
+visit → person join behind the gender summary) instead of once per report.
 """
 
 from __future__ import annotations
@@ -67,9 +67,10 @@ def analyse(
     """Monthly, gender, top months and yearly results from the clean table.
 
     Two passes over the large table: the monthly aggregate (written, then
-    every month/year result reads that small table) and the per-person
-    visit counts behind the gender summary. The valid-visit total and the
-    yearly counts are roll-ups of the monthly table, so they cost no scan.
+    every month/year result reads that small table) and the visit → person
+    join behind the gender summary (a broadcast join when the person table is
+    proven small, else per-person counts first). The valid-visit total and
+    the yearly counts are roll-ups of the monthly table, so they cost no scan.
     """
     t0 = time.perf_counter()
     valid = clean.valid_visits(read_parquet(spark, visits_dir))
