@@ -337,6 +337,12 @@ def q_cand_history(spark, sf_dir):
     return _r6(result.history, "best_fitness")
 
 
+def q_cand_best(spark, sf_dir):
+    result = search.evolve(search_runs(spark, sf_dir), SEARCH_GENERATIONS)
+    best = result.best.select("run_id", "config_id", "best_x", "best_y", "best_fitness")
+    return _r6(best, "best_x", "best_y", "best_fitness")
+
+
 def q_cand_sweep(spark, sf_dir):
     runs = C.runs_for_configs(fixtures.load_table(spark, sf_dir, "supplier"), "s_suppkey", SWEEP_CONFIGS)
     result = search.evolve(runs, SEARCH_GENERATIONS)
@@ -377,5 +383,6 @@ QUERIES: dict[str, Query] = {
     "cand_mutate": q_cand_mutate,
     "cand_next_generation": q_cand_next_generation,
     "cand_history": q_cand_history,
+    "cand_best": q_cand_best,
     "cand_sweep": q_cand_sweep,
 }

@@ -136,6 +136,10 @@ def search_oracle(pop_size: int, generations: int, sweep_configs: list[dict]) ->
         "cand_next_generation": one + f"SELECT run_id, generation, slot, {r6('x')}, {r6('y')} FROM pop1",
         "cand_history": chain(runs, generations)
         + f"SELECT run_id, config_id, generation, round(best_fitness, 6) AS best_fitness FROM ({hist_parts})",
+        "cand_best": chain(runs, generations)
+        + f"""SELECT run_id, config_id, round(x, 6) AS best_x, round(y, 6) AS best_y, round(fitness, 6) AS best_fitness
+FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY fitness DESC, slot ASC) AS rn
+      FROM scored{generations}) WHERE rn = 1""",
         "cand_sweep": sweep
         + f"""SELECT config_id, pop_size, mutation_rate, sigma, count(*) AS runs,
        round(max(best_fitness), 6) AS best_fitness, round(avg(best_fitness), 6) AS mean_best_fitness
