@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a job of this package wants; a cluster's own settings win where set.
+# Settings a job of this package wants; `extra_conf` overrides any of them.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
