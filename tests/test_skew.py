@@ -25,3 +25,38 @@ def test_hot_person(spark):
     direct = aggregate.visits_by_gender(skewed, person, strategy="direct").collect()
     assert eager == direct
     assert sum(r.visit_count for r in eager) == n
+
+
+def test_hot_person_partition_is_split_by_aqe(spark):
+    """Without a broadcast, AQE's skew join splits the hot person's partition."""
+    from tests.test_plans import plan_text
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        valid, person = Q.valid_of(spark, SF001), Q.person_of(spark, SF001)
+        hot_id = person.agg(F.min("person_id")).first()[0]
+        skewed = valid.withColumn(
+            "person_id",
+            F.when(F.xxhash64("visit_occurrence_id", "visit_concept_id") % 3 == 0, F.lit(hot_id))
+            .otherwise(F.col("person_id")),
+        )
+        joined = visits_person_left(skewed, person, max_bytes=0)
+        assert len(joined.collect()) == valid.count()
+        text = plan_text(joined)  # the final adaptive plan, after execution
+        assert "SortMergeJoin(skew=true)" in text
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
