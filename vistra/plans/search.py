@@ -18,6 +18,12 @@ from vistra.operators import candidates as C
 from vistra.session import ensure_checkpoint_dir
 
 
+# --- fixed values: the reference's search size -------------------------------
+REFERENCE_POPULATION = 300
+REFERENCE_GENERATIONS = 50
+# --- end of fixed values -------------------------------------------------------
+
+
 @dataclass
 class SearchResult:
     history: DataFrame  # (run_id, config_id, generation, best_fitness)
