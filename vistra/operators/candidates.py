@@ -35,7 +35,6 @@ DEFAULT_SIGMA = 0.3
 # --- end of fixed values -------------------------------------------------------
 
 PARAM_COLUMNS = ["config_id", "seed", "pop_size", "mutation_rate", "sigma"]
-KEY = ["run_id", "generation", "slot"]
 
 
 def runs_table(
