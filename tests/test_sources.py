@@ -110,3 +110,22 @@ def test_mixed_encodings_are_read_per_group(spark, tmp_dir):
     assert [(r.person_id, r.gender_source_value) for r in rows] == [(1, "F"), (2, "M")]
     same = read_groups(spark, [f"{d}/mix/b.csv"])
     assert same == [(UTF8, [f"{d}/mix/b.csv"])]
+
+
+def test_utf16_visit_file_is_spread_before_cleaning(spark, tmp_dir):
+    from vistra.schema import VISIT_COLUMNS
+
+    d = _local(tmp_dir)
+    os.makedirs(f"{d}/v16", exist_ok=True)
+    lines = [",".join(VISIT_COLUMNS)]
+    for i in range(200):
+        row = dict.fromkeys(VISIT_COLUMNS, "")
+        row.update(visit_occurrence_id=str(i), person_id=str(i % 7), visit_start_datetime="2010-01-01 00:00:00",
+                   visit_end_datetime="2010-01-02 00:00:00")
+        lines.append(",".join(row[c] for c in VISIT_COLUMNS))
+    with open(f"{d}/v16/visits.csv", "wb") as f:
+        f.write(("\r\n".join(lines) + "\r\n").encode("utf-16"))
+    raw = read_visits_csv(spark, [VisitFile(f"{d}/v16", True)])
+    assert raw.rdd.getNumPartitions() >= 2  # one file, yet not one task
+    got = clean.clean_visits(raw)
+    assert got.count() == 200 and got.agg({"visit_duration_days": "max"}).first()[0] == 1.0

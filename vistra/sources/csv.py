@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from vistra.operators.clean import normalize_na_tokens
+from vistra.plans.partitioning import ensure_parallelism
 from vistra.schema import PERSON_COLUMNS, RAW_VISIT_SCHEMA, VISIT_COLUMNS
 from vistra.sources.encoding import read_groups, read_groups_many, reader_options
 
@@ -24,9 +25,14 @@ def _read_visit_group(
     spark: SparkSession, paths: Sequence[str], header: bool, encoding: str
 ) -> DataFrame:
     reader = spark.read.schema(RAW_VISIT_SCHEMA).option("header", header)
-    for key, value in reader_options(encoding).items():
+    options = reader_options(encoding)
+    for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.csv(list(paths))
+    df = reader.csv(list(paths))
+    if options.get("multiLine") == "true":
+        # read whole, one task per file: spread the rows before the cleaning
+        df = ensure_parallelism(df)
+    return df
 
 
 def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile]) -> DataFrame:
