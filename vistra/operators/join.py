@@ -1,8 +1,9 @@
 """Visit ⋈ person, with a checked broadcast.
 
 A dimension is broadcast only after a bounded probe proves its size: the
-probe reads at most ``max_rows + 1`` rows of the dimension (``limit`` stops
-the scan early) and sums their string bytes plus a fixed per-row overhead.
+probe takes at most ``max_rows + 1`` rows of the dimension with ``head``
+(which scans partitions incrementally and stops once it has enough), each
+reduced to one integer — its string bytes plus a fixed per-row overhead.
 Beyond the bound the join is a sort-merge join with no hint; AQE may still
 switch it to a broadcast once it has measured the real shuffle size, and its
 skew-join handling splits the partition of a hot person id on the visit side
@@ -42,7 +43,9 @@ def _parse_bytes(text: str) -> int:
 def dimension_fits(dim: DataFrame, max_bytes: int | None = None) -> bool:
     """True when ``dim`` provably takes at most ``max_bytes`` in a broadcast.
 
-    Reads at most ``max_bytes // ROW_OVERHEAD_BYTES + 1`` rows.
+    Brings back at most ``max_bytes // ROW_OVERHEAD_BYTES + 1`` integers
+    (about 200 k for the default 10 MB), so the probe is bounded by the
+    broadcast limit itself.
     """
     limit = broadcast_limit(dim.sparkSession) if max_bytes is None else max_bytes
     if limit <= 0:
@@ -56,10 +59,8 @@ def dimension_fits(dim: DataFrame, max_bytes: int | None = None) -> bool:
     width = F.lit(ROW_OVERHEAD_BYTES)
     for s in strings:
         width = width + s
-    probe = dim.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")
-    ).first()
-    return probe["rows"] <= max_rows and (probe["bytes"] or 0) <= limit
+    widths = dim.select(width.alias("w")).head(max_rows + 1)
+    return len(widths) <= max_rows and sum(r["w"] for r in widths) <= limit
 
 
 def join_dimension(
