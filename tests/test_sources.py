@@ -129,3 +129,25 @@ def test_utf16_visit_file_is_spread_before_cleaning(spark, tmp_dir):
     assert raw.rdd.getNumPartitions() >= 2  # one file, yet not one task
     got = clean.clean_visits(raw)
     assert got.count() == 200 and got.agg({"visit_duration_days": "max"}).first()[0] == 1.0
+
+
+def test_read_groups_many_keeps_roots_apart(spark, tmp_dir):
+    from vistra.sources.encoding import read_groups_many
+
+    d = _local(tmp_dir)
+    for sub in ("plain", "mixed"):
+        os.makedirs(f"{d}/{sub}", exist_ok=True)
+    with open(f"{d}/plain/a.csv", "wb") as f:
+        f.write(b"x\r\n1\r\n")
+    with open(f"{d}/plain/b.csv", "wb") as f:
+        f.write(b"x\r\n2\r\n")
+    with open(f"{d}/mixed/c.csv", "wb") as f:
+        f.write("x\r\n3\r\n".encode("utf-16"))
+    with open(f"{d}/mixed/d.csv", "wb") as f:
+        f.write(b"x\r\n4\r\n")
+    plain, mixed = read_groups_many(spark, [f"{d}/plain", f"{d}/mixed"])
+    assert plain == [(UTF8, [f"{d}/plain"])]  # one encoding: read as given, no paths collected
+    assert sorted(e for e, _ in mixed) == sorted([UTF8, UTF16])
+    by_enc = dict(mixed)
+    assert [p.rsplit("/", 1)[1] for p in by_enc[UTF16]] == ["c.csv"]
+    assert [p.rsplit("/", 1)[1] for p in by_enc[UTF8]] == ["d.csv"]
