@@ -22,23 +22,26 @@ def monthly_visits(valid: DataFrame) -> DataFrame:
     )
 
 
-def yearly_visits(valid: DataFrame) -> DataFrame:
+def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """Sort for display. Writers pass ``ordered=False``: a global sort of a
+    result costs a sampling job and a shuffle, and files keep no order."""
+    return df.orderBy(*keys) if ordered else df
+
+
+def yearly_visits(valid: DataFrame, ordered: bool = True) -> DataFrame:
     """Per year: count of valid visits (the engines' comparison query)."""
-    return (
-        valid.groupBy("visit_year")
-        .agg(F.count("visit_occurrence_id").alias("visit_count"))
-        .orderBy("visit_year")
-    )
+    out = valid.groupBy("visit_year").agg(F.count("visit_occurrence_id").alias("visit_count"))
+    return _ordered(out, ordered, "visit_year")
 
 
-def yearly_rows(clean: DataFrame) -> DataFrame:
+def yearly_rows(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Per year: row count over all clean visits, no duration filter."""
-    return (
+    out = (
         clean.filter(F.col("visit_year").isNotNull())
         .groupBy("visit_year")
         .agg(F.count(F.lit(1)).alias("visit_count"))
-        .orderBy("visit_year")
     )
+    return _ordered(out, ordered, "visit_year")
 
 
 def visit_count(valid: DataFrame, name: str = "valid_visits") -> DataFrame:
@@ -51,6 +54,7 @@ def visits_by_gender(
     person: DataFrame,
     strategy: str = "auto",
     max_bytes: int | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Visit count per gender over visits LEFT JOIN person; NULL gender is a group.
 
@@ -86,4 +90,4 @@ def visits_by_gender(
         )
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    return summary.orderBy(F.desc("visit_count"), F.asc_nulls_last("gender_source_value"))
+    return _ordered(summary, ordered, F.desc("visit_count"), F.asc_nulls_last("gender_source_value"))

@@ -8,29 +8,28 @@ from pyspark.sql import functions as F
 from vistra.functions.dates import period_label
 
 
-def visits_per_year(monthly: DataFrame) -> DataFrame:
+def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    return df.orderBy(*keys) if ordered else df
+
+
+def visits_per_year(monthly: DataFrame, ordered: bool = True) -> DataFrame:
     """Series for 'visits per year': monthly counts summed per year."""
-    return (
-        monthly.groupBy("visit_year")
-        .agg(F.sum("visit_count").cast("bigint").alias("visit_count"))
-        .orderBy("visit_year")
-    )
+    out = monthly.groupBy("visit_year").agg(F.sum("visit_count").cast("bigint").alias("visit_count"))
+    return _ordered(out, ordered, "visit_year")
 
 
-def mean_visits_per_month(monthly: DataFrame) -> DataFrame:
+def mean_visits_per_month(monthly: DataFrame, ordered: bool = True) -> DataFrame:
     """Mean of the monthly totals per calendar month over the years present."""
-    return (
-        monthly.groupBy("visit_month")
-        .agg(F.avg("visit_count").alias("mean_visit_count"))
-        .orderBy("visit_month")
-    )
+    out = monthly.groupBy("visit_month").agg(F.avg("visit_count").alias("mean_visit_count"))
+    return _ordered(out, ordered, "visit_month")
 
 
-def duration_by_period(monthly: DataFrame) -> DataFrame:
+def duration_by_period(monthly: DataFrame, ordered: bool = True) -> DataFrame:
     """Average duration per ``YYYY-MM`` period, in time order."""
-    return monthly.select(
+    out = monthly.select(
         period_label("visit_year", "visit_month").alias("period"),
         "visit_year",
         "visit_month",
         "avg_duration_days",
-    ).orderBy("visit_year", "visit_month")
+    )
+    return _ordered(out, ordered, "visit_year", "visit_month")

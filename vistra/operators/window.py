@@ -15,14 +15,11 @@ def ranked_months(monthly: DataFrame) -> DataFrame:
     return monthly.withColumn("month_rank", F.dense_rank().over(w))
 
 
-def top_months(monthly: DataFrame, n: int = 3) -> DataFrame:
+def top_months(monthly: DataFrame, n: int = 3, ordered: bool = True) -> DataFrame:
     """Months with one of the ``n`` highest distinct counts per year.
 
     Ties share a rank, so a year may return more than ``n`` months. Spark plans
     the rank filter as a WindowGroupLimit before and after the shuffle.
     """
-    return (
-        ranked_months(monthly)
-        .filter(F.col("month_rank") <= n)
-        .orderBy("visit_year", "month_rank", "visit_month")
-    )
+    top = ranked_months(monthly).filter(F.col("month_rank") <= n)
+    return top.orderBy("visit_year", "month_rank", "visit_month") if ordered else top
