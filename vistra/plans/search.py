@@ -4,7 +4,10 @@ The driver holds only the loop counter. Each generation's scored population
 is checkpointed to ``spark.checkpoint.dir`` (reliable storage): the next
 generation reads the population three times (elite, children, tournament
 pool), so without a cut the plan would grow threefold per generation, and a
-lost executor would have to replay every generation.
+lost executor would have to replay every generation. Each generation's best
+fitness per run is written at once to a table under the same folder, so the
+loop keeps no reference to older populations and Spark's cleaner may drop
+their checkpoint files (``spark.cleaner.referenceTracking.cleanCheckpoints``).
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vistra.operators import candidates as C
-from vistra.session import ensure_checkpoint_dir
+from vistra.session import ensure_checkpoint_dir, scratch_path
 
 
 # --- fixed values: the reference's search size -------------------------------
@@ -31,23 +34,32 @@ class SearchResult:
     final: DataFrame  # last scored population
 
 
-def evolve(runs: DataFrame, generations: int, checkpoint_every: int = 1) -> SearchResult:
-    """Run ``generations`` breeding steps for every run, then score once more."""
-    ensure_checkpoint_dir(runs.sparkSession)
+def evolve(
+    runs: DataFrame,
+    generations: int,
+    checkpoint_every: int = 1,
+    history_dir: str | None = None,
+) -> SearchResult:
+    """Run ``generations`` breeding steps for every run, then score once more.
+
+    ``history_dir`` (default: a fresh folder under the checkpoint folder)
+    receives one sub-table per generation, written with overwrite, so a
+    retried write never duplicates rows.
+    """
+    spark = runs.sparkSession
+    ensure_checkpoint_dir(spark)
+    hist = history_dir or scratch_path(spark, "search-history")
     population = C.init_population(runs)
-    history = []
     for g in range(generations):
         scored = C.score(population)
         if checkpoint_every and g % checkpoint_every == 0:
             scored = scored.checkpoint(eager=True)
-        history.append(C.best_per_generation(scored))
+        C.best_per_generation(scored).write.mode("overwrite").parquet(f"{hist}/g{g:06d}")
         population = C.next_generation(scored)
     final = C.score(population).checkpoint(eager=True)
-    history.append(C.best_per_generation(final))
-    out = history[0]
-    for h in history[1:]:
-        out = out.unionByName(h)
-    return SearchResult(history=out, best=C.best_candidate(final), final=final)
+    C.best_per_generation(final).write.mode("overwrite").parquet(f"{hist}/g{generations:06d}")
+    history = spark.read.option("recursiveFileLookup", "true").parquet(hist)
+    return SearchResult(history=history, best=C.best_candidate(final), final=final)
 
 
 def sweep_summary(best: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # CSV blocks of 64 MB, as the reference splits its input
     "spark.sql.files.maxPartitionBytes": "64m",
+    # let the cleaner delete checkpoint files of populations no longer used
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
