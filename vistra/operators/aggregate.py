@@ -22,7 +22,7 @@ def monthly_visits(valid: DataFrame) -> DataFrame:
     )
 
 
-def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+def sort_for_display(df: DataFrame, ordered: bool, *keys) -> DataFrame:
     """Sort for display. Writers pass ``ordered=False``: a global sort of a
     result costs a sampling job and a shuffle, and files keep no order."""
     return df.orderBy(*keys) if ordered else df
@@ -31,7 +31,7 @@ def _ordered(df: DataFrame, ordered: bool, *keys) -> DataFrame:
 def yearly_visits(valid: DataFrame, ordered: bool = True) -> DataFrame:
     """Per year: count of valid visits (the engines' comparison query)."""
     out = valid.groupBy("visit_year").agg(F.count("visit_occurrence_id").alias("visit_count"))
-    return _ordered(out, ordered, "visit_year")
+    return sort_for_display(out, ordered, "visit_year")
 
 
 def yearly_rows(clean: DataFrame, ordered: bool = True) -> DataFrame:
@@ -41,7 +41,7 @@ def yearly_rows(clean: DataFrame, ordered: bool = True) -> DataFrame:
         .groupBy("visit_year")
         .agg(F.count(F.lit(1)).alias("visit_count"))
     )
-    return _ordered(out, ordered, "visit_year")
+    return sort_for_display(out, ordered, "visit_year")
 
 
 def visit_count(valid: DataFrame, name: str = "valid_visits") -> DataFrame:
@@ -90,4 +90,4 @@ def visits_by_gender(
         )
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _ordered(summary, ordered, F.desc("visit_count"), F.asc_nulls_last("gender_source_value"))
+    return sort_for_display(summary, ordered, F.desc("visit_count"), F.asc_nulls_last("gender_source_value"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vistra.operators.aggregate import sort_for_display
+
 
 def ranked_months(monthly: DataFrame) -> DataFrame:
     """Dense rank of months by visit count (desc) inside each year.
@@ -22,4 +24,4 @@ def top_months(monthly: DataFrame, n: int = 3, ordered: bool = True) -> DataFram
     the rank filter as a WindowGroupLimit before and after the shuffle.
     """
     top = ranked_months(monthly).filter(F.col("month_rank") <= n)
-    return top.orderBy("visit_year", "month_rank", "visit_month") if ordered else top
+    return sort_for_display(top, ordered, "visit_year", "month_rank", "visit_month")
