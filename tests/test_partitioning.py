@@ -1,0 +1,24 @@
+"""The parallelism guard adds a shuffle only for inputs with too few splits."""
+
+import pytest
+
+from vistra.functions.draws import uniform_from_hash
+from vistra.plans.partitioning import ensure_parallelism
+
+
+def test_few_splits_are_spread(spark):
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = ensure_parallelism(one, 4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+
+
+def test_enough_splits_are_left_alone(spark):
+    many = spark.range(0, 1000, numPartitions=6)
+    assert ensure_parallelism(many, 4) is many
+
+
+def test_draw_chunk_bounds():
+    # an md5 holds four 32-bit draws; asking for a fifth is an error
+    with pytest.raises(ValueError):
+        uniform_from_hash(None, 4)
