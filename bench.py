@@ -10,7 +10,8 @@ repeated and reported as the median with the order of stages alternated:
                 → yearly (the reference's full Spark stage)
 - charts        the three chart tables from the monthly table
 - yearly_count  Parquet → valid → visits per year (the comparison query)
-- q_*           registered queries straight from the driver tables
+- q_*           registered queries straight from the driver tables, run in full
+                into a no-op sink (every column computed, nothing written)
 - search_*      evolutionary search, one run per supplier row, population 300,
                 BENCH_SEARCH_GENERATIONS (3) generations, once
 - xK_*          yearly count and analysis on K stacked copies of the clean
