@@ -61,7 +61,8 @@ def _fitness(x: str = "x", y: str = "y") -> str:
 
 def step_sql(g: int) -> str:
     """CTEs scored{g}, parents{g}, cross{g}, mut{g}, pop{g+1}."""
-    picks = "(VALUES (1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)) AS d(parent, draw)"
+    # one row per (parent, draw): two lists unnested side by side, no join
+    picks = "unnest([1, 1, 1, 2, 2, 2]) AS parent, unnest([0, 1, 2, 0, 1, 2]) AS draw"
     tour_tag = "'tour_' || parent::VARCHAR"
 
     def blx(gene: str) -> str:
@@ -83,7 +84,7 @@ def step_sql(g: int) -> str:
 drawn{g} AS (
   SELECT run_id, generation, child_slot, {PARAMS}, parent, draw,
          floor({_u(tour_tag, 'child_slot', 'draw')} * pop_size)::INTEGER AS slot
-  FROM (SELECT run_id, generation, slot AS child_slot, {PARAMS} FROM scored{g} WHERE slot >= 1) c, {picks}),
+  FROM (SELECT run_id, generation, slot AS child_slot, {PARAMS}, {picks} FROM scored{g} WHERE slot >= 1)),
 ranked{g} AS (
   SELECT d.*, s.x, s.y, s.fitness,
          row_number() OVER (PARTITION BY d.run_id, d.generation, d.child_slot, d.parent
