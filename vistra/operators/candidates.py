@@ -220,11 +220,14 @@ def mutate(children: DataFrame, bounds: tuple[float, float] = BOUNDS) -> DataFra
 def elite(scored: DataFrame) -> DataFrame:
     """Best candidate per run (lowest slot among equal fitness), one row per run.
 
-    A grouped ``max_by`` — partial aggregation keeps the shuffle at one row
-    per run per input partition.
+    A grouped ``max_by`` keyed by run only (the run's parameters are constant
+    within it and ride along as ``max``) — partial aggregation keeps the
+    shuffle at one row per run per input partition.
     """
     best = F.max_by(F.struct("x", "y"), F.struct(F.col("fitness"), -F.col("slot")))
-    return scored.groupBy("run_id", "generation", *PARAM_COLUMNS).agg(best.alias("b")).select(
+    return scored.groupBy("run_id", "generation").agg(
+        best.alias("b"), *[F.max(c).alias(c) for c in PARAM_COLUMNS]
+    ).select(
         "run_id", "generation", F.col("b.x").alias("x"), F.col("b.y").alias("y"), *PARAM_COLUMNS
     )
 
@@ -252,7 +255,9 @@ def best_per_generation(scored: DataFrame) -> DataFrame:
 def best_candidate(scored: DataFrame) -> DataFrame:
     """Per run: the fittest candidate (lowest slot on ties) and its fitness."""
     best = F.max_by(F.struct("x", "y", "fitness"), F.struct(F.col("fitness"), -F.col("slot")))
-    return scored.groupBy("run_id", *PARAM_COLUMNS).agg(best.alias("b")).select(
+    return scored.groupBy("run_id").agg(
+        best.alias("b"), *[F.max(c).alias(c) for c in PARAM_COLUMNS]
+    ).select(
         "run_id", *PARAM_COLUMNS,
         F.col("b.x").alias("best_x"), F.col("b.y").alias("best_y"), F.col("b.fitness").alias("best_fitness"),
     )
