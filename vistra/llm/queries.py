@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from vistra.llm.chat import op10_chat_format
+from vistra.llm.jaccard import op7_jaccard_join
 from vistra.llm.packing import op3_histogram_packing
+from vistra.llm.pii import op1_bootstrapped_pii
+from vistra.llm.quality import op8_quality_rules
 from vistra.llm.token_counts import op9_token_counts
 from vistra.llm.token_files import op2_elias_fano_token_files
 
 QUERIES = {
+    "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_elias_fano_token_files": op2_elias_fano_token_files,
     "op3_histogram_packing": op3_histogram_packing,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_chat_format": op10_chat_format,
 }
