@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from vistra.llm.chat import op10_chat_format
+from vistra.llm.decontamination import op4_decontamination
 from vistra.llm.jaccard import op7_jaccard_join
+from vistra.llm.language import op6_language_id
 from vistra.llm.packing import op3_histogram_packing
 from vistra.llm.pii import op1_bootstrapped_pii
 from vistra.llm.quality import op8_quality_rules
@@ -14,6 +16,8 @@ QUERIES = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_elias_fano_token_files": op2_elias_fano_token_files,
     "op3_histogram_packing": op3_histogram_packing,
+    "op4_decontamination": op4_decontamination,
+    "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
