@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from vistra.llm.chat import op10_chat_format
 from vistra.llm.decontamination import op4_decontamination
+from vistra.llm.html_text import op5_html_text
 from vistra.llm.jaccard import op7_jaccard_join
 from vistra.llm.language import op6_language_id
 from vistra.llm.packing import op3_histogram_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_elias_fano_token_files": op2_elias_fano_token_files,
     "op3_histogram_packing": op3_histogram_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
