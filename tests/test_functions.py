@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from vistra.functions import (
@@ -13,25 +15,43 @@ from vistra.functions import (
     period_label,
     truncate_to_millis,
 )
-from vistra.functions.draws import objective, uniform
+from vistra.functions.draws import objective, uniform, uniform_from_hash
 
 
 def one(spark, expr_col, data, schema):
     return [r[0] for r in spark.createDataFrame(data, schema).select(expr_col).collect()]
 
 
-def test_parse_timestamp_fixed_formats(spark):
-    vals = one(
-        spark,
-        parse_timestamp("s"),
-        [("2010-03-01 10:00:00",), ("2010",), ("not-a-date",), ("2010-02-30 00:00:00",),
-         ("2010-03-01T10:00:00.5",), ("2010-03-01",), (None,)],
-        "s string",
-    )
-    assert vals == [
-        dt.datetime(2010, 3, 1, 10), None, None, None,
-        dt.datetime(2010, 3, 1, 10, 0, 0, 500000), dt.datetime(2010, 3, 1), None,
-    ]
+FORMS = [
+    ("2010-03-01 10:00:00", dt.datetime(2010, 3, 1, 10)),
+    ("2010-03-01T10:00:00.5", dt.datetime(2010, 3, 1, 10, 0, 0, 500000)),
+    ("2010-03-01", dt.datetime(2010, 3, 1)),
+    (" 2010-03-01 10:00\t", dt.datetime(2010, 3, 1, 10)),
+    ("2010-3-1 9:05:07", dt.datetime(2010, 3, 1, 9, 5, 7)),
+    ("20100301", dt.datetime(2010, 3, 1)),
+    ("20100301 10:00:01", dt.datetime(2010, 3, 1, 10, 0, 1)),
+    ("03/01/2010", dt.datetime(2010, 3, 1)),  # month first
+    ("3/1/2010 23:59", dt.datetime(2010, 3, 1, 23, 59)),
+    ("2010-03-01 10:00:00.123456789", dt.datetime(2010, 3, 1, 10, 0, 0, 123456)),
+    ("2010-03-01T10:00:00Z", dt.datetime(2010, 3, 1, 10)),
+    ("2010-03-01T10:00:00.25+05:30", dt.datetime(2010, 3, 1, 4, 30, 0, 250000)),
+    ("2010-03-01 22:00-0230", dt.datetime(2010, 3, 2, 0, 30)),
+    ("2010-03-14 02:30:00", dt.datetime(2010, 3, 14, 2, 30)),  # in a gap of some zones
+    ("2010", None), ("not-a-date", None), ("2010-02-30 00:00:00", None), ("13/05/2010", None),
+    ("2010-03-01 25:00:00", None), ("2010-03-01 10:00:00 x", None), ("", None), (None, None),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_parse_timestamp_forms(spark, zone):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, zone)
+        got = one(spark, parse_timestamp("s"), [(t,) for t, _ in FORMS], "s string")
+    finally:
+        spark.conf.set(key, before)
+    assert got == [v for _, v in FORMS]
 
 
 def test_duration_fixture(spark):
@@ -81,6 +101,12 @@ def test_objective_optimum(spark):
     assert one(spark, objective("x", "y"), [(0.0, 0.0)], "x double, y double") == [40.0]
 
 
+def test_draw_chunk_bounds():
+    # an md5 holds four 32-bit draws; asking for a fifth is an error
+    with pytest.raises(ValueError):
+        uniform_from_hash(None, 4)
+
+
 def test_draw_matches_sql_form(spark):
     got = spark.range(1).select(F.conv(F.substring(F.md5(F.lit("a|1")), 1, 8), 16, 10)).first()[0]
     assert got == "225584429"

@@ -5,9 +5,10 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
 from tests.conftest import SF001
 from vistra.operators import aggregate, clean
+from vistra.operators import candidates as C
+from vistra.operators.join import visits_person_left
 from vistra.plans import queries as Q
 from vistra.sources.parquet import read_parquet, write_parquet
 
@@ -21,9 +22,9 @@ def plan_text(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    skip = {"run_metrics", "shuffle_invariance", "csv_ingest", "na_tokens", "input_manifest",
+    skip = {"run_metrics", "shuffle_invariance", "csv_ingest", "csv_ingest_utf16", "malformed_rows", "na_tokens", "input_manifest",
             "detect_encoding", "parquet_round_trip", "cand_history", "cand_sweep"}
-    return {name: plan_text(fn(spark, SF001)) for name, fn in E.queries().items() if name not in skip}
+    return {name: plan_text(fn(spark, SF001)) for name, fn in Q.QUERIES.items() if name not in skip}
 
 
 def test_no_cartesian_or_nested_loop_joins(plans):
@@ -42,24 +43,44 @@ def test_rank_filter_is_a_group_limit(plans):
     assert "WindowGroupLimit" in plans["top_months"]
 
 
-def test_gender_plan_follows_dimension_size(spark, plans):
-    # small person dimension (proven by the probe): broadcast, visits never shuffled by person
-    text = plans["visits_by_gender"]
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert "Keys [1]: [person_id" not in text
-    # no broadcast allowed: counts per person are taken below the join
+def test_gender_counts_per_person_below_the_join(plans):
+    assert "Keys [1]: [person_id" in plans["visits_by_gender"]
+
+
+class _Jobs:
+    """Counts the Spark jobs that start in this thread's group while a plan is built."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def of(self, build):
+        sc = self.spark.sparkContext
+        sc.setJobGroup("building", "no job may run")
+        try:
+            build()
+            return list(sc.statusTracker().getJobIdsForGroup("building"))
+        finally:
+            sc.setJobGroup("default", "")
+
+
+@pytest.mark.parametrize("name", ["visits_by_gender", "visits_person_left"])
+def test_no_job_runs_while_a_join_is_built(spark, name):
     valid, person = Q.valid_of(spark, SF001), Q.person_of(spark, SF001)
-    eager = plan_text(aggregate.visits_by_gender(valid, person, max_bytes=0))
-    assert "Keys [1]: [person_id" in eager
+    build = {"visits_by_gender": aggregate.visits_by_gender, "visits_person_left": visits_person_left}[name]
+    assert _Jobs(spark).of(lambda: build(valid, person)) == []
+
 
+def test_search_never_broadcasts_a_population(spark, tmp_dir):
+    runs = Q.search_runs(spark, SF001, pop_size=1_000_000)
+    assert "BroadcastExchange" not in plan_text(C.tournament(C.score(C.init_population(runs))))
+    # a stored population keeps its planner's estimate: the same must hold after a checkpoint
+    small = C.score(C.init_population(Q.search_runs(spark, SF001, pop_size=50))).checkpoint(eager=True)
+    assert "BroadcastExchange" not in plan_text(C.tournament(small))
 
-def test_dimension_probe_bounds(spark):
-    from vistra.operators.join import dimension_fits
 
-    person = Q.person_of(spark, SF001)
-    assert dimension_fits(person, 10 * 1024 * 1024)
-    assert not dimension_fits(person, 1000)
-    assert not dimension_fits(person, 0)
+def test_elite_is_a_hash_aggregate(spark):
+    text = plan_text(C.elite(C.score(C.init_population(Q.search_runs(spark, SF001)))))
+    assert "SortAggregate" not in text
 
 
 def test_parquet_scan_prunes_and_pushes(spark, tmp_dir):

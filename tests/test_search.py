@@ -71,6 +71,13 @@ def test_tournament_picks_fittest_draw(spark):
     assert all(r.p1_x == r.e for r in rows)
 
 
+def test_tournament_of_more_draws_than_one_hash_holds(spark):
+    scored = C.init_population(small_runs(spark, pop=8)).withColumn("x", F.col("slot").cast("double")).withColumn("fitness", F.col("x"))
+    five, seven = (C.tournament(scored, k=k).agg(F.sum("p1_x")).first()[0] for k in (5, 7))
+    assert C.tournament(scored, k=7).count() == 6 * 7
+    assert seven >= five  # the first five draws are the same
+
+
 def test_sweep_from_table(spark):
     keys = Q_supplier = spark.read.parquet(f"{SF001}/supplier.parquet")
     runs = C.runs_for_configs(Q_supplier, "s_suppkey", [

@@ -58,6 +58,80 @@ def test_visit_csv_headed_and_headerless_stack_by_name(spark, tmp_dir):
     assert got == [(1, "OP"), (2, "UNKNOWN"), (3, "OP")]
 
 
+def _write(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+NEEDED = "visit_occurrence_id,person_id,visit_concept_id,visit_start_datetime,visit_end_datetime,visit_type_concept_id,provider_id,care_site_id,visit_source_value"
+
+
+def test_headed_columns_go_by_name(spark, tmp_dir):
+    d = _local(tmp_dir)
+    names = NEEDED.split(",")
+    turned = ["extra", *reversed(names)]
+    values = dict(zip(names, ["1", "2", "3", "2010-01-01", "2010-01-02", "4", "5", "6", "OP"]), extra="e,e")
+    _write(f"{d}/turned/a.csv", [",".join(turned), ",".join(f'"{values[c]}"' for c in turned)])
+    r = clean.clean_visits(read_visits_csv(spark, [VisitFile(f"{d}/turned", True)])).first()
+    assert (r.visit_occurrence_id, r.person_id, r.provider_id, r.visit_source_value, r.visit_duration_days) == (1, 2, 5, "OP", 1.0)
+
+
+def test_a_header_that_differs_or_lacks_a_column_raises(spark, tmp_dir):
+    from vistra.sources.csv import MissingColumnsError
+
+    d = _local(tmp_dir)
+    _write(f"{d}/lacks/a.csv", [NEEDED.replace("person_id,", ""), "1,3,2010-01-01,2010-01-02,4,5,6,OP"])
+    with pytest.raises(MissingColumnsError):
+        read_visits_csv(spark, [VisitFile(f"{d}/lacks", True)])
+    row = "1,2,3,2010-01-01,2010-01-02,4,5,6,OP"
+    _write(f"{d}/two/a.csv", [NEEDED, row])
+    _write(f"{d}/two/b.csv", [",".join(reversed(NEEDED.split(","))), row])
+    with pytest.raises(Exception, match="CSV header"):
+        clean.clean_visits(read_visits_csv(spark, [VisitFile(f"{d}/two", True)])).collect()
+
+
+def test_quotes_are_doubled_and_backslash_is_text(spark, tmp_dir):
+    from vistra.sources.csv import malformed_rows
+
+    d = _local(tmp_dir)
+    values = ['"say ""hi"", ok"', '"C:\\"', '"a\\""b"', "plain"]
+    _write(f"{d}/quotes/a.csv", [NEEDED, *(f"{i},2,3,2010-01-01,2010-01-02,4,5,6,{v}" for i, v in enumerate(values))])
+    files = [VisitFile(f"{d}/quotes", True)]
+    rows = clean.clean_visits(read_visits_csv(spark, files)).orderBy("visit_occurrence_id").collect()
+    assert [r.visit_source_value for r in rows] == ['say "hi", ok', "C:\\", 'a\\"b', "plain"]
+    assert tuple(malformed_rows(spark, files).first()) == (0, 4)
+    _write(f"{d}/broken/a.csv", [NEEDED, "1,2,3", "1,2,3,2010-01-01,2010-01-02,4,5,6,OP,more", "1,2,3,2010-01-01,2010-01-02,4,5,6,OP"])
+    assert tuple(malformed_rows(spark, [VisitFile(f"{d}/broken", True)]).first()) == (2, 3)
+
+
+def test_clean_schema(spark):
+    from vistra.schema import CLEAN_VISIT_SCHEMA, RAW_VISIT_SCHEMA
+
+    out = clean.clean_visits(spark.createDataFrame([], RAW_VISIT_SCHEMA)).schema
+    assert [(f.name, f.dataType) for f in out] == [(f.name, f.dataType) for f in CLEAN_VISIT_SCHEMA]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from vistra.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_manifest_and_missing_input(spark, tmp_dir):
     write_csv(spark.createDataFrame([("1",)], "a string"), f"{tmp_dir}/person.csv")
     m = input_manifest(spark, tmp_dir, ["person.csv", "visit_occurrence_0.csv"])
@@ -125,8 +199,10 @@ def test_utf16_visit_file_is_spread_before_cleaning(spark, tmp_dir):
         lines.append(",".join(row[c] for c in VISIT_COLUMNS))
     with open(f"{d}/v16/visits.csv", "wb") as f:
         f.write(("\r\n".join(lines) + "\r\n").encode("utf-16"))
-    raw = read_visits_csv(spark, [VisitFile(f"{d}/v16", True)])
-    assert raw.rdd.getNumPartitions() >= 2  # one file, yet not one task
+    raw = read_visits_csv(spark, [VisitFile(f"{d}/v16", True)], spread=3)
+    assert raw.rdd.getNumPartitions() == 3  # one file, yet not one task
+    stated = read_visits_csv(spark, [VisitFile(f"{d}/v16", True, "UTF-16")])
+    assert stated.count() == 200
     got = clean.clean_visits(raw)
     assert got.count() == 200 and got.agg({"visit_duration_days": "max"}).first()[0] == 1.0
 

@@ -8,11 +8,10 @@ the given Parquet tables, so their size grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.functions.dates import timestamp_to_text
-from vistra.plans.partitioning import ensure_parallelism
+from vistra.functions.dates import microsecond_of
 from vistra.schema import PERSON_COLUMNS, VISIT_COLUMNS
 
 TABLES = (
@@ -29,24 +28,54 @@ def _text(c) -> F.Column:
     return c.cast("string")
 
 
+def with_time_of_day(date: Column, key: Column) -> Column:
+    """Midnight of a date → a second and microsecond of that day that follow from a key."""
+    seconds = F.timestamp_add("SECOND", F.pmod(key * 7919, F.lit(86400)), date)
+    return F.timestamp_add("MICROSECOND", F.pmod(key * 104729, F.lit(1_000_000)), seconds)
+
+
+# The text forms that the parser takes: year, month, day, hour, minute, second, microsecond.
+TIME_FORMS = [
+    "%1$04d-%2$02d-%3$02d %4$02d:%5$02d:%6$02d.%7$06d",
+    "%1$04d-%2$02d-%3$02dT%4$02d:%5$02d:%6$02d.%7$06d",
+    "  %1$04d-%2$02d-%3$02d %4$02d:%5$02d:%6$02d ",
+    "%1$04d-%2$02d-%3$02d %4$02d:%5$02d",
+    "%1$04d-%2$d-%3$d %4$d:%5$02d:%6$02d",
+    "%1$04d%2$02d%3$02d %4$02d:%5$02d:%6$02d",
+    "%2$d/%3$d/%1$04d %4$02d:%5$02d:%6$02d",
+    "%1$04d-%2$02d-%3$02dT%4$02d:%5$02d:%6$02d.%7$06d789Z",
+    "%1$04d-%2$02d-%3$02d %4$02d:%5$02d:%6$02d+02:00",
+]
+
+
+def written_times(ts: str, key: str) -> Column:
+    """A timestamp column as text, in one of the forms above by ``key``."""
+    t = F.col(ts)
+    form = F.element_at(F.array(*[F.lit(f) for f in TIME_FORMS]), (F.pmod(F.col(key), F.lit(len(TIME_FORMS))) + 1).cast("int"))
+    parts = [F.year(t), F.month(t), F.day(t), F.hour(t), F.minute(t), F.second(t), microsecond_of(t)]
+    return F.call_function("format_string", form, *parts)
+
+
 def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> DataFrame:
     """One text row per lineitem, shaped like the 17-column visit CSV.
 
-    Injected defects (by key rule): missing person (orderkey % 97 = 0), bad
+    Times of day, down to the microsecond, and the text form of a time follow
+    from keys. Injected defects (by key rule): missing person (orderkey % 97 = 0), bad
     start text (orderkey % 89 = 0), missing provider (suppkey % 10 = 0),
     missing care site (suppkey % 7 = 0), missing source value (N/O lines).
     ``missing_end`` also blanks the end time of line number 7.
     """
-    li = ensure_parallelism(
-        load_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            "l_returnflag", "l_linestatus", "l_shipdate",
-        )
-    )
-    orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # each time is written on its own side of the join
+    li = load_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
+        with_time_of_day(F.col("l_shipdate"), F.col("l_partkey")).alias("end"),
+    ).withColumn("end_text", written_times("end", "l_partkey"))
+    orders = load_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", with_time_of_day(F.col("o_orderdate"), F.col("o_orderkey")).alias("start")
+    ).withColumn("start_text", written_times("start", "o_orderkey"))
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey)
 
-    end_text = timestamp_to_text(F.col("l_shipdate"))
+    end_text = F.col("end_text")
     if missing_end:
         end_text = F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(end_text)
 
@@ -57,7 +86,7 @@ def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> D
         ),
         "visit_concept_id": _text(F.col("l_partkey")),
         "visit_start_datetime": F.when(F.col("o_orderkey") % 89 == 0, F.lit("not-a-date")).otherwise(
-            timestamp_to_text(F.col("o_orderdate"))
+            F.col("start_text")
         ),
         "visit_end_datetime": end_text,
         "visit_type_concept_id": _text(F.col("l_linenumber")),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vistra.schema import TIMESTAMP_PATTERN
+from vistra.schema import TIMESTAMP_FORMS, TIMESTAMP_PATTERN
 
 EPOCH_NTZ_TEXT = "1970-01-01 00:00:00"
 MICROS_PER_DAY = 86400.0
@@ -21,14 +21,39 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def dashed_date(text: Column | str) -> Column:
+    """Text without blanks around it; a leading ``YYYYMMDD`` or ``MM/DD/YYYY`` becomes ``YYYY-MM-DD``, an offset ``+HHMM`` ``+HH:MM``, and ``H:MM`` before a zone ``H:MM:00``."""
+    t = F.btrim(_col(text), F.lit(" \t\r\n"))
+    other = F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})(?=$|[ T])", "$1-$2-$3")
+    other = F.regexp_replace(other, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|[ T])", "$3-$1-$2")
+    # Spark's cast wants seconds before a zone, and a colon in an offset
+    other = F.regexp_replace(other, r"([ T]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})$", "$1:00$2")
+    other = F.regexp_replace(other, r"(:\d{2}(?:\.\d+)?[+-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(t.rlike(TIMESTAMP_PATTERN), t).otherwise(other)
+
+
+def parse_dashed(text: Column | str) -> Column:
+    """``dashed_date`` text → TIMESTAMP_NTZ, NULL where it has none of the forms."""
+    t = _col(text)
+    # text with a zone names an instant; its UTC wall time follows from the epoch, whatever the session's zone
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(t.try_cast("timestamp")), F.lit(EPOCH_NTZ_TEXT).cast("timestamp_ntz"))
+    return F.when(t.rlike(TIMESTAMP_FORMS), F.when(t.rlike(r"Z$|[+-]\d{2}:\d{2}$"), utc).otherwise(t.try_cast("timestamp_ntz")))
+
+
 def parse_timestamp(text: Column | str) -> Column:
     """Text → TIMESTAMP_NTZ; text that is not a valid date-time → NULL.
 
-    Mirrors a coercing parser (bad values become missing) but with a fixed
-    format list, so ``'2010'`` or ``'not-a-date'`` are both NULL.
+    Mirrors a coercing parser (bad values become missing) with a fixed list of
+    forms: ``YYYY-MM-DD`` (one-digit parts too), ``YYYYMMDD`` or ``MM/DD/YYYY``
+    (month first), alone or followed by a blank or ``T`` and ``H:MM``,
+    ``H:MM:SS`` or ``H:MM:SS.f`` with up to nine digits, cut to microseconds. A
+    time may end in ``Z`` or an offset; its value is then the UTC wall time.
+    ``'2010'`` and ``'not-a-date'`` are NULL.
+
+    Over many rows, take the two steps in two projections, so that the first
+    one's result is not computed anew at each of its uses.
     """
-    t = _col(text)
-    return F.when(t.rlike(TIMESTAMP_PATTERN), t.try_cast("timestamp_ntz"))
+    return parse_dashed(dashed_date(text))
 
 
 def duration_days(start: Column | str, end: Column | str) -> Column:
@@ -55,6 +80,12 @@ def timestamp_to_text(ts: Column | str) -> Column:
     return F.substring(_col(ts).cast("string"), 1, 19)
 
 
+def microsecond_of(ts: Column | str) -> Column:
+    """The microseconds (0..999999) of a TIMESTAMP_NTZ's second."""
+    epoch = F.lit(EPOCH_NTZ_TEXT).cast("timestamp_ntz")
+    return F.pmod(F.timestamp_diff("MICROSECOND", epoch, _col(ts)), F.lit(1_000_000))
+
+
 def period_label(year: Column | str, month: Column | str) -> Column:
     """``YYYY-MM`` label: year as text, month zero-padded to two digits."""
     return F.concat(

@@ -2,8 +2,7 @@
 
 The aggregates group on low-cardinality keys (year, month, gender), so
 Spark's partial (map-side) aggregation shrinks each input partition to a few
-hundred rows before the shuffle; a hot key costs nothing extra. The gender
-summary chooses its join plan from a checked dimension size.
+hundred rows before the shuffle; a hot key costs nothing extra.
 """
 
 from __future__ import annotations
@@ -11,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistra.operators.join import dimension_fits, join_dimension
-
 
 def monthly_visits(valid: DataFrame) -> DataFrame:
     """Per (year, month): visit count and mean duration in days."""
@@ -49,45 +46,18 @@ def visit_count(valid: DataFrame, name: str = "valid_visits") -> DataFrame:
     return valid.agg(F.count(F.lit(1)).alias(name))
 
 
-def visits_by_gender(
-    valid: DataFrame,
-    person: DataFrame,
-    strategy: str = "auto",
-    max_bytes: int | None = None,
-    ordered: bool = True,
-) -> DataFrame:
+def visits_by_gender(valid: DataFrame, person: DataFrame, ordered: bool = True) -> DataFrame:
     """Visit count per gender over visits LEFT JOIN person; NULL gender is a group.
 
-    ``direct``: join every visit to the (person_id, gender) dimension, then
-    count per gender. With the dimension broadcast, each map task reduces its
-    visits to a handful of gender rows before any shuffle, so visits are
-    never shuffled.
-    ``eager``: count visits per person first, join, then sum per gender. The
-    per-person counts are shuffled, but a person holding a third of all
-    visits is one row per map task; this is the plan when the dimension is
-    too large to broadcast.
-    ``auto`` (default) picks ``direct`` when a bounded probe proves the
-    dimension fits the broadcast limit, else ``eager``. Both give the same
-    answer (count distributes over the left join, duplicated ids included).
+    Visits are counted per person before the join, so a person holding a third
+    of all visits is one row per map task, and counts are summed per gender
+    after it. The answer is that of joining first: a count distributes over
+    the left join, duplicated person ids included.
     """
-    dim = person.select("person_id", "gender_source_value")
-    if strategy == "auto":
-        strategy = "direct" if dimension_fits(dim, max_bytes) else "eager"
-    if strategy == "eager":
-        per_person = valid.groupBy("person_id").agg(
-            F.count("visit_occurrence_id").alias("n_visits")
-        )
-        summary = (
-            per_person.join(dim, "person_id", "left")
-            .groupBy("gender_source_value")
-            .agg(F.sum("n_visits").cast("bigint").alias("visit_count"))
-        )
-    elif strategy == "direct":
-        summary = (
-            join_dimension(valid.select("person_id", "visit_occurrence_id"), dim, "person_id", "left", max_bytes)
-            .groupBy("gender_source_value")
-            .agg(F.count("visit_occurrence_id").alias("visit_count"))
-        )
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+    per_person = valid.groupBy("person_id").agg(F.count("visit_occurrence_id").alias("n_visits"))
+    summary = (
+        per_person.join(person.select("person_id", "gender_source_value"), "person_id", "left")
+        .groupBy("gender_source_value")
+        .agg(F.sum("n_visits").cast("bigint").alias("visit_count"))
+    )
     return sort_for_display(summary, ordered, F.desc("visit_count"), F.asc_nulls_last("gender_source_value"))

@@ -128,27 +128,27 @@ def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
     """Two parents per child slot 1..pop_size-1, each the fittest of ``k``
     slots drawn with replacement (earliest draw wins a tie).
 
-    Each child row gets its 2·k drawn slots (two md5s), is exploded to one row
-    per draw, equi-joined to the population on (run, generation, slot), and
+    Each child row gets its 2·k drawn slots (one md5 per parent and four
+    draws), is exploded to one row per draw, equi-joined to the population on (run, generation, slot), and
     folded back to one row per child by a hash aggregate whose buffers are
     the drawn candidates' values; the winner is then picked by a column
     expression. Output: ``(run_id, generation, child_slot, p1_x, p1_y, p2_x,
     p2_y)`` plus the run parameters.
     """
-    if not 1 <= k <= 4:
-        raise ValueError("k must be between 1 and 4")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     key = [F.col("seed"), F.col("run_id"), F.col("generation"), F.col("child_slot")]
     children = scored.filter(F.col("slot") >= 1).select(
         "run_id", "generation", F.col("slot").alias("child_slot"), *PARAM_COLUMNS
     ).select(
-        "*", *[draw_hash(*key, f"tour_{p}").alias(f"__h{p}") for p in (1, 2)]  # one md5 per parent
+        "*", *[draw_hash(*key, f"tour_{p}" + (f"_{c}" if c else "")).alias(f"__h{p}_{c}") for p in (1, 2) for c in range(-(-k // 4))]
     )
     picks = F.array(
         *[
             F.struct(
                 F.lit(p).alias("parent"),
                 F.lit(j).alias("draw"),
-                F.floor(uniform_from_hash(F.col(f"__h{p}"), j) * F.col("pop_size")).cast("int").alias("slot"),
+                F.floor(uniform_from_hash(F.col(f"__h{p}_{j // 4}"), j % 4) * F.col("pop_size")).cast("int").alias("slot"),
             )
             for p in (1, 2)
             for j in range(k)
@@ -157,7 +157,9 @@ def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
     draws = children.select(
         "run_id", "generation", "child_slot", *PARAM_COLUMNS, F.inline(picks)
     )
-    pool = scored.select("run_id", "generation", "slot", "x", "y", "fitness")
+    # never broadcast: the planner's size estimate does not see that a run's
+    # row became a whole population, so it would take any pool for a small one
+    pool = scored.select("run_id", "generation", "slot", "x", "y", "fitness").hint("merge")
     joined = draws.join(pool, ["run_id", "generation", "slot"])
 
     def value(p: int, j: int, c: str) -> F.Column:
@@ -217,21 +219,26 @@ def mutate(children: DataFrame, bounds: tuple[float, float] = BOUNDS) -> DataFra
     return children.select("run_id", "generation", "child_slot", gene("x"), gene("y"), *PARAM_COLUMNS)
 
 
-def elite(scored: DataFrame) -> DataFrame:
-    """Best candidate per run (lowest slot among equal fitness), one row per run.
+def _fittest(scored: DataFrame) -> DataFrame:
+    """The fittest candidate of each run and generation (lowest slot among equals), with its fitness.
 
-    A grouped ``max_by`` keyed by run only (the run's parameters are constant
-    within it and ride along as ``max``) — partial aggregation keeps the
-    shuffle at one row per run per input partition.
+    First the best fitness, then the lowest slot among the rows that have it:
+    both are hash aggregates over plain numbers, so the population is not
+    sorted. The best-fitness side is one row per run; Spark joins it by its size.
     """
-    best = F.max_by(F.struct("x", "y"), F.struct(F.col("fitness"), -F.col("slot")))
-    return scored.groupBy("run_id", "generation").agg(
-        best.alias("b"), *[F.max(c).alias(c) for c in PARAM_COLUMNS]
-    ).select(
-        "run_id", "generation", F.col("b.x").alias("x"), F.col("b.y").alias("y"), *PARAM_COLUMNS
+    top = scored.groupBy("run_id", "generation").agg(F.max("fitness").alias("fitness"))
+    tied = scored.join(top, ["run_id", "generation", "fitness"])
+    return tied.groupBy("run_id", "generation").agg(
+        F.min_by("x", "slot").alias("x"), F.min_by("y", "slot").alias("y"), F.max("fitness").alias("fitness"),
+        *[F.max(c).alias(c) for c in PARAM_COLUMNS],  # constant within a run
     )
 
 
+def elite(scored: DataFrame) -> DataFrame:
+    """Best candidate per run (lowest slot among equal fitness), one row per run."""
+    return _fittest(scored).select("run_id", "generation", "x", "y", *PARAM_COLUMNS)
+
+
 def next_generation(scored: DataFrame) -> DataFrame:
     """Elite in slot 0, bred children in slots 1..pop_size-1, generation + 1."""
     kept = elite(scored).select(
@@ -254,10 +261,7 @@ def best_per_generation(scored: DataFrame) -> DataFrame:
 
 def best_candidate(scored: DataFrame) -> DataFrame:
     """Per run: the fittest candidate (lowest slot on ties) and its fitness."""
-    best = F.max_by(F.struct("x", "y", "fitness"), F.struct(F.col("fitness"), -F.col("slot")))
-    return scored.groupBy("run_id").agg(
-        best.alias("b"), *[F.max(c).alias(c) for c in PARAM_COLUMNS]
-    ).select(
+    return _fittest(scored).select(
         "run_id", *PARAM_COLUMNS,
-        F.col("b.x").alias("best_x"), F.col("b.y").alias("best_y"), F.col("b.fitness").alias("best_fitness"),
+        F.col("x").alias("best_x"), F.col("y").alias("best_y"), F.col("fitness").alias("best_fitness"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vistra.functions.dates import clip_at_zero, duration_days, parse_timestamp, truncate_to_millis
+from vistra.functions.dates import clip_at_zero, dashed_date, duration_days, parse_dashed, truncate_to_millis
 from vistra.functions.numbers import parse_long, parse_person_id
 from vistra.schema import (
     CLEAN_COLUMNS,
@@ -21,10 +21,8 @@ REQUIRED = ["visit_occurrence_id", "person_id", "visit_start_datetime"]
 
 
 def _timestamp(df: DataFrame, name: str) -> F.Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.StringType):
-        return parse_timestamp(F.col(name))
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+    """A time column that is not text."""
+    if isinstance(df.schema[name].dataType, (T.TimestampNTZType, T.DateType)):
         return F.col(name).cast("timestamp_ntz")
     return F.col(name).cast("string").try_cast("timestamp_ntz")
 
@@ -48,7 +46,7 @@ def clean_visits(raw: DataFrame) -> DataFrame:
     """Raw visit rows → the 12-column clean visits table.
 
     Steps (all column expressions, so Catalyst prunes the unused raw columns
-    and the whole step compiles into one codegen stage):
+    and all of it runs in one stage):
     parse ids and times (bad → NULL); drop rows missing visit id, person id
     or start; fill provider/care site with -1 and source value with UNKNOWN;
     derive year, month and duration in days (computed at full precision,
@@ -56,10 +54,14 @@ def clean_visits(raw: DataFrame) -> DataFrame:
     precision on the stored times.
     """
     types = {f.name: f.dataType for f in raw.schema.fields}
+    texts = [c for c in ("visit_start_datetime", "visit_end_datetime") if isinstance(types[c], T.StringType)]
+    raw = raw.withColumns({c: dashed_date(c) for c in texts})  # a projection of its own: see parse_timestamp
     parsed = raw.select(
         *[parse_long(F.col(c), types[c]).alias(c) for c in VISIT_ID_COLUMNS],
-        _timestamp(raw, "visit_start_datetime").alias("visit_start_datetime"),
-        _timestamp(raw, "visit_end_datetime").alias("visit_end_datetime"),
+        *[
+            (parse_dashed(c) if c in texts else _timestamp(raw, c)).alias(c)
+            for c in ("visit_start_datetime", "visit_end_datetime")
+        ],
         F.col("visit_source_value").cast("string").alias("visit_source_value"),
     ).dropna(subset=REQUIRED)
 

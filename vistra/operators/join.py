@@ -1,76 +1,17 @@
-"""Visit ⋈ person, with a checked broadcast.
+"""Visit ⋈ person.
 
-A dimension is broadcast only after a bounded probe proves its size: the
-probe takes at most ``max_rows + 1`` rows of the dimension with ``head``
-(which scans partitions incrementally and stops once it has enough), each
-reduced to one integer — its string bytes plus a fixed per-row overhead.
-Beyond the bound the join is a sort-merge join with no hint; AQE may still
-switch it to a broadcast once it has measured the real shuffle size, and its
-skew-join handling splits the partition of a hot person id on the visit side
-(allowed for the left side of a LEFT OUTER join).
+A plain equi-join: no hint and no look at the data while the query is built.
+Spark's statistics and, at run time, the measured shuffle sizes decide between
+a broadcast and a sort-merge join; in the latter AQE's skew handling splits the
+partition of a hot person id on the visit side (allowed for the left side of a
+LEFT OUTER join).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Per-row allowance for the key, row header and hash-table entry of a
-# broadcast relation, on top of the row's string bytes.
-ROW_OVERHEAD_BYTES = 48
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
-
-def broadcast_limit(spark) -> int:
-    """Bytes allowed for a broadcast side: the session's broadcast threshold."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
-    try:
-        value = int(str(raw).strip().lower().rstrip("b"))
-    except ValueError:
-        value = _parse_bytes(str(raw))
-    return max(value, 0)
-
-
-def _parse_bytes(text: str) -> int:
-    units = {"k": 1024, "m": 1024**2, "g": 1024**3, "t": 1024**4}
-    t = text.strip().lower().rstrip("b")
-    if t and t[-1] in units:
-        return int(float(t[:-1]) * units[t[-1]])
-    return int(float(t))
-
-
-def dimension_fits(dim: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when ``dim`` provably takes at most ``max_bytes`` in a broadcast.
-
-    Brings back at most ``max_bytes // ROW_OVERHEAD_BYTES + 1`` integers
-    (about 200 k for the default 10 MB), so the probe is bounded by the
-    broadcast limit itself.
-    """
-    limit = broadcast_limit(dim.sparkSession) if max_bytes is None else max_bytes
-    if limit <= 0:
-        return False
-    max_rows = limit // ROW_OVERHEAD_BYTES
-    strings = [
-        F.coalesce(F.length(F.col(f"`{f.name}`")), F.lit(0))
-        for f in dim.schema.fields
-        if isinstance(f.dataType, T.StringType)
-    ]
-    width = F.lit(ROW_OVERHEAD_BYTES)
-    for s in strings:
-        width = width + s
-    widths = dim.select(width.alias("w")).head(max_rows + 1)
-    return len(widths) <= max_rows and sum(r["w"] for r in widths) <= limit
-
-
-def join_dimension(
-    fact: DataFrame, dim: DataFrame, on: str, how: str = "left", max_bytes: int | None = None
-) -> DataFrame:
-    """``fact`` ⋈ ``dim``: broadcast ``dim`` when its size is proven small."""
-    side = F.broadcast(dim) if dimension_fits(dim, max_bytes) else dim
-    return fact.join(side, on=on, how=how)
-
-
-def visits_person_left(valid: DataFrame, person: DataFrame, max_bytes: int | None = None) -> DataFrame:
+def visits_person_left(valid: DataFrame, person: DataFrame) -> DataFrame:
     """Every visit kept; unknown person → NULL attributes."""
-    return join_dimension(valid, person, "person_id", "left", max_bytes)
+    return valid.join(person, on="person_id", how="left")

@@ -7,13 +7,27 @@ query in plain SQL.
 
 from __future__ import annotations
 
-from vistra.schema import TIMESTAMP_PATTERN, VISIT_COLUMNS
+from vistra.schema import VISIT_COLUMNS
 
 AVG_DIGITS = 6
 
 
+def _timed(date: str, key: str) -> str:
+    """A date with the time of day that the fixture derives from a key."""
+    return f"({date} + to_seconds(({key} * 7919) % 86400) + to_microseconds(({key} * 104729) % 1000000))"
+
+
+def _written(ts: str, key: str) -> str:
+    forms = [
+        "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S.%f", "  %Y-%m-%d %H:%M:%S ", "%Y-%m-%d %H:%M", "%Y-%-m-%-d %-H:%M:%S",
+        "%Y%m%d %H:%M:%S", "%-m/%-d/%Y %H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f789Z", "%Y-%m-%d %H:%M:%S+02:00",
+    ]
+    cases = " ".join(f"WHEN {i} THEN strftime({ts}, '{f}')" for i, f in enumerate(forms))
+    return f"CASE {key} % 9 {cases} END"
+
+
 def _visits_raw(missing_end: bool = False) -> str:
-    end = "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"
+    end = _written(_timed("l_shipdate", "l_partkey"), "l_partkey")
     if missing_end:
         end = f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {end} END"
     return f"""visits_raw AS (
@@ -21,7 +35,7 @@ def _visits_raw(missing_end: bool = False) -> str:
          CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS person_id,
          l_partkey AS visit_concept_id,
          CASE WHEN o_orderkey % 89 = 0 THEN 'not-a-date'
-              ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS visit_start_datetime,
+              ELSE {_written(_timed("o_orderdate", "o_orderkey"), "o_orderkey")} END AS visit_start_datetime,
          {end} AS visit_end_datetime,
          l_linenumber AS visit_type_concept_id,
          CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE l_suppkey END AS provider_id,
@@ -32,10 +46,22 @@ def _visits_raw(missing_end: bool = False) -> str:
 
 
 def _parse_ts(col: str) -> str:
-    return (
-        f"CASE WHEN regexp_full_match({col}, '{TIMESTAMP_PATTERN}') "
-        f"THEN TRY_CAST({col} AS TIMESTAMP) END"
-    )
+    """The accepted forms taken apart by their own patterns and put together from numbers."""
+    t = f"trim({col}, ' ' || chr(9) || chr(10) || chr(13))"
+    time = r"(?:[ T](\d{1,2}):(\d\d)(?::(\d\d)(?:\.(\d{1,6})\d{0,3})?)?(?:Z|([+-])(\d\d):?(\d\d))?)?"
+    names = "'h', 'mi', 's', 'f', 'sign', 'zh', 'zm'"
+    iso = f"regexp_extract({t}, '^(\\d{{4}})-(\\d{{1,2}})-(\\d{{1,2}}){time}$', ['y', 'm', 'd', {names}])"
+    compact = f"regexp_extract({t}, '^(\\d{{4}})(\\d\\d)(\\d\\d){time}$', ['y', 'm', 'd', {names}])"
+    slashed = f"regexp_extract({t}, '^(\\d{{1,2}})/(\\d{{1,2}})/(\\d{{4}}){time}$', ['m', 'd', 'y', {names}])"
+
+    def made(parts: str) -> str:
+        n = lambda f: f"coalesce(try_cast(({parts}).{f} AS BIGINT), 0)"
+        micros = f"try_cast(rpad(({parts}).f, 6, '0') AS BIGINT)"
+        wall = f"make_timestamp({n('y')}, {n('m')}, {n('d')}, {n('h')}, {n('mi')}, {n('s')}::DOUBLE)"
+        shift = f"CASE ({parts}).sign WHEN '-' THEN 1 WHEN '+' THEN -1 ELSE 0 END * ({n('zh')} * 60 + {n('zm')})"
+        return f"CASE WHEN ({parts}).y <> '' THEN TRY({wall} + to_microseconds(coalesce({micros}, 0)) + to_minutes({shift})) END"
+
+    return f"coalesce({made(iso)}, {made(compact)}, {made(slashed)})"
 
 
 _DAYS = "(epoch_us(e) - epoch_us(s)) / 1e6 / 86400.0"
@@ -119,6 +145,23 @@ _FILL = """SELECT 'provider_id' AS column_name, count(*) FILTER (WHERE provider_
 UNION ALL SELECT 'care_site_id', count(*) FILTER (WHERE care_site_id = -1) FROM clean
 UNION ALL SELECT 'visit_source_value', count(*) FILTER (WHERE visit_source_value = 'UNKNOWN') FROM clean"""
 
+# Source values as the quoting query writes them; a missing one is UNKNOWN.
+_QUOTED = """SELECT * REPLACE (CASE WHEN visit_source_value = 'UNKNOWN' THEN visit_source_value
+  WHEN visit_type_concept_id % 4 = 0 THEN 'say "' || visit_source_value || '", ok'
+  WHEN visit_type_concept_id % 4 = 1 THEN 'C:\\' || visit_source_value || '\\'
+  WHEN visit_type_concept_id % 4 = 2 THEN '"' || visit_source_value || '"'
+  ELSE visit_source_value END AS visit_source_value) FROM clean"""
+
+_MONTH = "visit_year::VARCHAR || '-' || lpad(visit_month::VARCHAR, 2, '0')"
+
+_METRICS = f"""SELECT 'yearly' AS section, visit_year::VARCHAR AS item, count(*)::BIGINT AS value FROM valid GROUP BY visit_year
+UNION ALL SELECT * FROM (VALUES ('shuffle_setting', '8', 1::BIGINT), ('shuffle_setting', '16', 1),
+  ('chart', 'chart_visits_per_year', 1), ('chart', 'chart_mean_visits_per_month', 1), ('chart', 'chart_duration_by_period', 1),
+  ('count', 'configurations', 2), ('count', 'bad_seconds', 0)) AS t(section, item, value)
+UNION ALL SELECT 'monthly', {_MONTH}, visit_count FROM monthly
+UNION ALL SELECT 'top_month', {_MONTH}, r FROM (
+  SELECT *, dense_rank() OVER (PARTITION BY visit_year ORDER BY visit_count DESC) AS r FROM monthly) WHERE r <= 3"""
+
 ORACLE: dict[str, str] = {
     "clean_visits": with_visits("SELECT * FROM clean"),
     "fill_missing": with_visits(_FILL),
@@ -193,7 +236,11 @@ WHERE a.visit_count IS DISTINCT FROM b.visit_count""",
   visit_concept_id NULLS FIRST, person_id NULLS FIRST, provider_id NULLS FIRST, care_site_id NULLS FIRST,
   visit_source_value NULLS FIRST, visit_start_datetime NULLS FIRST, visit_end_datetime NULLS FIRST LIMIT 5"""
     ),
-    "csv_ingest": with_visits("SELECT * FROM clean"),
+    "csv_ingest": with_visits(_QUOTED),
+    "csv_ingest_utf16": with_visits(_QUOTED),
+    "malformed_rows": """SELECT 2 * count(*) FILTER (WHERE l_linenumber % 7 = 3) AS malformed_rows,
+       count(*) + count(*) FILTER (WHERE l_linenumber % 7 = 3) AS rows
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "na_tokens": with_visits(_FILL + "\nUNION ALL SELECT 'clean_rows', count(*) FROM clean"),
     "detect_encoding": with_visits(
         """SELECT 'person_utf8' AS file_set, 'UTF-8' AS encoding, count(*) AS person_rows FROM person
@@ -201,11 +248,17 @@ UNION ALL SELECT 'person_utf16', 'UTF-16', count(*) FROM person""",
         person=True,
     ),
     "input_manifest": """SELECT * FROM (VALUES
-  ('visit_occurrence_0.csv', true, true),
-  ('visit_occurrence_1.csv', false, NULL::BOOLEAN),
-  ('person.csv', true, true)) AS t(file_name, present, has_bytes)
+  ('data', 'visit_occurrence_0.csv', true, true),
+  ('data', 'visit_occurrence_1.csv', false, false),
+  ('data', 'person.csv', true, true),
+  ('data', 'total', false, true),
+  ('absent', 'visit_occurrence_0.csv', false, false),
+  ('absent', 'visit_occurrence_1.csv', false, false),
+  ('absent', 'person.csv', false, false),
+  ('absent', 'total', false, false)) AS t(folder, file_name, present, has_bytes)
 WHERE EXISTS (SELECT 1 FROM lineitem) AND EXISTS (SELECT 1 FROM customer)""",
     "parquet_round_trip": with_visits("SELECT * FROM clean"),
+    "run_metrics": with_visits(_METRICS, monthly=True),
     "shuffle_invariance": with_visits(
         """SELECT s AS shuffle_partitions, (SELECT count(*) FROM valid) AS valid_visits, true AS same_answer
 FROM (VALUES (1), (8), (16)) AS t(s)"""

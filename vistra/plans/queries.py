@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistra import fixtures
+from vistra.functions.dates import period_label
 from vistra.operators import aggregate, charts, clean, quality, window
 from vistra.operators.join import visits_person_left
 from vistra.operators import candidates as C
@@ -20,10 +21,10 @@ from vistra.plans import search
 from vistra.plans import visits as job
 from vistra.schema import NA_TOKENS
 from vistra.session import scratch_path
-from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv, write_csv
+from vistra.sources.csv import VisitFile, malformed_rows, read_person_csv, read_visits_csv, write_csv
 from vistra.sources.encoding import read_groups
-from vistra.sources.manifest import input_manifest
-from vistra.sources.metrics import read_metrics
+from vistra.sources.manifest import input_manifest, manifest_total
+from vistra.sources.metrics import metrics_table, read_metrics
 from vistra.sources.parquet import read_parquet, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,20 +177,52 @@ VISIT_FILE_NAMES = ["visit_occurrence_0.csv", "visit_occurrence_1.csv"]
 PERSON_FILE_NAME = "person.csv"
 
 
-def _write_visit_files(raw: DataFrame, root: str) -> list[VisitFile]:
-    """Split raw rows by id parity into a headed and a headerless CSV input."""
+def _write_visit_files(raw: DataFrame, root: str, encoding: str = "UTF-8") -> list[VisitFile]:
+    """Split raw rows by id parity into a headed and a headerless CSV input.
+
+    The headed one has its columns in reverse order and one more before them,
+    so that only its names tell which is which.
+    """
     even = F.coalesce(F.col("visit_occurrence_id").try_cast("bigint") % 2 == 0, F.lit(False))
     first, second = (f"{root}/{n}" for n in VISIT_FILE_NAMES)
-    write_csv(raw.filter(even), first, header=True)
-    write_csv(raw.filter(~even), second, header=False)
+    turned = raw.filter(even).select(F.lit("x,\"y").alias("batch"), *reversed(raw.columns))
+    write_csv(turned, first, header=True, encoding=encoding, doubled_quotes=True)
+    write_csv(raw.filter(~even), second, header=False, encoding=encoding, doubled_quotes=True)
     return [VisitFile(first, True), VisitFile(second, False)]
 
 
+def with_quoted_values(raw: DataFrame) -> DataFrame:
+    """Source values with quotes, commas and backslashes, by visit type."""
+    kind, value = F.pmod(F.col("visit_type_concept_id").try_cast("bigint"), F.lit(4)), F.col("visit_source_value")
+    quoted = (
+        F.when(kind == 0, F.concat(F.lit('say "'), value, F.lit('", ok')))
+        .when(kind == 1, F.concat(F.lit("C:\\"), value, F.lit("\\")))
+        .when(kind == 2, F.concat(F.lit('"'), value, F.lit('"')))
+        .otherwise(value)
+    )
+    return raw.withColumn("visit_source_value", quoted)
+
+
 def q_csv_ingest(spark, sf_dir):
-    files = _write_visit_files(fixtures.visits_raw(spark, sf_dir), scratch_path(spark, "csv_ingest"))
+    raw = with_quoted_values(fixtures.visits_raw(spark, sf_dir))
+    return clean.clean_visits(read_visits_csv(spark, _write_visit_files(raw, scratch_path(spark, "csv_ingest"))))
+
+
+def q_csv_ingest_utf16(spark, sf_dir):
+    raw = with_quoted_values(fixtures.visits_raw(spark, sf_dir))
+    files = _write_visit_files(raw, scratch_path(spark, "csv_ingest_utf16"), encoding="UTF-16")
     return clean.clean_visits(read_visits_csv(spark, files))
 
 
+def q_malformed_rows(spark, sf_dir):
+    # a value with a line break is cut in two by the reader: both parts are malformed
+    line = F.pmod(F.col("visit_type_concept_id").try_cast("bigint"), F.lit(7))
+    raw = fixtures.visits_raw(spark, sf_dir).withColumn(
+        "visit_source_value", F.when(line == 3, F.lit("two\nlines")).otherwise(F.col("visit_source_value"))
+    )
+    return malformed_rows(spark, _write_visit_files(raw, scratch_path(spark, "malformed_rows")))
+
+
 # Columns that receive a missing-value string where the fixture has NULL.
 NA_TOKEN_COLUMNS = ["person_id", "provider_id", "care_site_id", "visit_source_value"]
 
@@ -246,10 +279,15 @@ def q_input_manifest(spark, sf_dir):
     # The second visit file is deliberately not written: it must show as missing.
     write_csv(fixtures.visits_raw(spark, sf_dir), f"{root}/{VISIT_FILE_NAMES[0]}", header=True)
     write_csv(fixtures.person_raw(spark, sf_dir), f"{root}/{PERSON_FILE_NAME}", header=True)
-    manifest = input_manifest(spark, root, [*VISIT_FILE_NAMES, PERSON_FILE_NAME])
-    return manifest.select(
-        "file_name", "present", (F.col("size_bytes") > 0).alias("has_bytes")
-    )
+    names = [*VISIT_FILE_NAMES, PERSON_FILE_NAME]
+    out = None
+    for folder, path in (("data", root), ("absent", f"{root}/no-such-folder")):
+        manifest = input_manifest(spark, path, names)
+        total = manifest_total(manifest).select(F.lit("total").alias("file_name"), (F.col("missing") == 0).alias("present"), (F.col("total_bytes") > 0).alias("has_bytes"))
+        rows = manifest.select("file_name", "present", ((F.col("size_bytes") > 0) & (F.col("n_files") > 0)).alias("has_bytes")).unionByName(total)
+        rows = rows.select(F.lit(folder).alias("folder"), "file_name", "present", "has_bytes")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_parquet_round_trip(spark, sf_dir):
@@ -275,7 +313,12 @@ def q_run_metrics(spark, sf_dir):
     write_csv(fixtures.person_raw(spark, sf_dir), person_path, header=True)
     # the fixture has no missing end times, so both yearly counts agree
     job.run_all(spark, files, person_path, f"{root}/out", shuffle_settings=(8, 16), strict=True)
-    return read_metrics(spark, f"{root}/out/metrics")
+    facts = metrics_table(read_metrics(spark, f"{root}/out/metrics"))
+    # the result tables were written once per setting; the last ones must hold the whole answer
+    month = period_label("visit_year", "visit_month")
+    monthly = read_parquet(spark, f"{root}/out/results-16/monthly").select(F.lit("monthly").alias("section"), month.alias("item"), F.col("visit_count").alias("value"))
+    top = read_parquet(spark, f"{root}/out/results-16/top_months").select(F.lit("top_month").alias("section"), month.alias("item"), F.col("month_rank").cast("bigint").alias("value"))
+    return facts.unionByName(monthly).unionByName(top)
 
 
 # --- evolutionary search over candidate tables -------------------------------
@@ -370,6 +413,8 @@ QUERIES: dict[str, Query] = {
     "table_profile": q_table_profile,
     "sample_rows": q_sample_rows,
     "csv_ingest": q_csv_ingest,
+    "csv_ingest_utf16": q_csv_ingest_utf16,
+    "malformed_rows": q_malformed_rows,
     "na_tokens": q_na_tokens,
     "detect_encoding": q_detect_encoding,
     "input_manifest": q_input_manifest,

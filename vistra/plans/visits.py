@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vistra.operators import aggregate, charts, clean, quality, window
 from vistra.sources.csv import VisitFile, read_person_csv, read_visits_csv
+from vistra.sources.encoding import list_files, path_exists
 from vistra.sources.metrics import metrics_record, write_metrics
 from vistra.sources.parquet import read_parquet, write_parquet
 
@@ -68,8 +69,7 @@ def analyse(
 
     Two passes over the large table: the monthly aggregate (written, then
     every month/year result reads that small table) and the visit → person
-    join behind the gender summary (a broadcast join when the person table is
-    proven small, else per-person counts first). The valid-visit total and
+    join behind the gender summary (visits are counted per person first). The valid-visit total and
     the yearly counts are roll-ups of the monthly table, so they cost no scan.
     """
     t0 = time.perf_counter()
@@ -180,13 +180,7 @@ def invariance_table(spark: SparkSession, runs: Sequence[SettingRun], value: Dat
 
 def _has_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` (file, folder or glob) holds at least one data file."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return bool(listing.select("path").limit(1).collect())
-    except AnalysisException:
-        return False
+    return path_exists(spark, path) and bool(list_files(spark, [path]).select("path").limit(1).collect())
 
 
 def run_all(

@@ -42,6 +42,9 @@ CLEAN_COLUMNS = [
     "visit_duration_days",
 ]
 
+# Columns of the raw file that the cleaning reads.
+REQUIRED_VISIT_COLUMNS = CLEAN_COLUMNS[:9]
+
 # Person columns the analysis reads.
 PERSON_COLUMNS = ["person_id", "gender_source_value", "race_source_value"]
 
@@ -74,10 +77,13 @@ NA_TOKENS = [
 ]
 # --- end of fixed values ------------------------------------------------------
 
-# Accepted text forms of a visit timestamp: ISO date, optionally followed by a
-# time with seconds and up to six fractional digits. Each value is parsed on
-# its own, so the answer never depends on how rows fall into partitions.
+# Accepted text forms of a visit timestamp, blanks around it aside. Each value is
+# parsed on its own, so the answer never depends on how rows fall into partitions.
+# The usual form, taken as it is:
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
+# All forms, once a date without dashes or with slashes is in dashes and an
+# offset has its colon:
+TIMESTAMP_FORMS = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 
 # The visit numeric id columns parsed from text.
 VISIT_ID_COLUMNS = [
@@ -91,29 +97,20 @@ VISIT_ID_COLUMNS = [
 
 RAW_VISIT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in VISIT_COLUMNS])
 
-RAW_PERSON_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in PERSON_COLUMNS])
-
+# The clean table's types; the cleaning is tested against them.
 CLEAN_VISIT_SCHEMA = T.StructType(
     [
-        T.StructField("visit_occurrence_id", T.LongType(), False),
-        T.StructField("person_id", T.LongType(), False),
-        T.StructField("visit_concept_id", T.LongType(), True),
-        T.StructField("visit_start_datetime", T.TimestampNTZType(), False),
-        T.StructField("visit_end_datetime", T.TimestampNTZType(), True),
-        T.StructField("visit_type_concept_id", T.LongType(), True),
-        T.StructField("provider_id", T.LongType(), False),
-        T.StructField("care_site_id", T.LongType(), False),
-        T.StructField("visit_source_value", T.StringType(), False),
-        T.StructField("visit_year", T.IntegerType(), False),
-        T.StructField("visit_month", T.IntegerType(), False),
-        T.StructField("visit_duration_days", T.DoubleType(), True),
-    ]
-)
-
-PERSON_SCHEMA = T.StructType(
-    [
-        T.StructField("person_id", T.LongType(), False),
-        T.StructField("gender_source_value", T.StringType(), True),
-        T.StructField("race_source_value", T.StringType(), True),
+        T.StructField("visit_occurrence_id", T.LongType()),
+        T.StructField("person_id", T.LongType()),
+        T.StructField("visit_concept_id", T.LongType()),
+        T.StructField("visit_start_datetime", T.TimestampNTZType()),
+        T.StructField("visit_end_datetime", T.TimestampNTZType()),
+        T.StructField("visit_type_concept_id", T.LongType()),
+        T.StructField("provider_id", T.LongType()),
+        T.StructField("care_site_id", T.LongType()),
+        T.StructField("visit_source_value", T.StringType()),
+        T.StructField("visit_year", T.IntegerType()),
+        T.StructField("visit_month", T.IntegerType()),
+        T.StructField("visit_duration_days", T.DoubleType()),
     ]
 )

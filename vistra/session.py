@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,8 +48,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only
-    when it is unset (local tests) do we create a folder of our own.
+    On a cluster this setting points at shared storage and is used as is; where
+    it is unset there, we raise, since executors would write to their own
+    disks. Only on a local master do we create a folder of our own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="vistra-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -6,54 +6,104 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vistra.operators.clean import normalize_na_tokens
-from vistra.plans.partitioning import ensure_parallelism
-from vistra.schema import PERSON_COLUMNS, RAW_VISIT_SCHEMA, VISIT_COLUMNS
+from vistra.schema import PERSON_COLUMNS, REQUIRED_VISIT_COLUMNS, VISIT_COLUMNS
 from vistra.sources.encoding import read_groups, read_groups_many, reader_options
 
+MALFORMED = "_malformed"
+
 
 @dataclass(frozen=True)
 class VisitFile:
-    """One visit input: a file, folder or glob, and whether it has a header."""
+    """One visit input: a file, folder or glob, whether it has a header, and its
+    encoding (None: found from each file's first bytes)."""
 
     path: str
     header: bool
+    encoding: str | None = None
+
+
+class MissingColumnsError(ValueError):
+    pass
+
+
+def _text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
 def _read_visit_group(
-    spark: SparkSession, paths: Sequence[str], header: bool, encoding: str
+    spark: SparkSession, paths: Sequence[str], header: bool, encoding: str, spread: int | None, malformed: bool
 ) -> DataFrame:
-    reader = spark.read.schema(RAW_VISIT_SCHEMA).option("header", header)
-    options = reader_options(encoding)
-    for key, value in options.items():
-        reader = reader.option(key, value)
-    df = reader.csv(list(paths))
-    if options.get("multiLine") == "true":
+    """One reading of files in one encoding.
+
+    A quote inside a quoted value is doubled and a backslash is text. The names
+    of a headed file are those of its first line, and every file whose first
+    line differs raises; the names of a headerless file are the 17 in order.
+    """
+    options = {"header": str(header).lower(), "escape": '"', "enforceSchema": "false", **reader_options(encoding)}
+    names = spark.read.options(**options).csv(list(paths)).columns if header else VISIT_COLUMNS
+    absent = [c for c in REQUIRED_VISIT_COLUMNS if c not in names]
+    if absent:
+        raise MissingColumnsError(f"{list(paths)[0]}: no column {', '.join(absent)}")
+    schema = _text_schema(names)
+    if malformed:
+        schema = schema.add(MALFORMED, T.StringType(), True)
+        options["columnNameOfCorruptRecord"] = MALFORMED
+    df = spark.read.schema(schema).options(**options).csv(list(paths))
+    if malformed:
+        # the reader looks at no more of a line than it is asked for, so all columns are asked for
+        whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
+        return df.select(F.col(MALFORMED).isNotNull().alias(MALFORMED), whole.alias("whole"))
+    columns = [F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS]
+    df = df.select(*columns)
+    if "multiLine" in options:
         # read whole, one task per file: spread the rows before the cleaning
-        df = ensure_parallelism(df)
+        df = df.repartition(spread or spark.sparkContext.defaultParallelism)
     return df
 
 
-def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile]) -> DataFrame:
-    """Read visit CSVs as 17 text columns and stack them by name.
-
-    The schema is given, so nothing is inferred and no extra pass is made; the
-    names of a headerless file come from the schema. Each file is read with
-    the encoding found from its first bytes (UTF-16 files are read whole,
-    UTF-8 files in 64 MB blocks). The reader's missing-value strings become
-    NULL, as the reference's reader treats them.
-    """
-    parts = []
-    for f, groups in zip(files, read_groups_many(spark, [f.path for f in files])):
-        for enc, paths in groups:
-            parts.append(_read_visit_group(spark, paths, f.header, enc))
-    if not parts:
-        raise FileNotFoundError(f"no visit files under {[f.path for f in files]}")
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return normalize_na_tokens(out, VISIT_COLUMNS)
+    return out
+
+
+def _read_parts(spark: SparkSession, files: Sequence[VisitFile], spread: int | None, malformed: bool) -> DataFrame:
+    unknown = [f for f in files if f.encoding is None]
+    found = dict(zip(unknown, read_groups_many(spark, [f.path for f in unknown]))) if unknown else {}
+    parts = [
+        _read_visit_group(spark, paths, f.header, enc, spread, malformed)
+        for f in files
+        for enc, paths in (found[f] if f.encoding is None else [(f.encoding, [f.path])])
+    ]
+    if not parts:
+        raise FileNotFoundError(f"no visit files under {[f.path for f in files]}")
+    return _stack(parts)
+
+
+def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile], spread: int | None = None) -> DataFrame:
+    """Read visit CSVs as 17 text columns, by name, and stack them.
+
+    All columns are text, so nothing is inferred; of a headed input one line is
+    read ahead for its names. Columns may stand in any order and others may
+    stand between them; one that the cleaning doesn't use may be absent (null).
+    UTF-16 files are read whole and then dealt over ``spread`` partitions
+    (default: the cluster's cores), UTF-8 files in 64 MB blocks. The reader's
+    missing-value strings become NULL, as the reference's reader treats them.
+    Quoted line breaks are not supported in UTF-8 files, which are split at
+    line ends: ``malformed_rows`` counts what such a break leaves behind.
+    """
+    return normalize_na_tokens(_read_parts(spark, files, spread, False), VISIT_COLUMNS)
+
+
+def malformed_rows(spark: SparkSession, files: Sequence[VisitFile]) -> DataFrame:
+    """One row (malformed_rows, rows): lines whose number of values isn't that of the columns."""
+    rows = _read_parts(spark, files, None, True)
+    return rows.agg(F.count_if(F.col(MALFORMED) & F.col("whole")).alias("malformed_rows"), F.count_if("whole").alias("rows"))
 
 
 def _group_by_encoding(found: dict[str, str]) -> dict[str, list[str]]:
@@ -68,14 +118,19 @@ def read_person_csv(
     path: str,
     encodings: dict[str, str] | None = None,
     groups: list[tuple[str, list[str]]] | None = None,
+    encoding: str | None = None,
 ) -> DataFrame:
     """Read person CSV(s) with header as text, keep the three used columns.
 
     Names come from the header (the file may hold more columns); no type
-    inference. Missing-value strings stay text, as Spark's reader keeps them.
+    inference. Missing-value strings stay text and quoting is Spark's default,
+    as the reference reads this file with Spark. ``encoding`` states the
+    encoding of all files; without it their first bytes are looked at.
     """
     if groups is None:
-        if encodings is not None:
+        if encoding is not None:
+            groups = [(encoding, [path])]
+        elif encodings is not None:
             groups = sorted(_group_by_encoding(encodings).items())
         else:
             groups = read_groups(spark, [path])
@@ -87,19 +142,18 @@ def read_person_csv(
         parts.append(reader.csv(paths).select(*PERSON_COLUMNS))
     if not parts:
         raise FileNotFoundError(f"no person files under {path}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _stack(parts)
 
 
 def write_csv(
-    df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8"
+    df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8", doubled_quotes: bool = False
 ) -> None:
-    """Write text rows as CSV (overwrite). Nulls are written as empty fields."""
-    (
-        df.write.mode("overwrite")
-        .option("header", header)
-        .option("encoding", encoding)
-        .csv(path)
-    )
+    """Write text rows as CSV (overwrite). Nulls are written as empty fields.
+
+    ``doubled_quotes``: a quote inside a value is doubled and a backslash is
+    text, as visit files have it; else Spark's default escaping.
+    """
+    writer = df.write.mode("overwrite").option("header", header).option("encoding", encoding)
+    if doubled_quotes:
+        writer = writer.option("escape", '"')
+    writer.csv(path)

@@ -47,6 +47,19 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` (file, folder or glob) exists; other errors are raised."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        list_files(spark, [path])
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def _open_prefix(path: str, n: int = 2) -> bytes:
     from pyarrow import fs as pafs
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.sources.encoding import list_files
+from vistra.sources.encoding import list_files, path_exists
 
 BYTES_PER_GB = 1024.0**3
 
@@ -20,19 +20,18 @@ def input_manifest(spark: SparkSession, data_dir: str, expected: Sequence[str])
     """Rows (file_name, present, n_files, size_bytes, size_gb) per expected input.
 
     An input may be one file or a folder of part files (as Spark writes
-    them). The listing is Spark's ``binaryFile`` source with contents pruned;
-    sizes are summed per top-level name, then the expected names are LEFT
-    JOINed to it, so missing inputs show up as ``present = false``.
+    them). Only the expected paths are listed, each by Spark's ``binaryFile``
+    source with contents pruned; one that doesn't exist, or whose folder
+    doesn't, is ``present = false``. An empty folder is missing too.
     """
     root = data_dir.rstrip("/")
-    if root.startswith("file:"):
-        root = "/" + root[len("file:"):].lstrip("/")
-    listing = list_files(spark, [root]).select(
-        F.element_at(
-            F.split(F.regexp_replace(F.col("path"), r"^.*?" + _escape(root) + "/", ""), "/"), 1
-        ).alias("file_name"),
-        F.col("length"),
-    )
+    empty = spark.range(0).select(F.lit("").alias("file_name"), F.lit(0).cast("bigint").alias("length"))
+    listings = [empty] + [
+        list_files(spark, [f"{root}/{n}"]).select(F.lit(n).alias("file_name"), "length") for n in expected if path_exists(spark, f"{root}/{n}")
+    ]
+    listing = listings[0]
+    for part in listings[1:]:
+        listing = listing.unionByName(part)
     sizes = listing.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("size_bytes")
     )
@@ -41,15 +40,11 @@ def input_manifest(spark: SparkSession, data_dir: str, expected: Sequence[str])
         "file_name",
         F.col("size_bytes").isNotNull().alias("present"),
         F.coalesce(F.col("n_files"), F.lit(0)).cast("bigint").alias("n_files"),
-        F.col("size_bytes").cast("bigint").alias("size_bytes"),
-        F.round(F.col("size_bytes") / BYTES_PER_GB, 2).alias("size_gb"),
+        F.coalesce(F.col("size_bytes"), F.lit(0)).cast("bigint").alias("size_bytes"),
+        F.round(F.coalesce(F.col("size_bytes"), F.lit(0)) / BYTES_PER_GB, 2).alias("size_gb"),
     )
 
 
-def _escape(text: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in text)
-
-
 def manifest_total(manifest: DataFrame) -> DataFrame:
     """One row: inputs present / missing, total bytes and GB (2 digits)."""
     return manifest.agg(
