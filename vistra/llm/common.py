@@ -8,6 +8,7 @@ import types
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from vistra.fixtures import load_table
@@ -16,7 +17,7 @@ from vistra.session import scratch_path
 # Rows and bytes of one Arrow batch. A Python worker holds a few batches at a
 # time, so these two bound its memory whatever the partition holds (a single
 # row larger than the byte bound travels alone).
-BATCH_ROWS = 1000
+BATCH_ROWS = 2500
 BATCH_BYTES = 8 * 1024 * 1024
 
 
@@ -83,11 +84,16 @@ def load_tokenizer(name: str):
     return process_value(("tokenizer", name), make)
 
 
-# Words whose tokens a worker keeps; beyond that it starts anew.
-WORD_CACHE = 300_000
+# Words whose tokens a worker keeps; beyond that, those that recur in the last batch.
+WORD_CACHE = 250_000
 # Letters for which lower-casing and composition concern one character alone
 # and agree between libraries: ASCII and Latin letters up to U+017F but U+0130.
-SIMPLE_WORD = "[a-zA-ZÀ-ÖØ-öø-ÿĀ-įı-ſ]+"
+SIMPLE_WORD = "^[a-zA-ZÀ-ÖØ-öø-ÿĀ-įı-ſ]+$"
+
+
+def _strings(column: pa.Array) -> list[str]:
+    """A column without nulls as Python strings; some times faster than to_pylist()."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 class WordEncoder:
@@ -101,8 +107,6 @@ class WordEncoder:
     """
 
     def __init__(self, name: str):
-        import re
-
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = load_tokenizer(name)
@@ -116,8 +120,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.simple = re.compile(SIMPLE_WORD).fullmatch
-        self.cache: dict[bytes, bytes] = {}
+        self.cache: dict[str, bytes] = {"": b""}
 
     def _plain(self, words: list[str]) -> None:
         """Encode lower-case plain words in one call; an id that ends a word ends it."""
@@ -126,51 +129,53 @@ class WordEncoder:
         stops = ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()
         if len(stops) != len(words):
             raise ValueError("the vocabulary does not mark the ends of words")
-        for word, stop in zip(words, stops, strict=True):
-            self.cache[word.encode()] = raw[at:stop]
+        for word, stop in zip(words, stops):
+            self.cache[word] = raw[at:stop]
             at = stop
 
-    def _learn(self, runs: set[bytes]) -> None:
-        cache, plain, joined, rest = self.cache, {}, [], []
-        for run in runs:
-            word = run.rstrip(b".,")
-            tail = run[len(word):]
-            text = word.decode("utf-8", "surrogatepass")
-            if self.simple(text):
-                low = text.lower()
-                joined.append((run, low.encode(), tail))
-                if joined[-1][1] not in cache:
-                    plain[low] = None
-                if tail and tail not in cache:
-                    cache[tail] = self._one(tail)
-            else:
-                rest.append(run)
-        if plain:
-            self._plain(list(plain))
-        for run, low, tail in joined:
+    def _other(self, runs: list[str]) -> None:
+        for i in range(0, len(runs), 1000):
+            part = runs[i : i + 1000]
+            for run, e in zip(part, self.full.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.cache[run] = np.array(e.ids, dtype=self.dtype).tobytes()
+
+    def _learn(self, runs: list[str]) -> None:
+        """Encode new runs: letters with dots or commas after them as word and tail, the rest whole."""
+        cache = self.cache
+        column = pa.array(runs, pa.string())
+        stems = pc.utf8_rtrim(column, ".,")
+        simple = pc.match_substring_regex(stems, SIMPLE_WORD)
+        lows = _strings(pc.filter(pc.utf8_lower(stems), simple))
+        wholes = _strings(pc.filter(column, simple))
+        self._other(_strings(pc.filter(column, pc.invert(simple))))
+        tails = [r[len(w) :] for r, w in zip(wholes, lows)]
+        self._other([t for t in set(tails) if t not in cache])
+        new = [w for w in dict.fromkeys(lows) if w not in cache]
+        for i in range(0, len(new), 20_000):  # the library keeps some 100 bytes a token until it returns
+            self._plain(new[i : i + 20_000])
+        for run, low, tail in zip(wholes, lows, tails):
             cache[run] = cache[low] + cache[tail] if tail else cache[low]
-        for i in range(0, len(rest), 1000):
-            part = rest[i : i + 1000]
-            found = self.full.encode_batch_fast([r.decode("utf-8", "surrogatepass") for r in part], add_special_tokens=False)
-            for run, e in zip(part, found, strict=True):
-                cache[run] = np.array(e.ids, dtype=self.dtype).tobytes()
-
-    def _one(self, run: bytes) -> bytes:
-        return np.array(self.full.encode(run.decode(), add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian bytes of ``self.dtype``."""
-        runs = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        if len(self.cache) > WORD_CACHE:
-            self.cache.clear()
-        new: set[bytes] = set()
-        for r in runs:
-            new.update(r)
-        new.difference_update(self.cache)
+        if not texts:
+            return []
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = lists.flatten().dictionary_encode()
+        runs = _strings(words.dictionary)
+        cache = self.cache
+        new = [r for r in runs if r not in cache]
         if new:
             self._learn(new)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, r)) for r in runs]
+        found = pa.array([cache[r] for r in runs], pa.binary()).take(words.indices)
+        if len(cache) > WORD_CACHE:  # keep what occurred more than once just now
+            often = (np.bincount(words.indices.to_numpy(), minlength=len(runs)) > 1).tolist()
+            self.cache = {r: cache[r] for r, o in zip(runs, often) if o} | {"": b""}
+        # the ids of all texts lie one after another in the taken array's buffer
+        at = np.frombuffer(found.buffers()[1], dtype=np.int32, count=len(found) + 1, offset=4 * found.offset)
+        data = memoryview(found.buffers()[2]) if found.buffers()[2] is not None else b""
+        cuts = at[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 def word_encoder(name: str) -> WordEncoder:
@@ -201,12 +206,33 @@ _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+# Texts are hashed some so many bytes at a time; a longer one alone.
+GROUP_BYTES = 1 << 19
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
+    """1, base, base^2, ... modulo 2^64; those of usual length are kept by the process."""
+
+    def make(size):
+        out = np.full(size, base, dtype=np.uint64)
         out[0] = 1
-        np.multiply.accumulate(out, out=out)
-    return out
+        return np.multiply.accumulate(out)
+
+    size = 4 * GROUP_BYTES
+    return process_value(("powers", base), lambda: make(size))[:n] if n <= size else make(n)
+
+
+def in_groups(texts: list[str], size: int = GROUP_BYTES):
+    """``texts`` in runs of at least about ``size`` characters."""
+    part, held = [], 0
+    for t in texts:
+        part.append(t)
+        held += len(t)
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
 
 
 class Words:
