@@ -22,7 +22,8 @@ VOCABULARY = "piece_bpe_32k.model"
 UNKNOWN = "und"
 # Bounds of what the probabilities are fitted on, for each language: rows drawn
 # by the hash of their id, and of these the most frequent words.
-FIT_ROWS = 1000
+FIT_ROWS = 1024
+DRAWS = 64
 FIT_WORDS = 30_000
 EM_ROUNDS = 3
 SMOOTHING = 0.05
@@ -195,15 +196,17 @@ def held_out(key: str) -> F.Column:
 def fit_tables(docs: DataFrame, vocabulary: str = VOCABULARY, key: str = "doc_id", text: str = "text", label: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, probabilities: pieces x languages) from labelled rows that aren't held out.
 
-    Up to FIT_ROWS rows a language, drawn by hash; one task fits one language on
-    its FIT_WORDS most frequent words.
+    Up to FIT_ROWS rows a language: of each of DRAWS classes of a row's hash
+    those with the lowest hashes, so that a frequent language is drawn by many
+    tasks. One task fits one language on its FIT_WORDS most frequent words.
     """
-    drawn = Window.partitionBy("lang").orderBy("hash", "text_hash")
+    drawn = Window.partitionBy("lang", "class").orderBy("hash", "text_hash")
     rows = docs.filter(~held_out(key)).select(
         F.col(label).cast("string").alias("lang"), F.xxhash64(key).alias("hash"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")
     ).filter("lang is not null and _text <> ''")
     # ranks first, on hashes alone: texts of the drawn rows only are moved
-    ranked = rows.select("lang", "hash", "text_hash").withColumn("rank", F.row_number().over(drawn)).filter(F.col("rank") <= FIT_ROWS)
+    classed = rows.select("lang", "hash", "text_hash", F.pmod(F.xxhash64("text_hash", "hash"), F.lit(DRAWS)).alias("class"))
+    ranked = classed.withColumn("rank", F.row_number().over(drawn)).filter(F.col("rank") <= FIT_ROWS // DRAWS)
     chosen = stored(ranked.select("lang", "hash", "text_hash").distinct(), "language-rows")
     sample = rows.join(chosen.hint("broadcast"), ["lang", "hash", "text_hash"]).select("lang", "_text")
 
