@@ -15,10 +15,12 @@ repeated and reported as the median with the order of stages alternated:
 - search_*      evolutionary search, one run per supplier row, population 300,
                 BENCH_SEARCH_GENERATIONS (3) generations, once
 - xK_*          yearly count and analysis on K stacked copies of the clean
-                table (ids offset per copy). BENCH_SCALE=auto (default) picks
-                K so the copies hold about the reference's 42.4 M visits
-                (K=72 at sf0.1); BENCH_SCALE=1 skips it. BENCH_SCALE_INGEST=1
-                also times CSV ingest at that size (writes ~3.3 GB of CSV).
+                table (visit and person ids offset per copy, persons copied
+                likewise). BENCH_SCALE=auto (default) picks K so the copies
+                hold about the reference's 42.4 M visits (K=72 at sf0.1);
+                BENCH_SCALE=1 skips it
+- xK_ingest     CSV ingest of BENCH_SCALE_INGEST copies (default: K, some 3.5
+                GB of CSV at K=72; 0 skips it), timed once
 
 The headline ``value`` is the full analysis stage at the reference's row
 count (comparable to its "full Spark stage"); without scaling it is
@@ -57,17 +59,17 @@ def _sf_value(sf_dir: str):
         return name
 
 
-def _stack(df, copies: int, id_col: str, text: bool = False):
+def _stack(df, copies: int, id_cols: list[str], text: bool = False):
     """``copies`` copies of ``df`` with ids offset by 10^9 per copy (explode,
-    no join); used only to measure throughput at the reference's size."""
+    no join); used only to measure throughput at the reference's size. Text
+    that is no number stays as it is."""
     copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("__copy")
-    ids = F.col(id_col).try_cast("bigint") if text else F.col(id_col)
-    shifted = ids + F.col("__copy").cast("bigint") * F.lit(10**9)
-    return (
-        df.select("*", copy)
-        .withColumn(id_col, shifted.cast("string") if text else shifted)
-        .drop("__copy")
-    )
+    out = df.select("*", copy)
+    for c in id_cols:
+        ids = F.trim(c).try_cast("bigint") if text else F.col(c)
+        shifted = ids + F.col("__copy").cast("bigint") * F.lit(10**9)
+        out = out.withColumn(c, F.coalesce(shifted.cast("string"), F.col(c)) if text else shifted)
+    return out.drop("__copy")
 
 
 def main() -> None:
@@ -147,8 +149,10 @@ def main() -> None:
     scaled_rows = None
     if scale > 1:
         scaled_dir = f"{root}/visits-x{scale}"
-        stacked = _stack(spark.read.parquet(visits_dir), scale, "visit_occurrence_id")
+        stacked = _stack(spark.read.parquet(visits_dir), scale, ["visit_occurrence_id", "person_id"])
         stacked.write.mode("overwrite").parquet(scaled_dir)
+        scaled_person = f"{root}/raw/person-x{scale}.csv"
+        write_csv(_stack(fixtures.person_raw(spark, sf_dir), scale, ["person_id"], text=True), scaled_person, header=True)
         scaled_rows = spark.read.parquet(scaled_dir).count()
         big: dict[str, list[float]] = {f"x{scale}_yearly_count": [], f"x{scale}_analysis": []}
         for _ in range(3):
@@ -156,14 +160,15 @@ def main() -> None:
             job.yearly_from_parquet(spark, scaled_dir).collect()
             big[f"x{scale}_yearly_count"].append(time.perf_counter() - t0)
             t0 = time.perf_counter()
-            job.analyse(spark, scaled_dir, person_path, f"{root}/results-x{scale}")
+            job.analyse(spark, scaled_dir, scaled_person, f"{root}/results-x{scale}")
             big[f"x{scale}_analysis"].append(time.perf_counter() - t0)
-        if os.environ.get("BENCH_SCALE_INGEST") == "1":
-            raw = _stack(fixtures.visits_raw(spark, sf_dir), scale, "visit_occurrence_id", text=True)
-            big_files = Q._write_visit_files(raw, f"{root}/raw-x{scale}")
+        ingest_scale = int(os.environ.get("BENCH_SCALE_INGEST", scale))
+        if ingest_scale:
+            raw = _stack(fixtures.visits_raw(spark, sf_dir), ingest_scale, ["visit_occurrence_id", "person_id"], text=True)
+            big_files = Q._write_visit_files(raw, f"{root}/raw-x{ingest_scale}")
             t0 = time.perf_counter()
-            job.ingest(spark, big_files, f"{root}/visits-x{scale}-ingested")
-            big[f"x{scale}_ingest"] = [time.perf_counter() - t0]
+            job.ingest(spark, big_files, f"{root}/visits-x{ingest_scale}-ingested")
+            big[f"x{ingest_scale}_ingest"] = [time.perf_counter() - t0]
         med.update({k: round(statistics.median(v), 3) for k, v in big.items()})
     if scaled_rows:
         name = "full_analysis_seconds_at_reference_rows" if scale_env == "auto" else f"full_analysis_seconds_x{scale}"
