@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import SF, table
@@ -73,8 +74,9 @@ def planted(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_chains_shared_passages_and_copies(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed, block", [(1, jaccard.BLOCK_SHINGLES), (2, 150)])
+def test_chains_shared_passages_and_copies(spark, seed, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)  # small blocks: regions of many groups
     rows = planted(seed)
     df = spark.createDataFrame([(*r, 0, "x") for r in rows], "doc_id bigint, text string, node bigint, shingles string").repartition(3)
     assert got(jaccard.near_duplicates(df)) == brute(rows)
@@ -86,6 +88,27 @@ def test_odd_rows(spark, odd_docs):
     assert jaccard.near_duplicates(odd_docs.limit(0)).count() == 0
 
 
+def test_link_cells_finds_a_link_between_any_two_cells_that_have_one():
+    rng = random.Random(3)
+    for _ in range(60):
+        base = [rng.sample(range(60), 24) for _ in range(3)]
+        sets = [np.array(sorted({x if rng.random() > 0.12 else 100 + rng.randrange(40) for x in rng.choice(base)})) for _ in range(30)]
+        cells = np.array([rng.randrange(8) for _ in sets])
+        source = np.array([rng.random() < 0.5 for _ in sets])
+        links = jaccard.link_cells(cells, source, ~source, sets, 75)
+
+        def joined(pairs):
+            label = cells.copy()
+            for a, b in pairs:
+                label[label == label[a]] = label[b]
+            return [[x == y for y in label] for x in label]
+
+        near = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))
+        every = [(a, b) for a in np.flatnonzero(source) for b in np.flatnonzero(~source) if near(a, b)]
+        assert all(near(a, b) for a, b in links)
+        assert joined(links) == joined(every)
+
+
 def test_components_of_a_long_chain(spark):
     n = 50
     links = spark.createDataFrame([((7 * i) % 53, (7 * (i + 1)) % 53) for i in range(n)], "a bigint, b bigint")

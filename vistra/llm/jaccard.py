@@ -8,15 +8,19 @@ Level 1. Pivots are the one-shingle sets in a fixed order, rarest first (by a
 count sketch of all shingles, ties by hash). A document lies in the region of
 its nearest one, its first shingle. Two sets within distance 0.25 miss at most
 a quarter of each other, so a partner's first shingle is among the document's
-first floor(n / 4) + 1 ones: that window of regions holds a copy of it.
-
-Level 2. In each region one document is the pivot, and exact distances to it
-are taken. Those within 0.25 are linked to it, hence to each other, and form its
-cell; only pairs of different cells are left, and of those only the ones whose
-distances to the pivot differ by at most 0.25 (and whose sizes allow it). The
-region is joined again with further pivots, taken from the smaller cells, until
-no pair is left open. Every link between two components is found; a link
-within a component changes nothing.
+first floor(n / 4) + 1 ones: that window of regions holds a copy of it. A few
+more regions (n / 8) are taken, of which as many must then be shared: a
+document that shares fewer has no partner and is dropped, which spares nearly
+all that merely have a passage in common.
+
+Level 2. In each region the document with most shared regions is the pivot,
+and exact distances to it are taken. Those within 0.25 are linked to it, hence to
+each other, and form its cell. What is left are pairs of different cells.
+Regions that hang together are joined as one, in blocks of bounded size: each
+document outside the largest cell is a pivot in its turn against all blocks,
+and is passed over where the windows around earlier pivots (distances that
+differ by at most 0.25), the sizes or a cell in common leave it no partner. Every
+link between two components is found; a link within one changes nothing.
 
 Equal sets are one node from the start. Sets and shingles are named by 64-bit
 hashes: among n different ones the chance of any clash is about n * n / 2 ** 65.
@@ -29,17 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import Words, mix64, stored, table, texts_of
+from vistra.llm.common import Words, in_groups, mix64, stored, table, texts_of
 
 SHINGLE = 5
 PERCENT = 75
 # Cells of the count sketch that orders shingles, and bits of the sets of hashes
 # that spare a shuffle of rows without a partner. They bound what is broadcast
-# (1 MB and 16 MB); results do not depend on them.
+# (1 MB, 16 MB and 32 MB); results do not depend on them.
 SKETCH_CELLS = 1 << 20
 FILTER_BITS = 1 << 27
-# Pivots that a region takes in its second round; four times as many each round after.
-FIRST_PIVOTS = 4
+# Shingles in one block of a region; a document with more is a block of its own.
+BLOCK_SHINGLES = 200_000
+# Pivots of a block whose distances are kept for windows.
+WINDOW_PIVOTS = 8
 
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
@@ -47,34 +53,60 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
 
     Fewer than ``size`` words: the whole sequence as one. No words: empty.
     """
+    return [s for part in in_groups(texts) for s in _sets_of_group(part, size)]
+
+
+def _sets_of_group(texts: list[str], size: int) -> list[np.ndarray]:
     words = Words(texts, lower=True)
     value, _, _ = words.windows(size)
     count = np.diff(words.first)
-    stop = np.cumsum(np.maximum(count - size + 1, 0)).tolist()
-    out, at = [], 0
-    for i, (n, to) in enumerate(zip(count.tolist(), stop, strict=True)):
-        if n >= size:
-            out.append(np.unique(value[at:to]))
-        elif n:
-            short = np.uint64(n)
-            for h in words.hash[words.first[i] : words.first[i] + n]:
-                short = mix64(np.array([short + h], dtype=np.uint64))[0]
-            out.append(np.array([short], dtype=np.uint64))
+    stops = np.cumsum(np.maximum(count - size + 1, 0))
+    at = 0
+    for to in stops.tolist():
+        value[at:to].sort()
+        at = to
+    new = np.ones(len(value), dtype=bool)
+    if len(value):
+        new[1:] = value[1:] != value[:-1]
+        starts = np.concatenate([[0], stops[:-1]])
+        new[starts[starts < len(value)]] = True
+    cuts = np.concatenate([[0], np.cumsum(new)])[stops].tolist()
+    value, out, at = value[new], [], 0
+    for i, (n, to) in enumerate(zip(count.tolist(), cuts, strict=True)):
+        if 0 < n < size:
+            out.append(_short(words.hash[words.first[i] : words.first[i] + n]))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(value[at:to])
         at = to
     return out
 
 
+def _short(words: np.ndarray) -> np.ndarray:
+    """One hash for a sequence of few words, unlike any of a longer one's shingles."""
+    acc = np.array([len(words)], dtype=np.uint64)
+    for k in range(len(words)):
+        acc = mix64(acc + words[k : k + 1])
+    return acc
+
+
 def set_name(shingles: np.ndarray) -> int:
     """A signed 64-bit name of a set, from the sum and the number of its hashes."""
-    total = np.add.reduce(mix64(shingles), dtype=np.uint64) + np.uint64(len(shingles)) * np.uint64(0x9E3779B97F4A7C15)
+    total = (int(np.add.reduce(mix64(shingles), dtype=np.uint64)) + len(shingles) * 0x9E3779B97F4A7C15) % 2**64
     return int(mix64(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    """How many first pivots a set of n shingles must stand at."""
-    return n - -(-percent * n // 100) + 1
+    """How many first pivots a set of n shingles must stand at.
+
+    A partner misses at most n - ceil(0.75 n) of them, so of one more, one is
+    shared, and each yet further one (n // 8 of them) is another.
+    """
+    return n - -(-percent * n // 100) + n // 8 + 1
+
+
+def least_shared(n: F.Column, percent: int = PERCENT) -> F.Column:
+    """How many regions a set of n shingles shares with any partner: as many as the smallest possible partner takes beyond what it may miss."""
+    return F.floor(F.ceil(n * percent / 100) / 8) + 1
 
 
 # --- level 1: regions of one-shingle pivots ---------------------------------------------
@@ -175,25 +207,120 @@ def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def repeated_bits(rows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """Two bit sets, one after the other, of the shingle hashes that occur more than once.
+
+    Each has ``bits`` bits and a place of its own for a hash, so that a hash that
+    occurs once passes only where it meets others in both. A task sends the places it saw once and more often; bit sets of them are joined in two
+    levels, a few of them held at a time. With many more rows than bits the
+    result merely lets more through.
+    """
+    ddl, schema = "once binary, more binary", pa.schema([("once", pa.binary()), ("more", pa.binary())])
+
+    def row(once: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        import zlib
+
+        return pa.RecordBatch.from_arrays([pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in (once, more)], schema=schema)
+
+    def places(batches):
+        seen = [at for b in batches for at in two_places(b.column("shingle").to_numpy(), bits)]
+        if seen:
+            value, times = np.unique(np.concatenate(seen), return_counts=True)
+            yield row(*(np.diff(v, prepend=0).astype(np.uint32) for v in (value[times == 1], value[times > 1])))
+
+    def bit_set(data: bytes, steps: bool) -> np.ndarray:
+        import zlib
+
+        raw = zlib.decompress(data)
+        if not steps:
+            return np.frombuffer(raw, dtype=np.uint8)
+        at = np.cumsum(np.frombuffer(raw, dtype=np.uint32), dtype=np.int64)
+        out = np.zeros(2 * bits // 8, dtype=np.uint8)
+        np.bitwise_or.at(out, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+        return out
+
+    def joined(steps: bool):
+        def add(batches):
+            once, more = np.zeros(2 * bits // 8, dtype=np.uint8), np.zeros(2 * bits // 8, dtype=np.uint8)
+            for batch in batches:
+                for data, data_more in zip(batch.column("once"), batch.column("more")):
+                    seen = bit_set(data.as_py(), steps)
+                    more |= bit_set(data_more.as_py(), steps)
+                    more |= once & seen
+                    once |= seen
+            yield row(once, more)
+
+        return add
+
+    parts = rows.select("shingle").mapInArrow(places, ddl).repartition(4).mapInArrow(joined(True), ddl)
+    (whole,) = parts.coalesce(1).mapInArrow(joined(False), ddl).select("more").collect()
+    return bit_set(whole["more"], False)
+
+
+def two_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of hashes in a bit set of ``bits`` bits and in a second one after it."""
+    return np.mod(keys, bits), bits + (mix64(keys.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+
+
+def _filtered(rows: DataFrame, words: np.ndarray) -> DataFrame:
+    """Rows whose shingle the bit set (or both of two) holds."""
+    wanted = rows.sparkSession.sparkContext.broadcast(words)
+
+    def keep(batches):
+        for batch in batches:
+            keys, words = batch.column("shingle").to_numpy(), wanted.value
+            if 8 * len(words) > FILTER_BITS:
+                held = [(words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1 for at in two_places(keys, FILTER_BITS)]
+                yield batch.filter(pa.array(held[0] & held[1]))
+            else:
+                yield batch.filter(pa.array(_in_filter(words, keys)))
+
+    return rows.mapInArrow(keep, "shingle bigint, node bigint")
+
+
 def _in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = np.mod(keys, FILTER_BITS)
     return (words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def shared_regions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(two-document regions: a, b; rows of larger ones: shingle, node, pivot)."""
-    groups = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("rows"))
-    shared = stored(groups.filter("low < high"), "jaccard-shared")
-    pairs = shared.filter("rows = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct()
-    large = shared.filter("rows > 2").select("shingle", F.col("low").alias("pivot"))
-    wanted = rows.sparkSession.sparkContext.broadcast(bit_filter(large.select("shingle")))
+def _shared(rows: DataFrame) -> DataFrame:
+    """(shingle, pivot) of regions with two documents or more; the pivot is the lowest."""
+    groups = rows.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("high"))
+    return groups.filter("pivot < high").select("shingle", "pivot")
 
-    def keep(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(_in_filter(wanted.value, batch.column("shingle").to_numpy())))
 
-    members = rows.mapInArrow(keep, "shingle bigint, node bigint").join(large.hint("shuffle_hash"), "shingle")
-    return pairs, stored(members.distinct(), "jaccard-members")
+def shared_regions(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Stored (shingle, node, pivot, documents, alike): regions with two documents or more, of documents with enough of them.
+
+    Most rows are alone in their region. Bit sets, of the repeated hashes and then
+    of the shared shingles, keep them out of the shuffles (they let some others
+    through, which the aggregate and the join drop).
+    """
+    rows = _filtered(rows, repeated_bits(rows))
+    shared = stored(_shared(rows), "jaccard-shared")
+    found = _filtered(rows, bit_filter(shared.select("shingle"))).join(shared.select("shingle").hint("shuffle_hash"), "shingle")
+    members = stored(found.distinct(), "jaccard-members")
+    # all of a document's partners together share no less with it than one
+    enough = members.groupBy("node").agg(F.count(F.lit(1)).alias("regions")).join(sizes, "node")
+    enough = stored(enough.filter(F.col("regions") >= least_shared(F.col("n"), percent)).select("node", "regions"), "jaccard-enough")
+    members = members.join(enough, "node")
+    return stored(members.join(_distinct_regions(members).hint("shuffle_hash"), "shingle").select("shingle", "node", "pivot", "documents", "alike"), "jaccard-members")
+
+
+def _distinct_regions(rows: DataFrame) -> DataFrame:
+    """(shingle, pivot, documents, alike) of regions with two documents or more, one of those with the same documents (``alike`` of them).
+
+    The pivot is the document with most shared regions: in a group of near copies
+    one near its middle. Near duplicates share many shingles, so most regions
+    are alike. Number, lowest, highest, pivot and two sums (xor) of hashes stand
+    for the documents of a region.
+    """
+    central = F.col("regions") * 2**32 + F.pmod("node", F.lit(2**32))
+    marks = {"documents": F.count(F.lit(1)), "low": F.min("node"), "high": F.max("node"), "pivot": F.max_by("node", central)}
+    marks |= {f"mark{i}": F.bit_xor(F.xxhash64("node", F.lit(i))) for i in range(2)}
+    groups = rows.groupBy("shingle").agg(*[f.alias(c) for c, f in marks.items()]).filter("low < high")
+    one = groups.groupBy(*marks).agg(F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("alike"))
+    return one.select("shingle", "pivot", "documents", "alike")
 
 
 # --- level 2: document pivots, windows, recursion ------------------------------------
@@ -205,7 +332,7 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
     texts = stored(texts, "jaccard-texts")
     wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(texts))
     source = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("_text"))
-    schema = pa.schema([("node", pa.int64()), ("text_hash", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def build(batches):
         seen: set[int] = set()
@@ -219,12 +346,11 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
             part = batch.filter(pa.array(keep))
             sets = shingle_sets(texts_of(part, "_text"), size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_name(s) for s in sets], pa.int64()), part.column("text_hash"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                schema=schema,
+                [pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema
             )
 
-    found = source.mapInArrow(build, "node bigint, text_hash bigint, shingles array<bigint>")
-    return stored(found.join(texts, "text_hash", "left_semi").select("node", "shingles").dropDuplicates(["node"]), "jaccard-candidates")
+    # the few sets that the bit set lets through besides are of no node that is asked for
+    return stored(source.mapInArrow(build, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -235,7 +361,7 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "shared", (F.size("set_a") + F.size("set_b") - F.col("shared")).alias("total"))
 
 
-def components(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Stored (node, label): the smallest node of each component of ``links`` (a, b).
 
     Labels spread to neighbours and then jump to their own label's label, so a
@@ -259,27 +385,102 @@ def linked(found: DataFrame, percent: int) -> DataFrame:
     return found.filter(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
 
-def open_regions(members: DataFrame, labels: DataFrame, sizes: DataFrame, measured: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of regions with several cells, stored; the rows that are their next ``pivots`` pivots).
+def link_cells(cells: np.ndarray, source: np.ndarray, target: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (row, row) that join the cells of ``source`` rows to those of ``target`` rows.
 
-    ``away`` is the distance to the region's first pivot, null where sizes ruled a
-    link out. A region's largest cell gives no pivots: each pair of two cells
-    has a member in a smaller one.
+    ``cells``: each row's cell number. Of the links between two cells one is
+    returned. Distances from a pivot to all rows come from one look into an
+    inverted index of the shingles.
+    """
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    every = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    _, number, uses = np.unique(every, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    many = uses[number] > 1
+    number, owner = number[many], owner[many]
+    order = np.argsort(number, kind="stable")
+    holders, start = owner[order], np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(uses)))])
+    own = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sets)))])
+    cells, links, windows = cells.copy(), [], []
+    for z in np.flatnonzero(source).tolist():
+        other = target & (cells != cells[z]) & (100 * np.minimum(sizes, sizes[z]) >= percent * np.maximum(sizes, sizes[z]))
+        for away in windows:
+            other &= np.abs(away - away[z]) <= 1 - percent / 100 + 1e-9
+        if not other.any():
+            continue
+        mine = number[own[z] : own[z + 1]]
+        counts = start[mine + 1] - start[mine]
+        at = np.repeat(start[mine] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        shared = np.bincount(holders[at], minlength=len(sets))
+        total = sizes + sizes[z] - shared
+        if len(windows) < WINDOW_PIVOTS:
+            windows.append(1 - shared / total)
+        for y in np.flatnonzero(other & (100 * shared >= percent * total)).tolist():
+            if cells[y] != cells[z]:
+                links.append((z, y))
+                cells[cells == cells[y]] = cells[z]
+    return links
+
+
+def open_links(members: DataFrame, labels: DataFrame, sizes: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Stored links (a, b) between the cells of all regions that hold several.
+
+    A document shares ``least_shared`` regions with a partner, so without as many less one of its
+    largest regions it still shares one: those are all that it needs to be
+    looked up in, and of two documents it is enough that the one in the smaller
+    cell is. Regions in which nobody is looked up are left out.
+
+    Regions that hang together through their pivots are one. Of such a one,
+    documents outside the largest cell are dealt into blocks as sources and all
+    documents into blocks as targets, by their sizes; each pair of a source and a
+    target block is one group, so a group is bounded and a very large
+    region is many groups.
     """
     at = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    cells = at.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("cell"))
-    open_cells = cells.groupBy("shingle").agg(F.count(F.lit(1)).alias("cells"), F.max(F.struct("cell", "label")).alias("largest")).filter("cells > 1")
-    first = measured.select(F.col("b").alias("node"), F.col("a").alias("pivot"), (1 - F.col("shared") / F.col("total")).alias("away"))
-    region = (
-        at.join(open_cells.select("shingle", F.col("largest.label").alias("largest")), "shingle")
-        .join(sizes, "node")
-        .join(first, ["node", "pivot"], "left")
-        .select("shingle", "node", "label", "n", "largest", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("away")).alias("away"))
+    cells = at.select("node", "label").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("cell"))
+    larger = Window.partitionBy("node").orderBy(F.desc("documents"), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a row counts with all regions that are like it; the largest ones may be passed over
+    rows = at.join(cells, "label").join(sizes, "node").withColumn("looked_up", F.sum("alike").over(larger) > least_shared(F.col("n"), percent) - 1)
+    order = F.struct("cell", "label")
+    several = rows.groupBy("shingle").agg(F.max(order).alias("last"), F.min(F.when(F.col("looked_up"), order)).alias("first"))
+    at = stored(rows.join(several.filter("first < last").select("shingle"), "shingle").select("shingle", "node", "pivot", "label"), "jaccard-open")
+    whole = components(at.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    rows = at.select("node", F.col("label").alias("cell")).distinct().join(whole.withColumnRenamed("label", "region"), "node").join(sizes, "node")
+    rows = stored(rows, "jaccard-cells")
+    cells = rows.groupBy("region", "cell").agg(F.sum("n").alias("n"))
+    largest = cells.groupBy("region").agg(F.max(F.struct("n", "cell")).alias("top"), F.sum("n").alias("all"))
+    blocks = largest.select(
+        "region", F.col("top.cell").alias("largest"),
+        F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("target_blocks"),
+        F.greatest(F.ceil((F.col("all") - F.col("top.n")) / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("source_blocks"),
+    )
+    dealt = rows.join(blocks, "region").withColumns({"hash": F.xxhash64("node"), "minor": F.col("cell") != F.col("largest"), "grid": F.col("source_blocks") * F.col("target_blocks")})
+
+    def spread(df: DataFrame, own: str, other: str, source: F.Column, target: bool) -> DataFrame:
+        """Each row in its own block, against every block of the other kind."""
+        mine, every = F.pmod("hash", f"{own}_blocks"), F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+        roles = [source.alias("source"), F.lit(target).alias("target")]
+        return df.select("region", "node", "cell", *roles, mine.cast("int").alias(f"{own}_block"), every.alias(f"{other}_block"))
+
+    # where one group holds the whole region, a row takes both parts
+    small, large = dealt.filter("grid = 1"), dealt.filter("grid > 1")
+    both = (
+        spread(small, "target", "source", F.col("minor"), True)
+        .unionByName(spread(large.filter("minor"), "source", "target", F.lit(True), False))
+        .unionByName(spread(large, "target", "source", F.lit(False), True))
+        .join(shingles, "node")
     )
-    region = stored(region, "jaccard-open")
-    sources = region.filter("label <> largest and (away is null or away > 0)")
-    taken = sources.withColumn("rank", F.row_number().over(Window.partitionBy("shingle").orderBy("node"))).filter(F.col("rank") <= pivots)
-    return region, taken
+
+    def link(frame):
+        import pandas as pd
+
+        _, cells = np.unique(frame["cell"].to_numpy(), return_inverse=True)
+        sets = [np.asarray(s, dtype=np.int64) for s in frame["shingles"]]
+        found = link_cells(cells, frame["source"].to_numpy(dtype=bool), frame["target"].to_numpy(dtype=bool), sets, percent)
+        nodes = frame["node"].to_numpy()
+        return pd.DataFrame({"a": [nodes[a] for a, _ in found], "b": [nodes[b] for _, b in found]}, dtype="int64")
+
+    return stored(both.groupBy("region", "source_block", "target_block").applyInPandas(link, "a bigint, b bigint"), "jaccard-open-links")
 
 
 def near_duplicates(
@@ -292,25 +493,46 @@ def near_duplicates(
     its rows have one. Other columns are ignored.
     """
     named = name_sets(docs, size, key, text)
-    sets = named.filter("sketch is null").select("_key", "node", "n_shingles")
+    rows = _components(docs, named, size, percent, text)
+    smallest = rows.groupBy("label").agg(F.min("_key").alias("component_id"))
+    full = rows.join(smallest, "label").select(F.col("_key").alias("doc_id"), "n_shingles", "component_id")
+    empty = named.filter("sketch is null and n_shingles = 0")
+    return full.unionByName(empty.select(F.col("_key").alias("doc_id"), "n_shingles", F.col("_key").alias("component_id")))
+
+
+def _components(docs: DataFrame, named: DataFrame, size: int, percent: int, text: str) -> DataFrame:
+    """(_key, text_hash, n_shingles, label) of all rows with shingles; equal label: same component."""
+    sets = named.filter("sketch is null and n_shingles > 0").select("_key", "text_hash", "node", "n_shingles")
     rows = regions(docs, total_sketch(named), size, percent, text)
-    pairs, members = shared_regions(rows)
-    pairs = pairs.unionByName(members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))).distinct()
-    sizes = sets.filter("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n"))
+    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("n"))
+    members = shared_regions(rows, sizes, percent)
+    pairs = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()  # a star for each region
     todo = stored(_size_window(pairs, sizes, percent), "jaccard-pairs")
-    nodes = stored(members.select("node").unionByName(todo.select(F.col("a").alias("node"))).unionByName(todo.select(F.col("b").alias("node"))).distinct(), "jaccard-nodes")
-    own = stored(sizes.join(nodes, "node", "left_semi"), "jaccard-sizes")
+    nodes = stored(members.select("node").distinct(), "jaccard-nodes")
     shingles = candidate_sets(docs, named, nodes, size, text)
     measured = stored(distances(todo, shingles), "jaccard-distances")
     links = linked(measured, percent)
+    links = links.unionByName(open_links(members, components(links), sizes, shingles, percent))
     labels = components(links)
-    labels = join_open(members, labels, links, own, measured, shingles, percent)
-    low = sets.filter("n_shingles > 0").groupBy("node").agg(F.min("_key").alias("low"))
-    named_by = low.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = named_by.groupBy("label").agg(F.min("low").alias("component_id"))
-    component = named_by.join(smallest, "label").select("node", "component_id")
-    full = sets.filter("n_shingles > 0").join(component, "node").select(F.col("_key").alias("doc_id"), "n_shingles", "component_id")
-    return full.unionByName(sets.filter("n_shingles = 0").select(F.col("_key").alias("doc_id"), "n_shingles", F.col("_key").alias("component_id")))
+    return sets.join(labels, "node", "left").select("_key", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label"))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of each component with the smallest id (ties: of repeated ids one row stays); rows without words all stay.
+
+    A row with a null id stays only where its whole component has none: of such
+    a component one row stays. Texts are shuffled once.
+    """
+    columns = docs.columns
+    named = name_sets(docs, size, key, text)
+    rows = _components(docs, named, size, percent, text)
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("_key").isNull().alias("_null"), F.coalesce("_key", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))).alias("first"))
+    chosen = stored(first.select("first.*"), "jaccard-kept")
+    words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    parts = {"_null": F.col(key).isNull(), "_id": F.coalesce(F.col(key).cast("bigint"), F.lit(0)), "_hash": F.xxhash64(text)}
+    # equal rows (id and text) are one choice, of which one stays; join and choice share one shuffle
+    kept = docs.filter(words).withColumns(parts).join(chosen, list(parts), "left_semi").dropDuplicates(list(parts))
+    return kept.select(*columns).unionByName(docs.filter(~words))
 
 
 def _size_window(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -319,37 +541,6 @@ def _size_window(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return with_sizes.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b")
 
 
-def join_open(members: DataFrame, labels: DataFrame, links: DataFrame, sizes: DataFrame, measured: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
-    """Labels after all regions are joined: rounds of further pivots until no pair is open."""
-    window, pivots = 1 - percent / 100 + 1e-9, FIRST_PIVOTS
-    done = measured.select("a", "b")
-    while True:
-        region, taken = open_regions(members, labels, sizes, measured, pivots)
-        source = taken.select("shingle", F.col("node").alias("p"), F.col("label").alias("p_label"), F.col("n").alias("p_n"), F.col("away").alias("p_away"))
-        pairs = (
-            region.join(source, "shingle")
-            .filter("label <> p_label")
-            .filter(F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent)
-            .filter(F.coalesce(F.abs(F.col("away") - F.col("p_away")) <= window, F.lit(True)))
-            .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-            .distinct()
-        )
-        fresh = stored(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-        if not fresh.limit(1).count():
-            # pivots with nothing left to measure: others of their region may still have
-            if not taken.groupBy("shingle").agg(F.max("rank").alias("rank")).filter(F.col("rank") >= pivots).limit(1).count():
-                return labels
-            pivots *= 4
-            continue
-        found = stored(distances(fresh, shingles), "jaccard-distances")
-        done = stored(done.unionByName(fresh), "jaccard-done")
-        new = linked(found, percent)
-        if new.limit(1).count():
-            links = stored(links.unionByName(new), "jaccard-all-links")
-            labels = components(links)
-        pivots *= 4
-
-
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (5-word shingles, similarity 0.75)."""
     return near_duplicates(table(spark, sf_dir, "documents"))
