@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vistra.fixtures import load_table
 from vistra.session import scratch_path
@@ -43,6 +44,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def draw_rows(df: DataFrame, n: int, *by: str) -> list:
+    """Up to ``n`` rows of ``df``, drawn by a hash of the columns ``by`` and the row's place.
+
+    A threshold on the hash leaves about 4 n rows first, so that what reaches the
+    driver does not grow with the number of tasks.
+    """
+    total = df.count()
+    hashed = df.withColumn("_draw", F.xxhash64(*by, F.monotonically_increasing_id()))
+    if total > 4 * n:
+        hashed = hashed.filter(F.pmod("_draw", F.lit(2**32)) < int(4 * n / total * 2**32))
+    return hashed.orderBy("_draw").limit(n).collect()
+
+
 def process_value(key, make):
     """``make()``, once in each Python worker process.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.llm.common import table, texts_of
+from vistra.llm.common import draw_rows, table, texts_of
 
 # --- fixed values: HTML's element kinds and common names of page parts -----------------
 INLINE = set(
@@ -367,7 +367,7 @@ def train(pages: list[list[Block]], variants: int = VARIED_PAGES, seed: int = 3,
 
 def fit_labeller(pages: DataFrame, rows: int = FIT_PAGES, text: str = "html") -> dict[str, np.ndarray]:
     """A labeller from ``rows`` pages drawn by hash (they and the training are bounded)."""
-    drawn = pages.filter(f"{text} is not null").select(text).orderBy(F.xxhash64(text)).limit(rows).collect()
+    drawn = draw_rows(pages.filter(F.col(text).isNotNull()).select(text), rows, text)
     return train([parse_blocks(r[0][:1_000_000]) for r in drawn])
 
 
