@@ -277,6 +277,7 @@ def find_pii(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text: s
         .groupBy("_row")
         .agg(F.collect_list(F.struct(F.col("kind").cast("int").alias("kind"), "start", "end")).alias("added"))
     )
+    added = stored(added, "pii-added")  # its size is known then, and a small one is not worth a shuffle of all rows
     every = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(_SPANS))))
     joined = found.join(added, "_row", "left").withColumn("spans", every)
     names = {f"_keep{i}": c for i, c in enumerate(keep)}
