@@ -69,6 +69,27 @@ def process_value(key, make):
     return store[key]
 
 
+def trimmed(function):
+    """``function`` for mapInArrow; when a task ends, its worker gives free memory back.
+
+    Workers serve many tasks of many queries, and allocators keep what one of them
+    needed at its peak.
+    """
+
+    def run(batches):
+        import ctypes
+        import gc
+
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The batch's texts; a null text counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
@@ -136,6 +157,10 @@ class WordEncoder:
             self.ends[i] = token.endswith("</w>")
         self.cache: dict[str, bytes] = {"": b""}
 
+    def forget(self) -> None:
+        """Drop the words a task has learned but for some 50,000, for a next task to begin with."""
+        self.cache = dict(list(self.cache.items())[:50_000])
+
     def _plain(self, words: list[str]) -> None:
         """Encode lower-case plain words in one call; an id that ends a word ends it."""
         ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=self.dtype)

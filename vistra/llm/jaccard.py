@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import Words, in_groups, mix64, stored, table, texts_of
+from vistra.llm.common import Words, in_groups, mix64, stored, table, texts_of, trimmed
 
 SHINGLE = 5
 PERCENT = 75
 # Cells of the count sketch that orders shingles, and bits of the sets of hashes
 # that spare a shuffle of rows without a partner. They bound what is broadcast
-# (1 MB, 16 MB and 32 MB); results do not depend on them.
-SKETCH_CELLS = 1 << 20
+# (4 MB, 16 MB and 32 MB); results do not depend on them.
+SKETCH_CELLS = 1 << 22
 FILTER_BITS = 1 << 27
 # Shingles in one block of a region; a document with more is a block of its own.
 BLOCK_SHINGLES = 200_000
@@ -124,7 +124,7 @@ def name_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
         for batch in batches:
             sets = shingle_sets(texts_of(batch, "_text"), size)
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            cells += np.bincount((every % np.uint64(SKETCH_CELLS)).astype(np.int64), minlength=SKETCH_CELLS).astype(np.uint32)
+            np.add.at(cells, every % np.uint64(SKETCH_CELLS), np.uint32(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_key"), batch.column("text_hash"), pa.array([set_name(s) for s in sets], pa.int64()),
@@ -135,7 +135,7 @@ def name_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
         if cells.any():
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4 + [pa.array([zlib.compress(cells.tobytes(), 1)], pa.binary())], schema=schema)
 
-    return stored(source.mapInArrow(name, "_key bigint, text_hash bigint, node bigint, n_shingles bigint, sketch binary"), "jaccard-sets")
+    return stored(source.mapInArrow(trimmed(name), "_key bigint, text_hash bigint, node bigint, n_shingles bigint, sketch binary"), "jaccard-sets")
 
 
 def total_sketch(rows: DataFrame) -> np.ndarray:
@@ -156,7 +156,7 @@ def total_sketch(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)], pa.binary())], names=["sketch"])
 
     sketches = rows.filter("sketch is not null").select("sketch")
-    out = sketches.repartition(8).mapInArrow(add, "sketch binary").coalesce(1).mapInArrow(add, "sketch binary").collect()
+    out = sketches.repartition(8).mapInArrow(trimmed(add), "sketch binary").coalesce(1).mapInArrow(trimmed(add), "sketch binary").collect()
     if not out:
         return np.zeros(SKETCH_CELLS, np.uint8)
     import zlib
@@ -192,7 +192,7 @@ def regions(docs: DataFrame, rank: np.ndarray, size: int, percent: int, text: st
                 )
 
     source = docs.select(F.col(text).cast("string").alias("_text"))
-    return stored(source.mapInArrow(place, "shingle bigint, node bigint"), "jaccard-regions")
+    return stored(source.mapInArrow(trimmed(place), "shingle bigint, node bigint"), "jaccard-regions")
 
 
 def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -252,8 +252,8 @@ def repeated_bits(rows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
         return add
 
-    parts = rows.select("shingle").mapInArrow(places, ddl).repartition(4).mapInArrow(joined(True), ddl)
-    (whole,) = parts.coalesce(1).mapInArrow(joined(False), ddl).select("more").collect()
+    parts = rows.select("shingle").mapInArrow(trimmed(places), ddl).repartition(4).mapInArrow(trimmed(joined(True)), ddl)
+    (whole,) = parts.coalesce(1).mapInArrow(trimmed(joined(False)), ddl).select("more").collect()
     return bit_set(whole["more"], False)
 
 
@@ -275,7 +275,7 @@ def _filtered(rows: DataFrame, words: np.ndarray) -> DataFrame:
             else:
                 yield batch.filter(pa.array(_in_filter(words, keys)))
 
-    return rows.mapInArrow(keep, "shingle bigint, node bigint")
+    return rows.mapInArrow(trimmed(keep), "shingle bigint, node bigint")
 
 
 def _in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -350,7 +350,7 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
             )
 
     # the few sets that the bit set lets through besides are of no node that is asked for
-    return stored(source.mapInArrow(build, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")
+    return stored(source.mapInArrow(trimmed(build), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import stored, table, texts_of, word_encoder
+from vistra.llm.common import stored, table, texts_of, trimmed, word_encoder
 
 SIZE = 2048
 
@@ -108,10 +108,11 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: st
                 [pa.array(np.full(len(n), shard, np.int32)), batch.column("_key"), pa.array(n), pa.array(before), pa.array(rest.astype(np.int32)), pa.array(ranks), pa.array(ids, pa.binary())],
                 schema=schema,
             )
+        encoder.forget()
 
     source = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).cast("string").alias("_text"))
     ddl = "shard int, doc_id bigint, n_tokens bigint, whole_before bigint, rest int, rest_rank bigint, ids binary"
-    return stored(source.mapInArrow(encode, ddl), "packing-tokens")
+    return stored(source.mapInArrow(trimmed(encode), ddl), "packing-tokens")
 
 
 def pack_documents(
@@ -177,7 +178,7 @@ def pack_documents(
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return placed.mapInArrow(pieces, "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    return placed.mapInArrow(trimmed(pieces), "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
 def op3_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
