@@ -85,6 +85,20 @@ def test_edited_copies_are_found_and_clean_text_is_not(spark, block_chars):
     assert left == {*range(40, 60), 70, 71, 72}
 
 
+def test_copies_edited_where_n_grams_are_rare(spark):
+    # the exact copy makes the n-grams that the edits broke the rarer ones
+    words = [f"w{i}" for i in range(15)]
+    copies = [" ".join(f"new{k}x{i}" if i in (2, 6, 10, 14) else w for i, w in enumerate(words)) for k in range(30)]
+    docs = list(enumerate([" ".join(words), *copies, "w0 w1 w2 and other words"]))
+    items = [(1, " ".join(words))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): round(r.score, 9) for r in d.find_leaks(df, bench).collect()}
+    assert got == brute(docs, items)
+    assert {k for k, _ in got} == set(range(31))
+    assert [r.doc_id for r in d.drop_leaks(df, bench).collect()] == [31]
+
+
 def test_odd_rows(spark, odd_docs):
     bench = spark.createDataFrame([(1, "words and more words")], "item_id bigint, text string")
     got = d.find_leaks(odd_docs, bench).collect()

@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Every run of ``n`` words of a benchmark item is looked for in every whole text;
-where some occur, the passage around them is kept. Counts over all passages say
-which n-grams are rare: of every ``spread`` neighbouring ones of an item, the
-rarest becomes a seed (relative to the item, so an item that leaked into many
-documents keeps its seeds). Seeds join passages to items, and a local alignment
-of words scores each pair, so that edited copies count by what is left of them.
+where some occur, the passage around them is kept. Each of them is a seed: a
+choice per item, by rarity say, would leave out the n-grams that some edited
+copy has kept. Seeds join passages to items, and a local alignment of words
+scores each pair, so that edited copies count by what is left of them.
 
 Words are runs of non-blank characters in lower case without punctuation at
 their ends. Alignment: 2 for a word in common, -1 for another word or a gap;
@@ -17,13 +16,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistra.llm.common import mix64, stored, table, texts_of
 
 SEED_WORDS = 3
-SPREAD = 2
 LEAST_SCORE = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
 # The benchmark is worked through in blocks of about so many characters; one
@@ -178,18 +176,14 @@ def gram_hashes_at(codes: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def rare_seeds(spark: SparkSession, items: list[tuple], codes: WordCodes, found: DataFrame, n: int, spread: int) -> DataFrame:
-    """Distinct (item, gram): of each ``spread`` neighbouring n-grams that occur, the rarest."""
-    rows = [(i, p, g) for i, x in enumerate(codes.items) for p, g in enumerate(gram_hashes(x, n).tolist())]
-    grams = spark.createDataFrame(rows, "item int, place int, gram bigint")
-    counts = found.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("passages"))
-    ahead = Window.partitionBy("item").orderBy("place").rowsBetween(0, spread - 1)
-    rarest = F.min(F.struct("passages", "gram")).over(ahead)
-    return grams.join(counts, "gram").select("item", rarest["gram"].alias("gram")).distinct()
+def seeds_of(spark: SparkSession, codes: WordCodes, n: int) -> DataFrame:
+    """Distinct (item, gram): all n-grams of each item."""
+    rows = [(i, g) for i, x in enumerate(codes.items) for g in np.unique(gram_hashes(x, n)).tolist()]
+    return spark.createDataFrame(rows, "item int, gram bigint")
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, spread: int = SPREAD, least: float = LEAST_SCORE, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS
+    docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = LEAST_SCORE, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """One row per row of ``docs`` and item it leaks: doc_id, text_hash, item_id, score, start_word, end_word.
 
@@ -206,15 +200,15 @@ def find_leaks(
         # about block_chars characters: a bounded share of the benchmark
         block = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()]
         block = [r for r in block if len(WordCodes.words(r[1])) >= n]
-        part = _leaks_of_block(spark, docs, block, n, spread, least, key, text)
+        part = _leaks_of_block(spark, docs, block, n, least, key, text)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _leaks_of_block(spark, docs, block, n, spread, least, key, text) -> DataFrame:
+def _leaks_of_block(spark, docs, block, n, least, key, text) -> DataFrame:
     codes = WordCodes([r[1] for r in block])
     found = passages(docs, codes, n, key, text)
-    seeds = rare_seeds(spark, block, codes, found, n, spread)
+    seeds = seeds_of(spark, codes, n)
     # at most one row per n-gram of the block
     pairs = found.select("passage", F.explode("grams").alias("gram")).join(F.broadcast(seeds), "gram").select("passage", "item").distinct()
     shared = spark.sparkContext.broadcast((codes.items, [r[0] for r in block]))
