@@ -84,6 +84,54 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert all(rows[i].n_email == 1 for i in range(40))
 
 
+def unseen(text):
+    return [text[a:b] for _, a, b, _, _ in (m for m in pii.mentions(text, pii.base_spans(text)) if m[0] < 0)]
+
+
+def test_likely_identifiers_have_the_shape_of_seeds():
+    assert unseen("call 663 555 6869 for") == ["663 555 6869"]
+    assert unseen("call (663) 555-6869, or (663 555 6869).") == ["(663) 555-6869", "663 555 6869"]
+    assert unseen("card 4111 1111 1111 1112 no") == ["4111 1111 1111 1112"]
+    assert unseen("to bob at host dot org for") == ["bob at host dot org"]
+    assert unseen("to bob dot b [at] host(dot)co.uk. At home") == ["bob dot b [at] host(dot)co.uk"]
+    assert unseen("663 - 555 / 6869 and 12 . 34 . 56") == ["663 - 555 / 6869", "12 . 34 . 56"]
+    assert unseen("x" * 70 + "@localhost") == ["x" * 70 + "@localhost"]
+    assert unseen("serial AB1234567, 12 34\n56 78, look at 10.30 at home. Dot") == ["AB1234567"]
+    assert unseen("a.b@c.de 663 555 6869 1.2.3.4 123 4567") == ["663 555 6869", "123 4567"]
+    for t in ("1 " * 100_000, "a at " * 50_000, "a dot " * 50_000 + "at b dot c", "( " * 100_000, "at " + " " * 200_000, "a at b dot " * 30_000, "(1) - " * 50_000, "at b.c " * 50_000):
+        pii.mentions(t, pii.base_spans(t))
+
+
+def test_identifiers_of_several_tokens_are_found_and_masked(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(20):
+        rows.append((i, f"please call us on +1 ({rng.randint(200, 999)}) 555-{1000 + i} for a quote {i}", ""))
+        rows.append((100 + i, f"now write to user{i}@mail{i}.example.com with your details {i}", ""))
+        digits = f"411111{rng.randint(10**8, 10**9 - 1)}"
+        digits += next(c for c in "0123456789" if pii.luhn(digits + c))
+        rows.append((200 + i, f"pay with card {digits[:4]} {digits[4:8]} {digits[8:12]} {digits[12:]} before the end {i}", ""))
+    rows += [
+        (300, "please call us on 663 555 6869 for a quote", "please call us on [PHONE] for a quote"),
+        (301, "please call us on (663) 555-6869 for a quote", "please call us on [PHONE] for a quote"),
+        (302, "pay with card 4111 1111 1111 1112 before the end", "pay with card [CARD] before the end"),
+        (303, "now write to bob at host dot org with your details", "now write to [EMAIL] with your details"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, want string")
+    found = pii.mask_spans(pii.find_pii(docs, keep=["doc_id", "text", "want"]).filter("doc_id >= 300")).collect()
+    assert len(found) == 4
+    assert [(r.doc_id, r.text) for r in found if r.text != r.want] == []
+
+
+def test_rounds_go_on_until_nothing_new_is_sure(spark):
+    # what a round finds makes the patterns of the next one good, five times
+    sizes = [5 ** (6 - k) for k in range(6)]
+    rows = [(0 if k == 0 else -1, f"v{k}-{i}", [f"p{k + s}-{j}" for s in (0, 1) for j in (0, 1)]) for k, n in enumerate(sizes) for i in range(n)]
+    seen = spark.createDataFrame(rows, "kind int, value string, patterns array<string>")
+    sure, _ = pii.bootstrap(seen)
+    assert sorted((r.value, r.kind) for r in sure.collect()) == sorted((v, 0) for kind, v, _ in rows if kind < 0)
+
+
 def test_odd_rows_and_masks(spark, odd_docs):
     extra = spark.createDataFrame([(50, "call +1 (663) 555-6869 or mail a.b@c.de, card 4465758382889437", "z", 1)], odd_docs.schema)
     docs = odd_docs.unionByName(extra)

@@ -1,13 +1,14 @@
 """Personal data: exact rules, and contextual extraction bootstrapped from them.
 
 The rules' finds are the seed entities. Around each seed and around every other
-identifier-like token stand lexical patterns (the words before, after, and on
-both sides). Patterns and instances (token values) form a graph, and Spark
-scores it in rounds: a pattern is as good for a kind as the share of its
-different instances that are known to be of that kind, and an instance as
-sure as its patterns together make it. Sure instances join the known ones for
-the next round. What the last round holds sure and the rules did not see is
-added to the spans; the rules' spans always stay.
+identifier-like run (numbers with blanks, brackets, dots and hyphens, tokens
+with an @ or many digits, spelled-out addresses) stand lexical patterns (the
+words before, after, and on both sides). Patterns and instances (the runs'
+values) form a graph, and Spark scores it in rounds: a pattern is as good for a
+kind as the share of its different instances that are known to be of that kind,
+and an instance as sure as its patterns together make it. Sure instances join
+the known ones for the next round, until a round finds no new one. What is sure
+and the rules did not see is added to the spans; the rules' spans always stay.
 """
 
 from __future__ import annotations
@@ -37,11 +38,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LEAST_SEEDS = 5
 LEAST_SHARE = 0.8
 SURE = 0.95
-ROUNDS = 3
-# What may be an identifier: a token of at most LONGEST characters with an @ or
-# at least LEAST_DIGITS digits.
+# What may be an identifier: a spelled-out address, a token with an @, or a token
+# or a run of numbers with at least LEAST_DIGITS digits.
 LEAST_DIGITS = 6
-LONGEST = 64
 _EDGES = "\"'()[]{}<>.,;:!?"
 
 
@@ -130,40 +129,124 @@ def _after(text: str, at: int, n: int = 2) -> list[str]:
     return [_word(w) for w in words[:n]]
 
 
-def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """(kind or -1, start, end, value, patterns) of seeds and of other likely tokens.
+_NUMBER = re.compile(r"\+?[0-9][0-9().\[\]/+–-]*+")
+# Between the numbers of a run, on one line: a bracket, blanks, a hyphen, slash or lone dot.
+_JOIN = re.compile(r"[)\]]?+[ \t\xa0]*+(?:[/–-]|(?<=[ \t\xa0])\.(?=[ \t\xa0]))?+[ \t\xa0]*+[(\[]?+")
+_BLANKS = " \t\xa0"
+_AT = re.compile(r"[\[({][ \t\xa0]*+(?:[aA][tT]|@)[ \t\xa0]*+[\])}]|(?<=[ \t\xa0])(?:[aA][tT]|@)(?=[ \t\xa0])")
+_SPELLED = re.compile(
+    r"[ \t\xa0]*+[A-Za-z0-9-]++"
+    r"(?:(?:\.|[ \t\xa0]*+[\[({][ \t\xa0]*+(?:[dD][oO][tT]|\.)[ \t\xa0]*+[\])}][ \t\xa0]*+|[ \t\xa0]++[dD][oO][tT][ \t\xa0]++)[A-Za-z0-9-]++)++"
+)
+
+
+def _back(text: str, at: int, least: int, over) -> int:
+    while at > least and text[at - 1] in over:
+        at -= 1
+    return at
+
+
+def _dot_before(text: str, at: int, least: int) -> int:
+    """Where a spelled-out dot (in brackets or between blanks) that ends at ``at`` begins; -1: there is none."""
+    end = _back(text, at, least, _BLANKS)
+    bracket = end > least and text[end - 1] in "])}"
+    word = _back(text, end - 1, least, _BLANKS) if bracket else end
+    if word - 3 < least or text[word - 3 : word].lower() != "dot":
+        return -1
+    start = _back(text, word - 3, least, _BLANKS)
+    if bracket:
+        return _back(text, start - 1, least, _BLANKS) if start > least and text[start - 1] in "[({" else -1
+    return start if end < at and start < word - 3 else -1
+
+
+def spelled_addresses(text: str) -> list[tuple[int, int]]:
+    """Addresses such as ``bob at host dot org`` or ``bob[at]host.org``."""
+    out, last = [], 0
+    for m in _AT.finditer(text):
+        domain = _SPELLED.match(text, m.end())
+        if domain and m.start() >= last and not domain[0][-1].isdigit():
+            end = _back(text, m.start(), last, _BLANKS)
+            start = _back(text, end, last, _LOCAL)
+            if start < end:
+                while (dot := _dot_before(text, start, last)) >= 0 and (further := _back(text, dot, last, _LOCAL)) < dot:
+                    start = further
+                out.append((start, domain.end()))
+                last = domain.end()
+                continue
+        last = max(last, m.end())
+    return out
+
+
+def likely_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Identifier-like runs in order, apart from tokens that overlap ``taken`` (sorted spans)."""
+    out: list[tuple[int, int]] = []
+    run: list[int] = []  # start and end of the run of numbers so far
+
+    def flush():
+        if run:
+            start, end = run
+            if len(_digits(text[start:end])) >= LEAST_DIGITS:
+                # the bracket of a number's first part belongs to it: (663) 555-6869
+                for left, right in ("()", "[]"):
+                    inner = text[start:end]
+                    if start and text[start - 1] == left and inner.count(right) > inner.count(left):
+                        start -= 1
+                out.append((start, end))
+            run.clear()
 
-    A seed that lies within another one (a card's digits in a phone, say) and
-    a token that overlaps any seed gives no mention.
-    """
-    if not base and not _LIKELY.search(text):
-        return []
-    found, last = [], -1
-    for start, _, end, kind in sorted((s, -e, e, k) for k, s, e in base):
-        if start >= last:
-            found.append((kind, start, end))
-            last = end
-    taken = [(s, e) for _, s, e in found]
     at, seen = 0, 0
     for hit in _LIKELY.finditer(text):
         if hit.start() < seen:
             continue
-        start = end = hit.start()
+        start = hit.start()
         while start > seen and not text[start - 1].isspace():
             start -= 1
-        run = _RUN.match(text, start)
-        end = seen = run.end()
+        first, end = start, _RUN.match(text, start).end()
+        seen = end
         while start < end and text[start] in _EDGES:
             start += 1
         while end > start and text[end - 1] in _EDGES:
             end -= 1
-        while at < len(taken) and taken[at][1] <= start:
+        while at < len(taken) and taken[at][1] <= first:
             at += 1
         if at < len(taken) and taken[at][0] < seen:
+            flush()
             continue
+        if _NUMBER.fullmatch(text, start, end):
+            if run and _JOIN.match(text, run[1]).end() == start:
+                run[1] = end
+            else:
+                flush()
+                run += [start, end]
+            continue
+        flush()
         value = text[start:end]
-        if len(value) <= LONGEST and ("@" in value or len(_digits(value)) >= LEAST_DIGITS):
+        if "@" in value or len(_digits(value)) >= LEAST_DIGITS:
+            out.append((start, end))
+    flush()
+    return out
+
+
+def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
+    """(kind or -1, start, end, value, patterns) of seeds and of other likely identifiers.
+
+    A seed that lies within another one (a card's digits in a phone, say) and
+    what overlaps any seed gives no mention.
+    """
+    found, last = [], -1
+    for start, _, end, kind in sorted((s, -e, e, k) for k, s, e in base):
+        if start >= last:
+            found.append((kind, start, end))
+            last = end
+    taken, at, seeds = [(s, e) for _, s, e in found], 0, len(found)
+    for start, end in spelled_addresses(text):
+        while at < seeds and taken[at][1] <= start:
+            at += 1
+        if at == seeds or taken[at][0] >= end:
             found.append((-1, start, end))
+    if len(found) > seeds:
+        taken = sorted((s, e) for _, s, e in found)
+    found += [(-1, s, e) for s, e in likely_spans(text, taken)]
     out = []
     for kind, start, end in sorted(found, key=lambda x: x[1]):
         left, right = _before(text, start), _after(text, end)
@@ -234,25 +317,26 @@ def score_instances(edges: DataFrame, patterns: DataFrame) -> DataFrame:
     return best.select("value", (-F.col("best.col2")).alias("kind"), F.col("best.sure").alias("sure"))
 
 
-def bootstrap(seen: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def bootstrap(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(instances found sure: value, kind, sure; the last round's patterns) from mentions.
 
     ``seen``: kind (-1: unknown), value, patterns. A value that the rules know
-    under any kind is known; rounds end early when nothing new is sure.
+    under any kind is known; an instance once sure stays so, and rounds go on
+    until nothing new is sure.
     """
     edges = stored(seen.select(F.explode("patterns").alias("pattern"), "value").distinct(), "pii-edges")
     seeds = seen.filter("kind >= 0").groupBy("value").agg(F.min("kind").alias("kind"))
-    seeds = stored(seeds, "pii-seeds")
-    found, patterns, before = None, score_patterns(edges, seeds), 0
-    unknown = edges.join(seeds, "value", "left_anti")
-    for _ in range(rounds):
-        found = stored(score_instances(unknown, patterns).filter(F.col("sure") >= SURE), "pii-found")
-        now = found.count()
-        if now <= before:
-            break
-        before = now
-        patterns = score_patterns(edges, seeds.unionByName(found.select("value", "kind")))
-    return found, patterns
+    known = stored(seeds, "pii-seeds")
+    unknown = edges.join(known, "value", "left_anti")
+    found, patterns = None, score_patterns(edges, known)
+    while True:
+        sure = score_instances(unknown, patterns).filter(F.col("sure") >= SURE)
+        new = stored(sure if found is None else sure.join(found, "value", "left_anti"), "pii-found")
+        found = new if found is None else found.unionByName(new)
+        if new.isEmpty():
+            return found, patterns
+        known = known.unionByName(new.select("value", "kind"))
+        patterns = score_patterns(edges, known)
 
 
 def span_text(spans: F.Column) -> F.Column:
@@ -260,7 +344,7 @@ def span_text(spans: F.Column) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_pii(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find_pii(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with doc_id, the columns named in ``keep``, ``base`` and ``spans``.
 
     Spans are (kind index, start, end) in code points, end exclusive, by kind
@@ -268,7 +352,7 @@ def find_pii(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text: s
     """
     found = stored(scan(docs, list(keep), key, text), "pii-scan")
     seen = found.filter(F.size("mentions") > 0).select("_row", F.explode("mentions").alias("m")).select("_row", "m.*")
-    sure, _ = bootstrap(seen.select("kind", "value", "patterns"), rounds)
+    sure, _ = bootstrap(seen.select("kind", "value", "patterns"))
     # the rules' own spans are already there; these are the others, a few per row
     added = (
         seen.filter("kind < 0")
