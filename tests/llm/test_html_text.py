@@ -25,6 +25,23 @@ def test_blocks_of_odd_markup():
     assert blocks('<div title="a > b">t</div></div></p><p>u') == [("div", "t"), ("p", "u")]
 
 
+def test_no_element_takes_the_rest_of_the_page():
+    for head in ("<head><title>x</title><body>", "<head><meta charset=u><title>x</title><style>a{}</style>", "<HEAD><script>1</script>", "<head><title>x</title></head><body>", "<head>"):
+        assert [b.text for b in h.parse_blocks(f"<html>{head}<article><p>one<p>two</article>")] == ["one", "two"], head
+    assert [b.text for b in h.parse_blocks("<head><title>x</title>words<p>y")] == ["words", "y"]
+    for tag in ("<svg/>", '<svg class="i" />', "<canvas>", "<iframe src=x>", "<template>", "<noscript>", "<object data=x>", "<svg>", "<math/>"):
+        text = " ".join(b.text for b in h.parse_blocks(f"<article><p>one {tag}</p><p>two</p></article><p>three"))
+        assert text == "one two three", tag
+    # an end tag further on belongs to its own element
+    assert " ".join(b.text for b in h.parse_blocks("<p>one<canvas><p>two<canvas>no</canvas><p>three")) == "one two three"
+    assert " ".join(b.text for b in h.parse_blocks("<p>one<svg><svg><text>no</text></svg>no</svg><p>two<svg/><p>three<svg>no</svg>")) == "one two three"
+    assert blocks("<head><noscript><p>no</noscript><body><p>a<iframe>no</iframe>") == [("p", "a")]
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>"
+    assert blocks(f"<p>so {formula} and <object data=y><param name=z>shown</object> end") == [("p", "so x=1 and shown end")]
+    assert blocks("<script>if(a<b) // don't\n</script><p>it's</p><p>b") == [("p", "it's"), ("p", "b")]
+    h.parse_blocks("<canvas>" * 20_000 + "<svg>" * 20_000)
+
+
 def test_unclosed_inline_elements_end_with_their_block():
     paths = [b.path for b in h.parse_blocks("<article><p><b>a.<br><p>b</p></article><footer>c")]
     assert paths == [("article", "p", "b"), ("article", "p"), ("footer",)]

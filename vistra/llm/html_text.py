@@ -29,10 +29,14 @@ from vistra.llm.common import draw_rows, table, texts_of
 
 # --- fixed values: HTML's element kinds and common names of page parts -----------------
 INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img object param "
+    # formulas
+    "math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "canvas", "object", "head")
+RAW = ("script", "style")  # without an end tag they reach to the end of the page
+UNSEEN = ("noscript", "template", "iframe", "svg", "canvas", "annotation", "annotation-xml")  # with an end tag; else they are like others
+IN_HEAD = ("meta", "link", "base", "basefont", "bgsound", "html", "head")
 MAIN_NAMES = "article main content post entry story body-text article-body post-content entry-content".split()
 OTHER_NAMES = (
     "nav navigation menu navbar breadcrumb breadcrumbs header masthead footer sidebar aside widget related notice cookie cookies consent banner alert "
@@ -54,6 +58,7 @@ NUMBERS = 4
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
 _NAME_PART = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
 
 
@@ -72,18 +77,44 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _after_raw(page: str, tag: str, at: int) -> int:
+    """Where the page goes on after a script or style whose start tag ends at ``at``."""
+    end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _hidden_ends(page: str) -> dict[int, int]:
+    """Start of each hidden element that has an end tag of its own, and where it ends."""
+    ends: dict[int, int] = {}
+    starts: dict[str, list[int]] = {tag: [] for tag in UNSEEN}
+    at = 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        tag = m[2].lower() if m[2] else ""
+        if tag in RAW and not m[1]:
+            at = _after_raw(page, tag, at)
+        elif tag in starts:
+            if not m[1]:
+                if not (tag == "svg" and m[3].endswith("/")):
+                    starts[tag].append(m.start())
+            elif starts[tag]:
+                ends[starts[tag].pop()] = m.end()
+    return ends
+
+
 def parse_blocks(page: str) -> list[Block]:
     """Blocks of a page in order, with text (references decoded, white space single) and path.
 
     Broken markup is taken as browsers roughly do: a block element closes an
     open paragraph, an end tag closes what is open inside it, and one without a
-    start is ignored.
+    start is ignored. A head ends where the first other content begins.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     links: list[str] = []
-    in_link, at, skip = 0, 0, None
+    in_link, at, in_head = 0, 0, False
+    hidden: dict[int, int] | None = None
 
     def flush():
         if parts:
@@ -99,11 +130,10 @@ def parse_blocks(page: str) -> list[Block]:
             in_link -= tag == "a"
         del stack[upto:]
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             run = page[at : m.start()]
+            in_head = in_head and run.isspace()
             parts.append(run)
             if in_link:
                 links.append(run)
@@ -111,6 +141,17 @@ def parse_blocks(page: str) -> list[Block]:
         if not m[2]:
             continue
         tag = m[2].lower()
+        if tag == "head":
+            flush()
+            in_head = not m[1]
+            continue
+        if in_head:
+            if m[1] and tag not in ("body", "html") or tag in IN_HEAD:
+                continue
+            if tag == "title" and (end := _TITLE_END.search(page, at)):
+                at = end.end()
+                continue
+            in_head = tag in (*RAW, "noscript", "template")
         if m[1]:
             if tag not in INLINE:
                 flush()
@@ -123,9 +164,20 @@ def parse_blocks(page: str) -> list[Block]:
             continue
         if tag in RAW:
             flush()
-            skip = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = skip.end() if skip else len(page)
+            at = _after_raw(page, tag, at)
             continue
+        if tag in UNSEEN:
+            if hidden is None:
+                hidden = _hidden_ends(page)
+            if m.start() in hidden:
+                if tag not in INLINE:
+                    flush()
+                at = hidden[m.start()]
+                continue
+            in_head = False
+            if tag == "svg" and m[3].endswith("/"):
+                flush()
+                continue
         if tag in INLINE:
             if tag == "br":
                 parts.append(" ")
