@@ -71,6 +71,12 @@ def test_padding_changes_nothing():
         assert p == pytest.approx(h.predict(model, [page])[0])
 
 
+def test_features_read_all_words_of_a_block():
+    block = h.Block(("p",), "a " * 1500 + "end", 0)
+    at, slot = h.Features([[block]]).words
+    assert len(at) == 1501 and slot[-1] == h._slot("end", h.WORD_SLOTS)
+
+
 def article(page):
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
     inner = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1)>", "\n", inner.replace("<br>", " ")))

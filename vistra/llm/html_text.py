@@ -53,7 +53,6 @@ FIT_BLOCKS = 120
 VARIED_PAGES = 3000  # variants seen in training, however few pages there are
 PATH_SLOTS, WORD_SLOTS = 1024, 512
 PATH_SIZE, WORD_SIZE, HIDDEN = 16, 8, 16
-WORDS_READ = 64  # words of a block that feed its features; its text is always whole
 NUMBERS = 4
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
@@ -246,7 +245,7 @@ class Features:
                         slots[n] = _slot(n, PATH_SLOTS)
                     path_at.append(cell)
                     path_slot.append(slots[n])
-                for w in b.text[: 16 * WORDS_READ].lower().split()[:WORDS_READ]:
+                for w in b.text.lower().split():
                     if w not in words:
                         words[w] = _slot(w, WORD_SLOTS)
                     word_at.append(cell)
