@@ -77,6 +77,21 @@ def test_features_read_all_words_of_a_block():
     assert len(at) == 1501 and slot[-1] == h._slot("end", h.WORD_SLOTS)
 
 
+def test_training_sees_all_parts_of_long_pages(spark, monkeypatch):
+    page = [h.Block(("p",), f"t{i}", 0) for i in range(400)]
+    seen, rng = set(), np.random.default_rng(1)
+    for _ in range(60):
+        (blocks,), (labels,), (places,) = h.vary([page], rng)
+        assert len(blocks) == len(labels) == len(places) <= h.FIT_BLOCKS + 9
+        own = [(int(b.text[1:]), x) for b, x in zip(blocks, places) if b.path == ("p",)]
+        assert all(abs(x - i / 400) < 0.03 for i, x in own)
+        seen |= {i for i, _ in own}
+    assert min(seen) < 20 and max(seen) > 380
+    monkeypatch.setattr(h, "train", lambda pages: pages)
+    long = spark.createDataFrame([("<p>" + "a " * 600_000 + "</p><footer>end</footer>",)], "html string")
+    assert [b.text for b in h.fit_labeller(long)[0]][1:] == ["end"]
+
+
 def article(page):
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
     inner = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1)>", "\n", inner.replace("<br>", " ")))

@@ -46,8 +46,8 @@ PARTS = [("ul", "li"), ("ol", "li"), ("table", "tr", "td"), ("table", "tr", "th"
 LEAVES = [(), ("p",), ("ul", "li"), ("div",), ("h3",), ("label",), ("button",)]
 # --- end of fixed values ----------------------------------------------------------
 
-# Bound of what the labeller is trained on: pages drawn by hash, and of a
-# page so many blocks.
+# Bound of what the labeller is trained on: whole pages drawn by hash; a variant of
+# a page with more blocks is a window of so many, drawn from anywhere in the page.
 FIT_PAGES = 300
 FIT_BLOCKS = 120
 VARIED_PAGES = 3000  # variants seen in training, however few pages there are
@@ -226,9 +226,12 @@ def numbers_of(block: Block, place: float) -> tuple[float, ...]:
 
 
 class Features:
-    """A batch of pages as padded arrays: path and word slots by block, numbers, and which cells are blocks."""
+    """A batch of pages as padded arrays: path and word slots by block, numbers, and which cells are blocks.
 
-    def __init__(self, pages: list[list[Block]]):
+    ``places``: each block's place in its page, where ``pages`` are parts of pages.
+    """
+
+    def __init__(self, pages: list[list[Block]], places: list[np.ndarray] | None = None):
         count, length = len(pages), max(1, max((len(p) for p in pages), default=1))
         self.mask = np.zeros((count, length), dtype=bool)
         self.numbers = np.zeros((count, length, NUMBERS))
@@ -239,7 +242,7 @@ class Features:
             self.mask[i, : len(page)] = True
             for j, b in enumerate(page):
                 cell = i * length + j
-                self.numbers[i, j] = numbers_of(b, j / len(page))
+                self.numbers[i, j] = numbers_of(b, places[i][j] if places else j / len(page))
                 for n in b.path:
                     if n not in slots:
                         slots[n] = _slot(n, PATH_SLOTS)
@@ -357,11 +360,18 @@ def gradients(model, features: Features, labels: np.ndarray) -> tuple[float, dic
     return float(loss), grads
 
 
-def vary(pages: list[list[Block]], rng: np.random.Generator) -> tuple[list[list[Block]], list[np.ndarray]]:
-    """Pages and labels to learn from: renamed wrappers, and other pages' blocks under the list's names."""
+def vary(pages: list[list[Block]], rng: np.random.Generator) -> tuple[list[list[Block]], list[np.ndarray], list[np.ndarray]]:
+    """Pages, labels and places in the whole page to learn from: renamed wrappers, and other pages' blocks under the list's names.
+
+    Of a page with more than FIT_BLOCKS blocks, a window from anywhere in it.
+    """
     pool = [b for page in pages for b in page]
-    out, labels = [], []
+    out, labels, places = [], [], []
     for page in pages:
+        first, total = 0, len(page)
+        if total > FIT_BLOCKS:
+            first = int(rng.integers(0, total - FIT_BLOCKS + 1))
+            page = page[first : first + FIT_BLOCKS]
         kept = [(b, weak_label(b.path)) for b in page]
         main = str(rng.choice(MAIN_NAMES))
         rename = rng.random() < 0.5
@@ -383,24 +393,24 @@ def vary(pages: list[list[Block]], rng: np.random.Generator) -> tuple[list[list[
             tag = str(rng.choice(["div", "section", "aside", name]))
             leaves = [LEAVES[int(rng.integers(len(LEAVES)))] for _ in inner]
             blocks[at:at] = [(Block((*around, *dict.fromkeys((tag, name)), *leaf), b.text, b.linked), 0) for b, leaf in zip(inner, leaves)]
-        blocks = blocks[:FIT_BLOCKS]
         out.append([b for b, _ in blocks])
+        places.append((first + np.arange(len(blocks))) / max(1, total + len(blocks) - len(page)))
         labels.append(np.array([y for _, y in blocks], dtype=np.int64))
-    return out, labels
+    return out, labels, places
 
 
 def train(pages: list[list[Block]], variants: int = VARIED_PAGES, seed: int = 3, batch: int = 25) -> dict[str, np.ndarray]:
     """A labeller trained on varied pages with Adam; bounded by FIT_PAGES and FIT_BLOCKS."""
     rng, model = np.random.default_rng(seed), new_model(seed)
     mean, square, step = {k: np.zeros_like(v) for k, v in model.items()}, {k: np.zeros_like(v) for k, v in model.items()}, 0
-    pages = [p[:FIT_BLOCKS] for p in pages if p]
+    pages = [p for p in pages if p]
     for _ in range(-(-variants // len(pages)) if pages else 0):
-        varied, labels = vary(pages, rng)
+        varied, labels, places = vary(pages, rng)
         order = np.argsort([len(p) + rng.random() for p in varied])
         groups = [order[i : i + batch] for i in range(0, len(order), batch)]
         for g in rng.permutation(len(groups)):
             part = [varied[i] for i in groups[g]]
-            features = Features(part)
+            features = Features(part, [places[i] for i in groups[g]])
             y = np.full(features.mask.shape, -1, dtype=np.int64)
             for i, k in enumerate(groups[g]):
                 y[i, : len(labels[k])] = labels[k]
@@ -419,7 +429,7 @@ def train(pages: list[list[Block]], variants: int = VARIED_PAGES, seed: int = 3,
 def fit_labeller(pages: DataFrame, rows: int = FIT_PAGES, text: str = "html") -> dict[str, np.ndarray]:
     """A labeller from ``rows`` pages drawn by hash (they and the training are bounded)."""
     drawn = draw_rows(pages.filter(F.col(text).isNotNull()).select(text), rows, text)
-    return train([parse_blocks(r[0][:1_000_000]) for r in drawn])
+    return train([parse_blocks(r[0]) for r in drawn])
 
 
 def extract_text(pages: DataFrame, model: dict[str, np.ndarray], keep: list[str] = ("page_id", "url"), text: str = "html") -> DataFrame:
