@@ -1,17 +1,62 @@
-"""Visit ⋈ person.
+"""Joins that hold when one key has a third of all rows.
 
-A plain equi-join: no hint and no look at the data while the query is built.
-Spark's statistics and, at run time, the measured shuffle sizes decide between
-a broadcast and a sort-merge join; in the latter AQE's skew handling splits the
-partition of a hot person id on the visit side (allowed for the left side of a
-LEFT OUTER join).
+``spread_join`` finds the heavy keys of the large side by a bounded sketch over
+its key column, deals the rows of such a key over several salts, and repeats
+the few rows of the other side that hold it, once a salt. Nothing depends on
+thresholds of the adaptive skew join. All of it is one lazy plan: the heavy keys
+are a table of at most ``MOST_HEAVY`` rows, broadcast to both sides.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is heavy from this share of the rows on, so there are fewer than 1 / share.
+HEAVY_SHARE = 1 / 500
+MOST_HEAVY = 500
+# Keys that the sketch follows: it misses a count by some total / 5,000 at most, a tenth of a heavy one.
+SKETCH_KEYS = 10_000
+# A salt of a heavy key holds about this share of the rows.
+SALT_SHARE = 1 / 1000
+
+
+def heavy_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """(_key, _salts) of the keys with a share of at least HEAVY_SHARE; keys by hash, nulls left out."""
+    keyed = rows.filter(" and ".join(f"`{c}` is not null" for c in on)).select(F.xxhash64(*on).alias("_hash"))
+    found = keyed.agg(
+        F.call_function("approx_top_k", F.col("_hash"), F.lit(MOST_HEAVY), F.lit(SKETCH_KEYS)).alias("top"), F.count(F.lit(1)).alias("rows")
+    )
+    top = found.select("rows", F.inline("top")).toDF("rows", "_key", "times")
+    heavy = top.filter(F.col("times") >= F.col("rows") * HEAVY_SHARE)
+    return heavy.select("_key", F.ceil(F.col("times") / (F.col("rows") * SALT_SHARE)).cast("int").alias("_salts"))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (inner or left) on equal columns ``on``, heavy keys of ``left`` dealt over salts.
+
+    A row's salt follows from a hash of all its columns, so a task that is run
+    again deals alike. Rows with a null key match nothing and are dealt likewise.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
+    heavy = heavy_keys(left, on).hint("broadcast")
+    empty = F.lit(False)
+    for c in on:
+        empty = empty | F.col(c).isNull()
+    row = F.xxhash64(*left.columns)
+    salts = F.when(empty, F.lit(int(1 / SALT_SHARE))).otherwise(F.coalesce("_salts", F.lit(1)))
+    dealt = left.withColumn("_key", F.xxhash64(*on)).join(heavy, "_key", "left")
+    dealt = dealt.withColumn("_salt", F.when(salts > 1, F.pmod(row, salts)).otherwise(F.lit(0)).cast("int"))
+    dealt = dealt.select(*left.columns, "_salt")
+    repeated = right.withColumn("_key", F.xxhash64(*on)).join(heavy, "_key", "left")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt")
+    repeated = repeated.select(*right.columns, every)
+    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def visits_person_left(valid: DataFrame, person: DataFrame) -> DataFrame:
     """Every visit kept; unknown person → NULL attributes."""
-    return valid.join(person, on="person_id", how="left")
+    return spread_join(valid, person, ["person_id"], "left")
