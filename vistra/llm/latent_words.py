@@ -47,10 +47,12 @@ ROUNDS = 3
 # Starting model: pieces drawn by a hash of their content, and its rounds.
 START_PIECES, START_ROUNDS = 1200, 12
 PIECE = 256
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 1 << 20
 LONG, STRETCH = 4096, 512
 # Pieces that go forward and backward together.
 TOGETHER = 1024
+# Tokens between two scalings of a recursion; so many probabilities' product is far from what a double can't hold.
+SCALE_EVERY = 8
 # Weight, in expected tokens, of the classes' shares in a state's probabilities, and of even transitions.
 SHARE_WEIGHT, EVEN_WEIGHT = 50.0, 5.0
 END = np.uint64(0x656E64206F662E2E)  # the end's hash
@@ -62,42 +64,71 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
 
-def spelling(words: Words) -> np.ndarray:
-    """Each word's spelling class: its last two bytes and its length up to 15, by hash."""
+def word_names(words: Words) -> np.ndarray:
+    """Each word's 64-bit name; the lowest bits are its spelling class: last two bytes and length up to 15, by hash."""
     last = words.buf[words.stop - 1].astype(np.uint64)
     size = np.minimum(words.stop - words.start, 15).astype(np.uint64)
     second = np.where(size > 1, words.buf[np.maximum(words.stop - 2, 0)], 0).astype(np.uint64)
-    return (mix64((last << np.uint64(16)) + (second << np.uint64(8)) + size) % np.uint64(SPELLINGS)).astype(np.int32)
+    kind = mix64((last << np.uint64(16)) + (second << np.uint64(8)) + size) % np.uint64(SPELLINGS)
+    return words.hash // np.uint64(SPELLINGS) * np.uint64(SPELLINGS) + kind
+
+
+def spelling(names: np.ndarray) -> np.ndarray:
+    return (names.view(np.uint64) % np.uint64(SPELLINGS)).astype(np.int64)
 
 
 # --- blocks of numbered words --------------------------------------------------------------
 
-_BLOCK = "block bigint, keys binary, gone binary, held binary, sizes binary, tokens binary, words array<bigint>, uses array<int>, spellings array<int>"
+# A block's number and a word's place in it share a long: so many bits for the place, and for
+# the block's place in its task. A block is some BLOCK_TOKENS tokens, or one text with more.
+PLACE_BITS, TURN_BITS = 24, 17
+# A reply to a block is the word's place over its count (of a word that isn't a class of its own).
+COUNT_BITS = 63 - PLACE_BITS
+
+_BLOCK = "block bigint, keys binary, gone binary, held binary, sizes binary, tokens binary, words array<bigint>, uses array<int>"
 _BLOCK_SCHEMA = pa.schema(
     [("block", pa.int64())] + [(c, pa.binary()) for c in ("keys", "gone", "held", "sizes", "tokens")]
-    + [("words", pa.list_(pa.int64())), ("uses", pa.list_(pa.int32())), ("spellings", pa.list_(pa.int32()))]
+    + [("words", pa.list_(pa.int64())), ("uses", pa.list_(pa.int32()))]
 )
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers of up to 24 bits, by byte planes and compressed: frequent words have low places, so most high bytes are 0."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T)
+    return np.array([len(values)], "<i8").tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    planes = np.frombuffer(pa.decompress(memoryview(data)[8:], 3 * n, codec="zstd"), np.uint8).reshape(3, n)
+    out = np.zeros((n, 4), np.uint8)
+    out[:, :3] = planes.T
+    return out.view("<u4").ravel()
+
+
 def number_words(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Stored blocks of texts: their ids, and tokens as places in the block's sorted different words (by hash)."""
+    """Stored blocks of texts: their ids, and tokens as places among the block's different words, frequent ones first."""
     source = docs.select(F.col(key).cast("bigint").alias("_key"), held_out(key).alias("_held"), F.col(text).cast("string").alias("_text"))
 
     def number(batches):
         from pyspark import TaskContext
 
-        block, parts, tokens = TaskContext.get().partitionId() << 32, [], 0
+        block, parts, tokens = TaskContext.get().partitionId() << TURN_BITS, [], 0
 
         def flush():
             keys, gone, held, sizes = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            words, place = np.unique(np.concatenate([p[4] for p in parts]), return_inverse=True)
-            kinds = np.zeros(len(words), np.int32)
-            kinds[place] = np.concatenate([p[5] for p in parts])
+            words, place, times = np.unique(np.concatenate([p[4] for p in parts]), return_inverse=True, return_counts=True)
+            if len(words) > 1 << PLACE_BITS:
+                raise ValueError(f"a text has {len(words)} different words, more than {1 << PLACE_BITS}")
+            order = np.argsort(-times, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            words, place = words[order], rank[place]
             uses = np.bincount(place[np.repeat(~held, sizes)], minlength=len(words))
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64())]
-                + [pa.array([v.tobytes()], pa.binary()) for v in (keys.astype("<i8"), gone, held, sizes.astype("<i8"), place.astype("<i4"))]
-                + [pa.array([v], pa.list_(t)) for v, t in ((words.view(np.int64), pa.int64()), (uses.astype(np.int32), pa.int32()), (kinds, pa.int32()))],
+                + [pa.array([v], pa.binary()) for v in (keys.astype("<i8").tobytes(), gone.tobytes(), held.tobytes(), sizes.astype("<i8").tobytes(), squeezed(place))]
+                + [pa.array([v], pa.list_(t)) for v, t in ((words.view(np.int64), pa.int64()), (uses.astype(np.int32), pa.int32()))],
                 schema=_BLOCK_SCHEMA,
             )
 
@@ -108,9 +139,8 @@ def number_words(docs: DataFrame, key: str, text: str) -> DataFrame:
             for group in in_groups(texts):
                 words = Words(group, lower=True)
                 sizes = np.diff(words.first)
-                stops = words.first[1:]  # the end stands after a text's last word
                 s = slice(at, at + len(group))
-                parts.append((ids[s], gone[s], held[s], sizes + 1, np.insert(words.hash, stops, END), np.insert(spelling(words), stops, 0)))
+                parts.append((ids[s], gone[s], held[s], sizes + 1, np.insert(word_names(words), words.first[1:], END)))  # the end stands after a text's last word
                 at += len(group)
                 tokens += len(words.hash) + len(group)
                 if tokens >= BLOCK_TOKENS:
@@ -123,9 +153,9 @@ def number_words(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def count_words(blocks: DataFrame) -> DataFrame:
-    """Stored (word, c, spelling) of all training words; the end is one of them."""
-    rows = blocks.select(F.explode(F.arrays_zip("words", "uses", "spellings")).alias("w")).select("w.*").filter("uses > 0")
-    return stored(rows.groupBy("words").agg(F.sum("uses").alias("c"), F.min("spellings").alias("spelling")).withColumnRenamed("words", "word"), "words-counts")
+    """Stored (word, c) of all training words; the end is one of them."""
+    rows = blocks.select(F.explode(F.arrays_zip("words", "uses")).alias("w")).select("w.*").filter("uses > 0")
+    return stored(rows.groupBy(F.col("words").alias("word")).agg(F.sum("uses").alias("c")), "words-counts")
 
 
 class Vocabulary:
@@ -134,20 +164,25 @@ class Vocabulary:
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
         self.tokens, self.words = int(total["n"]), int(total["v"])
-        often = F.col("c") * OWN_SHARE >= max(self.tokens, 1)
-        own = counts.filter(often).select("word", "c").toArrow()  # at most OWN_SHARE rows
+        own = counts.filter(self.often()).select("word", "c").toArrow()  # at most OWN_SHARE rows
         order = np.argsort(own["word"].to_numpy())
-        self.own, uses = own["word"].to_numpy()[order], own["c"].to_numpy()[order]
-        rest = counts.filter(~often).groupBy("spelling").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow()
+        self.own, self.uses = own["word"].to_numpy()[order], own["c"].to_numpy()[order]
+        kind = F.pmod("word", F.lit(SPELLINGS)).alias("spelling")
+        rest = counts.filter(~self.often()).groupBy(kind).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow()
         self.c, self.v = np.zeros(SPELLINGS, np.int64), np.zeros(SPELLINGS, np.int64)
         self.c[rest["spelling"].to_numpy()], self.v[rest["spelling"].to_numpy()] = rest["c"].to_numpy(), rest["v"].to_numpy()
         share = np.zeros(CLASSES)
-        share[: len(uses)] = uses + 1
+        share[: len(self.own)] = self.uses + 1
         share[OWN_SHARE:] = self.c + self.v + 1
         self.share = share / share.sum()
 
-    def classes(self, words: np.ndarray, spellings: np.ndarray) -> np.ndarray:
+    def often(self) -> Column:
+        """Whether a counted word is a class of its own."""
+        return F.col("c") * OWN_SHARE >= max(self.tokens, 1)
+
+    def classes(self, words: np.ndarray) -> np.ndarray:
         """Class numbers: a place in ``own``, else OWN_SHARE plus the spelling class."""
+        spellings = spelling(words)
         if not len(self.own):
             return OWN_SHARE + spellings
         at = np.minimum(np.searchsorted(self.own, words), len(self.own) - 1)
@@ -161,9 +196,12 @@ _CLASSED_SCHEMA = pa.schema([("block", pa.int64())] + [(c, pa.binary()) for c in
 def class_tokens(blocks: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Stored blocks with a class for each token and, for each text, its known words, its
     base score and the log10 of what its classes give to its words."""
-    places = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    found = places.join(counts.select("word", "c"), "word")
-    back = found.groupBy("block").agg(F.collect_list(F.struct("place", "c")).alias("found"))  # a block's own words: bounded like it
+    place = F.shiftleft("block", PLACE_BITS) + F.col("place")
+    asked = blocks.select("block", F.posexplode("words").alias("place", "word")).select("word", place.alias("at"))
+    reply = F.shiftleft(F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)), COUNT_BITS) + F.col("c")
+    own = counts.filter(vocabulary.often()).select("word").hint("broadcast")  # at most OWN_SHARE rows: the blocks know them
+    told = asked.join(own, "word", "left_anti").join(counts.filter(~vocabulary.often()), "word").select(F.shiftright("at", PLACE_BITS).alias("block"), reply.alias("reply"))
+    back = told.groupBy("block").agg(F.collect_list("reply").alias("found"))  # a block's own words: bounded like it
     model = blocks.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
@@ -172,21 +210,22 @@ def class_tokens(blocks: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
                 voc = model.value
                 words = row["words"].values.to_numpy()
-                kinds = row["spellings"].values.to_numpy()
                 c = np.zeros(len(words), np.int64)
                 if row["found"].is_valid:
-                    pairs = row["found"].values
-                    c[pairs.field("place").to_numpy()] = pairs.field("c").to_numpy()
-                classes = voc.classes(words, kinds)
+                    replies = row["found"].values.to_numpy()
+                    c[replies >> COUNT_BITS] = replies & ((1 << COUNT_BITS) - 1)
+                classes = voc.classes(words)
+                own = classes < OWN_SHARE
+                c[own] = voc.uses[classes[own]]
                 spelled = classes >= OWN_SHARE
-                inner = np.zeros(len(words))
-                inner[spelled] = np.log10(c[spelled] + 1) - np.log10(voc.c[kinds[spelled]] + voc.v[kinds[spelled]] + 1)
+                inner, kinds = np.zeros(len(words)), classes[spelled] - OWN_SHARE
+                inner[spelled] = np.log10(c[spelled] + 1) - np.log10(voc.c[kinds] + voc.v[kinds] + 1)
                 base = np.log10(c + 1) - np.log10(voc.tokens + voc.words + 1)
-                tokens = np.frombuffer(row["tokens"].as_py(), "<i4")
+                tokens = unsqueezed(row["tokens"].as_py())
                 starts = np.cumsum(np.frombuffer(row["sizes"].as_py(), "<i8"))
                 starts = np.concatenate([[0], starts[:-1]])
                 sums = [np.add.reduceat(v[tokens], starts) for v in ((c > 0).astype(np.int64), base, inner)]
-                values = [row[n].as_py() for n in ("keys", "gone", "held", "sizes")] + [v.tobytes() for v in sums] + [classes.astype("<u2")[tokens].tobytes()]
+                values = [row[n].as_py() for n in ("keys", "gone", "held", "sizes")] + [v.tobytes() for v in sums] + [squeezed(classes[tokens])]
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"].as_py()])] + [pa.array([v], pa.binary()) for v in values], schema=_CLASSED_SCHEMA)
 
     return stored(blocks.drop("uses").join(back, "block", "left").mapInArrow(trimmed(run), _CLASSED), "words-classes")
@@ -223,13 +262,18 @@ class Model:
         order = np.argsort(-sizes, kind="stable")
         at, sizes = starts[order], sizes[order]
         left = np.searchsorted(-sizes, -np.arange(1, sizes.max(initial=0) + 1), side="right")  # sequences with a t-th token
-        total, state = np.zeros(len(sizes)), np.zeros((0, len(self.first)))
-        for t, n in enumerate(left.tolist()):
+        total, state, ones = np.zeros(len(sizes)), np.zeros((0, len(self.first))), np.ones(len(self.first))
+        left = left.tolist()
+        for t, n in enumerate(left):
+            ended = state[n:]
+            total[n : n + len(ended)] += np.log10(ended @ ones)
             ahead = state[:n] @ self.move if t else np.broadcast_to(self.first, (n, len(self.first)))
             state = ahead * self.emit[classes[at[:n] + t]]
-            scale = state.sum(axis=1)
-            state /= scale[:, None]
-            total[:n] += np.log10(scale)
+            if t % SCALE_EVERY == SCALE_EVERY - 1:
+                scale = state @ ones
+                state /= scale[:, None]
+                total[:n] += np.log10(scale)
+        total[: len(state)] += np.log10(state @ ones)
         out = np.zeros(len(sizes))
         out[order] = total
         return out
@@ -267,34 +311,38 @@ class Model:
         order = np.argsort(-sizes, kind="stable")
         at, sizes, opening = starts[order], sizes[order], opening[order]
         left = np.searchsorted(-sizes, -np.arange(1, sizes.max(initial=0) + 1), side="right").tolist()
-        k, ahead, scales, likelihood = len(self.first), [], [], 0.0
+        k, likelihood = len(self.first), 0.0
+        ones, ahead, gave, scales = np.ones(k), [], [], {}
         for t, n in enumerate(left):
-            before = ahead[-1][:n] @ self.move if t else np.broadcast_to(self.first, (n, k))
-            state = before * self.emit[classes[at[:n] + t]]
-            scale = state.sum(axis=1, keepdims=True)
-            ahead.append(state / scale)
-            scales.append(scale)
-            likelihood += float(np.log10(scale).sum())
-        moved, posts, names = np.zeros((k, k)), [], []
-        behind = np.ones((0, k))
+            gave.append(self.emit[classes[at[:n] + t]])
+            state = (ahead[-1][:n] @ self.move if t else self.first) * gave[-1]
+            if t % SCALE_EVERY == SCALE_EVERY - 1:
+                scales[t] = (state @ ones)[:, None]
+                state /= scales[t]
+                likelihood += float(np.log10(scales[t]).sum())
+            ahead.append(state)
+        moved, posts = np.zeros((k, k)), [np.zeros((0, k))] * len(left)
+        behind = np.zeros((0, k))
         for t in range(len(left) - 1, -1, -1):
-            n = left[t]
-            rest = np.ones((n, k))
-            if len(behind):
-                m = len(behind)
-                next_ = behind * self.emit[classes[at[:m] + t + 1]] / scales[t + 1]
+            n, m = left[t], len(behind)
+            rest = np.empty((n, k))
+            if m:
+                next_ = behind * gave[t + 1]
+                if t + 1 in scales:
+                    next_ /= scales[t + 1]
                 moved += ahead[t][:m].T @ next_
                 rest[:m] = next_ @ self.move.T
+            last = ahead[t][m:] @ ones  # sequences that end here
+            likelihood += float(np.log10(last).sum())
+            rest[m:] = (1 / last)[:, None]
             behind = rest
-            post = ahead[t] * behind
-            posts.append(post)
-            names.append(classes[at[:n] + t])
-            if t == 0:
-                sums[0] += post[opening].sum(axis=0)
+            posts[t] = ahead[t] * behind
+        sums[0] += posts[0][opening].sum(axis=0) if left else 0
         sums[1] += moved * self.move
-        posts, names = np.concatenate(posts), np.concatenate(names)
+        every = np.concatenate(posts).T.copy() if left else np.zeros((k, 0))
+        names = np.concatenate([classes[at[:n] + t] for t, n in enumerate(left)]) if left else np.zeros(0, np.int64)
         for s in range(k):
-            sums[2][:, s] += np.bincount(names, weights=posts[:, s], minlength=CLASSES)
+            sums[2][:, s] += np.bincount(names, weights=every[s], minlength=CLASSES)
         return likelihood
 
 
@@ -310,7 +358,7 @@ def pieces_of(sizes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _block_arrays(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     get = lambda c, t: np.frombuffer(batch.column(c)[i].as_py(), t)
-    return get("classes", "<u2").astype(np.int32), get("sizes", "<i8"), get("held", bool)
+    return unsqueezed(batch.column("classes")[i].as_py()).astype(np.int32), get("sizes", "<i8"), get("held", bool)
 
 
 def draw_pieces(classed: DataFrame, tokens: int) -> DataFrame:
@@ -371,7 +419,7 @@ def begin(pieces: list[np.ndarray], opens: np.ndarray, share: np.ndarray, states
     return sums
 
 
-_SUMS = "name int, " + ", ".join(f"s{i} double" for i in range(STATES))
+_SUMS = "name int, " + ", ".join(f"s{i} float" for i in range(STATES))
 
 
 def _sum_rows(sums: list[np.ndarray]) -> pa.RecordBatch:
@@ -380,7 +428,7 @@ def _sum_rows(sums: list[np.ndarray]) -> pa.RecordBatch:
     used = np.flatnonzero(sums[2].any(axis=1))
     rows = np.concatenate([sums[2][used], sums[1], sums[0][None, :]])
     names = np.concatenate([used, -1 - np.arange(states), [-1 - states]]).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(names)] + [pa.array(rows[:, s]) for s in range(states)], names=["name", *(f"s{i}" for i in range(states))])
+    return pa.RecordBatch.from_arrays([pa.array(names)] + [pa.array(rows[:, s].astype(np.float32)) for s in range(states)], names=["name", *(f"s{i}" for i in range(states))])
 
 
 def _read_sums(rows: DataFrame) -> list[np.ndarray]:
@@ -433,7 +481,7 @@ def train(classed: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> M
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Every row's scores: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    A null or empty text is its end alone. A null id is learned from. Repeated
+    A null or empty text is its end alone; one with over 2 ** 24 different words raises ValueError. A null id is learned from. Repeated
     rows are learned from and scored as often as they occur. Nothing to learn
     from: every token is unknown, base_score 0 and score that of even states.
     Words are named by 64-bit hashes: among n different ones the chance of any
