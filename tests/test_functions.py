@@ -112,3 +112,45 @@ def test_draw_matches_sql_form(spark):
     assert got == "225584429"
     u = spark.range(1).select(uniform(F.lit(1), F.lit(2), F.lit(3), F.lit(4), "t")).first()[0]
     assert 0.0 <= u < 1.0
+
+
+def _expected_time(text):
+    """The accepted forms by one pattern each and Python's own datetime."""
+    import re
+
+    t = text.strip(" \t\r\n")
+    time = r"(?:[ T](\d{1,2}):(\d\d)(?::(\d\d)(?:\.(\d{1,9}))?)?(Z|[+-]\d\d:?\d\d)?)?$"
+    for pattern, order in ((r"(\d{4})-(\d{1,2})-(\d{1,2})", (0, 1, 2)), (r"(\d{4})(\d\d)(\d\d)", (0, 1, 2)), (r"(\d{1,2})/(\d{1,2})/(\d{4})", (2, 0, 1))):
+        m = re.match("^" + pattern + time, t, re.ASCII)
+        if m:
+            g = m.groups()
+            try:
+                v = dt.datetime(*(int(g[i]) for i in order), int(g[3] or 0), int(g[4] or 0), int(g[5] or 0), int((g[6] or "0").ljust(6, "0")[:6]))
+            except ValueError:
+                return None
+            if g[7] and g[7] != "Z":
+                minutes = int(g[7][1:3]) * 60 + int(g[7][-2:])
+                v -= dt.timedelta(minutes=minutes if g[7][0] == "+" else -minutes)
+            return v
+    return None
+
+
+def test_whole_columns_of_mixed_and_damaged_times(spark):
+    import random
+
+    from vistra.functions.dates import parse_texts
+
+    rng = random.Random(4)
+    texts = [t for t, _ in FORMS if t] + ["2010-3-1 5", "2010-3-1T", "1/2/2010/5", "2010-3-1 1:2", "20101-1-", "2010-03-01 10:00-02:3", "+2010-03-01", "2010-03-01 10:00:00.1234567890"]
+    whole = ["2010-03-01 10:00:00", "2010-3-1T9:05:07.25Z", "20100301 10:00", "3/1/2010 23:59:59.5+0130", "2010-03-01T10:00:00.123456789-11:15"]
+    for _ in range(3000):
+        t = rng.choice(whole)
+        for _ in range(rng.randrange(3)):
+            i = rng.randrange(len(t) + 1)
+            t = t[:i] + rng.choice(["", "0", "1", ":", "-", "/", " ", "T", "Z", "+", ".", "9"]) + t[i + rng.randrange(2) :]
+        texts.append(t)
+    df = parse_texts(spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, a string, b string"), ["a", "b"])
+    got = {r.i: (r.a, r.b) for r in df.collect()}
+    for i, t in enumerate(texts):
+        want = _expected_time(t)
+        assert got[i] == (want, want), t

@@ -4,6 +4,7 @@ from tests.conftest import SF001
 from vistra.operators import aggregate, clean, quality
 from vistra.plans import queries as Q
 from vistra.plans import visits as job
+from vistra.sources.parquet import read_parquet
 from vistra.sources.csv import VisitFile, read_visits_csv, write_csv
 
 
@@ -65,8 +66,8 @@ def test_year_partitioned_ingest_prunes(spark, tmp_dir):
     files = Q._write_visit_files(Q.fixtures.visits_raw(spark, SF001), f"{tmp_dir}/raw")
     job.ingest(spark, files, f"{tmp_dir}/flat")
     job.ingest(spark, files, f"{tmp_dir}/by_year", files_per_year=2)
-    flat = spark.read.parquet(f"{tmp_dir}/flat")
-    by_year = spark.read.parquet(f"{tmp_dir}/by_year").select(*flat.columns)
+    flat = read_parquet(spark, f"{tmp_dir}/flat")
+    by_year = read_parquet(spark, f"{tmp_dir}/by_year").select(*flat.columns)
     assert quality.checksum(flat).first() == quality.checksum(by_year).first()
     text = plan_text(by_year.filter(F.col("visit_year") == 1996))
     assert "PartitionFilters: [isnotnull(visit_year" in text

@@ -22,7 +22,8 @@ def plan_text(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    skip = {"run_metrics", "shuffle_invariance", "csv_ingest", "csv_ingest_utf16", "malformed_rows", "na_tokens", "input_manifest",
+    skip = {"run_metrics", "shuffle_invariance", "csv_ingest", "csv_ingest_utf16", "csv_ingest_line_breaks", "csv_ingest_utf16_line_breaks",
+            "dropped_rows", "malformed_rows", "na_tokens", "input_manifest",
             "detect_encoding", "parquet_round_trip", "cand_history", "cand_sweep"}
     return {name: plan_text(fn(spark, SF001)) for name, fn in Q.QUERIES.items() if name not in skip}
 

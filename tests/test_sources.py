@@ -227,3 +227,65 @@ def test_read_groups_many_keeps_roots_apart(spark, tmp_dir):
     by_enc = dict(mixed)
     assert [p.rsplit("/", 1)[1] for p in by_enc[UTF16]] == ["c.csv"]
     assert [p.rsplit("/", 1)[1] for p in by_enc[UTF8]] == ["d.csv"]
+
+
+def test_a_write_that_fails_leaves_the_table(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from vistra.sources.parquet import versions
+
+    path = f"{tmp_dir}/table"
+    for n in (3, 4, 5):
+        write_parquet(spark.range(n), path)
+        assert read_parquet(spark, path).count() == n
+    bad = spark.range(0, 1000, 1, 4).withColumn("id", F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("halfway")).cast("bigint")))
+    with pytest.raises(Exception, match="halfway"):
+        write_parquet(bad, path)
+    assert read_parquet(spark, path).count() == 5
+    assert len(versions(spark, path)) == 2  # the current one and the one before it
+    write_parquet(read_parquet(spark, path).unionByName(spark.range(1)), path)  # a table may be read while it is replaced
+    assert read_parquet(spark, path).count() == 6
+    write_parquet(spark.range(8), path)  # clears what the failed write left
+    folder = f"{_local(path)}/_versions"
+    assert len(os.listdir(folder)) == 2
+
+
+def test_a_plain_folder_is_read_and_replaced(spark, tmp_dir):
+    path = f"{tmp_dir}/plain"
+    spark.range(7).write.parquet(path)
+    assert read_parquet(spark, path).count() == 7
+    write_parquet(spark.range(2), path, partition_by=())
+    assert read_parquet(spark, path).count() == 2
+    assert sorted(n for n in os.listdir(_local(path)) if not n.startswith(("_", "."))) == []
+
+
+def test_manifest_lists_a_thousand_paths_in_one_job(spark, tmp_dir):
+    d = _local(tmp_dir)
+    for i in range(0, 1000, 100):
+        os.makedirs(f"{d}/in/f{i}", exist_ok=True)
+        for part in range(2):
+            with open(f"{d}/in/f{i}/part {part}", "wb") as f:
+                f.write(b"x" * (i + 1))
+    names = [f"f{i}" for i in range(1000)] + ["odd{,}[*"]
+    sc = spark.sparkContext
+    sc.setJobGroup("manifest", "listing")
+    try:
+        manifest = input_manifest(spark, f"{tmp_dir}/in", names)
+        assert len(sc.statusTracker().getJobIdsForGroup("manifest")) <= 1
+    finally:
+        sc.setJobGroup("", "")
+    rows = {r.file_name: r for r in manifest.collect()}
+    assert len(rows) == 1001 and {n for n, r in rows.items() if r.present} == {f"f{i}" for i in range(0, 1000, 100)}
+    assert (rows["f300"].n_files, rows["f300"].size_bytes) == (2, 602)
+
+
+def test_loss_report_counts_in_the_ingest_pass(spark, tmp_dir):
+    from vistra.plans import visits as job
+
+    d = _local(tmp_dir)
+    rows = ["1,2,3,2010-01-01,2010-01-02,4,5,6,OP", ",2,3,2010-01-01,x,4,5,6,OP", "1,,3,nope,2010-01-02,4,5,6,OP", "1,2,3,,,4,5,6,OP", "1,2,3,2010-01-01,soon,4,5,6,OP"]
+    _write(f"{d}/loss/a.csv", [NEEDED, *rows])
+    job.ingest(spark, [VisitFile(f"{tmp_dir}/loss", True)], f"{tmp_dir}/out", loss_dir=f"{tmp_dir}/report")
+    found = {r.reason: r.rows for r in read_parquet(spark, f"{tmp_dir}/report").collect()}
+    assert found == {"rows_read": 5, "no_visit_id": 1, "no_person_id": 1, "no_start": 1, "unreadable_start": 1, "dropped": 3, "kept_unreadable_end": 1}
+    assert read_parquet(spark, f"{tmp_dir}/out").count() == 2

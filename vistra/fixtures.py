@@ -56,6 +56,12 @@ def written_times(ts: str, key: str) -> Column:
     return F.call_function("format_string", form, *parts)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A table of few files dealt over the cores, so that text is not written and parsed by one task; a larger one as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> DataFrame:
     """One text row per lineitem, shaped like the 17-column visit CSV.
 
@@ -66,7 +72,7 @@ def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> D
     ``missing_end`` also blanks the end time of line number 7.
     """
     # each time is written on its own side of the join
-    li = load_table(spark, sf_dir, "lineitem").select(
+    li = _spread(load_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
         with_time_of_day(F.col("l_shipdate"), F.col("l_partkey")).alias("end"),
     ).withColumn("end_text", written_times("end", "l_partkey"))

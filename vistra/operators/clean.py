@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vistra.functions.dates import clip_at_zero, dashed_date, duration_days, parse_dashed, truncate_to_millis
+from vistra.functions.dates import clip_at_zero, duration_days, parse_texts, truncate_to_millis
 from vistra.functions.numbers import parse_long, parse_person_id
 from vistra.schema import (
     CLEAN_COLUMNS,
@@ -42,7 +42,30 @@ def normalize_na_tokens(df: DataFrame, columns: list[str] | None = None) -> Data
     )
 
 
-def clean_visits(raw: DataFrame) -> DataFrame:
+# What the cleaning counts on its way: of the rows read, those that lack a key value or whose text can't be read.
+def _loss_counts() -> list[F.Column]:
+    visit, person, start = (F.col(c).isNull() for c in REQUIRED)
+    return [
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(visit).alias("no_visit_id"),
+        F.count_if(person).alias("no_person_id"),
+        F.count_if(start & ~F.col("__start_given")).alias("no_start"),
+        F.count_if(start & F.col("__start_given")).alias("unreadable_start"),
+        F.count_if(visit | person | start).alias("dropped"),
+        F.count_if(~(visit | person | start) & F.col("__end_given") & F.col("visit_end_datetime").isNull()).alias("kept_unreadable_end"),
+    ]
+
+
+def loss_report(loss: Observation, visits: DataFrame) -> DataFrame:
+    """(reason, rows) from what ``clean_visits`` observed; ``visits`` must have been computed in full.
+
+    A dropped row is counted under each reason that it has.
+    """
+    found = loss.get
+    return visits.sparkSession.createDataFrame([(k, int(v)) for k, v in found.items()], "reason string, rows bigint")
+
+
+def clean_visits(raw: DataFrame, loss: Observation | None = None) -> DataFrame:
     """Raw visit rows → the 12-column clean visits table.
 
     Steps (all column expressions, so Catalyst prunes the unused raw columns
@@ -51,19 +74,27 @@ def clean_visits(raw: DataFrame) -> DataFrame:
     or start; fill provider/care site with -1 and source value with UNKNOWN;
     derive year, month and duration in days (computed at full precision,
     clipped below at 0, NULL when the end is missing); keep millisecond
-    precision on the stored times.
+    precision on the stored times. ``loss`` observes, in the same pass, how
+    many rows are dropped and why.
     """
     types = {f.name: f.dataType for f in raw.schema.fields}
     texts = [c for c in ("visit_start_datetime", "visit_end_datetime") if isinstance(types[c], T.StringType)]
-    raw = raw.withColumns({c: dashed_date(c) for c in texts})  # a projection of its own: see parse_timestamp
-    parsed = raw.select(
-        *[parse_long(F.col(c), types[c]).alias(c) for c in VISIT_ID_COLUMNS],
-        *[
-            (parse_dashed(c) if c in texts else _timestamp(raw, c)).alias(c)
-            for c in ("visit_start_datetime", "visit_end_datetime")
-        ],
-        F.col("visit_source_value").cast("string").alias("visit_source_value"),
-    ).dropna(subset=REQUIRED)
+    times = ("visit_start_datetime", "visit_end_datetime")
+    given = [F.col(c).isNotNull().alias(n) for c, n in zip(times, ("__start_given", "__end_given"))] if loss else []
+    parsed = parse_texts(
+        raw.select(
+            *[parse_long(F.col(c), types[c]).alias(c) for c in VISIT_ID_COLUMNS],
+            *[F.col(c) if c in texts else _timestamp(raw, c).alias(c) for c in times],
+            F.col("visit_source_value").cast("string").alias("visit_source_value"),
+            *given,
+        ),
+        texts,
+    )
+    if loss:
+        parsed = parsed.observe(loss, *_loss_counts()).drop("__start_given", "__end_given")
+    # a generator: a plain filter would be pushed below the parsing, which would then run twice
+    whole = F.col(REQUIRED[0]).isNotNull() & F.col(REQUIRED[1]).isNotNull() & F.col(REQUIRED[2]).isNotNull()
+    parsed = parsed.select(F.inline(F.when(whole, F.array(F.struct(*parsed.columns)))))
 
     start, end = F.col("visit_start_datetime"), F.col("visit_end_datetime")
     derived = {

@@ -152,6 +152,16 @@ _QUOTED = """SELECT * REPLACE (CASE WHEN visit_source_value = 'UNKNOWN' THEN vis
   WHEN visit_type_concept_id % 4 = 2 THEN '"' || visit_source_value || '"'
   ELSE visit_source_value END AS visit_source_value) FROM clean"""
 
+_BROKEN = _QUOTED.replace("SELECT * REPLACE (CASE WHEN", "SELECT * REPLACE (CASE WHEN visit_type_concept_id % 7 = 3 THEN 'two' || chr(10) || 'lines' WHEN", 1)
+
+_DROPPED = f"""SELECT unnest(['rows_read', 'no_visit_id', 'no_person_id', 'no_start', 'unreadable_start', 'dropped', 'kept_unreadable_end']) AS reason,
+  unnest([count(*), count(*) FILTER (WHERE visit_occurrence_id IS NULL), count(*) FILTER (WHERE person_id IS NULL),
+    count(*) FILTER (WHERE visit_start_datetime IS NULL), count(*) FILTER (WHERE visit_start_datetime IS NOT NULL AND s IS NULL),
+    count(*) FILTER (WHERE visit_occurrence_id IS NULL OR person_id IS NULL OR s IS NULL),
+    count(*) FILTER (WHERE visit_occurrence_id IS NOT NULL AND person_id IS NOT NULL AND s IS NOT NULL AND visit_end_datetime IS NOT NULL AND e IS NULL)
+  ]) AS rows
+FROM (SELECT *, {_parse_ts('visit_start_datetime')} AS s, {_parse_ts('visit_end_datetime')} AS e FROM visits_raw)"""
+
 _MONTH = "visit_year::VARCHAR || '-' || lpad(visit_month::VARCHAR, 2, '0')"
 
 _METRICS = f"""SELECT 'yearly' AS section, visit_year::VARCHAR AS item, count(*)::BIGINT AS value FROM valid GROUP BY visit_year
@@ -238,6 +248,9 @@ WHERE a.visit_count IS DISTINCT FROM b.visit_count""",
     ),
     "csv_ingest": with_visits(_QUOTED),
     "csv_ingest_utf16": with_visits(_QUOTED),
+    "csv_ingest_line_breaks": with_visits(_BROKEN),
+    "csv_ingest_utf16_line_breaks": with_visits(_BROKEN),
+    "dropped_rows": with_visits(_DROPPED, missing_end=True),
     "malformed_rows": """SELECT 2 * count(*) FILTER (WHERE l_linenumber % 7 = 3) AS malformed_rows,
        count(*) + count(*) FILTER (WHERE l_linenumber % 7 = 3) AS rows
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",

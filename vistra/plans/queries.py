@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vistra import fixtures
 from vistra.functions.dates import period_label
 from vistra.operators import aggregate, charts, clean, quality, window
-from vistra.operators.join import visits_person_left
+from vistra.operators.join import observe_keys, observed_keys, visits_person_left
 from vistra.operators import candidates as C
 from vistra.plans import search
 from vistra.plans import visits as job
@@ -93,7 +93,10 @@ def q_yearly_rows(spark, sf_dir):
 
 
 def q_visits_person_left(spark, sf_dir):
-    return visits_person_left(valid_of(spark, sf_dir), person_of(spark, sf_dir))
+    # as in the batch job the visits are written first; their heavy persons are found in that pass
+    seen, path = Observation("persons"), scratch_path(spark, "visits_person_left")
+    write_parquet(observe_keys(valid_of(spark, sf_dir), ["person_id"], seen), path)
+    return visits_person_left(read_parquet(spark, path), person_of(spark, sf_dir), observed_keys(spark, seen))
 
 
 def q_visits_by_gender(spark, sf_dir):
@@ -214,15 +217,37 @@ def q_csv_ingest_utf16(spark, sf_dir):
     return clean.clean_visits(read_visits_csv(spark, files))
 
 
-def q_malformed_rows(spark, sf_dir):
-    # a value with a line break is cut in two by the reader: both parts are malformed
+def with_line_breaks(raw: DataFrame) -> DataFrame:
+    """One visit type's source values go over two lines."""
     line = F.pmod(F.col("visit_type_concept_id").try_cast("bigint"), F.lit(7))
-    raw = fixtures.visits_raw(spark, sf_dir).withColumn(
-        "visit_source_value", F.when(line == 3, F.lit("two\nlines")).otherwise(F.col("visit_source_value"))
-    )
+    return raw.withColumn("visit_source_value", F.when(line == 3, F.lit("two\nlines")).otherwise(F.col("visit_source_value")))
+
+
+def q_malformed_rows(spark, sf_dir):
+    # a value with a line break stands on two lines: both are malformed as lines
+    raw = with_line_breaks(fixtures.visits_raw(spark, sf_dir))
     return malformed_rows(spark, _write_visit_files(raw, scratch_path(spark, "malformed_rows")))
 
 
+def q_csv_ingest_line_breaks(spark, sf_dir):
+    raw = with_line_breaks(with_quoted_values(fixtures.visits_raw(spark, sf_dir)))
+    return clean.clean_visits(read_visits_csv(spark, _write_visit_files(raw, scratch_path(spark, "csv_line_breaks"))))
+
+
+def q_csv_ingest_utf16_line_breaks(spark, sf_dir):
+    raw = with_line_breaks(with_quoted_values(fixtures.visits_raw(spark, sf_dir)))
+    files = _write_visit_files(raw, scratch_path(spark, "csv_utf16_line_breaks"), encoding="UTF-16")
+    return clean.clean_visits(read_visits_csv(spark, files))
+
+
+def q_dropped_rows(spark, sf_dir):
+    raw = fixtures.visits_raw(spark, sf_dir, missing_end=True)
+    files = _write_visit_files(raw, scratch_path(spark, "dropped_rows"))
+    out = scratch_path(spark, "dropped_rows_out")
+    job.ingest(spark, files, f"{out}/visits", loss_dir=f"{out}/loss")
+    return read_parquet(spark, f"{out}/loss")
+
+
 # Columns that receive a missing-value string where the fixture has NULL.
 NA_TOKEN_COLUMNS = ["person_id", "provider_id", "care_site_id", "visit_source_value"]
 
@@ -414,6 +439,9 @@ QUERIES: dict[str, Query] = {
     "sample_rows": q_sample_rows,
     "csv_ingest": q_csv_ingest,
     "csv_ingest_utf16": q_csv_ingest_utf16,
+    "csv_ingest_line_breaks": q_csv_ingest_line_breaks,
+    "csv_ingest_utf16_line_breaks": q_csv_ingest_utf16_line_breaks,
+    "dropped_rows": q_dropped_rows,
     "malformed_rows": q_malformed_rows,
     "na_tokens": q_na_tokens,
     "detect_encoding": q_detect_encoding,

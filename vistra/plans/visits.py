@@ -13,7 +13,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vistra.operators import aggregate, charts, clean, quality, window
@@ -39,6 +39,7 @@ def ingest(
     files: Sequence[VisitFile],
     out_dir: str,
     files_per_year: int | None = None,
+    loss_dir: str | None = None,
 ) -> float:
     """CSV → clean visits → Parquet (replacing ``out_dir``). Returns seconds.
 
@@ -46,10 +47,12 @@ def ingest(
     ``files_per_year=k`` writes it partitioned by ``visit_year`` for
     partition pruning: rows are first shuffled on (year, hash(row) mod k), so
     each year lands in about k files however the input was split, and a year
-    holding a third of all visits is still written by k tasks.
+    holding a third of all visits is still written by k tasks. ``loss_dir``
+    receives what the cleaning dropped and why, counted in the same pass.
     """
     t0 = time.perf_counter()
-    visits = clean.clean_visits(read_visits_csv(spark, files))
+    loss = Observation("loss") if loss_dir else None
+    visits = clean.clean_visits(read_visits_csv(spark, files), loss)
     if files_per_year:
         salt = F.pmod(
             F.xxhash64("visit_occurrence_id", "visit_start_datetime", "visit_type_concept_id"),
@@ -59,6 +62,8 @@ def ingest(
         write_parquet(visits, out_dir, partition_by=["visit_year"])
     else:
         write_parquet(visits, out_dir)
+    if loss:
+        write_parquet(clean.loss_report(loss, visits), loss_dir)
     return time.perf_counter() - t0
 
 
@@ -203,7 +208,7 @@ def run_all(
         raise FileNotFoundError(f"missing inputs: {', '.join(missing)}")
 
     visits_dir = f"{out_root}/visits"
-    ingest_seconds = ingest(spark, files, visits_dir)
+    ingest_seconds = ingest(spark, files, visits_dir, loss_dir=f"{out_root}/loss")
 
     c0 = time.perf_counter()
     engine1 = aggregate.yearly_rows(read_parquet(spark, visits_dir), ordered=False)

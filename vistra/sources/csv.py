@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from vistra.operators.clean import normalize_na_tokens
 from vistra.schema import PERSON_COLUMNS, REQUIRED_VISIT_COLUMNS, VISIT_COLUMNS
-from vistra.sources.encoding import read_groups, read_groups_many, reader_options
+from vistra.sources.encoding import UTF8, list_files, read_groups, read_groups_many, reader_options
+from vistra.sources.records import HEADER, broken_files, read_records, utf8_lines, utf16_lines
 
 MALFORMED = "_malformed"
 
@@ -34,9 +35,32 @@ def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _read_visit_group(
-    spark: SparkSession, paths: Sequence[str], header: bool, encoding: str, spread: int | None, malformed: bool
-) -> DataFrame:
+def _column_names(spark: SparkSession, paths: Sequence[str], header: bool, options: dict[str, str]) -> list[str]:
+    names = spark.read.options(**options).csv(list(paths)).columns if header else VISIT_COLUMNS
+    absent = [c for c in REQUIRED_VISIT_COLUMNS if c not in names]
+    if absent:
+        raise MissingColumnsError(f"{list(paths)[0]}: no column {', '.join(absent)}")
+    return names
+
+
+def _visit_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS])
+
+
+def _read_whole_records(spark: SparkSession, paths: Sequence[str], names: Sequence[str], header: bool, encoding: str, options: dict[str, str]) -> DataFrame:
+    """Files in which records may go over line ends, or whose bytes only we can split."""
+    lines = utf8_lines(spark, paths) if encoding.upper() == UTF8 else utf16_lines(spark, paths)
+    kept = {k: v for k, v in options.items() if k not in ("encoding", "multiLine", "header", "enforceSchema")}
+    row = F.from_csv("text", F.lit(_text_schema(names).toDDL()), kept).alias("row")
+    rows = read_records(lines, header).select("kind", row)
+    # every file's first record must name the same columns
+    same = F.to_json(F.array(*[F.col("row")[c] for c in names])) == F.to_json(F.array(*[F.lit(c) for c in names]))
+    data = F.when(F.col("kind") != HEADER, True).when(same, False)
+    data = data.otherwise(F.raise_error(F.lit(f"CSV header of a file under {paths[0]} does not name {', '.join(names)}")).cast("boolean"))
+    return _visit_columns((rows.filter(data) if header else rows).select("row.*"), names)
+
+
+def _read_visit_group(spark: SparkSession, paths: Sequence[str], header: bool, encoding: str, spread: int | None, line_breaks: bool) -> DataFrame:
     """One reading of files in one encoding.
 
     A quote inside a quoted value is doubled and a backslash is text. The names
@@ -44,25 +68,31 @@ def _read_visit_group(
     line differs raises; the names of a headerless file are the 17 in order.
     """
     options = {"header": str(header).lower(), "escape": '"', "enforceSchema": "false", **reader_options(encoding)}
-    names = spark.read.options(**options).csv(list(paths)).columns if header else VISIT_COLUMNS
-    absent = [c for c in REQUIRED_VISIT_COLUMNS if c not in names]
-    if absent:
-        raise MissingColumnsError(f"{list(paths)[0]}: no column {', '.join(absent)}")
-    schema = _text_schema(names)
-    if malformed:
-        schema = schema.add(MALFORMED, T.StringType(), True)
-        options["columnNameOfCorruptRecord"] = MALFORMED
-    df = spark.read.schema(schema).options(**options).csv(list(paths))
-    if malformed:
-        # the reader looks at no more of a line than it is asked for, so all columns are asked for
-        whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
-        return df.select(F.col(MALFORMED).isNotNull().alias(MALFORMED), whole.alias("whole"))
-    columns = [F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS]
-    df = df.select(*columns)
-    if "multiLine" in options:
-        # read whole, one task per file: spread the rows before the cleaning
-        df = df.repartition(spread or spark.sparkContext.defaultParallelism)
-    return df
+    names = _column_names(spark, paths, header, options)
+    if encoding.upper() in ("UTF-16", "UTF-16LE", "UTF-16BE"):
+        rows = _read_whole_records(spark, paths, names, header, encoding, options)
+        return rows.repartition(spread) if spread else rows
+
+    def plain(some: Sequence[str]) -> DataFrame:
+        return _visit_columns(spark.read.schema(_text_schema(names)).options(**options).csv(list(some)), names)
+
+    broken = broken_files(spark, paths) if line_breaks and encoding.upper() == UTF8 else []
+    if not broken:
+        return plain(paths)
+    exact = _read_whole_records(spark, broken, names, header, encoding, options)
+    others = sorted({r["path"] for r in list_files(spark, paths).filter("length > 0").collect()} - set(broken))
+    return exact.unionByName(plain(others)) if others else exact
+
+
+def _read_lines(spark: SparkSession, paths: Sequence[str], header: bool, encoding: str) -> DataFrame:
+    """(malformed, whole) of each line."""
+    options = {"header": str(header).lower(), "escape": '"', "enforceSchema": "false", **reader_options(encoding)}
+    names = _column_names(spark, paths, header, options)
+    schema = _text_schema(names).add(MALFORMED, T.StringType(), True)
+    df = spark.read.schema(schema).options(columnNameOfCorruptRecord=MALFORMED, **options).csv(list(paths))
+    # the reader looks at no more of a line than it is asked for, so all columns are asked for
+    whole = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
+    return df.select(F.col(MALFORMED).isNotNull().alias(MALFORMED), whole.alias("whole"))
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
@@ -72,37 +102,38 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _read_parts(spark: SparkSession, files: Sequence[VisitFile], spread: int | None, malformed: bool) -> DataFrame:
+def _read_parts(spark: SparkSession, files: Sequence[VisitFile], read) -> DataFrame:
     unknown = [f for f in files if f.encoding is None]
     found = dict(zip(unknown, read_groups_many(spark, [f.path for f in unknown]))) if unknown else {}
-    parts = [
-        _read_visit_group(spark, paths, f.header, enc, spread, malformed)
-        for f in files
-        for enc, paths in (found[f] if f.encoding is None else [(f.encoding, [f.path])])
-    ]
+    parts = [read(paths, f.header, enc) for f in files for enc, paths in (found[f] if f.encoding is None else [(f.encoding, [f.path])])]
     if not parts:
         raise FileNotFoundError(f"no visit files under {[f.path for f in files]}")
     return _stack(parts)
 
 
-def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile], spread: int | None = None) -> DataFrame:
+def read_visits_csv(spark: SparkSession, files: Sequence[VisitFile], spread: int | None = None, line_breaks: bool = True) -> DataFrame:
     """Read visit CSVs as 17 text columns, by name, and stack them.
 
     All columns are text, so nothing is inferred; of a headed input one line is
     read ahead for its names. Columns may stand in any order and others may
     stand between them; one that the cleaning doesn't use may be absent (null).
-    UTF-16 files are read whole and then dealt over ``spread`` partitions
-    (default: the cluster's cores), UTF-8 files in 64 MB blocks. The reader's
+    Files are split into blocks of 64 MB, UTF-16 files with a byte-order mark
+    too (whose rows are dealt anew over ``spread`` partitions where that is given). Quoted values may hold line breaks: UTF-8 files are looked through
+    for quotes that stay open at a line's end, and those that have any are read
+    record by record (``vistra.sources.records``); with ``line_breaks=False``
+    that pass is spared and every line is taken for a record. The reader's
     missing-value strings become NULL, as the reference's reader treats them.
-    Quoted line breaks are not supported in UTF-8 files, which are split at
-    line ends: ``malformed_rows`` counts what such a break leaves behind.
     """
-    return normalize_na_tokens(_read_parts(spark, files, spread, False), VISIT_COLUMNS)
+    parts = _read_parts(spark, files, lambda paths, header, enc: _read_visit_group(spark, paths, header, enc, spread, line_breaks))
+    return normalize_na_tokens(parts, VISIT_COLUMNS)
 
 
 def malformed_rows(spark: SparkSession, files: Sequence[VisitFile]) -> DataFrame:
-    """One row (malformed_rows, rows): lines whose number of values isn't that of the columns."""
-    rows = _read_parts(spark, files, None, True)
+    """One row (malformed_rows, rows): lines whose number of values isn't that of the columns.
+
+    Lines, not records: a value with a line break counts as the lines it stands on.
+    """
+    rows = _read_parts(spark, files, lambda paths, header, enc: _read_lines(spark, paths, header, enc))
     return rows.agg(F.count_if(F.col(MALFORMED) & F.col("whole")).alias("malformed_rows"), F.count_if("whole").alias("rows"))
 
 

@@ -60,17 +60,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _open_prefix(path: str, n: int = 2) -> bytes:
-    from pyarrow import fs as pafs
-
+def open_file(path: str):
+    """A file opened for reading bytes, wherever it is: local, HDFS or an object store."""
     if path.startswith("file:"):
         local = path[len("file:"):]
         while local.startswith("//"):
             local = local[1:]
-        with open(local, "rb") as f:
-            return f.read(n)
+        return open(local, "rb")
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs as pafs
+
     filesystem, inner = pafs.FileSystem.from_uri(path)
-    with filesystem.open_input_stream(inner) as f:
+    return filesystem.open_input_file(inner)
+
+
+def _open_prefix(path: str, n: int = 2) -> bytes:
+    with open_file(path) as f:
         return f.read(n)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.sources.encoding import list_files, path_exists
+from vistra.sources.encoding import list_files
 
 BYTES_PER_GB = 1024.0**3
 
@@ -16,23 +18,39 @@ class MissingInputError(FileNotFoundError):
     pass
 
 
+def expected_files(spark: SparkSession, data_dir: str, expected: Sequence[str]) -> DataFrame:
+    """(file_name, path, length) of all files under the expected paths, contents pruned.
+
+    One listing for all of them: a pattern of their names, which Spark's
+    ``binaryFile`` source expands, many folders in parallel. Names that don't
+    exist match nothing; a file belongs to each expected name that its path begins with.
+    """
+    nothing = spark.range(0).select(F.lit("").alias("file_name"), F.lit("").alias("path"), F.lit(0).cast("bigint").alias("length"))
+    if not expected:
+        return nothing
+    root = data_dir.rstrip("/")
+    pattern = ",".join(re.sub(r"([\\{}\[\],*?])", r"\\\1", n) for n in dict.fromkeys(expected))
+    try:
+        files = list_files(spark, [f"{root}/{{{pattern}}}"])
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return nothing
+        raise
+    bare = re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", root)
+    steps = F.split(F.substring_index("path", f"{bare}/", -1), "/")
+    begins = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+    wanted = spark.createDataFrame([(n,) for n in dict.fromkeys(expected)], "file_name string")
+    return files.select("path", "length", F.explode(begins).alias("file_name")).join(wanted, "file_name").select("file_name", "path", "length")
+
+
 def input_manifest(spark: SparkSession, data_dir: str, expected: Sequence[str]) -> DataFrame:
     """Rows (file_name, present, n_files, size_bytes, size_gb) per expected input.
 
     An input may be one file or a folder of part files (as Spark writes
-    them). Only the expected paths are listed, each by Spark's ``binaryFile``
-    source with contents pruned; one that doesn't exist, or whose folder
-    doesn't, is ``present = false``. An empty folder is missing too.
+    them). One that doesn't exist, or whose folder doesn't, is ``present =
+    false``. An empty folder is missing too.
     """
-    root = data_dir.rstrip("/")
-    empty = spark.range(0).select(F.lit("").alias("file_name"), F.lit(0).cast("bigint").alias("length"))
-    listings = [empty] + [
-        list_files(spark, [f"{root}/{n}"]).select(F.lit(n).alias("file_name"), "length") for n in expected if path_exists(spark, f"{root}/{n}")
-    ]
-    listing = listings[0]
-    for part in listings[1:]:
-        listing = listing.unionByName(part)
-    sizes = listing.groupBy("file_name").agg(
+    sizes = expected_files(spark, data_dir, expected).groupBy("file_name").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("size_bytes")
     )
     wanted = spark.createDataFrame([(n,) for n in expected], "file_name string")
