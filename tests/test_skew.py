@@ -68,12 +68,12 @@ def test_hot_person_is_dealt_over_all_tasks(spark):
 
 def test_only_heavy_keys_rows_are_repeated(spark):
     visits = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 100).alias("k"))
-    heavy = {r["_key"]: r["_salts"] for r in heavy_keys(visits, ["k"]).collect()}
+    heavy = {r["__heavy_key"]: r["__heavy_salts"] for r in heavy_keys(visits, ["k"]).collect()}
     hot = spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]
     assert set(heavy) == {hot} and heavy[hot] >= 1 / 3 / SALT_SHARE
     seen = Observation("keys")
     observe_keys(visits, ["k"], seen).write.format("noop").mode("overwrite").save()
-    assert {r["_key"]: r["_salts"] for r in observed_keys(spark, seen).collect()} == heavy
+    assert {r["__heavy_key"]: r["__heavy_salts"] for r in observed_keys(spark, seen).collect()} == heavy
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -89,5 +89,7 @@ def test_spread_join_equals_the_plain_join(spark, how):
     assert got.columns == want.columns
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
     assert spread_join(left.limit(0), right, ["n", "s"], how).count() == 0
+    odd = left.withColumnsRenamed({"v": "_key"}).withColumn("_salt", F.lit(1))  # columns of any name
+    assert sorted(spread_join(odd, right, ["n", "s"], how).collect(), key=repr) == sorted(odd.join(right, ["n", "s"], how).collect(), key=repr)
     with pytest.raises(ValueError):
         spread_join(left, right, ["n"], "full")

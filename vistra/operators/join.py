@@ -35,14 +35,14 @@ def _sketch(on: Sequence[str]) -> list[Column]:
 
 
 def _heavy(top: DataFrame) -> DataFrame:
-    """(rows, _key, times) -> (_key, _salts) of the heavy ones."""
-    heavy = top.filter(F.col("_key").isNotNull() & (F.col("times") >= F.col("rows") * HEAVY_SHARE))
-    return heavy.select("_key", F.ceil(F.col("times") / (F.col("rows") * SALT_SHARE)).cast("int").alias("_salts"))
+    """(rows, __heavy_key, times) -> (__heavy_key, __heavy_salts) of the heavy ones."""
+    heavy = top.filter(F.col("__heavy_key").isNotNull() & (F.col("times") >= F.col("rows") * HEAVY_SHARE))
+    return heavy.select("__heavy_key", F.ceil(F.col("times") / (F.col("rows") * SALT_SHARE)).cast("int").alias("__heavy_salts"))
 
 
 def heavy_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """(_key, _salts) of the keys with a share of at least HEAVY_SHARE; keys by hash, nulls left out."""
-    return _heavy(rows.agg(*_sketch(on)).select("rows", F.inline("top")).toDF("rows", "_key", "times"))
+    """(__heavy_key, __heavy_salts) of the keys with a share of at least HEAVY_SHARE; keys by hash, nulls left out."""
+    return _heavy(rows.agg(*_sketch(on)).select("rows", F.inline("top")).toDF("rows", "__heavy_key", "times"))
 
 
 def observe_keys(rows: DataFrame, on: Sequence[str], seen: Observation) -> DataFrame:
@@ -54,7 +54,7 @@ def observed_keys(spark: SparkSession, seen: Observation) -> DataFrame:
     """``heavy_keys`` from a finished observation."""
     found = seen.get
     rows = [(found["rows"], r["item"], r["count"]) for r in found["top"] or []]
-    return _heavy(spark.createDataFrame(rows, "rows bigint, _key bigint, times bigint"))
+    return _heavy(spark.createDataFrame(rows, "rows bigint, __heavy_key bigint, times bigint"))
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", heavy: DataFrame | None = None) -> DataFrame:
@@ -71,14 +71,14 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     for c in on:
         empty = empty | F.col(c).isNull()
     row = F.xxhash64(*left.columns)
-    salts = F.when(empty, F.lit(int(1 / SALT_SHARE))).otherwise(F.coalesce("_salts", F.lit(1)))
-    dealt = left.withColumn("_key", F.xxhash64(*on)).join(heavy, "_key", "left")
-    dealt = dealt.withColumn("_salt", F.when(salts > 1, F.pmod(row, salts)).otherwise(F.lit(0)).cast("int"))
-    dealt = dealt.select(*left.columns, "_salt")
-    repeated = right.withColumn("_key", F.xxhash64(*on)).join(heavy, "_key", "left")
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt")
+    salts = F.when(empty, F.lit(int(1 / SALT_SHARE))).otherwise(F.coalesce("__heavy_salts", F.lit(1)))
+    dealt = left.withColumn("__heavy_key", F.xxhash64(*on)).join(heavy, "__heavy_key", "left")
+    dealt = dealt.withColumn("__heavy_salt", F.when(salts > 1, F.pmod(row, salts)).otherwise(F.lit(0)).cast("int"))
+    dealt = dealt.select(*left.columns, "__heavy_salt")
+    repeated = right.withColumn("__heavy_key", F.xxhash64(*on)).join(heavy, "__heavy_key", "left")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("__heavy_salts", F.lit(1)) - 1)).alias("__heavy_salt")
     repeated = repeated.select(*right.columns, every)
-    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return dealt.join(repeated, [*on, "__heavy_salt"], how).drop("__heavy_salt")
 
 
 def visits_person_left(valid: DataFrame, person: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
