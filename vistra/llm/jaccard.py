@@ -30,17 +30,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vistra.llm.common import Words, in_groups, mix64, stored, table, texts_of, trimmed
+from vistra.operators.join import observe_keys, observed_keys, spread_join
 
 SHINGLE = 5
 PERCENT = 75
-# Cells of the count sketch that orders shingles, and bits of the sets of hashes
-# that spare a shuffle of rows without a partner. They bound what is broadcast
-# (4 MB, 16 MB and 32 MB); results do not depend on them.
+# Cells of the count sketch that orders shingles, and bits of the set of hashes
+# that spares building sets of texts without a partner. They bound what is
+# broadcast (4 MB and 16 MB); results do not depend on them.
 SKETCH_CELLS = 1 << 22
+SKETCH_SLICES = 64
 FILTER_BITS = 1 << 27
 # Shingles in one block of a region; a document with more is a block of its own.
 BLOCK_SHINGLES = 200_000
@@ -112,9 +114,14 @@ def least_shared(n: F.Column, percent: int = PERCENT) -> F.Column:
 # --- level 1: regions of one-shingle pivots ---------------------------------------------
 
 
-def name_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """Stored rows: _key, text_hash, node, n_shingles; and one row per task with its sketch."""
-    schema = pa.schema([("_key", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary())])
+def name_sets(docs: DataFrame, size: int, key: str, text: str, seen: Observation) -> DataFrame:
+    """Stored rows: _key, text_hash, node, n_shingles; and per task the slices of its sketch.
+
+    ``seen`` finds the sets that very many rows have, for the joins by node.
+    """
+    schema = pa.schema(
+        [("_key", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()), ("slice", pa.int32()), ("sketch", pa.binary())]
+    )
     source = docs.select(F.col(key).cast("bigint").alias("_key"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("_text"))
 
     def name(batches):
@@ -128,45 +135,46 @@ def name_sets(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_key"), batch.column("text_hash"), pa.array([set_name(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary()),
                 ],
                 schema=schema,
             )
-        if cells.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4 + [pa.array([zlib.compress(cells.tobytes(), 1)], pa.binary())], schema=schema)
+        for i, part in enumerate(cells.reshape(SKETCH_SLICES, -1)):
+            if part.any():
+                data = pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4 + [pa.array([i], pa.int32()), data], schema=schema)
 
-    return stored(source.mapInArrow(trimmed(name), "_key bigint, text_hash bigint, node bigint, n_shingles bigint, sketch binary"), "jaccard-sets")
+    rows = source.mapInArrow(trimmed(name), "_key bigint, text_hash bigint, node bigint, n_shingles bigint, slice int, sketch binary")
+    return stored(observe_keys(rows, ["node"], seen), "jaccard-sets")
 
 
 def total_sketch(rows: DataFrame) -> np.ndarray:
     """The sum of all tasks' sketches, in logarithmic steps of a quarter octave (uint8).
 
-    Sums run in two levels, one sketch held at a time.
+    Slices are summed apart, over groups of tasks and then over the groups;
+    both are about the square root of the number of tasks.
     """
-
-    def add(batches):
-        import zlib
-
-        total = None
-        for batch in batches:
-            for data in batch.column("sketch"):
-                cells = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint32)
-                total = cells.astype(np.uint64) if total is None else total + cells
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)], pa.binary())], names=["sketch"])
-
-    sketches = rows.filter("sketch is not null").select("sketch")
-    out = sketches.repartition(8).mapInArrow(trimmed(add), "sketch binary").coalesce(1).mapInArrow(trimmed(add), "sketch binary").collect()
-    if not out:
-        return np.zeros(SKETCH_CELLS, np.uint8)
     import zlib
 
-    cells = np.frombuffer(zlib.decompress(out[0]["sketch"]), dtype=np.uint32)
-    return np.round(4 * np.log2(cells.astype(np.float64) + 1)).astype(np.uint8)
+    def add(table):
+        total = np.zeros(SKETCH_CELLS // SKETCH_SLICES, dtype=np.uint64)
+        for data in table.column("sketch"):
+            total += np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint32)
+        data = zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)
+        return pa.table([table.column("slice")[:1].cast(pa.int32()), pa.array([data], pa.binary())], names=["slice", "sketch"])
+
+    sketches = rows.filter("sketch is not null").select("slice", "sketch")
+    groups = int((sketches.count() / SKETCH_SLICES) ** 0.5) + 1
+    part = F.pmod(F.xxhash64("sketch"), F.lit(groups)).alias("part")
+    sums = sketches.groupBy("slice", part).applyInArrow(add, "slice int, sketch binary").groupBy("slice").applyInArrow(add, "slice int, sketch binary")
+    cells = np.zeros((SKETCH_SLICES, SKETCH_CELLS // SKETCH_SLICES), np.uint32)
+    for r in sums.collect():
+        cells[r["slice"]] = np.frombuffer(zlib.decompress(r["sketch"]), dtype=np.uint32)
+    return np.round(4 * np.log2(cells.ravel().astype(np.float64) + 1)).astype(np.uint8)
 
 
 def regions(docs: DataFrame, rank: np.ndarray, size: int, percent: int, text: str) -> DataFrame:
-    """Stored rows (shingle, node): the regions that each set stands in."""
+    """Rows (shingle, node): the regions that each set stands in."""
     steps = docs.sparkSession.sparkContext.broadcast(rank)
 
     def place(batches):
@@ -192,7 +200,7 @@ def regions(docs: DataFrame, rank: np.ndarray, size: int, percent: int, text: st
                 )
 
     source = docs.select(F.col(text).cast("string").alias("_text"))
-    return stored(source.mapInArrow(trimmed(place), "shingle bigint, node bigint"), "jaccard-regions")
+    return source.mapInArrow(trimmed(place), "shingle bigint, node bigint")
 
 
 def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -207,99 +215,47 @@ def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def repeated_bits(rows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """Two bit sets, one after the other, of the shingle hashes that occur more than once.
-
-    Each has ``bits`` bits and a place of its own for a hash, so that a hash that
-    occurs once passes only where it meets others in both. A task sends the places it saw once and more often; bit sets of them are joined in two
-    levels, a few of them held at a time. With many more rows than bits the
-    result merely lets more through.
-    """
-    ddl, schema = "once binary, more binary", pa.schema([("once", pa.binary()), ("more", pa.binary())])
-
-    def row(once: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        import zlib
-
-        return pa.RecordBatch.from_arrays([pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in (once, more)], schema=schema)
-
-    def places(batches):
-        seen = [at for b in batches for at in two_places(b.column("shingle").to_numpy(), bits)]
-        if seen:
-            value, times = np.unique(np.concatenate(seen), return_counts=True)
-            yield row(*(np.diff(v, prepend=0).astype(np.uint32) for v in (value[times == 1], value[times > 1])))
-
-    def bit_set(data: bytes, steps: bool) -> np.ndarray:
-        import zlib
-
-        raw = zlib.decompress(data)
-        if not steps:
-            return np.frombuffer(raw, dtype=np.uint8)
-        at = np.cumsum(np.frombuffer(raw, dtype=np.uint32), dtype=np.int64)
-        out = np.zeros(2 * bits // 8, dtype=np.uint8)
-        np.bitwise_or.at(out, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-        return out
-
-    def joined(steps: bool):
-        def add(batches):
-            once, more = np.zeros(2 * bits // 8, dtype=np.uint8), np.zeros(2 * bits // 8, dtype=np.uint8)
-            for batch in batches:
-                for data, data_more in zip(batch.column("once"), batch.column("more")):
-                    seen = bit_set(data.as_py(), steps)
-                    more |= bit_set(data_more.as_py(), steps)
-                    more |= once & seen
-                    once |= seen
-            yield row(once, more)
-
-        return add
-
-    parts = rows.select("shingle").mapInArrow(trimmed(places), ddl).repartition(4).mapInArrow(trimmed(joined(True)), ddl)
-    (whole,) = parts.coalesce(1).mapInArrow(trimmed(joined(False)), ddl).select("more").collect()
-    return bit_set(whole["more"], False)
-
-
-def two_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of hashes in a bit set of ``bits`` bits and in a second one after it."""
-    return np.mod(keys, bits), bits + (mix64(keys.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
-
-
-def _filtered(rows: DataFrame, words: np.ndarray) -> DataFrame:
-    """Rows whose shingle the bit set (or both of two) holds."""
-    wanted = rows.sparkSession.sparkContext.broadcast(words)
-
-    def keep(batches):
-        for batch in batches:
-            keys, words = batch.column("shingle").to_numpy(), wanted.value
-            if 8 * len(words) > FILTER_BITS:
-                held = [(words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1 for at in two_places(keys, FILTER_BITS)]
-                yield batch.filter(pa.array(held[0] & held[1]))
-            else:
-                yield batch.filter(pa.array(_in_filter(words, keys)))
-
-    return rows.mapInArrow(trimmed(keep), "shingle bigint, node bigint")
-
-
 def _in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = np.mod(keys, FILTER_BITS)
     return (words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(shingle, pivot) of regions with two documents or more; the pivot is the lowest."""
-    groups = rows.groupBy("shingle").agg(F.min("node").alias("pivot"), F.max("node").alias("high"))
-    return groups.filter("pivot < high").select("shingle", "pivot")
+def in_company(rows: DataFrame) -> DataFrame:
+    """The distinct (shingle, node) rows of regions with two documents or more.
 
+    One exchange by shingle; in each partition the sorted rows run past, and one
+    row is held at a time.
+    """
+    schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64())])
 
-def shared_regions(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Stored (shingle, node, pivot, documents, alike): regions with two documents or more, of documents with enough of them.
+    def run(batches):
+        held, done = None, False  # the row before, and whether it is out already
+        for batch in batches:
+            s, n = (batch.column(c).to_numpy() for c in ("shingle", "node"))
+            if not len(s):
+                continue
+            if held is not None:
+                s, n = np.concatenate([[held[0]], s]), np.concatenate([[held[1]], n])
+            new = np.ones(len(s), bool)
+            new[1:] = (s[1:] != s[:-1]) | (n[1:] != n[:-1])
+            s, n = s[new], n[new]
+            several = np.zeros(len(s), bool)
+            several[1:] = s[1:] == s[:-1]
+            several[:-1] |= several[1:]
+            last = bool(several[-1]) or (len(s) == 1 and done)
+            if done:
+                several[0] = False
+            held, done = (s[-1], n[-1]), last
+            if several.any():
+                yield pa.RecordBatch.from_arrays([pa.array(s[several]), pa.array(n[several])], schema=schema)
+
+    ordered = rows.repartition("shingle").sortWithinPartitions("shingle", "node")
+    return ordered.mapInArrow(trimmed(run), "shingle bigint, node bigint")
 
-    Most rows are alone in their region. Bit sets, of the repeated hashes and then
-    of the shared shingles, keep them out of the shuffles (they let some others
-    through, which the aggregate and the join drop).
-    """
-    rows = _filtered(rows, repeated_bits(rows))
-    shared = stored(_shared(rows), "jaccard-shared")
-    found = _filtered(rows, bit_filter(shared.select("shingle"))).join(shared.select("shingle").hint("shuffle_hash"), "shingle")
-    members = stored(found.distinct(), "jaccard-members")
+
+def shared_regions(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Stored (shingle, node, pivot, documents, alike): regions with two documents or more, of documents with enough of them."""
+    members = stored(in_company(rows), "jaccard-members")
     # all of a document's partners together share no less with it than one
     enough = members.groupBy("node").agg(F.count(F.lit(1)).alias("regions")).join(sizes, "node")
     enough = stored(enough.filter(F.col("regions") >= least_shared(F.col("n"), percent)).select("node", "regions"), "jaccard-enough")
@@ -330,8 +286,12 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
     """Stored (node, n, shingles): the sets of ``nodes``, one row each, from their texts."""
     texts = named.filter("sketch is null").join(nodes, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct()
     texts = stored(texts, "jaccard-texts")
-    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(texts))
     source = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("_text"))
+    if 8 * texts.count() > FILTER_BITS:  # too many for the bit set to tell them from others: their texts are moved
+        source, bits = source.join(texts, "text_hash", "left_semi"), np.full(FILTER_BITS // 8, 255, np.uint8)
+    else:
+        bits = bit_filter(texts)
+    wanted = docs.sparkSession.sparkContext.broadcast(bits)
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def build(batches):
@@ -350,35 +310,68 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
             )
 
     # the few sets that the bit set lets through besides are of no node that is asked for
-    return stored(source.mapInArrow(trimmed(build), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")
-
+    found = stored(source.mapInArrow(trimmed(build), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")
+    wanted.destroy()
+    return found
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared, total): exact intersection and union sizes of pairs whose sizes allow a link or a window."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
-    return both.select("a", "b", "shared", (F.size("set_a") + F.size("set_b") - F.col("shared")).alias("total"))
 
+def distances(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b, shared, total): exact intersection and union sizes of pairs.
 
-def components(links: DataFrame) -> DataFrame:
-    """Stored (node, label): the smallest node of each component of ``links`` (a, b).
-
-    Labels spread to neighbours and then jump to their own label's label, so a
-    chain's length halves in each round; every round is stored.
+    A pivot's partners are dealt into blocks of some BLOCK_SHINGLES shingles; its
+    set goes once to each block, however many partners it has.
+    """
+    sized = pairs.join(sizes.select(F.col("node").alias("b"), "n"), "b")
+    blocks = sized.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    partners = sized.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
+    partners = partners.join(sets.withColumnRenamed("node", "b"), "b")
+    partners = partners.select(F.col("a").alias("of"), F.col("block").alias("of_block"), F.col("b").alias("partner"), F.col("shingles").alias("theirs"))
+    pivots = blocks.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(sets.withColumnRenamed("node", "a"), "a")
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "shared", "total")])
+
+    def measure(pivot, others):
+        if not others.num_rows or not pivot.num_rows:
+            return schema.empty_table()
+        mine = np.sort(pivot.column("shingles")[0].values.to_numpy())
+        lists = others.column("theirs").combine_chunks()
+        values, cuts = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        hit = mine[np.minimum(np.searchsorted(mine, values), len(mine) - 1)] == values
+        before = np.concatenate([[0], np.cumsum(hit)])
+        shared = before[cuts[1:]] - before[cuts[:-1]]
+        total = np.diff(cuts) + len(mine) - shared
+        return pa.table([pa.array(np.full(len(shared), pivot.column("a")[0].as_py())), others.column("partner"), pa.array(shared), pa.array(total)], schema=schema)
+
+    both = pivots.groupBy("a", "block").cogroup(partners.groupBy("of", "of_block"))
+    return both.applyInArrow(measure, "a bigint, b bigint, shared bigint, total bigint")
+
+
+def components(links: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """(node, label): the smallest node of each component of ``links`` (a, b).
+
+    With ``keys`` (node, key) nodes are ordered by key first, and a third column
+    ``key`` holds the key of the component's smallest node, so that nobody need
+    look it up by label. Labels spread to neighbours and then jump to their own
+    label's label, so a chain's length halves in each round; every round is
+    stored, and the labels that very many nodes have are seen in that pass.
     """
+    spark = links.sparkSession
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "jaccard-links")
-    lowest = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = stored(lowest.select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "jaccard-labels")
+    nodes = both.select(F.col("a").alias("node")).distinct()
+    nodes = nodes.withColumn("key", F.lit(0)) if keys is None else nodes.join(keys, "node")
+    labels = stored(nodes.select("node", F.struct("key", "node").alias("label")), "jaccard-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("jumped"))
-        moved = stored(lower.join(jump, "next", "left").select("node", "label", F.least("next", "jumped").alias("next")), "jaccard-labels")
+        seen = Observation("labels")
+        lower = stored(observe_keys(lower.withColumn("of", F.col("next.node")), ["of"], seen), "jaccard-near")
+        jump = labels.select(F.col("node").alias("of"), F.col("label").alias("jumped"))
+        moved = spread_join(lower, jump, ["of"], "inner", observed_keys(spark, seen))
+        moved = stored(moved.select("node", "label", F.least("next", "jumped").alias("next")), "jaccard-labels")
         changed = moved.filter("label <> next").limit(1).count()
         labels = moved.select("node", F.col("next").alias("label"))
         if not changed:
-            return labels
+            found = labels.select("node", F.col("label.node").alias("label"), F.col("label.key").alias("key"))
+            return found.drop("key") if keys is None else found
 
 
 def linked(found: DataFrame, percent: int) -> DataFrame:
@@ -492,29 +485,31 @@ def near_duplicates(
     are linked whatever their ids; a null id never names a component unless all
     its rows have one. Other columns are ignored.
     """
-    named = name_sets(docs, size, key, text)
-    rows = _components(docs, named, size, percent, text)
-    smallest = rows.groupBy("label").agg(F.min("_key").alias("component_id"))
-    full = rows.join(smallest, "label").select(F.col("_key").alias("doc_id"), "n_shingles", "component_id")
+    seen = Observation("sets")
+    named = name_sets(docs, size, key, text, seen)
+    first = F.struct(F.col("_key").isNull().alias("none"), F.coalesce("_key", F.lit(0)).alias("id"))
+    rows = _components(docs, named, seen, first, size, percent, text)
+    component = F.when(~F.col("smallest.none"), F.col("smallest.id"))
+    full = rows.select(F.col("_key").alias("doc_id"), "n_shingles", component.alias("component_id"))
     empty = named.filter("sketch is null and n_shingles = 0")
     return full.unionByName(empty.select(F.col("_key").alias("doc_id"), "n_shingles", F.col("_key").alias("component_id")))
 
 
-def _components(docs: DataFrame, named: DataFrame, size: int, percent: int, text: str) -> DataFrame:
-    """(_key, text_hash, n_shingles, label) of all rows with shingles; equal label: same component."""
+def _components(docs: DataFrame, named: DataFrame, seen: Observation, first: F.Column, size: int, percent: int, text: str) -> DataFrame:
+    """(_key, text_hash, n_shingles, smallest) of all rows with shingles; ``smallest``: the least ``first`` of the row's component."""
     sets = named.filter("sketch is null and n_shingles > 0").select("_key", "text_hash", "node", "n_shingles")
+    nodes = stored(sets.groupBy("node").agg(F.first("n_shingles").alias("n"), F.min(first).alias("key")), "jaccard-nodes")
+    sizes = nodes.select("node", "n")
     rows = regions(docs, total_sketch(named), size, percent, text)
-    sizes = sets.groupBy("node").agg(F.first("n_shingles").alias("n"))
     members = shared_regions(rows, sizes, percent)
     pairs = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()  # a star for each region
     todo = stored(_size_window(pairs, sizes, percent), "jaccard-pairs")
-    nodes = stored(members.select("node").distinct(), "jaccard-nodes")
-    shingles = candidate_sets(docs, named, nodes, size, text)
-    measured = stored(distances(todo, shingles), "jaccard-distances")
-    links = linked(measured, percent)
+    shingles = candidate_sets(docs, named, stored(members.select("node").distinct(), "jaccard-shared"), size, text)
+    links = linked(stored(distances(todo, shingles, sizes), "jaccard-distances"), percent)
     links = links.unionByName(open_links(members, components(links), sizes, shingles, percent))
-    labels = components(links)
-    return sets.join(labels, "node", "left").select("_key", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label"))
+    labels = components(links, nodes.select("node", "key")).select("node", F.col("key").alias("smallest"))
+    of_node = nodes.join(labels, "node", "left").select("node", F.coalesce("smallest", "key").alias("smallest"))
+    return spread_join(sets, of_node, ["node"], "inner", observed_keys(docs.sparkSession, seen)).select("_key", "text_hash", "n_shingles", "smallest")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -524,10 +519,11 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PE
     a component one row stays. Texts are shuffled once.
     """
     columns = docs.columns
-    named = name_sets(docs, size, key, text)
-    rows = _components(docs, named, size, percent, text)
-    first = rows.groupBy("label").agg(F.min(F.struct(F.col("_key").isNull().alias("_null"), F.coalesce("_key", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))).alias("first"))
-    chosen = stored(first.select("first.*"), "jaccard-kept")
+    seen = Observation("sets")
+    named = name_sets(docs, size, key, text, seen)
+    first = F.struct(F.col("_key").isNull().alias("_null"), F.coalesce("_key", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))
+    rows = _components(docs, named, seen, first, size, percent, text)
+    chosen = stored(rows.select("smallest.*").distinct(), "jaccard-kept")
     words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     parts = {"_null": F.col(key).isNull(), "_id": F.coalesce(F.col(key).cast("bigint"), F.lit(0)), "_hash": F.xxhash64(text)}
     # equal rows (id and text) are one choice, of which one stays; join and choice share one shuffle
