@@ -429,11 +429,13 @@ def open_links(members: DataFrame, labels: DataFrame, sizes: DataFrame, shingles
     target block is one group, so a group is bounded and a very large
     region is many groups.
     """
+    seen = Observation("cells")
     at = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    at = stored(observe_keys(at, ["label"], seen), "jaccard-labelled")
     cells = at.select("node", "label").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("cell"))
     larger = Window.partitionBy("node").orderBy(F.desc("documents"), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a row counts with all regions that are like it; the largest ones may be passed over
-    rows = at.join(cells, "label").join(sizes, "node").withColumn("looked_up", F.sum("alike").over(larger) > least_shared(F.col("n"), percent) - 1)
+    rows = spread_join(at, cells, ["label"], "inner", observed_keys(at.sparkSession, seen)).join(sizes, "node").withColumn("looked_up", F.sum("alike").over(larger) > least_shared(F.col("n"), percent) - 1)
     order = F.struct("cell", "label")
     several = rows.groupBy("shingle").agg(F.max(order).alias("last"), F.min(F.when(F.col("looked_up"), order)).alias("first"))
     at = stored(rows.join(several.filter("first < last").select("shingle"), "shingle").select("shingle", "node", "pivot", "label"), "jaccard-open")
