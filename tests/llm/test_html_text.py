@@ -120,3 +120,44 @@ def test_parts_of_a_page_that_training_pages_lack(spark):
     assert [r.n_chars for r in rows if r.page_id != 1] == [0, 0]
     assert h.extract_text(df.limit(0), model).count() == 0
     assert set(h.fit_labeller(df.limit(0))) == set(model)
+
+
+def _pattern_tokens(page):
+    """All markup by one pattern, quadratic on broken pages."""
+    import re
+
+    pattern = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
+    return [(m.start(), m.end(), bool(m[1]), (m[2] or "").lower(), m[3] or "") for m in pattern.finditer(page)]
+
+
+def test_markup_equals_the_pattern_on_broken_pages():
+    import random
+
+    from vistra.llm.html_text import Markup
+
+    rng = random.Random(1)
+    bits = ["<", ">", '"', "'", "a", "<p", "</p", "<!--", "-->", "<!", "<?", " x=", "/", " ", "text", "<a href='q'>", "=\"v\""]
+    for _ in range(20_000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 14)))
+        markup, at, got = Markup(page), 0, []
+        while t := markup.next(at):
+            got.append((t.start, t.end, t.closing, t.name, t.attributes))
+            at = t.end
+        assert got == _pattern_tokens(page), page
+
+
+@pytest.mark.parametrize("page", ["<a " * 330_000, '<a "' * 250_000, '<a "' * 250_000 + ">", "<p>" + "<a '\"" * 200_000 + "></p>x", "<!x" * 330_000, "<div>x" * 170_000, "<b>" * 170_000 + "</i>" * 80_000, "<head>" + "<title>" * 140_000, "<svg><a 'x" * 100_000])
+def test_a_megabyte_of_broken_markup_takes_linear_time(page):
+    import time
+
+    t0 = time.process_time()
+    h.parse_blocks(page)
+    assert time.process_time() - t0 < 6  # about 1 s; the pattern takes hours
+
+
+def test_labeller_is_the_same_whatever_files_hold_the_pages(spark):
+    from tests.llm.conftest import SF
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    one, many = (h.fit_labeller(df, 20) for df in (pages.coalesce(1), pages.repartition(7)))
+    assert all((one[k] == many[k]).all() for k in one)

@@ -45,16 +45,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def draw_rows(df: DataFrame, n: int, *by: str) -> list:
-    """Up to ``n`` rows of ``df``, drawn by a hash of the columns ``by`` and the row's place.
+    """Up to ``n`` rows of ``df``, drawn by a hash of the columns ``by``, whatever files or tasks hold them.
 
-    A threshold on the hash leaves about 4 n rows first, so that what reaches the
-    driver does not grow with the number of tasks.
+    ``by`` should tell rows apart (an id among them): rows that agree in it are drawn
+    together. A threshold on the hash leaves about 4 n rows first, so that
+    what reaches the driver does not grow with the number of tasks.
     """
     total = df.count()
-    hashed = df.withColumn("_draw", F.xxhash64(*by, F.monotonically_increasing_id()))
+    hashed = df.withColumn("_draw", F.xxhash64(*by))
     if total > 4 * n:
         hashed = hashed.filter(F.pmod("_draw", F.lit(2**32)) < int(4 * n / total * 2**32))
-    return hashed.orderBy("_draw").limit(n).collect()
+    return hashed.orderBy("_draw", *by).limit(n).collect()
 
 
 def process_value(key, make):

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 import zlib
 
 import numpy as np
@@ -55,7 +56,12 @@ PATH_SLOTS, WORD_SLOTS = 1024, 512
 PATH_SIZE, WORD_SIZE, HIDDEN = 16, 8, 16
 NUMBERS = 4
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
+# Elements nest this deep at most; one that begins further inside is taken as its content.
+DEEPEST = 256
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_START = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"<(?=[a-zA-Z!?/])")
+_QUOTES = re.compile(r"[>\"']")
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _TITLE_END = re.compile(r"</title\s*>", re.I)
 _NAME_PART = re.compile(r"[a-z0-9]+(?:-[a-z0-9]+)*")
@@ -76,29 +82,96 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def _after_raw(page: str, tag: str, at: int) -> int:
-    """Where the page goes on after a script or style whose start tag ends at ``at``."""
-    end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-    return end.end() if end else len(page)
+class Token:
+    """A tag (``name`` in lower case) or other markup (no name) from ``start`` to ``end``."""
 
+    __slots__ = ("start", "end", "closing", "name", "attributes")
 
-def _hidden_ends(page: str) -> dict[int, int]:
-    """Start of each hidden element that has an end tag of its own, and where it ends."""
-    ends: dict[int, int] = {}
-    starts: dict[str, list[int]] = {tag: [] for tag in UNSEEN}
-    at = 0
-    while m := _TOKEN.search(page, at):
-        at = m.end()
-        tag = m[2].lower() if m[2] else ""
-        if tag in RAW and not m[1]:
-            at = _after_raw(page, tag, at)
-        elif tag in starts:
-            if not m[1]:
-                if not (tag == "svg" and m[3].endswith("/")):
-                    starts[tag].append(m.start())
-            elif starts[tag]:
-                ends[starts[tag].pop()] = m.end()
-    return ends
+    def __init__(self, start: int, end: int, closing: bool = False, name: str = "", attributes: str = ""):
+        self.start, self.end, self.closing, self.name, self.attributes = start, end, closing, name, attributes
+
+
+class Markup:
+    """The markup of a page, found in time linear in its length, however broken it is.
+
+    A tag ends at the first ``>`` outside quotes. While tags end, each is looked for
+    by a pattern that reads what it takes. At the first that doesn't, the ends
+    for all places are found once, from the page's end backwards.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.places: list[int] | None = None
+        self.ends: list[int] = []
+        self.last = page.rfind(">")
+
+    def _learn(self) -> None:
+        """For each quote or ``>``: where a tag ends that is outside quotes there, -1 for nowhere."""
+        found = [(m.start(), m[0]) for m in _QUOTES.finditer(self.page)]
+        self.places, self.ends = [at for at, _ in found], [-1] * len(found)
+        later = {}
+        for i in range(len(found) - 1, -1, -1):
+            at, mark = found[i]
+            if mark == ">":
+                self.ends[i] = at
+            else:
+                close = later.get(mark, len(found))
+                self.ends[i] = self.ends[close + 1] if close + 1 < len(found) else -1
+                later[mark] = i
+
+    def _tag(self, at: int) -> Token | None:
+        if self.places is None:
+            m = _TAG.match(self.page, at)
+            if m:
+                return Token(at, m.end(), bool(m[1]), m[2].lower(), m[3])
+            self._learn()
+        # a name may hold quotes; what follows it is searched for the end
+        m = _START.match(self.page, at)
+        i = bisect_left(self.places, m.end())
+        end = self.ends[i] if i < len(self.places) else -1
+        return Token(at, end + 1, bool(m[1]), m[2].lower(), self.page[m.end() : end]) if end >= 0 else None
+
+    def next(self, at: int) -> Token | None:
+        """The first markup from ``at`` on."""
+        page = self.page
+        while m := _MARK.search(page, at):
+            at = m.start()
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return Token(at, end + 3 if end >= 0 else len(page))
+            if at > self.last:  # nothing ends any more, but a comment may begin
+                at = page.find("<!--", at)
+                if at < 0:
+                    return None
+                continue
+            if _START.match(page, at) and (tag := self._tag(at)):
+                return tag
+            if page[at + 1] in "!?/":
+                return Token(at, page.index(">", at) + 1)
+            at += 1
+        return None
+
+    def after_raw(self, tag: str, at: int) -> int:
+        """Where the page goes on after a script or style whose start tag ends at ``at``."""
+        end = re.compile(rf"</{tag}\s*>", re.I).search(self.page, at)
+        return end.end() if end else len(self.page)
+
+    def hidden_ends(self) -> dict[int, int]:
+        """Start of each hidden element that has an end tag of its own, and where it ends."""
+        ends: dict[int, int] = {}
+        starts: dict[str, list[int]] = {tag: [] for tag in UNSEEN}
+        at = 0
+        while t := self.next(at):
+            at = t.end
+            if t.name in RAW and not t.closing:
+                at = self.after_raw(t.name, at)
+            elif t.name in starts:
+                if not t.closing:
+                    if not (t.name == "svg" and t.attributes.endswith("/")):
+                        starts[t.name].append(t.start)
+                elif starts[t.name]:
+                    ends[starts[t.name].pop()] = t.end
+        return ends
 
 
 def parse_blocks(page: str) -> list[Block]:
@@ -129,29 +202,33 @@ def parse_blocks(page: str) -> list[Block]:
             in_link -= tag == "a"
         del stack[upto:]
 
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            run = page[at : m.start()]
+    markup, titles = Markup(page), True
+    while m := markup.next(at):
+        if m.start > at:
+            run = page[at : m.start]
             in_head = in_head and run.isspace()
             parts.append(run)
             if in_link:
                 links.append(run)
-        at = m.end()
-        if not m[2]:
+        at = m.end
+        if not m.name:
             continue
-        tag = m[2].lower()
+        tag = m.name
         if tag == "head":
             flush()
-            in_head = not m[1]
+            in_head = not m.closing
             continue
         if in_head:
-            if m[1] and tag not in ("body", "html") or tag in IN_HEAD:
-                continue
-            if tag == "title" and (end := _TITLE_END.search(page, at)):
-                at = end.end()
+            if m.closing and tag not in ("body", "html") or tag in IN_HEAD:
                 continue
+            if tag == "title" and titles:
+                end = _TITLE_END.search(page, at)
+                titles = end is not None  # without an end here there is none further on
+                if end:
+                    at = end.end()
+                    continue
             in_head = tag in (*RAW, "noscript", "template")
-        if m[1]:
+        if m.closing:
             if tag not in INLINE:
                 flush()
             for i in range(len(stack) - 1, -1, -1):
@@ -163,25 +240,25 @@ def parse_blocks(page: str) -> list[Block]:
             continue
         if tag in RAW:
             flush()
-            at = _after_raw(page, tag, at)
+            at = markup.after_raw(tag, at)
             continue
         if tag in UNSEEN:
             if hidden is None:
-                hidden = _hidden_ends(page)
-            if m.start() in hidden:
+                hidden = markup.hidden_ends()
+            if m.start in hidden:
                 if tag not in INLINE:
                     flush()
-                at = hidden[m.start()]
+                at = hidden[m.start]
                 continue
             in_head = False
-            if tag == "svg" and m[3].endswith("/"):
+            if tag == "svg" and m.attributes.endswith("/"):
                 flush()
                 continue
         if tag in INLINE:
             if tag == "br":
                 parts.append(" ")
-            elif tag not in VOID and not m[3].endswith("/"):
-                stack.append((tag, _names(tag, m[3])))
+            elif tag not in VOID and not m.attributes.endswith("/") and len(stack) < DEEPEST:
+                stack.append((tag, _names(tag, m.attributes)))
                 in_link += tag == "a"
             continue
         flush()
@@ -195,8 +272,8 @@ def parse_blocks(page: str) -> list[Block]:
                 break
         while stack and stack[-1][0] in INLINE:  # an unclosed inline element ends with its block
             close(len(stack) - 1)
-        if tag not in VOID:
-            stack.append((tag, _names(tag, m[3])))
+        if tag not in VOID and len(stack) < DEEPEST:
+            stack.append((tag, _names(tag, m.attributes)))
     if at < len(page):
         parts.append(page[at:])
     flush()
@@ -428,7 +505,8 @@ def train(pages: list[list[Block]], variants: int = VARIED_PAGES, seed: int = 3,
 
 def fit_labeller(pages: DataFrame, rows: int = FIT_PAGES, text: str = "html") -> dict[str, np.ndarray]:
     """A labeller from ``rows`` pages drawn by hash (they and the training are bounded)."""
-    drawn = draw_rows(pages.filter(F.col(text).isNotNull()).select(text), rows, text)
+    by = [text, *(c for c in ("page_id", "url") if c in pages.columns and c != text)]
+    drawn = draw_rows(pages.filter(F.col(text).isNotNull()).select(*by), rows, *by)
     return train([parse_blocks(r[0]) for r in drawn])
 
 
