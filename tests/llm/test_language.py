@@ -67,3 +67,37 @@ def test_odd_rows(spark, odd_docs):
     assert {r.lang_pred for r in language.identify(odd_docs, [], np.zeros((0, 0))).collect()} == {language.UNKNOWN}
     assert language.identify(odd_docs.limit(0), langs, probs).count() == 0
     assert language.fit_tables(odd_docs.limit(0).selectExpr("doc_id", "text", "lang"))[0] == []
+
+
+def test_long_runs_are_summed_whole():
+    """A run of letters over 40, and one over several stretches, against the unsplit sum."""
+    pieces = language.pieces_of(language.VOCABULARY)
+    rng = np.random.default_rng(1)
+    probs = rng.dirichlet(np.ones(len(pieces.names)), 2).T
+    names = {n: i for i, n in enumerate(pieces.names)}
+    for word in ("thatedening" * 5, "é" * 41, "internationalization" * 2 + "x"):
+        got = language.long_word_scores(word, pieces, probs)
+        assert got == pytest.approx([np.log(brute(word, names, probs[:, k])) for k in range(2)], rel=1e-9)
+        assert got == pytest.approx(language.word_scores([word], pieces, probs)[0], rel=1e-9)
+    long = language.long_word_scores("thatening" * 1000, pieces, probs)  # 9,000 letters: far below what a double holds
+    logs = []
+    for k in range(2):  # the same recursion, one column at a time, in logarithms
+        text, total = chr(language._START) + "thatening" * 1000, [0.0]
+        for end in range(1, 9002):
+            terms = [total[-1] + np.log(language.STRAY)] + [
+                total[end - n] + np.log(probs[names[text[end - n : end]], k]) for n in pieces.lengths if n <= end and text[end - n : end] in names
+            ]
+            total.append(np.logaddexp.reduce(terms))
+        logs.append(total[-1])
+    assert long == pytest.approx(logs, rel=1e-9)
+
+
+def test_a_long_run_is_one_word_in_the_prediction(spark):
+    docs = table("documents", SF)
+    langs, probs = language.fit_tables(spark.createDataFrame(docs[["doc_id", "text", "lang", "n_chars"]]))
+    text = "thatedeningwithoutablank" * 4
+    pieces = language.pieces_of(language.VOCABULARY)
+    row = language.identify(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), langs, probs).first()
+    scores = language.long_word_scores(text, pieces, probs)
+    assert row.lang_pred == langs[int(scores.argmax())]
+    assert row.score == pytest.approx(float(1 / np.exp(scores - scores.max()).sum()))

@@ -29,8 +29,10 @@ EM_ROUNDS = 3
 SMOOTHING = 0.05
 # A letter that is no piece stands alone with this probability in every language.
 STRAY = 1e-6
-# Longer words are scored in runs of so many letters.
+# Longer words go forward one at a time; for the fit they are taken in runs of so many letters.
 LONGEST = 40
+# Letters of a long word between two scalings of its sums.
+SCALE_EVERY = 16
 WORD_CACHE = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _START = 0x2581  # marks a word's start in the vocabulary
@@ -132,6 +134,36 @@ def word_scores(words: list[str], pieces: Pieces, table: np.ndarray) -> np.ndarr
     return out
 
 
+def long_word_scores(word: str, pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    """log P(word) for each language, of a word of any length: the same sum over all
+    segmentations. As many sums as the longest piece has letters are kept, scaled now and then."""
+    letters = np.concatenate([[_START], np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]).astype(np.uint64)
+    n, kept = len(letters), pieces.lengths[-1]
+    logs = np.zeros(table.shape[1])
+    last = np.zeros((kept + 1, table.shape[1]))  # row i % (kept + 1): the first i characters
+    last[0] = 1.0
+    for begin in range(0, n, 4096):  # pieces that end in this stretch
+        a = max(0, begin - kept)
+        part = letters[a : begin + 4096]
+        total, power, found = np.zeros(len(part), np.uint64), 1, []
+        for length in range(1, min(kept, len(part)) + 1):
+            total = total[: len(part) - length + 1] + part[length - 1 :] * np.uint64(power)
+            power = power * int(_BASE) % 2**64
+            if length in pieces.lengths:
+                found.append((length, pieces.find(total)))
+        for end in range(begin + 1, min(begin + 4096, n) + 1):
+            value = last[(end - 1) % (kept + 1)] * STRAY
+            for length, numbers in found:
+                at = end - length - a
+                if at >= 0 and numbers[at] >= 0:
+                    value = value + last[(end - length) % (kept + 1)] * table[numbers[at]]
+            last[end % (kept + 1)] = value
+            if end % SCALE_EVERY == 0:
+                logs += np.log(value)
+                last /= value
+    return logs + np.log(last[n % (kept + 1)])
+
+
 def expected_counts(words: list[str], weights: np.ndarray, pieces: Pieces, table: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words (one language)."""
     counts = np.zeros(len(pieces.names))
@@ -267,10 +299,10 @@ def identify(docs: DataFrame, languages: list[str], probabilities: np.ndarray, v
                     places, known = {}, known[:0]
                 new = [w for w in names if w not in places]
                 if new:
-                    parts = [_parts(w) for w in new]
-                    flat = word_scores([p for x in parts for p in x], pieces, probs)
-                    owner = np.cumsum([0, *(len(x) for x in parts)])[:-1]
-                    known = np.concatenate([known, np.add.reduceat(flat, owner, axis=0)])
+                    short = [w for w in new if len(w) <= LONGEST]
+                    new = short + [w for w in new if len(w) > LONGEST]
+                    scores = [word_scores(short, pieces, probs)] if short else []
+                    known = np.concatenate([known, *scores, *(long_word_scores(w, pieces, probs)[None] for w in new[len(short) :])])
                     for w in new:
                         places[w] = len(places)
                 per_word = known[np.array([places[w] for w in names], dtype=np.int64)] if names else known[:0]
