@@ -203,3 +203,30 @@ def test_masked_tokens_cover_spans():
     offsets = np.array(e.offsets)
     for (a, b), (s, t) in zip(chat.masked_tokens(offsets, np.array(spans)), spans):
         assert offsets[a, 0] == s and offsets[b - 1, 1] == t
+
+
+def test_select_of_many_places():
+    import numpy as np
+
+    from vistra.llm.token_files import EliasFano
+
+    rng = np.random.default_rng(3)
+    for values in ([], [0], [5, 5, 5], np.cumsum(rng.integers(0, 9, 3000)), np.cumsum(rng.integers(0, 2, 700) * 50_000), [0, 1, 2, 10**6, 10**12]):
+        ef = EliasFano.encode(np.array(values, np.int64))
+        places = rng.permutation(len(values))
+        assert ef.select_all(places).tolist() == [int(values[i]) for i in places] == [ef.select(int(i)) for i in places]
+
+
+def test_number_of_files_follows_the_input(spark, tmp_path_factory, monkeypatch):
+    from vistra.llm import token_files
+    from vistra.session import scratch_path
+
+    docs = spark.createDataFrame([(i, "some words " * 50) for i in range(200)], "doc_id bigint, text string")
+    assert token_files._text_bytes(docs, "text") > 0
+    monkeypatch.setattr(token_files, "FILE_BYTES", 500)
+    path = scratch_path(spark, "files")
+    docs.write.parquet(path + "-docs")
+    token_files.write_token_files(spark.read.parquet(path + "-docs"), path, "word_bpe_49k.json", end_id=2)
+    files = -(-token_files._text_bytes(spark.read.parquet(path + "-docs"), "text") // 500)
+    assert files > 8  # more than the shuffle setting
+    assert 8 < spark.read.format("binaryFile").load(path).filter("length > 0").count() <= files

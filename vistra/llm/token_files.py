@@ -30,9 +30,15 @@ MAGIC = b"VTF1"
 _HEAD = "<4sIIBIQ"
 _EF = "<QQBII"
 SAMPLE = 256  # one select sample per so many values
+FILE_BYTES = 128_000_000  # text of one file
 BLOCK_IDS = 1_000_000  # a block is closed once it holds so many ids
 NULL_KEY = -(2**63)
 
+# Ones of each byte, and where its i-th one stands.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+_ONES = _BITS.sum(axis=1).astype(np.int64)
+_PLACE = np.stack([np.append(np.flatnonzero(b), np.zeros(8 - b.sum(), np.int64)) for b in _BITS]).astype(np.int64)
+
 
 class EliasFano:
     """A non-decreasing sequence of integers in [0, 2^63) in near-minimal space."""
@@ -74,6 +80,28 @@ class EliasFano:
         one = byte * 8 + (word & -word).bit_length() - 1
         return ((one - i) << self.low_bits) | self._low_of(i)
 
+    def select_all(self, places: np.ndarray) -> np.ndarray:
+        """``select`` of many places together: each goes from its sample over bytes until its one is inside."""
+        places = np.asarray(places, dtype=np.int64)
+        if not len(places):
+            return np.zeros(0, np.int64)
+        high = np.frombuffer(self._high, np.uint8)
+        start = self._samples[places // SAMPLE].astype(np.int64)
+        byte, left = start >> 3, places % SAMPLE
+        word = high[byte] & (0xFF << (start & 7)).astype(np.uint8)
+        going = np.flatnonzero(left >= _ONES[word])
+        while len(going):
+            left[going] -= _ONES[word[going]]
+            byte[going] += 1
+            word[going] = high[byte[going]]
+            going = going[left[going] >= _ONES[word[going]]]
+        out = (byte * 8 + _PLACE[word, left] - places) << self.low_bits
+        if self.low_bits:
+            bits = places[:, None] * self.low_bits + np.arange(self.low_bits)
+            low = (np.frombuffer(self._low, np.uint8)[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1
+            out |= (low.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+        return out
+
     def values(self) -> np.ndarray:
         """All values at once."""
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(self._high, np.uint8), bitorder="little"))
@@ -143,6 +171,14 @@ def blocks_of(data: bytes) -> Iterator[Block]:
         at = block.end + 1
 
 
+def _text_bytes(docs: DataFrame, text: str) -> int:
+    """About how many bytes of text there are: the planner's size of a table of files, else a sum."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < 1 << 50:
+        return size
+    return docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", files: int | None = None
 ) -> None:
@@ -150,13 +186,13 @@ def write_token_files(
 
     Null text: empty (the end id alone). Null keys come first. Rows with equal
     keys follow each other, ordered by text. Other columns are ignored.
-    ``files`` (default: spark.sql.shuffle.partitions) sets the number of
-    ranges, one file each; choose it for files of some 100 MB. Texts, not ids,
-    are shuffled, since ids need no second pass then. A range boundary may fall
+    ``files`` sets the number of ranges, one file each; by default as many as
+    make files of about FILE_BYTES of text, by the input's size, and at least
+    spark.sql.shuffle.partitions. Texts, not ids, are shuffled, since ids need no second pass then. A range boundary may fall
     between rows of one key, so no key is too frequent for a file.
     """
     spark = docs.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = files or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-_text_bytes(docs, text) // FILE_BYTES))
     order = ["_key", "_hash", "_row"]
     ranged = (
         docs.select(F.col(key).cast("bigint").alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
@@ -227,8 +263,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for data in batch.column("content"):
                 for b in blocks_of(data.as_buffer().to_pybytes()):
-                    bounds = b.bounds.values()
-                    keys = [None] * b.nulls + (b.keys.values() + b.base).tolist()
+                    bounds = b.bounds.select_all(np.arange(b.documents + 1))
+                    keys = [None] * b.nulls + (b.keys.select_all(np.arange(b.documents - b.nulls)) + b.base).tolist()
                     ids = np.frombuffer(b._data, dtype=f"<u{b.width}", count=b.total, offset=b._at).astype("<u4").tobytes()
                     cut = (4 * bounds).tolist()
                     n = b.documents
