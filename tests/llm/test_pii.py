@@ -141,3 +141,16 @@ def test_odd_rows_and_masks(spark, odd_docs):
     assert masked[50] == "call [PHONE] or mail [EMAIL], card [CARD]"
     assert masked[1] is None and masked[0] == ""
     assert pii.digest(pii.find_pii(docs.limit(0))).count() == 0
+
+
+def test_context_words_are_whole():
+    from vistra.llm.pii import Context
+
+    a, b = "x" * 40 + "a", "x" * 40 + "b"
+    text = f"{a} tel: 123 {b}  {'y' * 500} end"
+    at = text.index("123")
+    context = Context(text)
+    assert context.before(at)[1] == "tel:" and context.after(at + 3)[0] != context.before(at)[0]  # two long words are two words
+    assert context.after(at + 3)[1] != "y" * 200 and len(context.after(at + 3)[1]) <= 33
+    assert Context("tel:+123;x").before(4) == ["tel:"] and Context("tel:+123;x").after(8) == [";x"]
+    assert Context("a").before(0) == [] and Context("").after(0) == []

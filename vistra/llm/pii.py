@@ -14,6 +14,8 @@ and the rules did not see is added to the spans; the rules' spans always stay.
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -115,18 +117,27 @@ _LIKELY = re.compile(r"[0-9@]")
 
 
 def _word(text: str) -> str:
-    """A context word: lower case, digits alike, no more than 32 characters."""
-    return re.sub("[0-9]", "0", text.lower())[:32]
+    """A context word: lower case, digits alike; of a long one the first letters and a hash of all."""
+    word = re.sub("[0-9]", "0", text.lower())
+    return word if len(word) <= 32 else f"{word[:24]}~{zlib.crc32(word.encode('utf-8', 'surrogatepass')):08x}"
 
 
-def _before(text: str, at: int, n: int = 2) -> list[str]:
-    words = text[max(0, at - 200) : at].split()
-    return [_word(w) for w in words[-n:]]
+class Context:
+    """The words of a text around its places."""
 
+    def __init__(self, text: str):
+        self.text = text
+        spans = [m.span() for m in _RUN.finditer(text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
 
-def _after(text: str, at: int, n: int = 2) -> list[str]:
-    words = text[at : at + 200].split()
-    return [_word(w) for w in words[:n]]
+    def before(self, at: int, n: int = 2) -> list[str]:
+        """The last words before ``at``; one that ``at`` stands in counts up to there."""
+        last = bisect_left(self.starts, at)
+        return [_word(self.text[self.starts[i] : min(self.ends[i], at)]) for i in range(max(0, last - n), last)]
+
+    def after(self, at: int, n: int = 2) -> list[str]:
+        first = bisect_right(self.ends, at)
+        return [_word(self.text[max(self.starts[i], at) : self.ends[i]]) for i in range(first, min(first + n, len(self.ends)))]
 
 
 _NUMBER = re.compile(r"\+?[0-9][0-9().\[\]/+–-]*+")
@@ -247,9 +258,9 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
     if len(found) > seeds:
         taken = sorted((s, e) for _, s, e in found)
     found += [(-1, s, e) for s, e in likely_spans(text, taken)]
-    out = []
+    out, context = [], Context(text) if found else None
     for kind, start, end in sorted(found, key=lambda x: x[1]):
-        left, right = _before(text, start), _after(text, end)
+        left, right = context.before(start), context.after(end)
         patterns = []
         if len(left) == 2:
             patterns.append(f"{left[0]} {left[1]} *")
