@@ -10,6 +10,7 @@ from vistra.operators import aggregate, clean
 from vistra.operators import candidates as C
 from vistra.operators.join import visits_person_left
 from vistra.plans import queries as Q
+from vistra.plans import search
 from vistra.sources.parquet import read_parquet, write_parquet
 
 
@@ -79,6 +80,25 @@ def test_search_never_broadcasts_a_population(spark, tmp_dir):
     assert "BroadcastExchange" not in plan_text(C.tournament(small))
 
 
+def test_a_stored_population_stays_where_it_lies(spark, tmp_dir):
+    scored = C.score(C.init_population(Q.search_runs(spark, SF001, pop_size=50)))
+    stored = search.store_population(scored.repartition(5, *C.POOL_KEYS), f"{tmp_dir}/p", 5)
+    text = plan_text(C.tournament(stored, buckets=5))
+    # the draws (keys alone) and the drawn candidates move, the pool doesn't
+    exchanges = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning")]
+    assert len(exchanges) == 2 and all(", 5), REPARTITION_BY_NUM" in line for line in exchanges)
+    assert sorted(C.tournament(stored, buckets=5).collect()) == sorted(C.tournament(scored).collect())
+    assert spark.catalog.listTables() == []
+
+
+def test_a_generation_is_written_by_one_task_a_bucket(spark, tmp_dir):
+    scored = C.score(C.init_population(Q.search_runs(spark, SF001, pop_size=50)))
+    stored = search.store_population(scored.repartition(5, *C.POOL_KEYS), f"{tmp_dir}/p", 5)
+    children = C.score(C.next_generation(stored, 5)).filter("slot > 0")
+    again = search.store_population(children, f"{tmp_dir}/q", 5)
+    assert len(again.inputFiles()) == 5 and again.count() == children.count()
+
+
 def test_elite_is_a_hash_aggregate(spark):
     text = plan_text(C.elite(C.score(C.init_population(Q.search_runs(spark, SF001)))))
     assert "SortAggregate" not in text

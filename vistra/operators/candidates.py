@@ -34,6 +34,8 @@ DEFAULT_MUTATION_RATE = 0.15
 DEFAULT_SIGMA = 0.3
 # --- end of fixed values -------------------------------------------------------
 
+# One candidate each; a stored population is bucketed by them.
+POOL_KEYS = ["run_id", "generation", "slot"]
 PARAM_COLUMNS = ["config_id", "seed", "pop_size", "mutation_rate", "sigma"]
 
 
@@ -124,7 +126,7 @@ def score(population: DataFrame) -> DataFrame:
     return population.withColumn("fitness", objective("x", "y"))
 
 
-def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
+def tournament(scored: DataFrame, k: int = TOURNAMENT_K, buckets: int | None = None) -> DataFrame:
     """Two parents per child slot 1..pop_size-1, each the fittest of ``k``
     slots drawn with replacement (earliest draw wins a tie).
 
@@ -134,12 +136,17 @@ def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
     the drawn candidates' values; the winner is then picked by a column
     expression. Output: ``(run_id, generation, child_slot, p1_x, p1_y, p2_x,
     p2_y)`` plus the run parameters.
+
+    ``buckets``: the population is stored in so many buckets by POOL_KEYS.
+    Then it stays where it lies: only the draws (keys alone) go to it and the
+    drawn candidates go to their child, to where the next generation's bucket
+    of that child is written.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     key = [F.col("seed"), F.col("run_id"), F.col("generation"), F.col("child_slot")]
     children = scored.filter(F.col("slot") >= 1).select(
-        "run_id", "generation", F.col("slot").alias("child_slot"), *PARAM_COLUMNS
+        "run_id", "generation", F.col("slot").alias("child_slot"), "seed", "pop_size"
     ).select(
         "*", *[draw_hash(*key, f"tour_{p}" + (f"_{c}" if c else "")).alias(f"__h{p}_{c}") for p in (1, 2) for c in range(-(-k // 4))]
     )
@@ -154,19 +161,21 @@ def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
             for j in range(k)
         ]
     )
-    draws = children.select(
-        "run_id", "generation", "child_slot", *PARAM_COLUMNS, F.inline(picks)
-    )
+    draws = children.select("run_id", "generation", "child_slot", F.inline(picks))
+    if buckets:
+        draws = draws.repartition(buckets, *POOL_KEYS)
     # never broadcast: the planner's size estimate does not see that a run's
     # row became a whole population, so it would take any pool for a small one
-    pool = scored.select("run_id", "generation", "slot", "x", "y", "fitness").hint("merge")
-    joined = draws.join(pool, ["run_id", "generation", "slot"])
+    pool = scored.select(*POOL_KEYS, "x", "y", "fitness", *PARAM_COLUMNS).hint("merge")
+    joined = draws.join(pool, POOL_KEYS).withColumn("__next", F.col("generation") + 1)
+    if buckets:
+        joined = joined.repartition(buckets, "run_id", "__next", "child_slot")
 
     def value(p: int, j: int, c: str) -> F.Column:
         hit = (F.col("parent") == p) & (F.col("draw") == j)
         return F.max(F.when(hit, F.col(c))).alias(f"{c}_{p}_{j}")
 
-    folded = joined.groupBy("run_id", "generation", "child_slot").agg(
+    folded = joined.groupBy("run_id", "__next", "child_slot").agg(
         *[F.max(c).alias(c) for c in PARAM_COLUMNS],  # constant within a run
         *[value(p, j, c) for p in (1, 2) for j in range(k) for c in ("x", "y", "fitness")],
     )
@@ -184,7 +193,7 @@ def tournament(scored: DataFrame, k: int = TOURNAMENT_K) -> DataFrame:
         return expr.alias(f"p{p}_{gene}")
 
     return folded.select(
-        "run_id", "generation", "child_slot",
+        "run_id", (F.col("__next") - 1).alias("generation"), "child_slot",
         winner(1, "x"), winner(1, "y"), winner(2, "x"), winner(2, "y"),
         *PARAM_COLUMNS,
     )
@@ -239,13 +248,14 @@ def elite(scored: DataFrame) -> DataFrame:
     return _fittest(scored).select("run_id", "generation", "x", "y", *PARAM_COLUMNS)
 
 
-def next_generation(scored: DataFrame) -> DataFrame:
-    """Elite in slot 0, bred children in slots 1..pop_size-1, generation + 1."""
+def next_generation(scored: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Elite in slot 0, bred children in slots 1..pop_size-1, generation + 1
+    (``buckets``: see ``tournament``)."""
     kept = elite(scored).select(
         "run_id", (F.col("generation") + 1).alias("generation"), F.lit(0).alias("slot"),
         "x", "y", *PARAM_COLUMNS,
     )
-    bred = mutate(crossover(tournament(scored))).select(
+    bred = mutate(crossover(tournament(scored, buckets=buckets))).select(
         "run_id", (F.col("generation") + 1).alias("generation"), F.col("child_slot").alias("slot"),
         "x", "y", *PARAM_COLUMNS,
     )
