@@ -99,6 +99,34 @@ def test_copies_edited_where_n_grams_are_rare(spark):
     assert [r.doc_id for r in d.drop_leaks(df, bench).collect()] == [31]
 
 
+def test_seed_index_is_a_plain_count():
+    rng = random.Random(1)
+    draw = lambda n, top: np.array([rng.randint(0 if top > 12 else 1, top) for _ in range(n)], dtype=np.int32)
+    items = [draw(rng.randint(3, 20), 12) for _ in range(100)]
+    index = d.SeedIndex(items, 3)
+    for _ in range(200):
+        text = draw(rng.randint(3, 40), 14)
+        grams = np.intersect1d(d.gram_hashes(text, 3), index.grams)
+        want = [
+            i for i, x in enumerate(items)
+            if np.isin(d.gram_hashes(x, 3), grams).any() and 2 * sum(min((text == w).sum(), (x == w).sum()) for w in set(x.tolist())) >= len(x)
+        ]
+        assert index.items_of(grams, text, 0.5).tolist() == want
+
+
+def test_a_common_n_gram_alone_joins_nothing(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items = [(i, " ".join(["one of the", *(word() for _ in range(12))])) for i in range(200)]
+    docs = [(k, " ".join([word(), "one of the", *(word() for _ in range(40)), "one of the", word()])) for k in range(50)]
+    docs += [(50, "before " + items[7][1] + " after"), (51, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = d.passages(df, d.WordCodes([t for _, t in items]), 3, d.LEAST_SCORE, "doc_id", "text").collect()
+    assert [(r._key, r["items"]) for r in found] == [(50, [7])]  # not 50 x 200 pairs
+    got = d.find_leaks(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got} == brute(docs, items) == {(50, 7): 1.0}
+
+
 def test_odd_rows(spark, odd_docs):
     bench = spark.createDataFrame([(1, "words and more words")], "item_id bigint, text string")
     got = d.find_leaks(odd_docs, bench).collect()

@@ -4,7 +4,10 @@ Every run of ``n`` words of a benchmark item is looked for in every whole text;
 where some occur, the passage around them is kept. Each of them is a seed: a
 choice per item, by rarity say, would leave out the n-grams that some edited
 copy has kept. Seeds join passages to items, and a local alignment of words
-scores each pair, so that edited copies count by what is left of them.
+scores each pair, so that edited copies count by what is left of them. A
+passage meets an item only if it has words enough of it for the least score:
+an alignment matches no more words than both have in common, so this loses no
+pair, and a common n-gram by itself makes none.
 
 Words are runs of non-blank characters in lower case without punctuation at
 their ends. Alignment: 2 for a word in common, -1 for another word or a gap;
@@ -19,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.llm.common import mix64, stored, table, texts_of
+from vistra.llm.common import mix64, stored, table, texts_of, trimmed
 
 SEED_WORDS = 3
 LEAST_SCORE = 0.5
@@ -59,6 +62,41 @@ class WordCodes:
         return every[real], np.concatenate([[0], np.cumsum(real)])[at - at[0]]
 
 
+class SeedIndex:
+    """A block's n-grams with the items that hold them, and each item's words with their counts."""
+
+    def __init__(self, items: list[np.ndarray], n: int):
+        grams = [np.unique(gram_hashes(x, n)) for x in items]
+        every = np.concatenate(grams) if grams else np.zeros(0, np.int64)
+        holder = np.repeat(np.arange(len(items)), [len(g) for g in grams])
+        order = np.argsort(every, kind="stable")
+        self.grams, first = np.unique(every[order], return_index=True)
+        self.holders, self.holder_at = holder[order].astype(np.int32), np.append(first, len(every))
+        words = [np.unique(x, return_counts=True) for x in items]
+        self.words = np.concatenate([w for w, _ in words]) if words else np.zeros(0, np.int32)
+        self.counts = np.concatenate([c for _, c in words]) if words else np.zeros(0, np.int64)
+        self.word_at = np.concatenate([[0], np.cumsum([len(w) for w, _ in words])]).astype(np.int64)
+        self.length = np.array([len(x) for x in items], dtype=np.int64)
+
+    def items_of(self, grams: np.ndarray, codes: np.ndarray, least: float) -> np.ndarray:
+        """Items that hold one of ``grams`` and share words enough with ``codes`` for a score of ``least``."""
+        at = np.searchsorted(self.grams, grams)
+        items = np.unique(self.holders[ranges(self.holder_at[at], self.holder_at[at + 1])])
+        own, have = np.unique(codes, return_counts=True)
+        size = self.word_at[items + 1] - self.word_at[items]
+        entry = ranges(self.word_at[items], self.word_at[items + 1])
+        word = self.words[entry]
+        near = np.minimum(np.searchsorted(own, word), len(own) - 1)
+        shared = np.add.reduceat(np.where(own[near] == word, np.minimum(have[near], self.counts[entry]), 0), np.cumsum(size) - size)
+        return items[MATCH * shared / (MATCH * self.length[items]) >= least]
+
+
+def ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges [first, end), one range after another."""
+    size = end - first
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each run of ``n`` codes (signed)."""
     if len(codes) < n:
@@ -118,24 +156,25 @@ def align_spans(items: list[np.ndarray], passages: list[np.ndarray], least: floa
     return out
 
 
-def passages(docs: DataFrame, codes: WordCodes, n: int, key: str, text: str) -> DataFrame:
-    """Stored (passage, row, _key, text_hash, first_word, codes, grams) around all benchmark n-grams.
+def passages(docs: DataFrame, codes: WordCodes, n: int, least: float, key: str, text: str) -> DataFrame:
+    """Stored (passage, row, _key, text_hash, first_word, codes, items) around all benchmark n-grams.
 
     Hits nearer to each other than two items' length share a passage, which
-    reaches one item's length beyond its first and last hit.
+    reaches one item's length beyond its first and last hit. ``items``: those
+    that a seed joins to it (see ``SeedIndex.items_of``); passages without any
+    are left out.
     """
-    grams = [gram_hashes(x, n) for x in codes.items]
-    wanted = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.int64)
     reach = max([len(x) for x in codes.items], default=0)
-    shared = docs.sparkSession.sparkContext.broadcast((codes, wanted))
+    shared = docs.sparkSession.sparkContext.broadcast((codes, SeedIndex(codes.items, n)))
     schema = pa.schema(
-        [("passage", pa.int64()), ("row", pa.int64()), ("_key", pa.int64()), ("text_hash", pa.int64()), ("first_word", pa.int64()), ("codes", pa.list_(pa.int32())), ("grams", pa.list_(pa.int64()))]
+        [("passage", pa.int64()), ("row", pa.int64()), ("_key", pa.int64()), ("text_hash", pa.int64()), ("first_word", pa.int64()), ("codes", pa.list_(pa.int32())), ("items", pa.list_(pa.int32()))]
     )
 
     def find(batches):
         from pyspark import TaskContext
 
-        known, sought = shared.value
+        known, index = shared.value
+        sought = index.grams
         number = row = TaskContext.get().partitionId() << 33
         for batch in batches:
             every, at = known.encode(texts_of(batch, "_text"))
@@ -158,15 +197,19 @@ def passages(docs: DataFrame, codes: WordCodes, n: int, key: str, text: str) ->
                         d = int(doc[a])
                         first = max(int(at[d]), int(start[a]) - reach)
                         last = min(int(at[d + 1]), int(start[b - 1]) + n + reach)
-                        out.append((number, row + d, keys[d], hashes[d], first - int(at[d]), every[first:last], np.unique(value[a:b])))
-                        number += 1
+                        items = index.items_of(np.unique(value[a:b]), every[first:last], least)
+                        if len(items):
+                            out.append((number, row + d, keys[d], hashes[d], first - int(at[d]), every[first:last], items))
+                            number += 1
             row += batch.num_rows
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     source = docs.select(F.col(key).cast("bigint").alias("_key"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("_text"))
-    ddl = "passage bigint, row bigint, _key bigint, text_hash bigint, first_word bigint, codes array<int>, grams array<bigint>"
-    return stored(source.mapInArrow(find, ddl), "leak-passages")
+    ddl = "passage bigint, row bigint, _key bigint, text_hash bigint, first_word bigint, codes array<int>, items array<int>"
+    found = stored(source.mapInArrow(trimmed(find), ddl), "leak-passages")
+    shared.destroy()  # what it served is stored
+    return found
 
 
 def gram_hashes_at(codes: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
@@ -176,12 +219,6 @@ def gram_hashes_at(codes: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def seeds_of(spark: SparkSession, codes: WordCodes, n: int) -> DataFrame:
-    """Distinct (item, gram): all n-grams of each item."""
-    rows = [(i, g) for i, x in enumerate(codes.items) for g in np.unique(gram_hashes(x, n)).tolist()]
-    return spark.createDataFrame(rows, "item int, gram bigint")
-
-
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = LEAST_SCORE, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
@@ -207,10 +244,7 @@ def find_leaks(
 
 def _leaks_of_block(spark, docs, block, n, least, key, text) -> DataFrame:
     codes = WordCodes([r[1] for r in block])
-    found = passages(docs, codes, n, key, text)
-    seeds = seeds_of(spark, codes, n)
-    # at most one row per n-gram of the block
-    pairs = found.select("passage", F.explode("grams").alias("gram")).join(F.broadcast(seeds), "gram").select("passage", "item").distinct()
+    pairs = passages(docs, codes, n, least, key, text).withColumn("item", F.explode("items")).drop("items").repartition("passage", "item")
     shared = spark.sparkContext.broadcast((codes.items, [r[0] for r in block]))
     schema = pa.schema(
         [("row", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("item", pa.int32()), ("score", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]
@@ -231,7 +265,7 @@ def _leaks_of_block(spark, docs, block, n, least, key, text) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     ddl = "row bigint, doc_id bigint, text_hash bigint, item_id bigint, item int, score double, start_word bigint, end_word bigint"
-    scored = found.select("passage", "row", "_key", "text_hash", "first_word", "codes").join(pairs, "passage").mapInArrow(score, ddl)
+    scored = pairs.mapInArrow(trimmed(score), ddl)
     best = F.max(F.struct("score", (-F.col("start_word")).alias("back"), "end_word", "doc_id", "text_hash", "item_id")).alias("best")
     top = scored.groupBy("row", "item").agg(best)
     return top.select("best.doc_id", "best.text_hash", "best.item_id", "best.score", (-F.col("best.back")).alias("start_word"), "best.end_word")
