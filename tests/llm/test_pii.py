@@ -82,6 +82,20 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert rows[100].spans == f"email:{a}:{a + len('odd.name@localhost')}"
     assert all(rows[i].spans == "" for i in rows if i >= 200)
     assert all(rows[i].n_email == 1 for i in range(40))
+    assert all(r.n_spans == len(r.spans.split(",")) if r.spans else r.n_spans == 0 for r in rows.values())
+
+
+def test_values_hidden_from_the_rules_are_found_by_their_surroundings(spark):
+    docs = spark.createDataFrame(planted(), "doc_id bigint, text string, base string")
+    rows = pii.hidden_recall(docs.drop("base")).collect()
+    assert [r.kind for r in rows] == ["email"]  # numbers in the texts are no seeds, so none can be hidden
+    assert 1 <= rows[0].hidden <= 7 and rows[0].found == rows[0].right == rows[0].hidden
+    assert pii.hidden_recall(docs.limit(0)).count() == 0
+
+
+def test_rounds_are_written_together_after_some(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS_APART", 2)
+    test_rounds_go_on_until_nothing_new_is_sure(spark)
 
 
 def unseen(text):

@@ -43,6 +43,9 @@ SURE = 0.95
 # What may be an identifier: a spelled-out address, a token with an @, or a token
 # or a run of numbers with at least LEAST_DIGITS digits.
 LEAST_DIGITS = 6
+# The instances of so many rounds are written as one table, so that a plan reads
+# few tables however many rounds there are.
+ROUNDS_APART = 8
 _EDGES = "\"'()[]{}<>.,;:!?"
 
 
@@ -336,18 +339,38 @@ def bootstrap(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     until nothing new is sure.
     """
     edges = stored(seen.select(F.explode("patterns").alias("pattern"), "value").distinct(), "pii-edges")
-    seeds = seen.filter("kind >= 0").groupBy("value").agg(F.min("kind").alias("kind"))
-    known = stored(seeds, "pii-seeds")
-    unknown = edges.join(known, "value", "left_anti")
-    found, patterns = None, score_patterns(edges, known)
+    seeds = stored(seen.filter("kind >= 0").groupBy("value").agg(F.min("kind").alias("kind")), "pii-seeds")
+    unknown = edges.join(seeds, "value", "left_anti")
+    found, apart, patterns = None, 0, score_patterns(edges, seeds)
     while True:
         sure = score_instances(unknown, patterns).filter(F.col("sure") >= SURE)
         new = stored(sure if found is None else sure.join(found, "value", "left_anti"), "pii-found")
-        found = new if found is None else found.unionByName(new)
+        found, apart = (new, 1) if found is None else (found.unionByName(new), apart + 1)
         if new.isEmpty():
             return found, patterns
-        known = known.unionByName(new.select("value", "kind"))
-        patterns = score_patterns(edges, known)
+        if apart == ROUNDS_APART:
+            found, apart = stored(found, "pii-found-so-far"), 1
+        patterns = score_patterns(edges, seeds.unionByName(found.select("value", "kind")))
+
+
+def hidden_recall(docs: DataFrame, every: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """What the patterns find without the rules: (kind, hidden, found, right), a row per kind with hidden values.
+
+    One in ``every`` different values that the rules find, chosen by a hash, is
+    taken from the seeds and stands with the unknown ones, which lowers the share
+    of its patterns: ``every`` should be well above 1 / (1 - LEAST_SHARE). ``hidden`` counts
+    these, ``found`` those that bootstrapping is sure of again, ``right`` those
+    under their own kind. Empty tables and tables without seeds give no row.
+    """
+    found = stored(scan(docs, [], key, text), "pii-scan")
+    seen = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.value", "m.patterns")
+    away = F.pmod(F.xxhash64("value"), F.lit(every)) == 0
+    sure, _ = bootstrap(seen.withColumn("kind", F.when(away, -1).otherwise(F.col("kind"))))
+    hidden = seen.filter((F.col("kind") >= 0) & away).groupBy("value").agg(F.min("kind").alias("kind"))
+    again = hidden.join(sure.select("value", F.col("kind").alias("again")), "value", "left")
+    counts = [F.count(F.lit(1)).alias("hidden"), F.count("again").alias("found"), F.count_if(F.col("again") == F.col("kind")).alias("right")]
+    names = F.array(*[F.lit(k) for k in KINDS])
+    return again.groupBy("kind").agg(*counts).withColumn("kind", F.element_at(names, F.col("kind") + 1))
 
 
 def span_text(spans: F.Column) -> F.Column:
@@ -408,10 +431,10 @@ def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns: counts and a digest of the base spans, and all spans."""
+    """The contract's columns: counts and a digest of the base spans, and all spans and their number."""
 
     def count(i: int) -> F.Column:
         return F.size(F.filter("base", lambda s: s["kind"] == i)).cast("bigint")
 
     counts = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"), F.size("spans").cast("bigint").alias("n_spans"))
