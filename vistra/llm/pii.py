@@ -14,9 +14,9 @@ and the rules did not see is added to the spans; the rules' spans always stay.
 from __future__ import annotations
 
 import re
-import zlib
 from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,28 +119,64 @@ _RUN = re.compile(r"\S+")
 _LIKELY = re.compile(r"[0-9@]")
 
 
-def _word(text: str) -> str:
-    """A context word: lower case, digits alike; of a long one the first letters and a hash of all."""
-    word = re.sub("[0-9]", "0", text.lower())
-    return word if len(word) <= 32 else f"{word[:24]}~{zlib.crc32(word.encode('utf-8', 'surrogatepass')):08x}"
+LONG_WORD = 32
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
+_UNDO = pow(_BASE, -1, 1 << 64)
+_BLOCK = 1 << 16
+
+
+def _plain(text: str) -> str:
+    return re.sub("[0-9]", "0", text.lower())
+
+
+def _sums(word: str) -> np.ndarray:
+    """Prefix sums of code * _BASE**place, modulo 2**64; A-Z as a-z, digits alike.
+
+    A part's hash comes from two of them, so that the many places which one long
+    word may hold cost no new reading of it.
+    """
+    out = np.zeros(len(word) + 1, np.uint64)
+    powers = np.cumprod(np.full(min(len(word), _BLOCK), _BASE, np.uint64))
+    for at in range(0, len(word), _BLOCK):
+        codes = np.frombuffer(word[at : at + _BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        codes[(codes >= 65) & (codes <= 90)] += np.uint64(32)
+        codes[(codes >= 48) & (codes <= 57)] = 48
+        block = np.cumsum(codes * powers[: len(codes)]) * np.uint64(pow(_BASE, at, 1 << 64))
+        out[at + 1 : at + 1 + len(codes)] = block + out[at]
+    return out
 
 
 class Context:
-    """The words of a text around its places."""
+    """The words of a text around its places.
+
+    A context word is in lower case, digits alike; one of over LONG_WORD letters
+    is its first letters and a hash of all.
+    """
 
     def __init__(self, text: str):
         self.text = text
         spans = [m.span() for m in _RUN.finditer(text)]
         self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+        self.sums: dict[int, np.ndarray] = {}  # of the long words near the last place
+
+    def _word(self, i: int, start: int, end: int) -> str:
+        if end - start <= LONG_WORD:
+            return _plain(self.text[start:end])
+        if i not in self.sums:
+            self.sums = {k: v for k, v in self.sums.items() if abs(k - i) <= 4}
+            self.sums[i] = _sums(self.text[self.starts[i] : self.ends[i]])
+        first, last = start - self.starts[i], end - self.starts[i]
+        code = (int(self.sums[i][last]) - int(self.sums[i][first])) * pow(_UNDO, first, 1 << 64) % (1 << 64)
+        return f"{_plain(self.text[start : start + 24])}~{code:016x}"
 
     def before(self, at: int, n: int = 2) -> list[str]:
         """The last words before ``at``; one that ``at`` stands in counts up to there."""
         last = bisect_left(self.starts, at)
-        return [_word(self.text[self.starts[i] : min(self.ends[i], at)]) for i in range(max(0, last - n), last)]
+        return [self._word(i, self.starts[i], min(self.ends[i], at)) for i in range(max(0, last - n), last)]
 
     def after(self, at: int, n: int = 2) -> list[str]:
         first = bisect_right(self.ends, at)
-        return [_word(self.text[max(self.starts[i], at) : self.ends[i]]) for i in range(first, min(first + n, len(self.ends)))]
+        return [self._word(i, max(self.starts[i], at), self.ends[i]) for i in range(first, min(first + n, len(self.ends)))]
 
 
 _NUMBER = re.compile(r"\+?[0-9][0-9().\[\]/+–-]*+")
