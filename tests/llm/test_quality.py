@@ -94,3 +94,42 @@ def test_verdicts_are_the_same_whatever_files_hold_the_rows(spark):
         sorted((r.doc_id, r.kept, r.anomaly_score) for r in quality.quality_rules(docs.repartition(n), labels.repartition(n)).collect()) for n in (1, 32)
     ]
     assert verdicts[0] == verdicts[1]
+
+
+def test_every_row_has_a_part_in_the_forest(spark, monkeypatch):
+    """Of 20,000 rows, more than any draw held before, each one that is odd widens a range of a tree's root."""
+    trees = quality.TREES
+    roots = {"feature": np.full(trees, -1, np.int32), "cut": np.zeros(trees), "left": np.full(trees, -1), "right": np.full(trees, -1), "roots": np.arange(trees)}
+    monkeypatch.setattr(quality, "grow_forest", lambda node_ranges, size: node_ranges(roots, 0))
+    for odd in ([], [0], [7_777], [12_345, 19_999]):
+        symbols = f"if(id in ({', '.join(map(str, odd))}), 99L, 0L)" if odd else "0L"
+        rules = spark.range(20_000).selectExpr(
+            "id as _key", "100L as n_words", "500 + id % 37 as word_chars", f"{symbols} as n_symbols", "0L as n_dup_lines", "0L as n_repeat_words", "id % 7 as n_upper", "0L as n_digits"
+        )
+        found = quality.forest_of(rules, "_key")
+        assert len(found) == trees
+        assert sum(share[0] > 0 for _, share, *_ in found) == len(odd)
+        assert [high[0] for *_, high in found if high[0]] == [0.99] * len(odd)
+
+
+def test_bad_rows_are_rejected_in_a_forest_of_large_trees(spark, monkeypatch):
+    """Some 1,500 rows a tree in groups of 64: verdicts as with trees of 64 rows."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    monkeypatch.setattr(quality, "copies_of", lambda rows: 30)
+    rows = quality.quality_rules(spark.read.parquet(f"{sf}/documents.parquet"), labels).filter("not base_failed").join(labels, "doc_id")
+    kept = {r[0]: r[1] for r in rows.selectExpr("quality", "cast(kept as int) as kept").groupBy("quality").avg("kept").collect()}
+    assert kept[1] > 0.995 and kept[0] < 0.1
+
+
+def test_the_cut_is_exact_over_all_labelled_rows(spark):
+    """30,000 good rows, with ties and one far value: the very value that sorting all of them gives."""
+    rng = np.random.default_rng(3)
+    score = np.concatenate([np.round(rng.random(20_000), 3), rng.random(9_999) * 1e-9 + 0.5, [0.97]])
+    good = np.ones(len(score), bool)
+    good[::50] = False
+    frame = spark.createDataFrame([(float(x), int(g)) for x, g in zip(score, good)], "anomaly_score double, _quality int").repartition(5)
+    assert quality.calibrated_cut(frame) == quality.calibrate(score, good)
+    fine = np.sort(score[good])[::-1]
+    assert [quality.kth_highest(frame.filter("_quality = 1"), "anomaly_score", k) for k in (0, 1, 15_000, len(fine) - 1)] == [fine[k] for k in (0, 1, 15_000, len(fine) - 1)]
+    assert quality.calibrated_cut(frame.filter("_quality = 1")) == np.inf

@@ -2,7 +2,11 @@
 
 Every document gets counts by plain rules. A forest of random splits isolates
 rows by their statistics: rare combinations end in short paths, so a short mean
-path marks an anomaly. The cut is calibrated on labelled rows: of the cuts that
+path marks an anomaly. All rows that pass the base rules are dealt over the trees, and
+those of a tree over groups of some 64, which share its splits: whether a node is split and by what
+goes by the share of its groups that would do so, the range is the mean of theirs, and a path ends
+by the mean of what the others would still take.
+So every row has its part in a forest of bounded size, and rare rows stay rare. The cut is calibrated on all labelled rows: of the cuts that
 reject at most ``GOOD_LOSS`` of the good ones, that which rejects most bad ones.
 """
 
@@ -15,18 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.llm.common import Words, draw_rows, in_groups, stored, table, texts_of, trimmed
+from vistra.llm.common import Words, in_groups, stored, table, texts_of, trimmed
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-# Bounds of what the forest and its threshold are fitted on: rows drawn by hash.
-FIT_ROWS = 8192
-LABELLED_ROWS = 20_000
 TREES = 200
+# Rows of a group, and those that a tree gets at least (all, if fewer): a small table's rows are dealt to several trees each.
 TREE_ROWS = 64
+# Levels of splits in a tree; with TREES it bounds the model whatever the number of rows.
+DEPTH = 6
 GOOD_LOSS = 0.002
 # Labelled good and bad rows that a calibration needs; with fewer, the forest
 # rejects nothing.
@@ -112,40 +116,147 @@ def features(counts: np.ndarray) -> np.ndarray:
     return np.stack([c["n_symbols"] / words, c["word_chars"] / words, *coarse], axis=1)
 
 
+FEATURES = ["symbols a word", "characters a word", "share of capitals", "share of digits", "share of repeated words"]
+
+
 def _mean_path(n: float) -> float:
     """Mean path length of an unsuccessful search among n rows in a random tree."""
     return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def fit_forest(rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 7) -> dict[str, np.ndarray]:
-    """A forest as flat arrays: feature (-1: leaf), cut, left child, right child, path length, tree roots."""
+def copies_of(rows: int, trees: int = TREES, tree_rows: int = TREE_ROWS) -> int:
+    """To how many trees each row is dealt: one, or as many as give each tree some ``tree_rows``."""
+    return min(trees, max(1, -(-trees * tree_rows // max(rows, 1))))
+
+
+def node_of(forest: dict[str, np.ndarray], tree: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The leaf that each row ends in, in a tree of its own."""
+    at, every = forest["roots"][tree], np.arange(len(rows))
+    while True:
+        f = forest["feature"][at]
+        going = f >= 0
+        if not going.any():
+            return at
+        below = rows[every, np.maximum(f, 0)] <= forest["cut"][at]
+        at = np.where(going, np.where(below, forest["left"][at], forest["right"][at]), at)
+
+
+def grow_forest(node_ranges, size: float, trees: int = TREES, depth: int = DEPTH, seed: int = 7) -> dict[str, np.ndarray]:
+    """A forest as flat arrays: feature (-1: leaf), cut, left child, right child, path length, tree roots.
+
+    ``node_ranges(forest, first)``: of the leaves from number ``first`` on, over all rows dealt to
+    the trees, (node, shares of the tree's groups that would split it by each feature, mean further path of
+    those that would not split it and of all, lows and highs by feature); one call a level.
+    ``size``: mean number of rows of a group.
+    """
     rng = np.random.default_rng(seed)
-    feature, cut, left, right, path, roots = [], [], [], [], [], []
-    size = min(tree_rows, len(rows))
-    deepest = math.ceil(math.log2(max(size, 2)))
-
-    def grow(part: np.ndarray, depth: int) -> int:
-        at = len(feature)
-        for store, value in ((feature, -1), (cut, 0.0), (left, -1), (right, -1), (path, depth + _mean_path(len(part)))):
-            store.append(value)
-        low, high = part.min(axis=0), part.max(axis=0)
-        wide = np.flatnonzero(high > low)
-        if depth < deepest and len(part) > 1 and len(wide):
-            f = int(rng.choice(wide))
+    deepest = min(depth, math.ceil(math.log2(max(size, 2))))
+    feature, cut, left, right = [-1] * trees, [0.0] * trees, [-1] * trees, [-1] * trees
+    path = [0.0] * trees
+
+    def forest() -> dict[str, np.ndarray]:
+        return {
+            "feature": np.array(feature, np.int32), "cut": np.array(cut), "left": np.array(left, np.int32), "right": np.array(right, np.int32),
+            "path": np.array(path), "roots": np.arange(trees, dtype=np.int32), "usual": np.array(_mean_path(size) or 1.0),
+        }
+
+    first = 0
+    for level in range(deepest + 1):
+        level_first, first = first, len(feature)
+        if level_first == first:
+            break
+        for node, share, ended, further, low, high in sorted(node_ranges(forest(), level_first)):
+            if level == deepest or rng.random() >= sum(share):
+                path[node] = level + (further if level == deepest else ended)
+                continue
+            f = int(rng.choice(len(share), p=np.array(share) / sum(share)))
             c = float(rng.uniform(low[f], high[f]))
-            below = part[:, f] <= c
-            if below.any() and not below.all():
-                feature[at], cut[at] = f, c
-                left[at] = grow(part[below], depth + 1)
-                right[at] = grow(part[~below], depth + 1)
-        return at
+            feature[node], cut[node] = f, c if c < high[f] else low[f]
+            left[node], right[node] = len(feature), len(feature) + 1
+            for store, value in ((feature, -1), (cut, 0.0), (left, -1), (right, -1), (path, level + 1.0)):
+                store += [value, value]
+    return forest()
+
+
+def fit_forest(rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 7) -> dict[str, np.ndarray]:
+    """The forest of a few rows: as ``forest_of``, with one group a tree."""
+    if not len(rows):
+        return NO_FOREST
+    copies = copies_of(len(rows), trees, tree_rows)
+    tree = ((np.random.default_rng(seed).permutation(len(rows))[:, None] + np.arange(copies)) % trees).ravel()
+    dealt = np.repeat(rows, copies, axis=0)
+
+    def node_ranges(forest, first):
+        at = node_of(forest, tree, dealt)
+        found = []
+        for n in np.unique(at[at >= first]):
+            part = dealt[at == n]
+            low, high = part.min(axis=0), part.max(axis=0)
+            wide, further = high > low, _mean_path(len(part))
+            found.append((int(n), (wide / max(wide.sum(), 1)).tolist(), further, further, low.tolist(), high.tolist()))
+        return found
+
+    return grow_forest(node_ranges, len(dealt) / trees, trees, seed=seed)
+
+
+NO_FOREST = {"roots": np.zeros(0, np.int32)}
+
 
-    for _ in range(trees if size else 0):
-        roots.append(grow(rows[rng.choice(len(rows), size, replace=False)], 0))
-    return {
-        "feature": np.array(feature, np.int32), "cut": np.array(cut), "left": np.array(left, np.int32), "right": np.array(right, np.int32),
-        "path": np.array(path), "roots": np.array(roots, np.int32), "usual": np.array(_mean_path(size) or 1.0),
-    }
+def forest_of(passed: DataFrame, key: str) -> dict[str, np.ndarray]:
+    """The forest of all rows of ``passed``.
+
+    Hashes of id and counts deal each row to one tree or more and to a group, whatever files hold it.
+    A pass a level over the dealt numbers; what reaches the driver is a row for each node of that
+    level. Means are taken of decimals, whose sums don't depend on the order.
+    """
+    total = passed.count()
+    if not total:
+        return NO_FOREST
+    copies, sc = copies_of(total), passed.sparkSession.sparkContext
+    groups = max(1, round(total * copies / TREES / TREE_ROWS))  # of a tree
+    names = [f"f{i}" for i in range(len(FEATURES))]
+
+    def number(batches):
+        for batch in batches:
+            found = features(np.stack([batch.column(c).to_numpy() for c in COUNTS], axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column("_tree"), batch.column("_group"), *(pa.array(x) for x in found.T)], names=["_tree", "_group", *names])
+
+    ddl = ", ".join(f"{n} double" for n in names)
+    tree, group = (F.pmod(F.xxhash64(key, *COUNTS, F.lit(i)), F.lit(n)).cast("bigint") for i, n in enumerate((TREES, groups)))
+    dealt = stored(passed.select(tree.alias("_tree"), group.alias("_group"), *COUNTS).mapInArrow(trimmed(number), f"_tree bigint, _group bigint, {ddl}"), "quality-forest")
+    if copies > 1:
+        dealt = dealt.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn("_tree", F.pmod(F.col("_tree") + F.col("_copy"), F.lit(TREES)))
+    dealt = dealt.select(F.col("_tree").cast("bigint").alias("_tree"), "_group", *names)
+    exact = lambda c: c.cast("decimal(38,15)")
+
+    def node_ranges(forest, first):
+        model = sc.broadcast(forest)
+
+        def place(batches):
+            for batch in batches:
+                at = node_of(model.value, batch.column("_tree").to_numpy(), np.stack([batch.column(n).to_numpy() for n in names], axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), *(batch.column(c) for c in ("_group", *names))], names=["node", "_group", *names])
+
+        placed = dealt.mapInArrow(trimmed(place), f"node bigint, _group bigint, {ddl}").filter(F.col("node") >= first)
+        ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in names]
+        by_group = placed.groupBy("node", "_group").agg(F.count(F.lit(1)).alias("n"), *ends)
+        n, wide = F.col("n"), {c: F.col(f"max_{c}") > F.col(f"min_{c}") for c in names}
+        n_wide = sum((w.cast("int") for w in wide.values()), F.lit(0))
+        path = F.when(n <= 1, F.lit(0.0)).when(n == 2, F.lit(1.0)).otherwise(2 * (F.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n)
+        by_group = by_group.withColumns({"n_wide": n_wide, "path": path})
+        found = by_group.groupBy("node").agg(
+            F.count_if(F.col("n_wide") > 0).alias("split"),
+            *[F.coalesce(F.sum(exact(F.when(c, x))), F.lit(0)).cast("double").alias(k) for k, c, x in (("ended", F.col("n_wide") == 0, F.col("path")), ("further", F.lit(True), F.col("path")))],
+            *[F.coalesce(F.sum(exact(F.when(w, 1 / F.col("n_wide")))), F.lit(0)).cast("double").alias(f"share_{c}") for c, w in wide.items()],
+            *[F.avg(exact(F.when(w, F.col(f"{f}_{c}")))).cast("double").alias(f"{f}_{c}") for c, w in wide.items() for f in ("min", "max")],
+        ).collect()
+        model.unpersist()
+        return [
+            (r["node"], [r[f"share_{c}"] / groups for c in names], r["ended"] / max(groups - r["split"], 1), r["further"] / groups, *([r[f"{f}_{c}"] or 0.0 for c in names] for f in ("min", "max")))
+            for r in found
+        ]
+
+    return grow_forest(node_ranges, total * copies / TREES / groups)
 
 
 def anomaly(forest: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
@@ -175,32 +286,58 @@ def calibrate(scores: np.ndarray, good: np.ndarray, loss: float = GOOD_LOSS) ->
     return float(fine[len(fine) - 1 - int(loss * len(fine))])
 
 
+# Parts into which a round of ``kth_highest`` cuts the values that are left.
+BINS = 1024
+
+
+def kth_highest(df: DataFrame, column: str, k: int) -> float:
+    """The value with ``k`` rows before it when all are sorted from the highest down, exactly.
+
+    Each round counts the values in equal parts of the range that is left and goes on in the
+    part that holds the place, until one value is left; BINS rows a round reach the driver.
+    """
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    while low < high:
+        left = df.filter(F.col(column).between(low, high))
+        part = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit((high - low) / BINS)), F.lit(BINS - 1))
+        found = left.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).collect()
+        for r in sorted(found, reverse=True):
+            if k < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            k -= r["n"]
+    return low
+
+
+def calibrated_cut(scored: DataFrame, loss: float = GOOD_LOSS) -> float:
+    """``calibrate`` over all rows of ``scored`` (anomaly_score, _quality)."""
+    good, bad = scored.agg(F.count_if(F.col("_quality") == 1), F.count_if(~F.col("_quality").eqNullSafe(1))).first()
+    if good < LEAST_LABELS or bad < LEAST_LABELS:
+        return math.inf
+    return kth_highest(scored.filter("_quality = 1"), "anomaly_score", int(loss * good))
+
+
 def score_rules(rules: DataFrame, labels: DataFrame, key: str = "_key") -> DataFrame:
     """``rules`` with ``anomaly_score``, ``base_failed`` and ``kept``.
 
-    Fits on up to FIT_ROWS rows and calibrates on up to LABELLED_ROWS labelled
-    ones that pass the base rules (of repeated labels the lowest counts).
+    The forest grows from all rows that pass the base rules and the cut is calibrated on all
+    labelled ones among them (of repeated labels the lowest counts).
     """
-    spark = rules.sparkSession
-
-    passed = rules.filter(~base_failed())
-    sample = draw_rows(passed.select(key, *COUNTS), FIT_ROWS, key, *COUNTS)
-    counts = np.array([[r[c] for c in COUNTS] for r in sample], dtype=np.int64).reshape(-1, len(COUNTS))
-    forest = fit_forest(features(counts))
-    truth = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias(key)).agg(F.min("quality").alias("_quality"))
-    known = draw_rows(stored(passed.select(key, *COUNTS).join(truth, key), "quality-labelled"), LABELLED_ROWS, key, *COUNTS)
-    counts = np.array([[r[c] for c in COUNTS] for r in known], dtype=np.int64).reshape(-1, len(COUNTS))
-    cut = calibrate(anomaly(forest, features(counts)), np.array([r["_quality"] == 1 for r in known], dtype=bool))
-    model = spark.sparkContext.broadcast(forest)  # TREES trees of at most 2 * TREE_ROWS nodes
+    passed = rules.filter(~base_failed()).select(key, *COUNTS)
+    model = rules.sparkSession.sparkContext.broadcast(forest_of(passed, key))  # TREES trees of at most 2 ** (DEPTH + 1) nodes
 
     def score(batches):
         for batch in batches:
             rows = np.stack([batch.column(c).to_numpy() for c in COUNTS], axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(anomaly(model.value, features(rows)))], names=[*batch.schema.names, "anomaly_score"])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rules.schema) + ", anomaly_score double"
-    scored = rules.mapInArrow(trimmed(score), ddl).withColumn("base_failed", base_failed())
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly_score") <= F.lit(cut)))
+    def scored(df: DataFrame) -> DataFrame:
+        return df.mapInArrow(trimmed(score), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", anomaly_score double")
+
+    truth = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias(key)).agg(F.min("quality").alias("_quality"))
+    cut = calibrated_cut(stored(scored(passed.join(truth, key)).select("_quality", "anomaly_score"), "quality-labelled"))
+    out = scored(rules).withColumn("base_failed", base_failed())
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly_score") <= F.lit(cut)))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, keep: list[str] = ()) -> DataFrame:
