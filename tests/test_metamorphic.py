@@ -72,3 +72,15 @@ def test_year_partitioned_ingest_prunes(spark, tmp_dir):
     text = plan_text(by_year.filter(F.col("visit_year") == 1996))
     assert "PartitionFilters: [isnotnull(visit_year" in text
     assert by_year.filter(F.col("visit_year") == 1996).count() == 900
+
+
+def test_shuffle_settings_do_not_move_the_raw_rows(spark, monkeypatch):
+    """The raw visits are joined before the settings are tried: what runs under them has no join to move them."""
+    from vistra.plans import queries
+
+    seen = []
+    monkeypatch.setattr(queries.job, "run_with_shuffle_settings", lambda spark, make, settings: seen.append(make()) or [job.SettingRun(n, 0.0, 1, "1") for n in settings])
+    got = queries.q_shuffle_invariance(spark, "/root/testdata/sf0.001")
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" in plan
+    assert [r.shuffle_partitions for r in got.collect()] == queries.SHUFFLE_SETTINGS

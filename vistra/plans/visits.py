@@ -166,21 +166,11 @@ def invariance_table(spark: SparkSession, runs: Sequence[SettingRun], value: Dat
     """(shuffle_partitions, <value columns>, same_answer) per setting.
 
     ``value`` is a one-row DataFrame describing the answer (e.g. its total);
-    it is joined to nothing, only extended with per-setting literals.
+    it is joined to nothing and computed once, only extended with per-setting literals.
     """
-    first = runs[0].checksum if runs else None
-    parts = [
-        value.select(
-            F.lit(r.shuffle_partitions).alias("shuffle_partitions"),
-            *value.columns,
-            F.lit(r.checksum == first).alias("same_answer"),
-        )
-        for r in runs
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    first = runs[0].checksum
+    each = F.array(*[F.struct(F.lit(r.shuffle_partitions).alias("shuffle_partitions"), F.lit(r.checksum == first).alias("same_answer")) for r in runs])
+    return value.select(*value.columns, F.inline(each)).select("shuffle_partitions", *value.columns, "same_answer")
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
