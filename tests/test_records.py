@@ -132,3 +132,63 @@ def test_a_quote_that_never_closes(spark, tmp_dir):
     path = write(f"{d}/o/a.csv", b'1,a\n2,"b\n3,c\n4,d')
     got = R.read_records(R.utf8_lines(spark, [path]), False).collect()
     assert sorted(r.text for r in got) == ["1,a", '2,"b\n3,c\n4,d']
+
+
+def test_states_over_lines_equal_one_by_one():
+    """Ends of random lines and the states after them, against one character after another."""
+    import numpy as np
+    import pyarrow as pa
+
+    def slow(line, state):  # field's beginning, text, quoted, quote in quoted
+        for c in line:
+            if state == "quoted":
+                state = "quote" if c == '"' else "quoted"
+            elif c == '"' and state in ("begin", "quote"):
+                state = "quoted"
+            else:
+                state = "begin" if c == "," else "text"
+        return state == "quoted"
+
+    rng = random.Random(5)
+    lines = ["".join(rng.choice('"",a é') for _ in range(rng.randrange(9))) for _ in range(3000)]
+    ends = R.line_ends(pa.array(lines))
+    assert ends[0].tolist() == [slow(x, "begin") for x in lines]
+    assert ends[1].tolist() == [slow(x, "quoted") for x in lines]
+    for inside in (False, True):
+        want, state = [], inside
+        for a, b in zip(*ends):
+            state = bool(b if state else a)
+            want.append(state)
+        assert R.states_after(ends, inside).tolist() == want
+    assert R.states_after((np.zeros(0, bool), np.zeros(0, bool)), True).tolist() == []
+
+
+def test_quoted_lines_are_looked_through_once(spark, tmp_dir, monkeypatch):
+    """Files that all have open quotes: one scan tells which they are and where their blocks begin."""
+    from vistra.sources import csv as C
+
+    rows = [[str(i), "2", "3", "2010-01-01", "2010-01-02", "4", "5", "6", "two\nlines"] for i in range(3)]
+    write(f"{_local(tmp_dir)}/w/a.csv", as_csv([NEEDED.split(","), *rows]).encode())
+    scans, scan = [], R.block_states
+    monkeypatch.setattr(R, "block_states", lambda lines: scans.append(1) or scan(lines))
+    got = C.read_visits_csv(spark, [VisitFile(f"{tmp_dir}/w", True)]).select("visit_source_value").collect()
+    assert [r[0] for r in got] == ["two\nlines"] * 3 and len(scans) == 1
+
+
+def test_written_times_equal_formatted_ones(spark):
+    """Every form, of usual and odd years, with nulls."""
+    from vistra import fixtures
+
+    times = ["1994-02-03 04:05:06.000070", "2001-12-31 23:59:59.9", "1000-01-01 00:00:00", "0999-01-02 03:04:05", None]
+    rows = spark.createDataFrame([(t, k) for t in times for k in [*range(9), 10**12, None]], "t string, k bigint").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    rows = rows.withColumn("plain", F.col("t").cast("string"))
+    got = rows.select(fixtures.written_times("t", "k", "plain").alias("a"), fixtures._formatted_times("t", "k").alias("b")).collect()
+    assert all(r.a == r.b for r in got) and len({r.a for r in got}) > 40
+
+
+def test_lines_move_no_text_of_times(spark):
+    """The join of lines and orders moves a line's date, not the text made of it."""
+    from vistra import fixtures
+
+    plan = fixtures.visits_raw(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "end_text" not in plan.split("Join Inner")[1]

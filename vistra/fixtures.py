@@ -48,14 +48,41 @@ TIME_FORMS = [
 ]
 
 
-def written_times(ts: str, key: str) -> Column:
-    """A timestamp column as text, in one of the forms above by ``key``."""
+def _formatted_times(ts: str, key: str) -> Column:
     t = F.col(ts)
     form = F.element_at(F.array(*[F.lit(f) for f in TIME_FORMS]), (F.pmod(F.col(key), F.lit(len(TIME_FORMS))) + 1).cast("int"))
     parts = [F.year(t), F.month(t), F.day(t), F.hour(t), F.minute(t), F.second(t), microsecond_of(t)]
     return F.call_function("format_string", form, *parts)
 
 
+def written_times(ts: str, key: str, plain: str) -> Column:
+    """A timestamp column as text, in one of the forms above by ``key``.
+
+    ``plain``: the column with that timestamp's usual text, from whose parts the
+    forms of four-digit years are put together; other values are formatted.
+    """
+    t, text = F.col(ts), F.col(plain)
+    date, clock, micros = F.substring(text, 1, 10), F.substring(text, 12, 8), F.rpad(F.substring(text, 21, 6), 6, "0")
+    year, month, day = F.substring(text, 1, 4), F.month(t).cast("string"), F.day(t).cast("string")
+    hour, minutes = F.hour(t).cast("string"), F.substring(text, 14, 6)
+    forms = [
+        [date, " ", clock, ".", micros],
+        [date, "T", clock, ".", micros],
+        ["  ", date, " ", clock, " "],
+        [date, " ", F.substring(text, 12, 5)],
+        [year, "-", month, "-", day, " ", hour, minutes],
+        [year, F.substring(text, 6, 2), F.substring(text, 9, 2), " ", clock],
+        [month, "/", day, "/", year, " ", clock],
+        [date, "T", clock, ".", micros, "789Z"],
+        [date, " ", clock, "+02:00"],
+    ]
+    kind, made = F.pmod(F.col(key), F.lit(len(TIME_FORMS))), F.lit(None).cast("string")
+    for i, parts in reversed(list(enumerate(forms))):
+        made = F.when(kind == i, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])).otherwise(made)
+    first, last = (F.lit(x).cast("timestamp_ntz") for x in ("1000-01-01 00:00:00", "9999-12-31 23:59:59.999999"))
+    return F.when(F.col(key).isNotNull() & t.between(first, last), made).otherwise(_formatted_times(ts, key))
+
+
 def _spread(rows: DataFrame) -> DataFrame:
     """A table of few files dealt over the cores, so that text is not written and parsed by one task; a larger one as it is."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
@@ -71,15 +98,17 @@ def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> D
     missing care site (suppkey % 7 = 0), missing source value (N/O lines).
     ``missing_end`` also blanks the end time of line number 7.
     """
-    # each time is written on its own side of the join
+    # an order's time is written before the join, once for its lines; a line's time after it, so that no text of lines is moved
     li = _spread(load_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
-        with_time_of_day(F.col("l_shipdate"), F.col("l_partkey")).alias("end"),
-    ).withColumn("end_text", written_times("end", "l_partkey"))
+        "l_shipdate",
+    )
     orders = load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", with_time_of_day(F.col("o_orderdate"), F.col("o_orderkey")).alias("start")
-    ).withColumn("start_text", written_times("start", "o_orderkey"))
+    ).withColumn("start_plain", _text(F.col("start"))).withColumn("start_text", written_times("start", "o_orderkey", "start_plain")).drop("start", "start_plain")
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    joined = joined.withColumn("end", with_time_of_day(F.col("l_shipdate"), F.col("l_partkey"))).withColumn("end_plain", _text(F.col("end")))
+    joined = joined.withColumn("end_text", written_times("end", "l_partkey", "end_plain"))
 
     end_text = F.col("end_text")
     if missing_end:

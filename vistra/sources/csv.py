@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from vistra.operators.clean import normalize_na_tokens
 from vistra.schema import PERSON_COLUMNS, REQUIRED_VISIT_COLUMNS, VISIT_COLUMNS
 from vistra.sources.encoding import UTF8, list_files, read_groups, read_groups_many, reader_options
-from vistra.sources.records import HEADER, broken_files, read_records, utf8_lines, utf16_lines
+from vistra.sources.records import HEADER, Reading, broken_files, kept_states, read_records, utf8_lines, utf16_reading
 
 MALFORMED = "_malformed"
 
@@ -47,12 +47,13 @@ def _visit_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in VISIT_COLUMNS])
 
 
-def _read_whole_records(spark: SparkSession, paths: Sequence[str], names: Sequence[str], header: bool, encoding: str, options: dict[str, str]) -> DataFrame:
+def _read_whole_records(
+    lines: DataFrame | Reading, paths: Sequence[str], names: Sequence[str], header: bool, options: dict[str, str], states: DataFrame | None = None
+) -> DataFrame:
     """Files in which records may go over line ends, or whose bytes only we can split."""
-    lines = utf8_lines(spark, paths) if encoding.upper() == UTF8 else utf16_lines(spark, paths)
     kept = {k: v for k, v in options.items() if k not in ("encoding", "multiLine", "header", "enforceSchema")}
     row = F.from_csv("text", F.lit(_text_schema(names).toDDL()), kept).alias("row")
-    rows = read_records(lines, header).select("kind", row)
+    rows = read_records(lines, header, states).select("kind", row)
     # every file's first record must name the same columns
     same = F.to_json(F.array(*[F.col("row")[c] for c in names])) == F.to_json(F.array(*[F.lit(c) for c in names]))
     data = F.when(F.col("kind") != HEADER, True).when(same, False)
@@ -70,18 +71,23 @@ def _read_visit_group(spark: SparkSession, paths: Sequence[str], header: bool, e
     options = {"header": str(header).lower(), "escape": '"', "enforceSchema": "false", **reader_options(encoding)}
     names = _column_names(spark, paths, header, options)
     if encoding.upper() in ("UTF-16", "UTF-16LE", "UTF-16BE"):
-        rows = _read_whole_records(spark, paths, names, header, encoding, options)
+        rows = _read_whole_records(utf16_reading(spark, paths), paths, names, header, options)
         return rows.repartition(spread) if spread else rows
 
     def plain(some: Sequence[str]) -> DataFrame:
         return _visit_columns(spark.read.schema(_text_schema(names)).options(**options).csv(list(some)), names)
 
-    broken = broken_files(spark, paths) if line_breaks and encoding.upper() == UTF8 else []
+    if not line_breaks or encoding.upper() != UTF8:
+        return plain(paths)
+    lines = utf8_lines(spark, paths)
+    states = kept_states(spark, lines)
+    broken = broken_files(spark, paths, states)
     if not broken:
         return plain(paths)
-    exact = _read_whole_records(spark, broken, names, header, encoding, options)
     others = sorted({r["path"] for r in list_files(spark, paths).filter("length > 0").collect()} - set(broken))
-    return exact.unionByName(plain(others)) if others else exact
+    if not others:  # the same lines in the same blocks
+        return _read_whole_records(lines, paths, names, header, options, states)
+    return _read_whole_records(utf8_lines(spark, broken), broken, names, header, options).unionByName(plain(others))
 
 
 def _read_lines(spark: SparkSession, paths: Sequence[str], header: bool, encoding: str) -> DataFrame:

@@ -19,10 +19,10 @@ the bytes of a line feed in two neighbouring characters don't end a line.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +32,16 @@ BLOCK_BYTES = 64 * 1024 * 1024
 # Bytes that a task reads of a UTF-16 range, and characters that it sends on, at a time.
 CHUNK_BYTES = 4 * 1024 * 1024
 
-# A line that begins outside quoted values and ends in one.
-OPEN = re.compile(r'(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+\Z')
+# Lines that end outside quoted values (Arrow's patterns, in linear time): of those that begin outside one, and inside.
+_FIELD = r'(?:"(?:[^"]|"")*"(?:[^",][^,]*)?|[^",][^,]*)?'
+CLOSED = rf"\A{_FIELD}(?:,{_FIELD})*\z"
+CLOSED_INSIDE = rf'\A(?:[^"]|"")*"(?:[^",][^,]*)?(?:,{_FIELD})*\z'
 
 WHOLE, CLOSING, WITHIN, OPENING, HEADER = range(5)
 
+# Lines that no DataFrame holds: takes a function of batches of (file, block, line) and what it returns.
+Reading = Callable[[Callable, str], DataFrame]
+
 _LINES = "file bigint, block bigint, line string"
 
 
@@ -63,6 +68,11 @@ def utf16_ranges(spark: SparkSession, paths: Sequence[str], block_bytes: int = B
 
 def lines_of_range(path: str, start: int, stop: int, chunk_bytes: int = CHUNK_BYTES) -> Iterator[list[str]]:
     """The lines of a UTF-16 file with a byte-order mark that begin at bytes ``start`` to ``stop``, in lists."""
+    return (text.split("\n") for text in texts_of_range(path, start, stop, chunk_bytes))
+
+
+def texts_of_range(path: str, start: int, stop: int, chunk_bytes: int = CHUNK_BYTES) -> Iterator[str]:
+    """Runs of whole lines, the line feed at a run's end left out, of those that begin at bytes ``start`` to ``stop``."""
     with open_file(path) as f:
         big = f.read(2) == b"\xfe\xff"
         codec, feed = ("utf-16-be", b"\x00\n") if big else ("utf-16-le", b"\n\x00")
@@ -100,42 +110,93 @@ def lines_of_range(path: str, start: int, stop: int, chunk_bytes: int = CHUNK_BY
                 if cut < 0:
                     continue
                 lines, base, data = data[:cut], base + cut + 2, data[cut + 2 :]
-                yield lines.decode(codec, "replace").split("\n")
+                yield lines.decode(codec, "replace")
                 continue
             text = (data if end < 0 else data[:end]).decode(codec, "replace")
             if text or end >= 0:  # nothing after a file's last line feed is no line
-                yield text.split("\n")
+                yield text
             return
 
 
-def utf16_lines(spark: SparkSession, paths: Sequence[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file, block, line) of UTF-16 files, a task for each range of bytes."""
+def utf16_reading(spark: SparkSession, paths: Sequence[str], block_bytes: int = BLOCK_BYTES) -> Reading:
+    """The lines of UTF-16 files for a function of their batches, which runs in the tasks that read them, one for each range of bytes."""
 
     def read(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
             for path, name, start, stop in zip(*(batch.column(c).to_pylist() for c in ("path", "file", "start", "stop"))):
-                for lines in lines_of_range(path, start, stop):
+                for text in texts_of_range(path, start, stop):
+                    lines = pc.split_pattern(pa.array([text], pa.string()), "\n").flatten()
                     for at in range(0, len(lines), 20_000):
-                        part = lines[at : at + 20_000]
+                        part = lines.slice(at, 20_000)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([name] * len(part), pa.int64()), pa.array([start] * len(part), pa.int64()), pa.array(part, pa.string())],
-                            names=["file", "block", "line"],
+                            [pa.array([name] * len(part), pa.int64()), pa.array([start] * len(part), pa.int64()), part], names=["file", "block", "line"]
                         )
 
     ranges = utf16_ranges(spark, paths, block_bytes).withColumn("file", F.xxhash64("path"))
-    return ranges.mapInArrow(read, _LINES)
+    return lambda function, ddl: ranges.mapInArrow(lambda batches: function(read(batches)), ddl)
+
+
+def utf16_lines(spark: SparkSession, paths: Sequence[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(file, block, line) of UTF-16 files, a task for each range of bytes."""
+    return utf16_reading(spark, paths, block_bytes)(lambda batches: batches, _LINES)
+
+
+def _mapped(lines: DataFrame | Reading, function, ddl: str) -> DataFrame:
+    return lines.mapInArrow(function, ddl) if isinstance(lines, DataFrame) else lines(function, ddl)
+
+
+def line_ends(lines) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line of an Arrow array ends inside a quoted value: if it begins outside one, and if inside."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    outside, inside = np.zeros(len(lines), bool), np.ones(len(lines), bool)
+    quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+    if len(quoted):
+        part = lines.take(pa.array(quoted))
+        for known, closed in ((outside, CLOSED), (inside, CLOSED_INSIDE)):
+            known[quoted] = ~pc.match_substring_regex(part, closed).to_numpy(zero_copy_only=False)
+    return outside, inside
+
+
+def states_after(ends: tuple[np.ndarray, np.ndarray], inside: bool) -> np.ndarray:
+    """Whether quoted text goes on after each of some lines, from the state before the first of them.
+
+    A line leaves a state as it is, turns it or sets it: it follows from the last line that
+    sets it and the number of turns after that.
+    """
+    from_outside, from_inside = ends
+    if not len(from_outside):
+        return from_outside
+    last = np.maximum.accumulate(np.where(from_outside == from_inside, np.arange(len(from_outside)), -1))
+    turns = np.cumsum(from_outside & ~from_inside)
+    begun, before = np.where(last >= 0, from_outside[last], inside), np.where(last >= 0, turns[last], 0)
+    return begun ^ ((turns - before) % 2 == 1)
 
 
 def ends_open(line: str, inside: bool) -> bool:
     """Whether a line ends inside a quoted value, from the state at its beginning."""
-    if '"' not in line:
-        return inside
-    return OPEN.match('"' + line if inside else line) is not None
+    import pyarrow as pa
+
+    return bool(line_ends(pa.array([line], pa.string()))[inside][0])
+
 
+def _block_parts(batch) -> Iterator[tuple[tuple[int, int], object]]:
+    """((file, block), lines) of a batch, in its order."""
+    files, blocks = batch.column("file").to_numpy(), batch.column("block").to_numpy()
+    changes = (np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1).tolist()
+    for a, b in zip([0, *changes], [*changes, batch.num_rows]):
+        if b > a:
+            yield (int(files[a]), int(blocks[a])), batch.column("line").slice(a, b - a)
 
-def block_states(lines: DataFrame) -> DataFrame:
+
+_STATES = "file bigint, block bigint, opens boolean, from_outside boolean, from_inside boolean"
+
+
+def block_states(lines: DataFrame | Reading) -> DataFrame:
     """(file, block, opens, from_outside, from_inside) of the blocks with quotes.
 
     ``from_...``: whether the block ends inside a quoted value, by the state at its
@@ -151,19 +212,19 @@ def block_states(lines: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in (*where, opens, *ends)], names=["file", "block", "opens", "from_outside", "from_inside"])
 
         for batch in batches:
-            for name, block, line in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "line"))):
-                if (name, block) != where:
+            for place, part in _block_parts(batch):
+                if place != where:
                     if where is not None:
                         yield row()
-                    where, opens, ends = (name, block), False, (False, True)
-                outside = ends_open(line, ends[0])
-                ends = (outside, outside if ends[0] == ends[1] else ends_open(line, ends[1]))
-                opens |= outside
+                    where, opens, ends = place, False, (False, True)
+                found = line_ends(part)
+                after = [states_after(found, begun) for begun in ends]
+                opens = opens or bool(after[0].any())
+                ends = (bool(after[0][-1]), bool(after[1][-1]))
         if where is not None:
             yield row()
 
-    quoted = lines.filter(F.contains("line", F.lit('"')))
-    return quoted.mapInArrow(scan, "file bigint, block bigint, opens boolean, from_outside boolean, from_inside boolean")
+    return _mapped(lines.filter(F.contains("line", F.lit('"'))) if isinstance(lines, DataFrame) else lines, scan, _STATES)
 
 
 def inside_blocks(states: DataFrame) -> DataFrame:
@@ -188,7 +249,7 @@ def inside_blocks(states: DataFrame) -> DataFrame:
     return states.groupBy("file").applyInPandas(follow, "file bigint, after bigint, until bigint")
 
 
-def cut_records(lines: DataFrame, spans: list[tuple[int, int, int]], header: bool) -> DataFrame:
+def cut_records(lines: DataFrame | Reading, spans: list[tuple[int, int, int]], header: bool) -> DataFrame:
     """(kind, file, block, text): whole records, pieces of those that cross blocks, and each file's header."""
     going_on: dict[int, list[tuple[int, int]]] = {}
     for name, after, until in sorted(spans):
@@ -206,43 +267,41 @@ def cut_records(lines: DataFrame, spans: list[tuple[int, int, int]], header: boo
         where, inside, held, kind = None, False, [], WHOLE
         names = ["kind", "file", "block", "text"]
 
-        def rows(kinds, texts):
+        def rows(kind, texts):
             n = len(texts)
-            return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array([where[0]] * n, pa.int64()), pa.array([where[1]] * n, pa.int64()), pa.array(texts, pa.string())], names=names)
+            return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array([where[0]] * n, pa.int64()), pa.array([where[1]] * n, pa.int64()), texts], names=names)
+
+        def piece(kind, lines):
+            return rows(kind, pa.array(["\n".join(lines)], pa.string()))
 
         for batch in batches:
-            files, blocks = batch.column("file").to_numpy(), batch.column("block").to_numpy()
-            changes = [i for i in range(1, len(files)) if files[i] != files[i - 1] or blocks[i] != blocks[i - 1]] if len(files) and (files[0] != files[-1] or blocks[0] != blocks[-1]) else []
-            for a, b in zip([0, *changes], [*changes, batch.num_rows]):
-                if a == b:
-                    continue
-                kinds, texts = [], []
-                if where != (files[a], blocks[a]):
+            for place, part in _block_parts(batch):
+                if place != where:
                     if held:  # the block before ends inside a value
-                        yield rows([WITHIN if kind == CLOSING else OPENING], ["\n".join(held)])
-                    where, held = (int(files[a]), int(blocks[a])), []
+                        yield piece(WITHIN if kind == CLOSING else OPENING, held)
+                    where, held = place, []
                     inside = begins_inside(*where)
                     kind = CLOSING if inside else HEADER if header and not where[1] else WHOLE
-                part = batch.column("line").slice(a, b - a)
-                quoted = pc.match_substring(part, '"').to_numpy(zero_copy_only=False)
-                if not inside and kind == WHOLE and not quoted.any():
-                    yield rows([WHOLE] * len(part), part)
+                after = states_after(line_ends(part), inside)
+                inside = bool(after[-1])
+                stops = np.flatnonzero(~after) + 1  # a record's last line, counted from one
+                if not len(stops):
+                    held.extend(part.to_pylist())
                     continue
-                for line, mark in zip(part.to_pylist(), quoted.tolist()):
-                    if mark:
-                        inside = ends_open(line, inside)
-                    if inside:
-                        held.append(line)
-                        continue
-                    texts.append("\n".join([*held, line]) if held else line)
-                    kinds.append(kind)
-                    held, kind = [], WHOLE
-                if texts:
-                    yield rows(kinds, texts)
+                if held or kind != WHOLE:  # the record that lines before belong to, or a block's first
+                    first = int(stops[0])
+                    yield piece(kind, [*held, *part.slice(0, first).to_pylist()])
+                    held, kind, part, stops = [], WHOLE, part.slice(first), stops[1:] - first
+                if len(stops):
+                    last = int(stops[-1])
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), part.slice(0, last))
+                    yield rows(WHOLE, part.slice(0, last) if len(stops) == last else pc.binary_join(lists, "\n"))
+                    part = part.slice(last)
+                held = part.to_pylist()
         if held:
-            yield rows([WITHIN if kind == CLOSING else OPENING], ["\n".join(held)])
+            yield piece(WITHIN if kind == CLOSING else OPENING, held)
 
-    return lines.mapInArrow(cut, "kind int, file bigint, block bigint, text string")
+    return _mapped(lines, cut, "kind int, file bigint, block bigint, text string")
 
 
 def joined_pieces(pieces: DataFrame) -> DataFrame:
@@ -256,13 +315,14 @@ def joined_pieces(pieces: DataFrame) -> DataFrame:
     return whole.select(F.lit(WHOLE).alias("kind"), F.array_join(F.col("parts.text"), "\n").alias("text"))
 
 
-def read_records(lines: DataFrame, header: bool) -> DataFrame:
+def read_records(lines: DataFrame | Reading, header: bool, states: DataFrame | None = None) -> DataFrame:
     """(kind, text) of all records of the files, blank ones left out.
 
     Driver-side are the places where quoted text crosses a block's end: some 24
-    bytes each, at most one a block.
+    bytes each, at most one a block. ``states``: what ``block_states`` found of
+    the same lines, where that is known.
     """
-    spans = [tuple(r) for r in inside_blocks(block_states(lines)).collect()]
+    spans = [tuple(r) for r in inside_blocks(block_states(lines) if states is None else states).collect()]
     cut = cut_records(lines, spans, header)
     if spans:
         across = cut.filter(F.col("kind").isin(CLOSING, WITHIN, OPENING))
@@ -271,9 +331,15 @@ def read_records(lines: DataFrame, header: bool) -> DataFrame:
     return cut.select("kind", text.alias("text")).filter(F.length(F.trim("text")) > 0)
 
 
-def broken_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+def kept_states(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """``block_states`` of the lines, found once: a row of some 30 bytes for a block with quotes."""
+    return spark.createDataFrame(block_states(lines).collect(), _STATES)
+
+
+def broken_files(spark: SparkSession, paths: Sequence[str], states: DataFrame | None = None) -> list[str]:
     """The UTF-8 files in which a record goes over a line's end (paths as Spark lists them)."""
-    opened = block_states(utf8_lines(spark, paths)).filter("opens").select("file").distinct()
+    states = block_states(utf8_lines(spark, paths)) if states is None else states
+    opened = states.filter("opens").select("file").distinct()
     hashes = [r["file"] for r in opened.collect()]
     if not hashes:
         return []
