@@ -100,8 +100,8 @@ def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> D
     """
     # an order's time is written before the join, once for its lines; a line's time after it, so that no text of lines is moved
     li = _spread(load_table(spark, sf_dir, "lineitem")).select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
-        "l_shipdate",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
+        F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(None)).otherwise(F.col("l_returnflag")).alias("source_value"),
     )
     orders = load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", with_time_of_day(F.col("o_orderdate"), F.col("o_orderkey")).alias("start")
@@ -131,9 +131,7 @@ def visits_raw(spark: SparkSession, sf_dir: str, missing_end: bool = False) -> D
         "care_site_id": F.when(F.col("l_suppkey") % 7 == 0, F.lit(None)).otherwise(
             _text(F.col("l_suppkey"))
         ),
-        "visit_source_value": F.when(
-            (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(None)
-        ).otherwise(F.col("l_returnflag")),
+        "visit_source_value": F.col("source_value"),
     }
     return joined.select(
         *[

@@ -29,7 +29,7 @@ def _trimmed(c: dict[str, Column]) -> dict[str, Column]:
 
 def _told_apart(c: dict[str, Column]) -> dict[str, Column]:
     usual = F.coalesce(c["t"].rlike(TIMESTAMP_PATTERN), F.lit(True))
-    return {"usual": usual, "rest": F.when(~usual, F.translate(c["t"], "T", " "))}
+    return {"usual": usual, "rest": F.when(~usual, F.replace(c["t"], F.lit("T"), F.lit(" ")))}
 
 
 def _date(c: dict[str, Column]) -> dict[str, Column]:
