@@ -134,3 +134,36 @@ def test_odd_rows(spark, odd_docs):
     assert d.find_leaks(odd_docs.limit(0), bench).count() == 0
     assert d.find_leaks(odd_docs, bench.limit(0)).count() == 0
     assert d.drop_leaks(odd_docs, bench.limit(0)).count() == odd_docs.count()
+
+
+def test_a_full_batch_takes_little_memory(spark, monkeypatch):
+    """The search for passages holds the words of a part of its batch, and finds what rows by themselves give."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyspark
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 8)))
+    items = [[word() for _ in range(20)] for _ in range(5)]
+    texts = [" ".join(word() for _ in range(400)) for _ in range(2500)]
+    for i in range(0, 2500, 100):
+        texts[i] += " " + " ".join(items[i // 100 % 5]) + " " + texts[i][:50]
+    texts[7] = None
+    made = []
+    monkeypatch.setattr(d, "trimmed", lambda f: made.append(f) or f)
+    monkeypatch.setattr(pyspark.Broadcast, "destroy", lambda self: None)
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    d.find_leaks(spark.createDataFrame([(1, "none")], "doc_id bigint, text string"), bench)
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+    key = pa.array(range(2500), pa.int64())
+    batch = pa.RecordBatch.from_arrays([key, key, pa.array(texts, pa.string())], names=["_key", "text_hash", "_text"])
+    tracemalloc.start()
+    found = [r for b in made[0](iter([batch])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 6e6
+    assert [r["row"] for r in found] == [r["_key"] for r in found] == list(range(0, 2500, 100))
+    alone = [r for b in made[0](batch.slice(i, 1) for i in range(2500)) for r in b.to_pylist()]
+    assert found == alone
+    assert peak < 2 * batch.nbytes, peak / batch.nbytes

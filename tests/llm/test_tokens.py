@@ -230,3 +230,30 @@ def test_number_of_files_follows_the_input(spark, tmp_path_factory, monkeypatch)
     files = -(-token_files._text_bytes(spark.read.parquet(path + "-docs"), "text") // 500)
     assert files > 8  # more than the shuffle setting
     assert 8 < spark.read.format("binaryFile").load(path).filter("length > 0").count() <= files
+
+
+def test_text_groups_hold_all_texts_in_order(odd_texts):
+    import pyarrow as pa
+
+    from vistra.llm.common import text_groups
+
+    column = pa.array(odd_texts * 3, pa.string())
+    for batch in (pa.RecordBatch.from_arrays([column], names=["text"]), pa.RecordBatch.from_arrays([column], names=["text"]).slice(5, 20)):
+        want = [t or "" for t in batch.column("text").to_pylist()]
+        for size in (1, 100, 10_000, 1 << 30):
+            groups = list(text_groups(batch, size=size))
+            assert [t for _, g in groups for t in g] == want
+            assert [a for a, _ in groups] == np.cumsum([0] + [len(g) for _, g in groups])[:-1].tolist()
+            assert all(g and sum(len(t.encode()) for t in g[:-1]) < size for _, g in groups)
+    assert list(text_groups(pa.RecordBatch.from_arrays([column[:0]], names=["text"]))) == []
+
+
+def test_word_encoder_takes_a_column(odd_texts, monkeypatch):
+    import pyarrow as pa
+
+    from vistra.llm import common
+
+    monkeypatch.setattr(common, "LEARN_WORDS", 2)
+    column = pa.array(["cut off", *odd_texts, None], pa.string())[1:]
+    whole = WordEncoder("word_bpe_49k.json").encode([t or "" for t in odd_texts] + [""])
+    assert WordEncoder("word_bpe_49k.json").encode(column) == whole

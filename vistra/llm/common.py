@@ -70,11 +70,18 @@ def process_value(key, make):
     return store[key]
 
 
+def forget_values(kind: str) -> None:
+    """Drop what ``process_value`` keeps under keys (``kind``, ...)."""
+    store = sys.modules.get("_vistra_process", types.ModuleType("")).__dict__
+    for key in [k for k in store if isinstance(k, tuple) and k[0] == kind]:
+        del store[key]
+
+
 def trimmed(function):
     """``function`` for mapInArrow; when a task ends, its worker gives free memory back.
 
     Workers serve many tasks of many queries, and allocators keep what one of them
-    needed at its peak.
+    needed at its peak. Tables that take milliseconds to make go too.
     """
 
     def run(batches):
@@ -82,6 +89,7 @@ def trimmed(function):
         import gc
 
         yield from function(batches)
+        forget_values("powers")
         gc.collect()
         pa.default_memory_pool().release_unused()
         libc = ctypes.CDLL(None)
@@ -96,6 +104,24 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+# Texts are worked through some so many bytes at a time; a longer one alone.
+GROUP_BYTES = 1 << 19
+
+
+def text_groups(batch: pa.RecordBatch, column: str = "text", size: int = GROUP_BYTES):
+    """``texts_of`` in runs of some ``size`` bytes: (first row, texts).
+
+    Splitting and hashing take many times a text's bytes, so a batch is worked
+    through in such runs; a run is less than ``size`` and one text.
+    """
+    texts = batch.column(column)
+    before = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    group = np.concatenate([[0], before[:-1]]) // size
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)] if len(texts) else []
+    for a, b in zip(cuts, cuts[1:]):
+        yield a, [t or "" for t in texts.slice(a, b - a).to_pylist()]
+
+
 # --- tokenizers -----------------------------------------------------------------
 
 
@@ -122,6 +148,8 @@ def load_tokenizer(name: str):
 
 # Words whose tokens a worker keeps; beyond that, those that recur in the last batch.
 WORD_CACHE = 250_000
+# New words that are learned at a time: lists and columns of them stand side by side.
+LEARN_WORDS = 50_000
 # Letters for which lower-casing and composition concern one character alone
 # and agree between libraries: ASCII and Latin letters up to U+017F but U+0130.
 SIMPLE_WORD = "^[a-zA-ZÀ-ÖØ-öø-ÿĀ-įı-ſ]+$"
@@ -196,17 +224,20 @@ class WordEncoder:
         for run, low, tail in zip(wholes, lows, tails):
             cache[run] = cache[low] + cache[tail] if tail else cache[low]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian bytes of ``self.dtype``."""
-        if not texts:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian bytes of ``self.dtype``; a null in a column is empty."""
+        if not len(texts):
             return []
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
-        words = lists.flatten().dictionary_encode()
+        column = pc.fill_null(texts, "") if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        lists = pc.ascii_split_whitespace(column)
+        words, offsets = lists.flatten().dictionary_encode(), lists.offsets
+        del column, lists  # as large as the texts
         runs = _strings(words.dictionary)
         cache = self.cache
         new = [r for r in runs if r not in cache]
-        if new:
-            self._learn(new)
+        for i in range(0, len(new), LEARN_WORDS):
+            self._learn(new[i : i + LEARN_WORDS])
+        del new
         found = pa.array([cache[r] for r in runs], pa.binary()).take(words.indices)
         if len(cache) > WORD_CACHE:  # keep what occurred more than once just now
             often = (np.bincount(words.indices.to_numpy(), minlength=len(runs)) > 1).tolist()
@@ -214,7 +245,7 @@ class WordEncoder:
         # the ids of all texts lie one after another in the taken array's buffer
         at = np.frombuffer(found.buffers()[1], dtype=np.int32, count=len(found) + 1, offset=4 * found.offset)
         data = memoryview(found.buffers()[2]) if found.buffers()[2] is not None else b""
-        cuts = at[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        cuts = at[offsets.to_numpy() - offsets[0].as_py()].tolist()
         return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
@@ -246,19 +277,15 @@ _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64))
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-# Texts are hashed some so many bytes at a time; a longer one alone.
-GROUP_BYTES = 1 << 19
-
-
 def _powers(n: int, base: int) -> np.ndarray:
-    """1, base, base^2, ... modulo 2^64; those of usual length are kept by the process."""
+    """1, base, base^2, ... modulo 2^64; those of usual length are kept until the task ends."""
 
     def make(size):
         out = np.full(size, base, dtype=np.uint64)
         out[0] = 1
         return np.multiply.accumulate(out)
 
-    size = 4 * GROUP_BYTES
+    size = 2 * GROUP_BYTES
     return process_value(("powers", base), lambda: make(size))[:n] if n <= size else make(n)
 
 

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.llm.common import mix64, stored, table, texts_of, trimmed
+from vistra.llm.common import mix64, stored, table, text_groups, trimmed
 
 SEED_WORDS = 3
 LEAST_SCORE = 0.5
@@ -156,6 +156,38 @@ def align_spans(items: list[np.ndarray], passages: list[np.ndarray], least: floa
     return out
 
 
+def seeded(batch: pa.RecordBatch, known: WordCodes, index: SeedIndex, n: int, least: float, reach: int):
+    """(row in the batch, text_hash, first_word, codes, items) of a batch's passages, see ``passages``."""
+    sought = index.grams
+    if not len(sought):
+        return
+    for begin, texts in text_groups(batch, "_text"):
+        every, at = known.encode(texts)
+        if len(every) < n:
+            continue
+        usable = np.ones(len(every) - n + 1, dtype=bool)
+        for k in range(n):
+            usable &= every[k : k + len(usable)] > 0
+        start = np.flatnonzero(usable)
+        value = gram_hashes_at(every, start, n)
+        hit = sought[np.minimum(np.searchsorted(sought, value), len(sought) - 1)] == value
+        start, value = start[hit], value[hit]
+        doc = np.searchsorted(at, start, side="right") - 1
+        inside = start + n <= at[doc + 1]
+        start, value, doc = start[inside], value[inside], doc[inside]
+        if not len(start):
+            continue
+        cut = np.flatnonzero((doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > 2 * reach)) + 1
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(start)]):
+            d = int(doc[a])
+            first = max(int(at[d]), int(start[a]) - reach)
+            last = min(int(at[d + 1]), int(start[b - 1]) + n + reach)
+            items = index.items_of(np.unique(value[a:b]), every[first:last], least)
+            if len(items):
+                # copied: a slice would hold the words of its whole run
+                yield begin + d, batch.column("text_hash")[begin + d].as_py(), first - int(at[d]), every[first:last].copy(), items
+
+
 def passages(docs: DataFrame, codes: WordCodes, n: int, least: float, key: str, text: str) -> DataFrame:
     """Stored (passage, row, _key, text_hash, first_word, codes, items) around all benchmark n-grams.
 
@@ -174,33 +206,12 @@ def passages(docs: DataFrame, codes: WordCodes, n: int, least: float, key: str,
         from pyspark import TaskContext
 
         known, index = shared.value
-        sought = index.grams
         number = row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            every, at = known.encode(texts_of(batch, "_text"))
             out = []
-            if len(every) >= n and len(sought):
-                usable = np.ones(len(every) - n + 1, dtype=bool)
-                for k in range(n):
-                    usable &= every[k : k + len(usable)] > 0
-                start = np.flatnonzero(usable)
-                value = gram_hashes_at(every, start, n)
-                hit = sought[np.minimum(np.searchsorted(sought, value), len(sought) - 1)] == value
-                start, value = start[hit], value[hit]
-                doc = np.searchsorted(at, start, side="right") - 1
-                inside = start + n <= at[doc + 1]
-                start, value, doc = start[inside], value[inside], doc[inside]
-                if len(start):
-                    cut = np.flatnonzero((doc[1:] != doc[:-1]) | (start[1:] - start[:-1] > 2 * reach)) + 1
-                    keys, hashes = batch.column("_key").to_pylist(), batch.column("text_hash").to_pylist()
-                    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(start)]):
-                        d = int(doc[a])
-                        first = max(int(at[d]), int(start[a]) - reach)
-                        last = min(int(at[d + 1]), int(start[b - 1]) + n + reach)
-                        items = index.items_of(np.unique(value[a:b]), every[first:last], least)
-                        if len(items):
-                            out.append((number, row + d, keys[d], hashes[d], first - int(at[d]), every[first:last], items))
-                            number += 1
+            for d, hash_of, first, words, items in seeded(batch, known, index, n, least, reach):
+                out.append((number, row + d, batch.column("_key")[d].as_py(), hash_of, first, words, items))
+                number += 1
             row += batch.num_rows
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)

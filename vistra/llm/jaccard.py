@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import Words, in_groups, mix64, stored, table, texts_of, trimmed
+from vistra.llm.common import Words, in_groups, mix64, stored, table, text_groups, trimmed
 from vistra.operators.join import observe_keys, observed_keys, spread_join
 
 SHINGLE = 5
@@ -129,13 +129,16 @@ def name_sets(docs: DataFrame, size: int, key: str, text: str, seen: Observation
 
         cells = np.zeros(SKETCH_CELLS, dtype=np.uint32)
         for batch in batches:
-            sets = shingle_sets(texts_of(batch, "_text"), size)
-            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            np.add.at(cells, every % np.uint64(SKETCH_CELLS), np.uint32(1))
+            names, counts = [], []
+            for _, texts in text_groups(batch, "_text"):
+                sets = shingle_sets(texts, size)
+                np.add.at(cells, np.concatenate(sets) % np.uint64(SKETCH_CELLS), np.uint32(1))
+                names += [set_name(s) for s in sets]
+                counts += [len(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_key"), batch.column("text_hash"), pa.array([set_name(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary()),
+                    batch.column("_key"), batch.column("text_hash"), pa.array(names, pa.int64()),
+                    pa.array(counts, pa.int64()), pa.nulls(len(names), pa.int32()), pa.nulls(len(names), pa.binary()),
                 ],
                 schema=schema,
             )
@@ -181,7 +184,7 @@ def regions(docs: DataFrame, rank: np.ndarray, size: int, percent: int, text: st
         seen: set[int] = set()
         for batch in batches:
             shingles, nodes, counts = [], [], []
-            for s in shingle_sets(texts_of(batch, "_text"), size):
+            for s in (s for _, texts in text_groups(batch, "_text") for s in shingle_sets(texts, size)):
                 if not len(s):
                     continue
                 node = set_name(s)
@@ -304,10 +307,11 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
                 if len(seen) < 100_000:
                     seen.add(int(hashes[i]))
             part = batch.filter(pa.array(keep))
-            sets = shingle_sets(texts_of(part, "_text"), size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema
-            )
+            for _, texts in text_groups(part, "_text"):
+                sets = shingle_sets(texts, size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema
+                )
 
     # the few sets that the bit set lets through besides are of no node that is asked for
     found = stored(source.mapInArrow(trimmed(build), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")

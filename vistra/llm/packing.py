@@ -19,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import stored, table, texts_of, trimmed, word_encoder
+from vistra.llm.common import stored, table, trimmed, word_encoder
 
 SIZE = 2048
+# Bytes of ids in one Arrow batch of pieces; they stand there some three times.
+PIECE_BYTES = 2_000_000
 
 # A pattern: (length, copies) pairs in placing order.
 Pattern = tuple[tuple[int, int], ...]
@@ -96,7 +98,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: st
         end = int(end_id).to_bytes(width, "little")
         shard, whole, seen = TaskContext.get().partitionId(), 0, np.zeros(size, dtype=np.int64)
         for batch in batches:
-            ids = [x + end for x in encoder.encode(texts_of(batch, "_text"))]
+            ids = [x + end for x in encoder.encode(batch.column("_text"))]
             n = np.array([len(x) // width for x in ids], dtype=np.int64)
             before = whole + np.cumsum(n // size) - n // size
             whole += int((n // size).sum())
@@ -172,7 +174,7 @@ def pack_documents(
                     over = rank - first
                     out.append((doc, n - rest, rest, wide[4 * (n - rest) :], n, sequence + over // copies, offset + over % copies * rest))
                 held += len(wide)
-                if held >= 8_000_000:
+                if held >= PIECE_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
                     out, held = [], 0
             if out:

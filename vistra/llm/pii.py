@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistra.llm.common import stored, table, texts_of
+from vistra.llm.common import stored, table, texts_of, trimmed
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -338,7 +338,7 @@ def scan(docs: DataFrame, keep: list[str], key: str, text: str) -> DataFrame:
 
     kinds = [docs.schema[key].dataType, *(docs.schema[c].dataType for c in keep)]
     ddl = ", ".join(["_row bigint", *(f"{n} {k.simpleString()}" for n, k in zip(names, kinds)), f"base {_SPANS}", "mentions array<struct<kind:int,start:int,end:int,value:string,patterns:array<string>>>"])
-    return source.mapInArrow(find, ddl)
+    return source.mapInArrow(trimmed(find), ddl)
 
 
 def score_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
@@ -458,7 +458,7 @@ def mask_spans(texts: DataFrame, text: str = "text") -> DataFrame:
                 out.append(t)
             yield batch.set_column(at, text, pa.array(out, batch.schema.field(at).type))
 
-    return texts.mapInArrow(mask, texts.schema)
+    return texts.mapInArrow(trimmed(mask), texts.schema)
 
 
 def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
