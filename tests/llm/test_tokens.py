@@ -257,3 +257,40 @@ def test_word_encoder_takes_a_column(odd_texts, monkeypatch):
     column = pa.array(["cut off", *odd_texts, None], pa.string())[1:]
     whole = WordEncoder("word_bpe_49k.json").encode([t or "" for t in odd_texts] + [""])
     assert WordEncoder("word_bpe_49k.json").encode(column) == whole
+
+
+def learned_by(encoder):
+    """What the encoder gives to the library from now on: plain words, other runs."""
+    seen = {}
+    for name in ("_plain", "_other"):
+        own, seen[name] = getattr(encoder, name), []
+        setattr(encoder, name, lambda words, own=own, held=seen[name]: held.extend(words) or own(words))
+    return seen["_plain"], seen["_other"]
+
+
+def test_words_with_punctuation_go_as_word_and_tail():
+    encoder = WordEncoder("word_bpe_49k.json")
+    plain, other = learned_by(encoder)
+    tails = ["", ".", "$$$", ",***", "!?", "'", "\"'", "<|", "|>", "_-"]
+    runs = [w + t for w in ("Word", "éan", "ŉ", "S", "endoftext") for t in tails]
+    for ids, run in zip(encoder.encode([" ".join(runs), *runs])[1:], runs, strict=True):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == WORD.encode(run, add_special_tokens=False).ids, run
+    assert sorted(plain) == sorted(["word", "éan", "ŉ", "s", "endoftext"])
+    assert sorted(other) == sorted(tails[1:])
+
+
+def test_words_of_many_batches_stay_known(monkeypatch):
+    from vistra.llm import common
+
+    monkeypatch.setattr(common, "WORD_CACHE", 40)
+    rng = random.Random(1)
+    once = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(600)]
+    often = ["alpha", "beta", "gamma", "1st", "x" * 100]
+    encoder = WordEncoder("word_bpe_49k.json")
+    plain, other = learned_by(encoder)
+    for i in range(0, 600, 10):
+        texts = [" ".join(often[i // 10 % 2 :: 2] + once[i : i + 10]), ""]  # each in every second batch
+        want = [WORD.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == want
+    assert [plain.count(w) for w in often[:3]] == [1, 1, 1] and other.count("1st") == 1
+    assert len(encoder.words) == len(encoder.ids) == len(encoder.uses) <= 40 and "x" * 100 not in encoder.words.to_pylist()

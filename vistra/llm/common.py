@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 import sys
 import types
 
@@ -146,13 +147,17 @@ def load_tokenizer(name: str):
     return process_value(("tokenizer", name), make)
 
 
-# Words whose tokens a worker keeps; beyond that, those that recur in the last batch.
-WORD_CACHE = 250_000
-# New words that are learned at a time: lists and columns of them stand side by side.
-LEARN_WORDS = 50_000
+# Words whose tokens a worker keeps; beyond that, the half of them that most batches held.
+WORD_CACHE = 500_000
+# Longer words, in bytes, are kept for one batch only.
+WORD_BYTES = 40
+# Words the library encodes in one call: it keeps some 100 bytes a token until it returns.
+LEARN_WORDS = 20_000
 # Letters for which lower-casing and composition concern one character alone
 # and agree between libraries: ASCII and Latin letters up to U+017F but U+0130.
 SIMPLE_WORD = "^[a-zA-ZÀ-ÖØ-öø-ÿĀ-įı-ſ]+$"
+# After such letters, any run of these is a piece of its own.
+PUNCTUATION = string.punctuation
 
 
 def _strings(column: pa.Array) -> list[str]:
@@ -165,9 +170,11 @@ class WordEncoder:
 
     ``word_bpe_49k.json`` drops white space, and its normalisation, splitting
     and merges see one white-space-free run at a time; so a text's ids are
-    those of its runs in order, and each distinct run is encoded once. Runs of
-    plain letters skip normalisation and splitting, which leave them whole and
-    in lower case. All ids come from the tokenizers library.
+    those of its runs in order, and each distinct run is encoded once. A run of
+    plain letters skips normalisation and splitting, which leave it whole and
+    in lower case; ASCII punctuation after it is a word of its own. All ids
+    come from the tokenizers library. Known words and their ids are two columns
+    that are looked up and joined a batch at a time.
     """
 
     def __init__(self, name: str):
@@ -184,45 +191,70 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.cache: dict[str, bytes] = {"": b""}
+        self.words, self.ids, self.uses = pa.array([], pa.string()), pa.array([], pa.binary()), np.zeros(0, np.int64)
+
+    def _keep(self, most: int) -> None:
+        """Keep short words alone; of more than ``most``, those that most batches held, late ones first."""
+        kept = np.flatnonzero(pc.binary_length(self.words).to_numpy() <= WORD_BYTES)
+        if len(kept) > most:
+            kept = np.sort(kept[np.argsort(self.uses[kept], kind="stable")[-most:]])
+            self.uses //= 2
+        if len(kept) < len(self.words):
+            self.words, self.ids, self.uses = self.words.take(pa.array(kept)), self.ids.take(pa.array(kept)), self.uses[kept]
 
     def forget(self) -> None:
         """Drop the words a task has learned but for some 50,000, for a next task to begin with."""
-        self.cache = dict(list(self.cache.items())[:50_000])
+        self._keep(50_000)
 
-    def _plain(self, words: list[str]) -> None:
+    def _plain(self, words: list[str]) -> pa.Array:
         """Encode lower-case plain words in one call; an id that ends a word ends it."""
         ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-        raw, size, at = ids.tobytes(), self.dtype.itemsize, 0
-        stops = ((np.flatnonzero(self.ends[ids]) + 1) * size).tolist()
+        stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words):
             raise ValueError("the vocabulary does not mark the ends of words")
-        for word, stop in zip(words, stops):
-            self.cache[word] = raw[at:stop]
-            at = stop
+        offsets = (np.append(0, stops) * self.dtype.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
 
-    def _other(self, runs: list[str]) -> None:
+    def _other(self, runs: list[str]) -> pa.Array:
+        encoded = []
         for i in range(0, len(runs), 1000):
-            part = runs[i : i + 1000]
-            for run, e in zip(part, self.full.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[run] = np.array(e.ids, dtype=self.dtype).tobytes()
-
-    def _learn(self, runs: list[str]) -> None:
-        """Encode new runs: letters with dots or commas after them as word and tail, the rest whole."""
-        cache = self.cache
-        column = pa.array(runs, pa.string())
-        stems = pc.utf8_rtrim(column, ".,")
+            encoded += [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.full.encode_batch_fast(runs[i : i + 1000], add_special_tokens=False)]
+        return pa.array(encoded, pa.binary())
+
+    def _learn(self, words: pa.Array, encode) -> None:
+        parts = [words.slice(i, LEARN_WORDS) for i in range(0, len(words), LEARN_WORDS)]
+        self.ids = pa.concat_arrays([self.ids, *(encode(_strings(p)) for p in parts)])
+        self.words = pa.concat_arrays([self.words, words])
+        self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
+
+    def _places(self, words: pa.Array) -> pa.Array:
+        """Where each of the words stands among the known ones; new ones are learned, plain ones by the short way."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        found = pc.index_in(self.words, value_set=distinct)  # the batch's words make the hash table
+        place = np.full(len(distinct), -1)
+        place[pc.drop_null(found).to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        new = np.flatnonzero(place < 0)
+        plain = pc.match_substring_regex(distinct.take(pa.array(new)), SIMPLE_WORD).to_numpy(zero_copy_only=False)
+        for at, encode in ((new[plain], self._plain), (new[~plain], self._other)):
+            place[at] = len(self.words) + np.arange(len(at))
+            self._learn(distinct.take(pa.array(at)), encode)
+        self.uses[place] += 1
+        return pa.array(place).take(coded.indices)
+
+    def _ids_of(self, runs: pa.Array) -> pa.Array:
+        """The ids of distinct runs: letters with punctuation after them as word and tail, the rest whole."""
+        stems = pc.utf8_rtrim(runs, PUNCTUATION)
         simple = pc.match_substring_regex(stems, SIMPLE_WORD)
-        lows = _strings(pc.filter(pc.utf8_lower(stems), simple))
-        wholes = _strings(pc.filter(column, simple))
-        self._other(_strings(pc.filter(column, pc.invert(simple))))
-        tails = [r[len(w) :] for r, w in zip(wholes, lows)]
-        self._other([t for t in set(tails) if t not in cache])
-        new = [w for w in dict.fromkeys(lows) if w not in cache]
-        for i in range(0, len(new), 20_000):  # the library keeps some 100 bytes a token until it returns
-            self._plain(new[i : i + 20_000])
-        for run, low, tail in zip(wholes, lows, tails):
-            cache[run] = cache[low] + cache[tail] if tail else cache[low]
+        tailed = pc.and_(simple, pc.less(pc.binary_length(stems), pc.binary_length(runs)))
+        tails = pc.replace_substring_regex(pc.filter(runs, tailed), SIMPLE_WORD[:-1], "")
+        words = pc.if_else(simple, pc.utf8_lower(stems), runs)
+        at = self._places(pa.concat_arrays([words, tails]))
+        ids = self.ids.take(at.slice(0, len(runs)))
+        if not len(tails):
+            return ids
+        whole = pc.binary_join_element_wise(pc.filter(ids, tailed), self.ids.take(at.slice(len(runs))), pa.scalar(b"", pa.binary()))
+        return pc.replace_with_mask(ids, tailed, whole)
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Each text's ids as little-endian bytes of ``self.dtype``; a null in a column is empty."""
@@ -230,18 +262,10 @@ class WordEncoder:
             return []
         column = pc.fill_null(texts, "") if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         lists = pc.ascii_split_whitespace(column)
-        words, offsets = lists.flatten().dictionary_encode(), lists.offsets
+        runs, offsets = lists.flatten().dictionary_encode(), lists.offsets
         del column, lists  # as large as the texts
-        runs = _strings(words.dictionary)
-        cache = self.cache
-        new = [r for r in runs if r not in cache]
-        for i in range(0, len(new), LEARN_WORDS):
-            self._learn(new[i : i + LEARN_WORDS])
-        del new
-        found = pa.array([cache[r] for r in runs], pa.binary()).take(words.indices)
-        if len(cache) > WORD_CACHE:  # keep what occurred more than once just now
-            often = (np.bincount(words.indices.to_numpy(), minlength=len(runs)) > 1).tolist()
-            self.cache = {r: cache[r] for r, o in zip(runs, often) if o} | {"": b""}
+        found = self._ids_of(runs.dictionary).take(runs.indices)
+        self._keep(WORD_CACHE // 2 if len(self.words) > WORD_CACHE else WORD_CACHE)
         # the ids of all texts lie one after another in the taken array's buffer
         at = np.frombuffer(found.buffers()[1], dtype=np.int32, count=len(found) + 1, offset=4 * found.offset)
         data = memoryview(found.buffers()[2]) if found.buffers()[2] is not None else b""

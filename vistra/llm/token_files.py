@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import table, texts_of, word_encoder
+from vistra.llm.common import table, word_encoder
 from vistra.session import scratch_path
 
 MAGIC = b"VTF1"
@@ -211,11 +211,12 @@ def write_token_files(
         part, number, keys, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
             keys += batch.column("_key").to_pylist()
-            ids += [x + end for x in encoder.encode(texts_of(batch, "_text"))]
-            held = sum(map(len, ids)) // width
+            new = [x + end for x in encoder.encode(batch.column("_text"))]
+            ids += new
+            held += sum(map(len, new)) // width
             if held >= BLOCK_IDS:
                 yield pa.RecordBatch.from_pydict({"block": [pack_block(part, number, keys, ids, width)]}, schema=pa.schema([("block", pa.binary())]))
-                number, keys, ids = number + 1, [], []
+                number, keys, ids, held = number + 1, [], [], 0
         if keys:
             yield pa.RecordBatch.from_pydict({"block": [pack_block(part, number, keys, ids, width)]}, schema=pa.schema([("block", pa.binary())]))
 
