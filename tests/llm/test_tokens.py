@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import string
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -168,6 +171,55 @@ def test_token_counts(spark, odd_docs):
     assert token_counts.token_counts(odd_docs.limit(0), "byte_bpe_50k.json").count() == 0
 
 
+def odd_mixes(odd_texts):
+    """Texts of all sorts of words, white space and special strings next to each other."""
+    rng = random.Random(11)
+    pool = ["a", "b ", " c", " ", "  ", "\n", "\n\n ", "\t", "\r\n", "it's", "'ll", "'", "'s,'", "12", "½", "!?", "$$$ ", " (x", "é", "e\u0301,", "中文", "。", "İ", "Жя,", "x" * 50]
+    pool += ["\x00", "\x0b", "\x1c", "\x1f.", "\x85", "\xa0", "\u180e", "\u2003", "\u2028", "\u200b", "\u3000", "\ufeff", "Ġ", "Ċ", "\U0001f600"]
+    rare = ["\x01", "<|endoftext|>", "<|endof"]
+    mixes = ["".join(rng.choice(pool + rare * (i % 3 == 0)) for _ in range(rng.randint(1, 60))) for i in range(4000)]
+    return [t or "" for t in odd_texts] + mixes
+
+
+def test_pieces_count_as_the_whole_text(odd_texts):
+    texts = odd_mixes(odd_texts)
+    counter = token_counts.PieceCounter("byte_bpe_50k.json")
+    assert counter.cuts
+    want = [len(e) for e in BYTE.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # the second time all short pieces are known
+        assert token_counts.count_tokens(pa.array([*texts, None], pa.string()), counter).tolist() == [*want, 0]
+    joined = ["".join(texts[i : i + 40]) for i in range(0, len(texts), 40)] + ["中文。" * 3000, "z" * 3000]
+    want = [len(e) for e in BYTE.encode_batch(joined, add_special_tokens=False)]
+    for chunk, overlap in ((300, 80), (64, 70), (1000, 100)):
+        assert token_counts.count_tokens(pa.array(joined), counter, chunk, overlap).tolist() == want
+    other = token_counts.PieceCounter("word_bpe_49k.json")
+    assert not other.cuts
+    assert token_counts.count_tokens(pa.array(texts), other).tolist() == [len(e) for e in WORD.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_white_space_of_the_cuts_is_the_tokenizers():
+    every = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x110000)]]
+    column = pa.array(every)
+    found = pc.filter(column, pc.match_substring_regex(column, f"[ {token_counts._LINE}]")).to_pylist()
+    assert found == [c for c in every if len(BYTE.pre_tokenizer.pre_tokenize_str(c + c + "\n")) == 1]
+    letters = pc.filter(column, pc.match_substring_regex(column, token_counts._LETTER)).to_pylist()
+    assert all(len(BYTE.pre_tokenizer.pre_tokenize_str(c + p)) == 2 for c in letters for p in string.punctuation)
+
+
+def test_recurring_pieces_are_encoded_once_and_few_are_kept(monkeypatch):
+    counter = token_counts.PieceCounter("byte_bpe_50k.json")
+    calls = []
+    learn = counter._learn
+    monkeypatch.setattr(counter, "_learn", lambda pieces: calls.extend(pieces) or learn(pieces))
+    monkeypatch.setattr(token_counts, "WORD_CACHE", 200)
+    texts = [f"the same words, and the same. word{i} x{'y' * 60}{i}" for i in range(300)]
+    for t in texts:
+        assert token_counts.count_tokens(pa.array([t]), counter).tolist() == [len(BYTE.encode(t).ids)]
+        assert len(counter.known) + len(counter.older) <= 220
+        assert max(map(len, [*counter.known, *counter.older])) <= 40
+    assert calls.count(" same") == 1 and calls.count(" words") == 1 and len(calls) < 1000
+
+
 def expected_chat(turns):
     out = {}
     for conv in {t[0] for t in turns}:

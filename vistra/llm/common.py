@@ -160,7 +160,7 @@ SIMPLE_WORD = "^[a-zA-ZÀ-ÖØ-öø-ÿĀ-įı-ſ]+$"
 PUNCTUATION = string.punctuation
 
 
-def _strings(column: pa.Array) -> list[str]:
+def strings(column: pa.Array) -> list[str]:
     """A column without nulls as Python strings; some times faster than to_pylist()."""
     return column.to_numpy(zero_copy_only=False).tolist()
 
@@ -223,7 +223,7 @@ class WordEncoder:
 
     def _learn(self, words: pa.Array, encode) -> None:
         parts = [words.slice(i, LEARN_WORDS) for i in range(0, len(words), LEARN_WORDS)]
-        self.ids = pa.concat_arrays([self.ids, *(encode(_strings(p)) for p in parts)])
+        self.ids = pa.concat_arrays([self.ids, *(encode(strings(p)) for p in parts)])
         self.words = pa.concat_arrays([self.words, words])
         self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
 
