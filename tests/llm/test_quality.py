@@ -1,11 +1,13 @@
 """Rule counts against plain Python, and the forest's verdicts against labels."""
 
 import re
+from pathlib import Path
 
 import numpy as np
 
 from tests.llm.conftest import SF, table
 from vistra.llm import quality
+from vistra.session import scratch_path
 
 
 def brute(text):
@@ -133,3 +135,16 @@ def test_the_cut_is_exact_over_all_labelled_rows(spark):
     fine = np.sort(score[good])[::-1]
     assert [quality.kth_highest(frame.filter("_quality = 1"), "anomaly_score", k) for k in (0, 1, 15_000, len(fine) - 1)] == [fine[k] for k in (0, 1, 15_000, len(fine) - 1)]
     assert quality.calibrated_cut(frame.filter("_quality = 1")) == np.inf
+
+
+def test_kept_columns_are_not_stored(spark, odd_docs):
+    """Texts to keep are as large as the input."""
+    folder = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    labels = spark.createDataFrame([], "doc_id bigint, quality bigint")
+    found = quality.quality_rules(odd_docs, labels, keep=odd_docs.columns)
+    new = [spark.read.parquet(str(p)).columns for p in set(folder.iterdir()) - before]
+    assert new and not any(c.startswith("_keep") for columns in new for c in columns)
+    plain = quality.quality_rules(odd_docs, labels)
+    key = lambda r: [str(r[c]) for c in plain.columns]
+    assert sorted(map(key, found.collect())) == sorted(map(key, plain.collect()))

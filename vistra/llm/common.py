@@ -6,6 +6,7 @@ import os
 import string
 import sys
 import types
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +35,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load_table(spark, sf_dir, name)
 
 
+# Spark's setting (from 4.1 on) that an execution's shuffle files go when it ends;
+# else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Executions within leave no shuffle files. For frames that are executed once."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not the work before.
+    The shuffle files of that work go with it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    found = spark.read.parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of ``stored`` frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def draw_rows(df: DataFrame, n: int, *by: str) -> list:

@@ -16,8 +16,8 @@ all that merely have a passage in common.
 Level 2. In each region the document with most shared regions is the pivot,
 and exact distances to it are taken. Those within 0.25 are linked to it, hence to
 each other, and form its cell. What is left are pairs of different cells.
-Regions that hang together are joined as one, in blocks of bounded size: each
-document outside the largest cell is a pivot in its turn against all blocks,
+Regions that hang together are joined as one, in blocks of bounded size, large ones
+apart by sizes that allow a link: each document outside the largest cell is a pivot in its turn against all blocks,
 and is passed over where the windows around earlier pivots (distances that
 differ by at most 0.25), the sizes or a cell in common leave it no partner. Every
 link between two components is found; a link within one changes nothing.
@@ -28,12 +28,14 @@ hashes: among n different ones the chance of any clash is about n * n / 2 ** 65.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vistra.llm.common import Words, in_groups, mix64, stored, table, text_groups, trimmed
+from vistra.llm.common import Words, discard, in_groups, mix64, shuffles_removed, stored, table, text_groups, trimmed
 from vistra.operators.join import observe_keys, observed_keys, spread_join
 
 SHINGLE = 5
@@ -114,8 +116,8 @@ def least_shared(n: F.Column, percent: int = PERCENT) -> F.Column:
 # --- level 1: regions of one-shingle pivots ---------------------------------------------
 
 
-def name_sets(docs: DataFrame, size: int, key: str, text: str, seen: Observation) -> DataFrame:
-    """Stored rows: _key, text_hash, node, n_shingles; and per task the slices of its sketch.
+def name_sets(docs: DataFrame, size: int, key: str, text: str, seen: Observation) -> tuple[DataFrame, np.ndarray]:
+    """Stored rows _key, text_hash, node, n_shingles; and the sum of the sketches that tasks make on the way.
 
     ``seen`` finds the sets that very many rows have, for the joins by node.
     """
@@ -148,7 +150,12 @@ def name_sets(docs: DataFrame, size: int, key: str, text: str, seen: Observation
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4 + [pa.array([i], pa.int32()), data], schema=schema)
 
     rows = source.mapInArrow(trimmed(name), "_key bigint, text_hash bigint, node bigint, n_shingles bigint, slice int, sketch binary")
-    return stored(observe_keys(rows, ["node"], seen), "jaccard-sets")
+    both = stored(observe_keys(rows, ["node"], seen), "jaccard-named")
+    rank = total_sketch(both)
+    # sketches are most of it
+    named = stored(both.filter("sketch is null").select("_key", "text_hash", "node", "n_shingles"), "jaccard-sets")
+    discard(both)
+    return named, rank
 
 
 def total_sketch(rows: DataFrame) -> np.ndarray:
@@ -171,8 +178,9 @@ def total_sketch(rows: DataFrame) -> np.ndarray:
     part = F.pmod(F.xxhash64("sketch"), F.lit(groups)).alias("part")
     sums = sketches.groupBy("slice", part).applyInArrow(add, "slice int, sketch binary").groupBy("slice").applyInArrow(add, "slice int, sketch binary")
     cells = np.zeros((SKETCH_SLICES, SKETCH_CELLS // SKETCH_SLICES), np.uint32)
-    for r in sums.collect():
-        cells[r["slice"]] = np.frombuffer(zlib.decompress(r["sketch"]), dtype=np.uint32)
+    with shuffles_removed(rows.sparkSession):
+        for r in sums.collect():
+            cells[r["slice"]] = np.frombuffer(zlib.decompress(r["sketch"]), dtype=np.uint32)
     return np.round(4 * np.log2(cells.ravel().astype(np.float64) + 1)).astype(np.uint8)
 
 
@@ -258,12 +266,14 @@ def in_company(rows: DataFrame) -> DataFrame:
 
 def shared_regions(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Stored (shingle, node, pivot, documents, alike): regions with two documents or more, of documents with enough of them."""
-    members = stored(in_company(rows), "jaccard-members")
+    company = stored(in_company(rows), "jaccard-company")
     # all of a document's partners together share no less with it than one
-    enough = members.groupBy("node").agg(F.count(F.lit(1)).alias("regions")).join(sizes, "node")
+    enough = company.groupBy("node").agg(F.count(F.lit(1)).alias("regions")).join(sizes, "node")
     enough = stored(enough.filter(F.col("regions") >= least_shared(F.col("n"), percent)).select("node", "regions"), "jaccard-enough")
-    members = members.join(enough, "node")
-    return stored(members.join(_distinct_regions(members).hint("shuffle_hash"), "shingle").select("shingle", "node", "pivot", "documents", "alike"), "jaccard-members")
+    members = company.join(enough, "node")
+    found = stored(members.join(_distinct_regions(members).hint("shuffle_hash"), "shingle").select("shingle", "node", "pivot", "documents", "alike"), "jaccard-members")
+    discard(company, enough)
+    return found
 
 
 def _distinct_regions(rows: DataFrame) -> DataFrame:
@@ -287,7 +297,7 @@ def _distinct_regions(rows: DataFrame) -> DataFrame:
 
 def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: int, text: str) -> DataFrame:
     """Stored (node, n, shingles): the sets of ``nodes``, one row each, from their texts."""
-    texts = named.filter("sketch is null").join(nodes, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct()
+    texts = named.join(nodes, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct()
     texts = stored(texts, "jaccard-texts")
     source = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).cast("string").alias("_text"))
     if 8 * texts.count() > FILTER_BITS:  # too many for the bit set to tell them from others: their texts are moved
@@ -316,6 +326,7 @@ def candidate_sets(docs: DataFrame, named: DataFrame, nodes: DataFrame, size: in
     # the few sets that the bit set lets through besides are of no node that is asked for
     found = stored(source.mapInArrow(trimmed(build), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "jaccard-candidates")
     wanted.destroy()
+    discard(texts)
     return found
 
 
@@ -362,7 +373,7 @@ def components(links: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "jaccard-links")
     nodes = both.select(F.col("a").alias("node")).distinct()
     nodes = nodes.withColumn("key", F.lit(0)) if keys is None else nodes.join(keys, "node")
-    labels = stored(nodes.select("node", F.struct("key", "node").alias("label")), "jaccard-labels")
+    labels = last = stored(nodes.select("node", F.struct("key", "node").alias("label")), "jaccard-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
@@ -371,9 +382,11 @@ def components(links: DataFrame, keys: DataFrame | None = None) -> DataFrame:
         jump = labels.select(F.col("node").alias("of"), F.col("label").alias("jumped"))
         moved = spread_join(lower, jump, ["of"], "inner", observed_keys(spark, seen))
         moved = stored(moved.select("node", "label", F.least("next", "jumped").alias("next")), "jaccard-labels")
-        changed = moved.filter("label <> next").limit(1).count()
+        discard(lower, last)
+        changed, last = moved.filter("label <> next").limit(1).count(), moved
         labels = moved.select("node", F.col("next").alias("label"))
         if not changed:
+            discard(both)
             found = labels.select("node", F.col("label.node").alias("label"), F.col("label.key").alias("key"))
             return found.drop("key") if keys is None else found
 
@@ -429,13 +442,15 @@ def open_links(members: DataFrame, labels: DataFrame, sizes: DataFrame, shingles
 
     Regions that hang together through their pivots are one. Of such a one,
     documents outside the largest cell are dealt into blocks as sources and all
-    documents into blocks as targets, by their sizes; each pair of a source and a
+    documents into blocks as targets; each pair of a source and a
     target block is one group, so a group is bounded and a very large
-    region is many groups.
+    region is many groups. Where it is many, sources of one size class meet only
+    targets of their own and the two classes beside it: the others are too
+    small or too large for a link.
     """
     seen = Observation("cells")
     at = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    at = stored(observe_keys(at, ["label"], seen), "jaccard-labelled")
+    labelled = at = stored(observe_keys(at, ["label"], seen), "jaccard-labelled")
     cells = at.select("node", "label").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("cell"))
     larger = Window.partitionBy("node").orderBy(F.desc("documents"), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a row counts with all regions that are like it; the largest ones may be passed over
@@ -446,6 +461,7 @@ def open_links(members: DataFrame, labels: DataFrame, sizes: DataFrame, shingles
     whole = components(at.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
     rows = at.select("node", F.col("label").alias("cell")).distinct().join(whole.withColumnRenamed("label", "region"), "node").join(sizes, "node")
     rows = stored(rows, "jaccard-cells")
+    discard(labelled, at)
     cells = rows.groupBy("region", "cell").agg(F.sum("n").alias("n"))
     largest = cells.groupBy("region").agg(F.max(F.struct("n", "cell")).alias("top"), F.sum("n").alias("all"))
     blocks = largest.select(
@@ -453,20 +469,23 @@ def open_links(members: DataFrame, labels: DataFrame, sizes: DataFrame, shingles
         F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("target_blocks"),
         F.greatest(F.ceil((F.col("all") - F.col("top.n")) / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("source_blocks"),
     )
-    dealt = rows.join(blocks, "region").withColumns({"hash": F.xxhash64("node"), "minor": F.col("cell") != F.col("largest"), "grid": F.col("source_blocks") * F.col("target_blocks")})
+    dealt = rows.join(blocks, "region").withColumns({"hash": F.xxhash64("node"), "minor": F.col("cell") != F.col("largest"), "size": F.lit(0).cast("bigint")})
 
     def spread(df: DataFrame, own: str, other: str, source: F.Column, target: bool) -> DataFrame:
         """Each row in its own block, against every block of the other kind."""
         mine, every = F.pmod("hash", f"{own}_blocks"), F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
         roles = [source.alias("source"), F.lit(target).alias("target")]
-        return df.select("region", "node", "cell", *roles, mine.cast("int").alias(f"{own}_block"), every.alias(f"{other}_block"))
+        return df.select("region", "size", "node", "cell", *roles, mine.cast("int").alias(f"{own}_block"), every.alias(f"{other}_block"))
 
     # where one group holds the whole region, a row takes both parts
-    small, large = dealt.filter("grid = 1"), dealt.filter("grid > 1")
+    one = F.col("source_blocks") * F.col("target_blocks") == 1
+    small, large = dealt.filter(one), size_classes(dealt.filter(~one).drop("source_blocks", "target_blocks"), percent)
+    blocks = size_blocks(large)
+    beside = large.withColumn("size", F.explode(_classes_beside()))
     both = (
         spread(small, "target", "source", F.col("minor"), True)
-        .unionByName(spread(large.filter("minor"), "source", "target", F.lit(True), False))
-        .unionByName(spread(large, "target", "source", F.lit(False), True))
+        .unionByName(spread(large.filter("minor").join(blocks, ["region", "size"]), "source", "target", F.lit(True), False))
+        .unionByName(spread(beside.join(blocks, ["region", "size"]), "target", "source", F.lit(False), True))
         .join(shingles, "node")
     )
 
@@ -479,7 +498,26 @@ def open_links(members: DataFrame, labels: DataFrame, sizes: DataFrame, shingles
         nodes = frame["node"].to_numpy()
         return pd.DataFrame({"a": [nodes[a] for a, _ in found], "b": [nodes[b] for _, b in found]}, dtype="int64")
 
-    return stored(both.groupBy("region", "source_block", "target_block").applyInPandas(link, "a bigint, b bigint"), "jaccard-open-links")
+    found = stored(both.groupBy("region", "size", "source_block", "target_block").applyInPandas(link, "a bigint, b bigint"), "jaccard-open-links")
+    discard(rows)
+    return found
+
+
+def size_classes(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` with ``size``: sets whose numbers of shingles ``n`` allow a link differ by one class at most."""
+    return rows.withColumn("size", F.floor(F.log("n") / (math.log(100 / percent) + 1e-6)).cast("bigint"))
+
+
+def _classes_beside() -> F.Column:
+    return F.array(*[F.col("size") + i for i in (-1, 0, 1)])
+
+
+def size_blocks(rows: DataFrame) -> DataFrame:
+    """(region, size, source_blocks, target_blocks) of the size classes that hold sources (``minor``)."""
+    classes = rows.groupBy("region", "size").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("minor"), F.col("n"))).alias("sources"))
+    targets = classes.select("region", F.explode(_classes_beside()).alias("size"), "n").groupBy("region", "size").agg(F.sum("n").alias("targets"))
+    count = lambda c: F.ceil(F.col(c) / BLOCK_SHINGLES).cast("int").alias(c[:-1] + "_blocks")
+    return classes.filter("sources is not null").join(targets, ["region", "size"]).select("region", "size", count("sources"), count("targets"))
 
 
 def near_duplicates(
@@ -492,28 +530,32 @@ def near_duplicates(
     its rows have one. Other columns are ignored.
     """
     seen = Observation("sets")
-    named = name_sets(docs, size, key, text, seen)
+    named, rank = name_sets(docs, size, key, text, seen)
     first = F.struct(F.col("_key").isNull().alias("none"), F.coalesce("_key", F.lit(0)).alias("id"))
-    rows = _components(docs, named, seen, first, size, percent, text)
+    rows = _components(docs, named, rank, seen, first, size, percent, text)
     component = F.when(~F.col("smallest.none"), F.col("smallest.id"))
     full = rows.select(F.col("_key").alias("doc_id"), "n_shingles", component.alias("component_id"))
-    empty = named.filter("sketch is null and n_shingles = 0")
+    empty = named.filter("n_shingles = 0")
     return full.unionByName(empty.select(F.col("_key").alias("doc_id"), "n_shingles", F.col("_key").alias("component_id")))
 
 
-def _components(docs: DataFrame, named: DataFrame, seen: Observation, first: F.Column, size: int, percent: int, text: str) -> DataFrame:
+def _components(docs: DataFrame, named: DataFrame, rank: np.ndarray, seen: Observation, first: F.Column, size: int, percent: int, text: str) -> DataFrame:
     """(_key, text_hash, n_shingles, smallest) of all rows with shingles; ``smallest``: the least ``first`` of the row's component."""
-    sets = named.filter("sketch is null and n_shingles > 0").select("_key", "text_hash", "node", "n_shingles")
+    sets = named.filter("n_shingles > 0")
     nodes = stored(sets.groupBy("node").agg(F.first("n_shingles").alias("n"), F.min(first).alias("key")), "jaccard-nodes")
     sizes = nodes.select("node", "n")
-    rows = regions(docs, total_sketch(named), size, percent, text)
+    rows = regions(docs, rank, size, percent, text)
     members = shared_regions(rows, sizes, percent)
     pairs = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()  # a star for each region
     todo = stored(_size_window(pairs, sizes, percent), "jaccard-pairs")
-    shingles = candidate_sets(docs, named, stored(members.select("node").distinct(), "jaccard-shared"), size, text)
-    links = linked(stored(distances(todo, shingles, sizes), "jaccard-distances"), percent)
-    links = links.unionByName(open_links(members, components(links), sizes, shingles, percent))
-    labels = components(links, nodes.select("node", "key")).select("node", F.col("key").alias("smallest"))
+    shared = stored(members.select("node").distinct(), "jaccard-shared")
+    shingles = candidate_sets(docs, named, shared, size, text)
+    measured = stored(linked(distances(todo, shingles, sizes), percent), "jaccard-distances")
+    discard(todo, shared)
+    further = open_links(members, components(measured), sizes, shingles, percent)
+    discard(members, shingles)
+    labels = components(measured.unionByName(further), nodes.select("node", "key")).select("node", F.col("key").alias("smallest"))
+    discard(measured, further)
     of_node = nodes.join(labels, "node", "left").select("node", F.coalesce("smallest", "key").alias("smallest"))
     return spread_join(sets, of_node, ["node"], "inner", observed_keys(docs.sparkSession, seen)).select("_key", "text_hash", "n_shingles", "smallest")
 
@@ -526,9 +568,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PE
     """
     columns = docs.columns
     seen = Observation("sets")
-    named = name_sets(docs, size, key, text, seen)
+    named, rank = name_sets(docs, size, key, text, seen)
     first = F.struct(F.col("_key").isNull().alias("_null"), F.coalesce("_key", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"))
-    rows = _components(docs, named, seen, first, size, percent, text)
+    rows = _components(docs, named, rank, seen, first, size, percent, text)
     chosen = stored(rows.select("smallest.*").distinct(), "jaccard-kept")
     words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     parts = {"_null": F.col(key).isNull(), "_id": F.coalesce(F.col(key).cast("bigint"), F.lit(0)), "_hash": F.xxhash64(text)}

@@ -87,8 +87,8 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def rule_table(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``_key``, the kept columns, the rule counts. No shuffle."""
+def rule_table(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text: str = "text", score=None) -> DataFrame:
+    """Per row: ``_key``, the kept columns, the rule counts, with ``score`` also what it makes of them. No shuffle."""
     fields = [docs.schema[c] for c in keep]
     source = docs.select(
         F.col(key).alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"), *[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)]
@@ -98,9 +98,11 @@ def rule_table(docs: DataFrame, keep: list[str] = (), key: str = "doc_id", text:
         for batch in batches:
             found = statistics(texts_of(batch, "_text"))
             names = ["_key", *(f"_keep{i}" for i in range(len(keep)))]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(found[c]) for c in COUNTS], names=names + COUNTS)
+            out = pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(found[c]) for c in COUNTS], names=names + COUNTS)
+            yield out if score is None else score(out)
 
     ddl = ["_key " + docs.schema[key].dataType.simpleString(), *(f"_keep{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)), *(f"{c} bigint" for c in COUNTS)]
+    ddl += ["anomaly_score double"] if score else []
     return source.mapInArrow(trimmed(count), ", ".join(ddl))
 
 
@@ -317,8 +319,8 @@ def calibrated_cut(scored: DataFrame, loss: float = GOOD_LOSS) -> float:
     return kth_highest(scored.filter("_quality = 1"), "anomaly_score", int(loss * good))
 
 
-def score_rules(rules: DataFrame, labels: DataFrame, key: str = "_key") -> DataFrame:
-    """``rules`` with ``anomaly_score``, ``base_failed`` and ``kept``.
+def scoring(rules: DataFrame, labels: DataFrame, key: str = "_key"):
+    """(score, cut): a function that adds ``anomaly_score`` to a batch of ``rules``, and the highest score that is kept.
 
     The forest grows from all rows that pass the base rules and the cut is calibrated on all
     labelled ones among them (of repeated labels the lowest counts).
@@ -326,31 +328,39 @@ def score_rules(rules: DataFrame, labels: DataFrame, key: str = "_key") -> DataF
     passed = rules.filter(~base_failed()).select(key, *COUNTS)
     model = rules.sparkSession.sparkContext.broadcast(forest_of(passed, key))  # TREES trees of at most 2 ** (DEPTH + 1) nodes
 
-    def score(batches):
-        for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in COUNTS], axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(anomaly(model.value, features(rows)))], names=[*batch.schema.names, "anomaly_score"])
-
-    def scored(df: DataFrame) -> DataFrame:
-        return df.mapInArrow(trimmed(score), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", anomaly_score double")
+    def score(batch):
+        rows = np.stack([batch.column(c).to_numpy() for c in COUNTS], axis=1)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(anomaly(model.value, features(rows)))], names=[*batch.schema.names, "anomaly_score"])
 
     truth = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias(key)).agg(F.min("quality").alias("_quality"))
-    cut = calibrated_cut(stored(scored(passed.join(truth, key)).select("_quality", "anomaly_score"), "quality-labelled"))
-    out = scored(rules).withColumn("base_failed", base_failed())
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly_score") <= F.lit(cut)))
+    return score, calibrated_cut(stored(scored(passed.join(truth, key), score).select("_quality", "anomaly_score"), "quality-labelled"))
+
+
+def scored(rules: DataFrame, score) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            yield score(batch)
+
+    return rules.mapInArrow(trimmed(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rules.schema) + ", anomaly_score double")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, keep: list[str] = ()) -> DataFrame:
-    """Every row of ``docs`` with its rule counts, score and verdict, and the columns named in ``keep``.
+    """Every row of ``docs`` with its rule counts, ``anomaly_score``, ``base_failed`` and ``kept``, and the columns named in ``keep``.
 
     ``docs``: doc_id, text (null text: no words, base_failed). Null and repeated
     ids are rows of their own. ``labels``: doc_id, quality (1 good, 0 bad);
     empty or few labels: the base rules alone decide.
+
+    Only counts are stored. Columns to keep may be as large as the input, so
+    with them the rows are counted again as they are scored.
     """
-    rules = stored(rule_table(docs, list(keep)), "quality-rules")
-    scored = score_rules(rules, labels)
+    rules = stored(rule_table(docs), "quality-rules")
+    score, cut = scoring(rules, labels)
+    rows = rule_table(docs, list(keep), score=score) if keep else scored(rules, score)
+    rows = rows.withColumn("base_failed", base_failed())
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly_score") <= F.lit(cut)))
     names = {"_key": "doc_id"} | {f"_keep{i}": c for i, c in enumerate(keep)}
-    return scored.select(*[F.col(c).alias(names.get(c, c)) for c in scored.columns if not (c == "_key" and "doc_id" in keep)])
+    return rows.select(*[F.col(c).alias(names.get(c, c)) for c in rows.columns if not (c == "_key" and "doc_id" in keep)])
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
